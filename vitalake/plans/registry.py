@@ -1,7 +1,8 @@
 """Named queries over a scale-factor directory: ``name -> f(spark, sf_dir)``.
 
-Each query derives the bronze from the driver's ``events`` table and runs
-the real operator chain on it; nothing is sampled or capped.  Timestamp
+Each query reads the bronze landed from the driver's ``events`` table (see
+``sources.bronze_store``) and runs the real operator chain on it; nothing is
+sampled or capped.  Timestamp
 outputs are returned as TIMESTAMP_NTZ (UTC wall clock) so that results
 compare equal with engines that have no session time zone.
 """
@@ -16,7 +17,7 @@ from pyspark.sql.types import TimestampType
 
 from ..operators import gold, marts
 from ..session import ensure_session
-from ..sources.bindings import bronze_from_dir
+from ..sources.bronze_store import landed_bronze
 from .medallion import Medallion
 from .oracle import APP_END, APP_START, AS_OF, AS_OF_TS
 
@@ -31,7 +32,7 @@ def ntz(df: DataFrame) -> DataFrame:
 
 def medallion(spark: SparkSession, sf_dir: str) -> Medallion:
     ensure_session(spark)
-    return Medallion(bronze_from_dir(spark, sf_dir))
+    return Medallion(landed_bronze(spark, sf_dir))
 
 
 def _q(build: Callable[[SparkSession, Medallion], DataFrame]) -> Query:

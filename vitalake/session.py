@@ -31,6 +31,7 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions or cpus))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.sql.parquet.compression.codec", "zstd")
+        .config("spark.sql.files.openCostInBytes", os.environ.get("VITALAKE_OPEN_COST", str(1 << 20)))
         .config("spark.driver.memory", os.environ.get("VITALAKE_DRIVER_MEMORY", "16g"))
     )
     spark = builder.getOrCreate()
