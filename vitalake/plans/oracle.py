@@ -329,5 +329,40 @@ FINAL = {
 }
 
 
+FINAL.update({
+    "sleep_sessions": """,
+        x AS (SELECT user_id, stage_uuid, stage_start_at, stage_end_at,
+                     lag(stage_end_at) OVER (PARTITION BY user_id ORDER BY stage_start_at, stage_end_at, stage_uuid)
+                     AS prev_end
+              FROM sleep_stages WHERE stage_start_at IS NOT NULL AND stage_end_at IS NOT NULL),
+        y AS (SELECT *, sum(CASE WHEN prev_end IS NULL OR stage_start_at - prev_end > INTERVAL 30 MINUTE
+                                 THEN 1 ELSE 0 END)
+                     OVER (PARTITION BY user_id ORDER BY stage_start_at, stage_end_at, stage_uuid
+                           ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS session_seq FROM x)
+        SELECT user_id, CAST(session_seq AS BIGINT) AS session_seq, min(stage_start_at) AS session_start_at,
+               max(stage_end_at) AS session_end_at, count(*) AS stage_count FROM y GROUP BY 1, 2""",
+    "samples_live": """SELECT * FROM samples s WHERE NOT EXISTS (
+                         SELECT 1 FROM deletes d WHERE d.deleted_uuid = s.hk_uuid)""",
+    "workouts_live": """SELECT * FROM workouts w WHERE NOT EXISTS (
+                          SELECT 1 FROM deletes d WHERE d.deleted_uuid = w.workout_uuid)""",
+    "samples_flagged": """SELECT hk_uuid, user_id, hk_type,
+                            EXISTS (SELECT 1 FROM deletes d WHERE d.deleted_uuid = s.hk_uuid) AS is_deleted
+                          FROM samples s""",
+    "verify_inserted": """SELECT count(*) AS verified_rows FROM bronze
+                          WHERE record_id IN (SELECT record_id FROM bronze WHERE device_id = 'demo-notebook-seed')""",
+    "user_by_device": """,
+        dev AS (SELECT device_id, user_id AS device_user_id FROM (
+                  SELECT device_id, user_id, row_number() OVER (PARTITION BY device_id
+                         ORDER BY ingested_at DESC, user_id DESC) AS rn
+                  FROM bronze WHERE device_id <> 'demo-notebook-seed') WHERE rn = 1)
+        SELECT b.record_id, b.user_id, b.device_id, coalesce(d.device_user_id, b.user_id) AS resolved_user_id
+        FROM bronze b LEFT JOIN dev d ON b.device_id = d.device_id""",
+    "samples_current": """SELECT * EXCLUDE (rn) FROM (
+                            SELECT *, row_number() OVER (PARTITION BY hk_uuid ORDER BY ingested_at DESC, record_id DESC)
+                            AS rn FROM s_raw) s
+                          WHERE rn = 1 AND NOT EXISTS (SELECT 1 FROM deletes d WHERE d.deleted_uuid = s.hk_uuid)""",
+})
+
+
 def oracle_sql() -> dict[str, str]:
     return {name: BASE + final for name, final in FINAL.items()}

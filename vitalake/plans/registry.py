@@ -15,7 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampType
 
-from ..operators import gold, marts
+from ..operators import deletes, gold, marts, sessions, silver
+from ..functions.labels import SEED_DEVICE_ID
 from ..session import ensure_session
 from ..sources.bronze_store import landed_bronze
 from .medallion import Medallion
@@ -96,5 +97,30 @@ MEDALLION_QUERIES: dict[str, Query] = {
 }
 
 
+def _seed_rows(m: Medallion) -> DataFrame:
+    return marts.bronze_seed_slice(m.bronze)
+
+
+JOIN_QUERIES: dict[str, Query] = {
+    # Sleep stages grouped into gap-based sessions per user
+    "sleep_sessions": _q(lambda s, m: sessions.sleep_sessions(
+        m.sleep_stages, start="stage_start_at", end="stage_end_at", tie="stage_uuid")),
+    # Deletes applied (remove / flag)
+    "samples_live": _q(lambda s, m: deletes.apply_deletes(m.samples, m.deletes, "hk_uuid")),
+    "workouts_live": _q(lambda s, m: deletes.apply_deletes(m.workouts, m.deletes, "workout_uuid")),
+    "samples_flagged": _q(lambda s, m: deletes.apply_deletes(m.samples, m.deletes, "hk_uuid", "flag")
+                          .select("hk_uuid", "user_id", "hk_type", "is_deleted")),
+    # Staged ids visible in bronze
+    "verify_inserted": _q(lambda s, m: deletes.verify_inserted(m.bronze, _seed_rows(m))),
+    # User resolved through the device registry
+    "user_by_device": _q(lambda s, m: deletes.attribute_user_by_device(
+        m.bronze, deletes.device_registry(m.bronze, SEED_DEVICE_ID))
+        .select("record_id", "user_id", "device_id", "resolved_user_id")),
+    # X6 batch: latest version per sample from the raw change log, minus deletes
+    "samples_current": _q(lambda s, m: deletes.current_state(
+        silver.samples(m.bronze, "none"), m.deletes, "hk_uuid", ("ingested_at", "record_id"))),
+}
+
+
 def queries() -> dict[str, Query]:
-    return dict(MEDALLION_QUERIES)
+    return {**MEDALLION_QUERIES, **JOIN_QUERIES}
