@@ -363,6 +363,14 @@ FINAL.update({
                           WHERE rn = 1 AND NOT EXISTS (SELECT 1 FROM deletes d WHERE d.deleted_uuid = s.hk_uuid)""",
 })
 
+FINAL.update({
+    "stream_samples": "SELECT * EXCLUDE (record_id, ingested_at) FROM samples",
+    "stream_samples_bounded": "SELECT * EXCLUDE (record_id, ingested_at) FROM samples",
+    "stream_event_keys": "SELECT event_id FROM events_silver",
+    "stream_gold_hk_daily": "SELECT * FROM hk_daily",
+    "stream_gold_sleep_nightly": "SELECT * FROM sleep_nightly",
+})
+
 
 def oracle_sql() -> dict[str, str]:
     return {name: BASE + final for name, final in FINAL.items()}

@@ -18,7 +18,8 @@ from pyspark.sql.types import TimestampType
 from ..operators import deletes, gold, marts, sessions, silver
 from ..functions.labels import SEED_DEVICE_ID
 from ..session import ensure_session
-from ..sources.bronze_store import landed_bronze
+from ..sources.bronze_store import bronze_path_for, landed_bronze
+from ..streaming import medallion as streaming
 from .medallion import Medallion
 from .oracle import APP_END, APP_START, AS_OF, AS_OF_TS
 
@@ -122,5 +123,51 @@ JOIN_QUERIES: dict[str, Query] = {
 }
 
 
+def _stream(spark: SparkSession, sf_dir: str, flows: tuple[str, ...], dedup: str = "exact") -> tuple[str, Medallion]:
+    m = medallion(spark, sf_dir)  # lands the bronze table if needed
+    root = streaming.run_available_now(spark, bronze_path_for(spark, sf_dir), flows=flows, dedup=dedup)
+    return root, m
+
+
+def stream_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Samples flow run as a triggered stream (exact dedup)."""
+    root, _ = _stream(spark, sf_dir, ("samples",))
+    return ntz(streaming.read_sink(spark, root, "samples").drop("record_id", "ingested_at"))
+
+
+def stream_samples_bounded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Same flow with state bounded by the watermark (T4)."""
+    root, _ = _stream(spark, sf_dir, ("samples",), "bounded")
+    return ntz(streaming.read_sink(spark, root, "samples").drop("record_id", "ingested_at"))
+
+
+def stream_event_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events flow as a stream; the surviving key set (which copy survives a
+    same-batch duplicate is not ordered, T7)."""
+    root, _ = _stream(spark, sf_dir, ("events",))
+    return streaming.read_sink(spark, root, "events").select("event_id")
+
+
+def stream_gold_hk_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gold computed in batch from the streaming silver sink."""
+    root, m = _stream(spark, sf_dir, ("samples",))
+    return ntz(streaming.gold_from_sinks(spark, root, m.bronze, ("samples",)).hk_quantity_daily)
+
+
+def stream_gold_sleep_nightly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X4 over the sleep-stage flow."""
+    root, m = _stream(spark, sf_dir, ("sleep_stages",))
+    return ntz(streaming.gold_from_sinks(spark, root, m.bronze, ("sleep_stages",)).sleep_nightly)
+
+
+STREAM_QUERIES: dict[str, Query] = {
+    "stream_samples": stream_samples,
+    "stream_samples_bounded": stream_samples_bounded,
+    "stream_event_keys": stream_event_keys,
+    "stream_gold_hk_daily": stream_gold_hk_daily,
+    "stream_gold_sleep_nightly": stream_gold_sleep_nightly,
+}
+
+
 def queries() -> dict[str, Query]:
-    return {**MEDALLION_QUERIES, **JOIN_QUERIES}
+    return {**MEDALLION_QUERIES, **JOIN_QUERIES, **STREAM_QUERIES}
