@@ -75,7 +75,7 @@ def ring_ratio(actual: Column | str, goal: Column | str, digits: int = 3) -> Col
 
 def session_duration_seconds(start: Column, end: Column) -> Column:
     """(end - start) in whole milliseconds / 1000."""
-    return F.timestampdiff("MILLISECOND", start, end) / F.lit(1000.0)
+    return F.timestamp_diff("MILLISECOND", start, end) / F.lit(1000.0)
 
 
 def user_like(search: str | None) -> str:

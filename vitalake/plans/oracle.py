@@ -373,4 +373,5 @@ FINAL.update({
 
 
 def oracle_sql() -> dict[str, str]:
-    return {name: BASE + final for name, final in FINAL.items()}
+    from .oracle_platforms import platform_oracles
+    return {**{name: BASE + final for name, final in FINAL.items()}, **platform_oracles()}

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampType
 
-from ..operators import deletes, gold, marts, sessions, silver
+from ..operators import deletes, garmin, gold, health_connect as hc, marts, sessions, silver
 from ..functions.labels import SEED_DEVICE_ID
 from ..session import ensure_session
 from ..sources.bronze_store import bronze_path_for, landed_bronze
@@ -169,5 +169,42 @@ STREAM_QUERIES: dict[str, Query] = {
 }
 
 
+def _platform(kind: str, build: Callable[[SparkSession, DataFrame], DataFrame]) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ensure_session(spark)
+        return ntz(build(spark, landed_bronze(spark, sf_dir, kind)))
+    run.__doc__ = build.__doc__
+    return run
+
+
+def _events_out(df: DataFrame) -> DataFrame:
+    return df.withColumn("metadata_json", F.to_json("metadata")).drop("metadata")
+
+
+WATCH_SINCE = "2024-01-15 00:00:00"
+
+PLATFORM_QUERIES: dict[str, Query] = {
+    # Garmin cloud
+    "garmin_events": _platform("garmin", lambda s, b: _events_out(garmin.garmin_events(b))),
+    "garmin_bronze_rows": _platform("garmin", lambda s, b: b.select(
+        "record_id", "ingested_at", "record_type", "source_platform", "user_id",
+        marts.platform_of_headers().alias("platform"),
+        F.try_variant_get("headers", "$['X-Device-Id']", "string").alias("device_id"),
+        F.try_variant_get("body", "$.date", "string").alias("day"))),
+    "garmin_daily_view": _platform("garmin", lambda s, b: garmin.garmin_daily_view(b)),
+    # Garmin watch
+    "watch_events": _platform("watch", lambda s, b: _events_out(garmin.explode_watch_batch(b))),
+    "watch_incremental": _platform("watch", lambda s, b: _events_out(
+        garmin.incremental_since(garmin.explode_watch_batch(b), WATCH_SINCE))),
+    # Health Connect
+    "hc_samples": _platform("health_connect", lambda s, b: hc.hc_samples(s, b)),
+    "hc_workouts": _platform("health_connect", lambda s, b: hc.hc_workouts(s, b)),
+    "hc_sleep_stages": _platform("health_connect", lambda s, b: hc.hc_sleep_stages(s, b)),
+    "hc_daily_summaries": _platform("health_connect", lambda s, b: hc.hc_daily_summaries(b)),
+    "hc_deletes": _platform("health_connect", lambda s, b: hc.hc_deletes(b)),
+    "hc_daily_from_samples": _platform("health_connect", lambda s, b: hc.daily_summary_from_samples(hc.hc_samples(s, b))),
+}
+
+
 def queries() -> dict[str, Query]:
-    return {**MEDALLION_QUERIES, **JOIN_QUERIES, **STREAM_QUERIES}
+    return {**MEDALLION_QUERIES, **JOIN_QUERIES, **STREAM_QUERIES, **PLATFORM_QUERIES}

@@ -55,16 +55,22 @@ def read_bronze(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).select(*BRONZE_COLUMNS)
 
 
-def landed_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Bronze for ``sf_dir``: landed on first use, then read from storage."""
-    ensure_session(spark)
-    events_path = f"{sf_dir.rstrip('/')}/events.parquet"
-    target = f"{checkpoint_dir(spark)}/bronze/{_input_key(spark, events_path)}"
-    if not _exists(spark, f"{target}/_SUCCESS"):
-        write_bronze(events_to_bronze(read_events(spark, sf_dir)), target)
-    return read_bronze(spark, target)
+def _binding(kind: str):
+    from . import platform_bindings as pb
+    return {"healthkit": events_to_bronze, "garmin": pb.garmin_bronze, "watch": pb.watch_bronze,
+            "health_connect": pb.hc_bronze}[kind]
 
 
-def bronze_path_for(spark: SparkSession, sf_dir: str) -> str:
+def bronze_path_for(spark: SparkSession, sf_dir: str, kind: str = "healthkit") -> str:
     events_path = os.path.join(sf_dir, "events.parquet")
-    return f"{checkpoint_dir(spark)}/bronze/{_input_key(spark, events_path)}"
+    return f"{checkpoint_dir(spark)}/bronze/{kind}-{_input_key(spark, events_path)}"
+
+
+def landed_bronze(spark: SparkSession, sf_dir: str, kind: str = "healthkit") -> DataFrame:
+    """Bronze of one platform binding for ``sf_dir``: landed on first use,
+    then read from storage."""
+    ensure_session(spark)
+    target = bronze_path_for(spark, sf_dir, kind)
+    if not _exists(spark, f"{target}/_SUCCESS"):
+        write_bronze(_binding(kind)(read_events(spark, sf_dir)), target)
+    return read_bronze(spark, target)
