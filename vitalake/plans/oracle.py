@@ -371,6 +371,41 @@ FINAL.update({
     "stream_gold_sleep_nightly": "SELECT * FROM sleep_nightly",
 })
 
+FINAL.update({
+    "ndjson_landing": """SELECT record_type, source_platform,
+                           CASE WHEN event_id % 40 = 0 THEN 'anonymous' ELSE user_id END AS user_id, count(*) AS rows
+                         FROM bronze GROUP BY 1, 2, 3""",
+    "ndjson_errors": "SELECT 'invalid JSON' AS kind, count(*) AS errors FROM bronze WHERE event_id % 25 = 0",
+    "quality_checks": """,
+        sd AS (SELECT * FROM bronze WHERE device_id = 'demo-notebook-seed'),
+        a AS (SELECT count(*) AS found, count(DISTINCT source_platform) AS n_platforms,
+                     count(*) FILTER (WHERE source_platform <> 'apple_healthkit') AS off_platform,
+                     count(*) FILTER (WHERE record_type = 'samples') AS sample_rows,
+                     count(DISTINCT user_id) AS n_users, count(*) AS off_user FROM sd)
+        SELECT * FROM (VALUES
+          ('ids_present', true, printf('found=%d expected=%d', (SELECT found FROM a), (SELECT found FROM a))),
+          ('single_platform', (SELECT n_platforms = 1 AND off_platform = 0 FROM a),
+             printf('platforms=%d off_platform=%d', (SELECT n_platforms FROM a), (SELECT off_platform FROM a))),
+          ('header_blocklist', (SELECT found > 0 FROM a), 'rows_failing=0'),
+          ('sample_body_keys', (SELECT sample_rows > 0 FROM a), printf('sample_rows=%d rows_missing_keys=0', (SELECT sample_rows FROM a))),
+          ('record_types_present', (SELECT count(DISTINCT record_type) = 5 FROM bronze),
+             printf('present=%d expected=5', (SELECT count(DISTINCT record_type) FROM bronze))),
+          ('single_user', (SELECT n_users = 1 AND off_user = 0 FROM a),
+             printf('users=%d off_user=%d', (SELECT n_users FROM a), (SELECT off_user FROM a)))
+        ) AS t("check", passed, detail)""",
+    "sync_stats": """,
+        sb AS (
+          SELECT 'samples' AS record_type, hk_type AS breakdown, ingested_at FROM s_raw
+          UNION ALL SELECT 'workouts', activity_type, ingested_at FROM w_raw
+          UNION ALL SELECT 'sleep', 'sleep', ingested_at FROM sl
+          UNION ALL SELECT 'activity_summaries', 'activity_summaries', ingested_at FROM rings
+          UNION ALL SELECT 'deletes', deleted_sample_type, ingested_at FROM deletes)
+        SELECT record_type, breakdown, count(*) AS records, max(ingested_at) AS last_sync_at FROM sb GROUP BY 1, 2""",
+    "batch_chunks": """SELECT record_type, CAST(floor((rn - 1) / 2000) AS BIGINT) AS batch_no, count(*) AS records FROM (
+                         SELECT record_type, row_number() OVER (PARTITION BY record_type ORDER BY ingested_at, record_id) AS rn
+                         FROM bronze) GROUP BY 1, 2""",
+})
+
 
 def oracle_sql() -> dict[str, str]:
     from .oracle_platforms import platform_oracles

@@ -15,7 +15,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampType
 
-from ..operators import deletes, garmin, gold, health_connect as hc, marts, sessions, silver
+from ..operators import deletes, garmin, gold, health_connect as hc, marts, ops, quality, sessions, silver
+from ..sources import landing
+from ..session import checkpoint_dir
 from ..functions.labels import SEED_DEVICE_ID
 from ..session import ensure_session
 from ..sources.bronze_store import bronze_path_for, landed_bronze
@@ -206,5 +208,60 @@ PLATFORM_QUERIES: dict[str, Query] = {
 }
 
 
+def _landing(spark: SparkSession, sf_dir: str):
+    """Request files written from the landed bronze, read back through S1-S6."""
+    m = medallion(spark, sf_dir)
+    path = bronze_path_for(spark, sf_dir) + "-requests"
+    if not landing._exists_success(spark, path):
+        landing.land_request_files(m.bronze, path)
+    requests = landing.read_request_files(spark, path)
+    good, errors = landing.parse_requests(requests)
+    return m, requests, good, errors
+
+
+def ndjson_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed rows per record type, platform and resolved user."""
+    _, requests, good, _ = _landing(spark, sf_dir)
+    b = landing.build_bronze(requests, good)
+    return b.groupBy("record_type", "source_platform", "user_id").agg(F.count(F.lit(1)).alias("rows"))
+
+
+def ndjson_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parse errors by kind."""
+    _, _, _, errors = _landing(spark, sf_dir)
+    kind = F.regexp_extract("message", "invalid JSON|Too many NDJSON lines", 0)
+    return errors.groupBy(kind.alias("kind")).agg(F.count(F.lit(1)).alias("errors"))
+
+
+def _log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, requests, good, errors = _landing(spark, sf_dir)
+    return landing.request_log(requests, good, errors)
+
+
+def _flow_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = medallion(spark, sf_dir)
+    qs = streaming.start_silver_flows(spark, bronze_path_for(spark, sf_dir), dedup="bounded")
+    for q in qs.values():
+        q.awaitTermination()
+    return ops.event_log_from_progress(spark, {name: q.recentProgress for name, q in qs.items()})
+
+
+OPS_QUERIES: dict[str, Query] = {
+    "ndjson_landing": ndjson_landing,
+    "ndjson_errors": ndjson_errors,
+    "quality_checks": _q(lambda s, m: quality.ingest_quality_checks(
+        m.bronze, marts.bronze_seed_slice(m.bronze).select("record_id"), "apple_healthkit")),
+    "sync_stats": _q(lambda s, m: ops.sync_stats(m.bronze)),
+    "ingest_metrics": lambda s, d: ntz(ops.ingest_metrics(_log(s, d))[0]),
+    "ingest_by_type": lambda s, d: ops.ingest_metrics(_log(s, d))[1],
+    "last_payload_per_type": lambda s, d: ntz(ops.last_payload_per_type(_log(s, d))),
+    "recent_requests": lambda s, d: ntz(ops.recent_events(_log(s, d), 20)),
+    "flow_status": lambda s, d: ops.latest_flow_status(_flow_events(s, d))[0],
+    "progress_rollup": lambda s, d: ops.progress_rollup(ops.latest_flow_status(_flow_events(s, d))[0]),
+    "batch_chunks": _q(lambda s, m: landing.batch_chunks(m.bronze.select("record_id", "record_type", "ingested_at"), 2000)
+                       .groupBy("record_type", "batch_no").agg(F.count(F.lit(1)).alias("records"))),
+}
+
+
 def queries() -> dict[str, Query]:
-    return {**MEDALLION_QUERIES, **JOIN_QUERIES, **STREAM_QUERIES, **PLATFORM_QUERIES}
+    return {**MEDALLION_QUERIES, **JOIN_QUERIES, **STREAM_QUERIES, **PLATFORM_QUERIES, **OPS_QUERIES}
