@@ -38,10 +38,22 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def _code_version() -> str:
+    """Hash of the modules that decide what a landed table contains: a code
+    change lands a fresh table instead of reusing a stale one."""
+    from . import bindings, landing, platform_bindings
+    from ..operators import garmin
+    h = hashlib.sha1()
+    for mod in (bindings, platform_bindings, landing, garmin):
+        with open(mod.__file__, "rb") as f:
+            h.update(f.read())
+    return h.hexdigest()[:8]
+
+
 def _input_key(spark: SparkSession, path: str) -> str:
     fs, p = _fs(spark, path)
     st = fs.getFileStatus(p)
-    raw = f"{fs.makeQualified(p).toString()}|{st.getLen()}|{st.getModificationTime()}"
+    raw = f"{fs.makeQualified(p).toString()}|{st.getLen()}|{st.getModificationTime()}|{_code_version()}"
     return hashlib.sha1(raw.encode()).hexdigest()[:16]
 
 
