@@ -22,8 +22,10 @@ sys.path.insert(0, ROOT)
 
 from vitalake.plans.registry import queries  # noqa: E402
 from vitalake.session import get_spark  # noqa: E402
-from vitalake.sources.bindings import bronze_from_dir  # noqa: E402
-from vitalake.sources.bronze_store import bronze_path_for, write_bronze  # noqa: E402
+from vitalake.sources.bindings import read_events  # noqa: E402
+from vitalake.sources.bronze_store import _binding, bronze_path_for, spread, write_bronze  # noqa: E402
+
+KINDS = ("healthkit", "garmin", "watch", "health_connect")
 
 HEADLINE = [
     "silver_events", "silver_samples", "silver_sleep_stages",
@@ -45,7 +47,8 @@ def main() -> None:
     times = {}
     # landing: derive the variant bronze from events and store it (timed)
     t0 = time.perf_counter()
-    write_bronze(bronze_from_dir(spark, sf_dir), bronze_path_for(spark, sf_dir))
+    for kind in KINDS:
+        write_bronze(spread(spark, _binding(kind)(read_events(spark, sf_dir))), bronze_path_for(spark, sf_dir, kind))
     landing = round(time.perf_counter() - t0, 3)
     for name in names:
         t0 = time.perf_counter()

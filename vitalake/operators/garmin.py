@@ -198,62 +198,79 @@ def _body_battery(data: Column, day: Column) -> Column:
     return F.when(is_list, listed).otherwise(obj)
 
 
-def _activities(data: Column, ingested: Column) -> Column:
-    """Every activity object -> up to five metric events with metadata."""
-    acts = vget(data, "$", "array<variant>")
-
-    def one(a: Column) -> Column:
-        is_obj = vget(a, "$", "map<string,variant>").isNotNull()
-        atype = vget(a, "$.activityType", "variant")
-        type_key = F.when(vget(atype, "$", "map<string,variant>").isNotNull(),
-                          F.coalesce(vget(atype, "$.typeKey", "string"), F.lit("unknown"))).otherwise(F.lit("unknown"))
-
-        def text(key: str) -> Column:  # str(activity.get(key, ""))
-            v = vget(a, f"$.{key}", "variant")
-            return (F.when(v.isNull(), F.lit("")).when(F.is_variant_null(v), F.lit("None"))
-                    .otherwise(F.coalesce(F.try_variant_get(v, "$", "string"), F.to_json(v))))
-
-        local, gmt = vget(a, "$.startTimeLocal", "variant"), vget(a, "$.startTimeGMT", "variant")
-        start_txt = F.try_variant_get(F.when(_truthy(local), local).otherwise(gmt), "$", "string")
-        ts = F.coalesce(parse_ts(F.regexp_replace(start_txt, "Z$", "+00:00")), ingested)  # T16
-        meta = F.create_map(F.lit("activity_type"), type_key, F.lit("activity_name"), text("activityName"),
-                            F.lit("activity_id"), text("activityId"))
-        return F.array(*[F.when(is_obj & _present(vget(a, f"$.{k}", "variant")),
-                                _event(m, _safe_float(vget(a, f"$.{k}", "variant")), u, ts, meta))
-                         for k, m, u in ACTIVITY_METRICS])
-
-    return F.flatten(F.transform(acts, one))
+def _activity_fields(a: Column, ingested: Column) -> list[Column]:
+    """P28, per activity object: the shared fields, projected once."""
+    atype = vget(a, "$.activityType", "variant")
+    type_key = F.when(vget(atype, "$", "map<string,variant>").isNotNull(),
+                      F.coalesce(vget(atype, "$.typeKey", "string"), F.lit("unknown"))).otherwise(F.lit("unknown"))
+
+    def text(key: str) -> Column:  # str(activity.get(key, ""))
+        v = vget(a, f"$.{key}", "variant")
+        return (F.when(v.isNull(), F.lit("")).when(F.is_variant_null(v), F.lit("None"))
+                .otherwise(F.coalesce(F.try_variant_get(v, "$", "string"), F.to_json(v))))
+
+    local, gmt = vget(a, "$.startTimeLocal", "variant"), vget(a, "$.startTimeGMT", "variant")
+    start_txt = F.try_variant_get(F.when(_truthy(local), local).otherwise(gmt), "$", "string")
+    ts = F.coalesce(parse_ts(F.regexp_replace(start_txt, "Z$", "+00:00")), ingested)  # T16
+    meta = F.create_map(F.lit("activity_type"), type_key, F.lit("activity_name"), text("activityName"),
+                        F.lit("activity_id"), text("activityId"))
+    return [ts.alias("_ts"), meta.alias("_meta"),
+            *[vget(a, f"$.{k}", "variant").alias(f"_m{i}") for i, (k, _m, _u) in enumerate(ACTIVITY_METRICS)]]
+
+
+def _activity_events() -> Column:
+    """Up to five metric events from the projected activity fields."""
+    return F.array(*[F.when(_present(F.col(f"_m{i}")),
+                            _event(m, _safe_float(F.col(f"_m{i}")), u, F.col("_ts"), F.col("_meta")))
+                     for i, (_k, m, u) in enumerate(ACTIVITY_METRICS)])
+
+
+CATEGORY_EVENTS = {
+    "daily_stats": lambda data, day, ing: _daily_stats(data, day),
+    "heart_rates": lambda data, day, ing: _series(data, "$.heartRateValues", "heart_rate_intraday", "bpm",
+                                                  lambda v: v > 0),
+    "sleep": lambda data, day, ing: _sleep(data, day),
+    "stress": lambda data, day, ing: _series(data, "$.stressValuesArray", "stress_level", "score", lambda v: v >= 0),
+    "hrv": lambda data, day, ing: _hrv(data, day),
+    "spo2": lambda data, day, ing: _first_truthy(data, "averageSpO2", "averageSpO2Value", "spo2", "pct", day),
+    "body_battery": lambda data, day, ing: _body_battery(data, day),
+    "respiration": lambda data, day, ing: _first_truthy(data, "avgWakingRespirationValue", "avgSleepRespirationValue",
+                                                        "respiration_rate", "brpm", day),
+}
 
 
 def garmin_events(bronze: DataFrame) -> DataFrame:
     """All Garmin cloud categories as HealthEvent rows.
 
     Garmin rows are recognised by the body envelope (``source``), not by
-    record_type: Garmin ``sleep`` shares its record_type with HealthKit (T9).
-    """
-    g = bronze.filter(body_str("$.source") == F.lit(GARMIN_SOURCE))
+    record_type alone: Garmin ``sleep`` shares its record_type with HealthKit
+    (T9).  The category document is projected once per row; then one branch
+    per category, unioned -- each branch scans only its own ``record_type``
+    partition and keeps an expression small enough for whole-stage codegen.
+    Activities are a two-level ``explode`` (activity, then metric) so the
+    per-activity expressions run in generated code, not inside a lambda."""
     data = vget("body", "$.data", "variant")
-    day = F.to_timestamp(F.try_to_date(body_str("$.date")))
-    rt = F.col("record_type")
-    nonempty = _present(data) & F.coalesce(
-        F.size(vget(data, "$", "map<string,variant>")) > 0, F.size(vget(data, "$", "array<variant>")) > 0, F.lit(True))
-    candidates = (
-        F.when(rt == "daily_stats", _daily_stats(data, day))
-        .when(rt == "heart_rates", _series(data, "$.heartRateValues", "heart_rate_intraday", "bpm", lambda v: v > 0))
-        .when(rt == "sleep", _sleep(data, day))
-        .when(rt == "stress", _series(data, "$.stressValuesArray", "stress_level", "score", lambda v: v >= 0))
-        .when(rt == "hrv", _hrv(data, day))
-        .when(rt == "spo2", _first_truthy(data, "averageSpO2", "averageSpO2Value", "spo2", "pct", day))
-        .when(rt == "body_battery", _body_battery(data, day))
-        .when(rt == "respiration", _first_truthy(data, "avgWakingRespirationValue", "avgSleepRespirationValue",
-                                                 "respiration_rate", "brpm", day))
-        .when(rt == "activities", _activities(data, F.col("ingested_at")))
-    )
-    ev = g.filter(nonempty).select(
-        F.lit(GARMIN_SOURCE).alias("source"), body_str("$.device_id").alias("device_id"), "ingested_at",
-        F.explode(F.filter(candidates, lambda e: e.isNotNull())).alias("e"))
-    return ev.select("source", "device_id", "e.metric_type", "e.value", "e.unit", "e.recorded_at", "ingested_at",
-                     "e.metadata").select(*HEALTH_EVENT_COLUMNS)
+    g = (bronze.filter(body_str("$.source") == F.lit(GARMIN_SOURCE))
+         .select("record_type", "ingested_at", body_str("$.device_id").alias("device_id"),
+                 F.to_timestamp(F.try_to_date(body_str("$.date"))).alias("day"), data.alias("data")))
+    d, day, ing = F.col("data"), F.col("day"), F.col("ingested_at")
+    g = g.filter(_present(d) & F.coalesce(F.size(vget(d, "$", "map<string,variant>")) > 0,
+                                          F.size(vget(d, "$", "array<variant>")) > 0, F.lit(True)))
+    keep = ("device_id", "ingested_at")
+    parts = []
+    for rt, build in CATEGORY_EVENTS.items():
+        parts.append(g.filter(F.col("record_type") == rt)
+                     .select(*keep, F.explode(F.filter(build(d, day, ing), lambda e: e.isNotNull())).alias("e")))
+    acts = (g.filter(F.col("record_type") == "activities")
+            .select(*keep, F.explode(vget(d, "$", "array<variant>")).alias("a"))
+            .filter(vget("a", "$", "map<string,variant>").isNotNull())  # non-object entries are skipped
+            .select(*keep, *_activity_fields(F.col("a"), ing)))
+    parts.append(acts.select(*keep, F.explode(F.filter(_activity_events(), lambda e: e.isNotNull())).alias("e")))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out.select(F.lit(GARMIN_SOURCE).alias("source"), "device_id", "e.metric_type", "e.value", "e.unit",
+                      "e.recorded_at", "ingested_at", "e.metadata").select(*HEALTH_EVENT_COLUMNS)
 
 
 def garmin_daily_view(bronze: DataFrame) -> DataFrame:

@@ -44,8 +44,8 @@ def _code_version() -> str:
     from . import bindings, landing, platform_bindings
     from ..operators import garmin
     h = hashlib.sha1()
-    for mod in (bindings, platform_bindings, landing, garmin):
-        with open(mod.__file__, "rb") as f:
+    for path in (bindings.__file__, platform_bindings.__file__, landing.__file__, garmin.__file__, __file__):
+        with open(path, "rb") as f:
             h.update(f.read())
     return h.hexdigest()[:8]
 
@@ -84,5 +84,12 @@ def landed_bronze(spark: SparkSession, sf_dir: str, kind: str = "healthkit") ->
     ensure_session(spark)
     target = bronze_path_for(spark, sf_dir, kind)
     if not _exists(spark, f"{target}/_SUCCESS"):
-        write_bronze(_binding(kind)(read_events(spark, sf_dir)), target)
+        write_bronze(spread(spark, _binding(kind)(read_events(spark, sf_dir))), target)
     return read_bronze(spark, target)
+
+
+def spread(spark: SparkSession, df: DataFrame) -> DataFrame:
+    """Round-robin the landed rows over 2x the cluster's default parallelism
+    so every ``record_type`` directory gets that many files: readers of one
+    partition then run that many tasks instead of one per small file."""
+    return df.repartition(2 * spark.sparkContext.defaultParallelism)
