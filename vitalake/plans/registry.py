@@ -213,7 +213,8 @@ def _landing(spark: SparkSession, sf_dir: str):
     m = medallion(spark, sf_dir)
     path = bronze_path_for(spark, sf_dir) + "-requests"
     if not landing._exists_success(spark, path):
-        landing.land_request_files(m.bronze, path)
+        from ..sources.bronze_store import publish_atomically
+        publish_atomically(spark, path, lambda tmp: landing.land_request_files(m.bronze, tmp))
     requests = landing.read_request_files(spark, path)
     good, errors = landing.parse_requests(requests)
     return m, requests, good, errors

@@ -58,6 +58,5 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         return configured.rstrip("/")
     local = tempfile.mkdtemp(prefix="vitalake-ckpt-")
-    spark.conf.set(CHECKPOINT_CONF, local)
-    spark.sparkContext.setCheckpointDir(local)
+    spark.sparkContext.setCheckpointDir(local)  # the core conf itself cannot be set at runtime
     return spark.sparkContext.getCheckpointDir().rstrip("/")

@@ -84,10 +84,24 @@ def landed_bronze(spark: SparkSession, sf_dir: str, kind: str = "healthkit") ->
     ensure_session(spark)
     target = bronze_path_for(spark, sf_dir, kind)
     if not _exists(spark, f"{target}/_SUCCESS"):
-        write_bronze(spread(spark, _binding(kind)(read_events(spark, sf_dir))), target)
+        publish_atomically(spark, target, lambda tmp: write_bronze(
+            spread(spark, _binding(kind)(read_events(spark, sf_dir))), tmp))
     return read_bronze(spark, target)
 
 
+def publish_atomically(spark: SparkSession, target: str, write) -> None:
+    """Write to a unique sibling path, then rename it into place.  A
+    concurrent writer that loses the rename leaves the winner's table."""
+    import uuid
+    tmp = f"{target}.tmp-{uuid.uuid4().hex}"
+    write(tmp)
+    fs, src = _fs(spark, tmp)
+    _, dst = _fs(spark, target)
+    if not fs.exists(dst) and fs.rename(src, dst):
+        return
+    fs.delete(src, True)
+
+
 def spread(spark: SparkSession, df: DataFrame) -> DataFrame:
     """Round-robin the landed rows over 2x the cluster's default parallelism
     so every ``record_type`` directory gets that many files: readers of one
