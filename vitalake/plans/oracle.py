@@ -329,7 +329,15 @@ FINAL = {
 }
 
 
+_CHANNEL = "CASE WHEN channel IS NOT NULL THEN channel WHEN device_id = 'demo-notebook-seed' THEN 'notebook_simulator' ELSE 'rest_app' END"
+
 FINAL.update({
+    "ingest_channels": f"SELECT {_CHANNEL} AS channel, record_type, count(*) AS rows FROM bronze GROUP BY 1, 2",
+    "samples_simulator_channel": f"""SELECT * EXCLUDE (rn) FROM (
+        SELECT s.*, row_number() OVER (PARTITION BY s.hk_uuid ORDER BY s.ingested_at, s.record_id) AS rn
+        FROM s_raw s JOIN bronze b ON s.record_id = b.record_id
+        WHERE {_CHANNEL.replace('channel IS', 'b.channel IS').replace('THEN channel', 'THEN b.channel').replace('device_id', 'b.device_id')} = 'notebook_simulator')
+      WHERE rn = 1""",
     "sleep_sessions": """,
         x AS (SELECT user_id, stage_uuid, stage_start_at, stage_end_at,
                      lag(stage_end_at) OVER (PARTITION BY user_id ORDER BY stage_start_at, stage_end_at, stage_uuid)

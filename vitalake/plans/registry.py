@@ -18,7 +18,7 @@ from pyspark.sql.types import TimestampType
 from ..operators import deletes, garmin, gold, health_connect as hc, marts, ops, quality, sessions, silver
 from ..sources import landing
 from ..session import checkpoint_dir
-from ..functions.labels import SEED_DEVICE_ID
+from ..functions.labels import SEED_DEVICE_ID, channel_predicate, ingest_channel
 from ..session import ensure_session
 from ..sources.bronze_store import bronze_path_for, landed_bronze
 from ..streaming import medallion as streaming
@@ -105,6 +105,10 @@ def _seed_rows(m: Medallion) -> DataFrame:
 
 
 JOIN_QUERIES: dict[str, Query] = {
+    # Ingest channel of every bronze row, and a channel-filtered silver flow
+    "ingest_channels": _q(lambda s, m: m.bronze.groupBy(ingest_channel().alias("channel"), "record_type")
+                          .agg(F.count(F.lit(1)).alias("rows"))),
+    "samples_simulator_channel": _q(lambda s, m: silver.samples(m.bronze.filter(channel_predicate("notebook_simulator")))),
     # Sleep stages grouped into gap-based sessions per user
     "sleep_sessions": _q(lambda s, m: sessions.sleep_sessions(
         m.sleep_stages, start="stage_start_at", end="stage_end_at", tie="stage_uuid")),
