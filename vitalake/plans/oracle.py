@@ -301,6 +301,15 @@ FINAL = {
                           CAST(floor(row_count * 100.0 / max(row_count) OVER () + 0.5) AS BIGINT) AS pct_of_max
                           FROM (SELECT record_type, CAST(sum(row_count) AS BIGINT) AS row_count FROM ingest_daily
                                 WHERE {_win('ingest_day')} GROUP BY record_type)""",
+    "app_activity_trend_search": f"""SELECT day, count(DISTINCT user_id) AS active_users,
+                              {rnd('avg(CAST(move_ring_ratio AS DECIMAL(18,3)))', 3)} AS avg_move_ratio,
+                              {rnd('avg(CAST(total_steps AS DECIMAL(38,6)))', 0)} AS avg_steps
+                              FROM enriched WHERE day BETWEEN DATE '{APP_START}' AND DATE '{APP_END}'
+                              AND user_id LIKE '%1%' GROUP BY day""",
+    "app_ingest_mix_samples": f"""SELECT record_type, row_count,
+                          CAST(floor(row_count * 100.0 / max(row_count) OVER () + 0.5) AS BIGINT) AS pct_of_max
+                          FROM (SELECT record_type, CAST(sum(row_count) AS BIGINT) AS row_count FROM ingest_daily
+                                WHERE {_win('ingest_day')} AND record_type = 'samples' GROUP BY record_type)""",
     "app_dashboard_kpis": f"""SELECT
         (SELECT count(*) FROM bronze WHERE {_win('CAST(ingested_at AS DATE)')}) AS bronze_rows_in_window,
         (SELECT count(*) FROM bronze) AS bronze_rows_all_time,

@@ -93,6 +93,9 @@ MEDALLION_QUERIES: dict[str, Query] = {
     "app_steps_leaderboard": _q(lambda s, m: marts.steps_leaderboard(s, m.daily_steps, *W)),
     "app_rhr_trend": _q(lambda s, m: marts.rhr_trend(s, m.cardio_vitals, *W)),
     "app_workout_volume": _q(lambda s, m: marts.workout_volume_by_user(s, m.weekly_workouts, *W)),
+    # P36 with a user search and swapped window bounds; P37 with one record type
+    "app_activity_trend_search": _q(lambda s, m: marts.activity_trend(s, m.activity_enriched, APP_END, APP_START, "1")),
+    "app_ingest_mix_samples": _q(lambda s, m: marts.ingest_mix(s, m.ingest_daily, *W, record_type="samples")),
     # notebook checks
     "seed_counts": _q(lambda s, m: marts.seed_counts_by_user_type(m.bronze)),
     "platform_types": _q(lambda s, m: marts.platform_type_counts(m.bronze)),
