@@ -106,7 +106,7 @@ def test_x6_change_feed_stream(spark, tmp_path):
                 ("delete", "d", None, t), ("upsert", "d", 1, t)]]  # re-created after delete; tie: delete wins
     for b in batches:
         spark.createDataFrame(b, schema).coalesce(1).write.mode("append").parquet(str(src))
-    q = apply_changes_stream(stream, str(tmp_path / "state"), str(tmp_path / "ck"), "id", ["t", "v"])
+    q = apply_changes_stream(stream, str(tmp_path / "state"), str(tmp_path / "ck"), "id", ["t"])
     q.awaitTermination()
     cur = sorted((r.id, r.v) for r in read_current(spark, str(tmp_path / "state")).collect())
     assert cur == [("a", 2), ("c", 3)]
