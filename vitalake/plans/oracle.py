@@ -326,7 +326,7 @@ FINAL = {
     "app_rhr_trend": f"""SELECT day, {rnd('avg(CAST(resting_hr_avg AS DECIMAL(38,10)))', 1)} AS avg_resting_hr,
                          count(DISTINCT user_id) AS users_reporting FROM cardio
                          WHERE {_win('day')} AND resting_hr_avg IS NOT NULL GROUP BY day""",
-    "app_workout_volume": f"""SELECT user_id, sum(workout_count) AS workouts, {rnd('sum(CAST(total_duration_min AS DECIMAL(38,6)))', 0)} AS total_minutes,
+    "app_workout_volume": f"""SELECT user_id, CAST(sum(workout_count) AS BIGINT) AS workouts, {rnd('sum(CAST(total_duration_min AS DECIMAL(38,6)))', 0)} AS total_minutes,
                               {rnd('sum(CAST(total_energy_kcal AS DECIMAL(38,6)))', 0)} AS total_kcal FROM weekly
                               WHERE {_win('CAST(week_start AS DATE)')}
                               GROUP BY user_id ORDER BY workouts DESC NULLS LAST, user_id LIMIT 50""",

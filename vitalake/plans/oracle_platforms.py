@@ -167,7 +167,7 @@ HC_WORKOUTS = PBASE + "," + _HC + f"""
 , hw AS (SELECT *, CAST({_list(HC_EXERCISE_CODES)}[k % {len(HC_EXERCISE_CODES)} + 1] AS BIGINT) AS code
          FROM h WHERE event_type = 'click')
 SELECT record_id, ingested_at, user_id, hid AS workout_uuid, {_HC_NAMES} AS activity_type, code AS activity_type_raw,
-       t0 AS start_at, t0 + to_minutes(CAST(k AS BIGINT)) AS end_at, k * 60.0 AS duration_seconds,
+       t0 AS start_at, t0 + to_minutes(CAST(k AS BIGINT)) AS end_at, CAST(k * 60.0 AS DOUBLE) AS duration_seconds,
        CAST(NULL AS DOUBLE) AS total_energy_burned_kcal, CAST(NULL AS DOUBLE) AS total_distance_meters,
        'com.google.android.apps.fitness' AS source_name
 FROM hw"""
@@ -185,7 +185,7 @@ WHERE event_type = 'signup'"""
 HC_DAILY = PBASE + "," + _HC + f"""
 SELECT record_id, ingested_at, user_id, CAST(ts AS DATE) AS summary_date, {_list(HC_ZONES)}[k % 3 + 1] AS timezone,
        CAST(k * 100 AS BIGINT) AS total_steps, value AS active_calories_burned_kcal,
-       k * 50.0 AS total_distance_meters, CASE WHEN k % 2 = 0 THEN k / 2.0 END AS exercise_duration_minutes
+       CAST(k * 50.0 AS DOUBLE) AS total_distance_meters, CASE WHEN k % 2 = 0 THEN k / 2.0 END AS exercise_duration_minutes
 FROM h WHERE event_type = 'purchase'"""
 
 HC_DELETES = PBASE + "," + _HC + """
