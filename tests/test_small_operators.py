@@ -44,13 +44,16 @@ def test_p16_p18_code_names(spark):
     assert sorted(r.n for r in st.select(name_expr(HK_SLEEP_STAGES, F.col("v")).alias("n")).collect()) == ["asleepDeep", "unknown_9"]
 
 
-def _bronze(spark, n=6):
+def _bronze(spark, n=6, resend=False):
+    """Samples s0..s3; rows 4 and 5 repeat s0 and s1 -- as exact resends of
+    the same document when ``resend``, else with a different value."""
     rows = []
     for i in range(n):
+        j = i % 4 if resend else i
         rows.append({"record_id": f"r{i}", "ingested_at": f"2026-01-15T0{i}:00:00Z", "record_type": "samples",
                      "headers": {"x-ingest-channel": "rest_app" if i % 2 else "notebook_simulator"},
-                     "body": {"uuid": f"s{i % 4}", "type": "HKQuantityTypeIdentifierStepCount", "value": i,
-                              "start_date": f"2026-01-15T0{i}:00:00Z", "end_date": f"2026-01-15T0{i}:10:00Z"}})
+                     "body": {"uuid": f"s{i % 4}", "type": "HKQuantityTypeIdentifierStepCount", "value": j,
+                              "start_date": f"2026-01-15T0{j}:00:00Z", "end_date": f"2026-01-15T0{j}:10:00Z"}})
     return make_bronze(spark, rows)
 
 
@@ -116,3 +119,14 @@ def test_p36_window_and_pattern():
     from vitalake.functions.labels import ordered_window, user_like
     assert ordered_window("2026-02-01", "2026-01-01") == ("2026-01-01", "2026-02-01")
     assert user_like("  ") == "%" and user_like(" ab ") == "%ab%"
+
+
+def test_refresh_job_matches_batch(spark, tmp_path):
+    from vitalake.plans.refresh import refresh
+    path = str(tmp_path / "bronze")
+    write_bronze(_bronze(spark, resend=True), path)
+    written = refresh(spark, path, str(tmp_path / "out"), as_of="2026-01-20")
+    batch = Medallion(_bronze(spark, resend=True))  # stream = batch when copies are true resends
+    got = sorted(tuple(r) for r in spark.read.parquet(written["gold_daily_steps"]).collect())
+    assert got == sorted(tuple(r) for r in batch.daily_steps.collect())
+    assert spark.table("vw_activity_last_45d").count() == 0 and spark.table("vw_sleep_last_30_sessions").count() == 0
