@@ -385,7 +385,7 @@ FINAL.update({
     "stream_samples_bounded": "SELECT * EXCLUDE (record_id, ingested_at) FROM samples",
     "stream_event_keys": "SELECT event_id FROM events_silver",
     "stream_gold_hk_daily": "SELECT * FROM hk_daily",
-    "stream_gold_sleep_nightly": "SELECT * FROM sleep_nightly",
+    "stream_gold_sleep_nightly": "SELECT * EXCLUDE (sleep_sessions) FROM sleep_nightly",
 })
 
 FINAL.update({
