@@ -5,8 +5,6 @@ from __future__ import annotations
 
 import datetime as dt
 import json
-import os
-import tempfile
 
 from pyspark.sql import functions as F
 

@@ -59,7 +59,6 @@ STRESS_SENTINEL = 127.0  # watch: "no reading"
 WATCH_CAP_PER_TYPE = 60
 
 META_TYPE = "map<string,string>"
-EVENT_STRUCT = "struct<metric_type:string,value:double,unit:string,recorded_at:timestamp,metadata:map<string,string>>"
 
 
 # --- S10: raw daily extracts -> bronze envelope rows ------------------------
@@ -117,10 +116,6 @@ def _event(metric: str | Column, value: Column, unit: str, ts: Column, meta: Col
                     (meta if meta is not None else F.lit(None).cast(META_TYPE)).alias("metadata"))
 
 
-def _null_event() -> Column:
-    return F.lit(None).cast(EVENT_STRUCT)
-
-
 def _direct(data: Column, key: str, metric: str, unit: str, ts: Column, divisor: float = 1.0) -> Column:
     v = vget(data, f"$.{key}", "variant")
     return F.when(_present(v), _event(metric, _safe_float(v) / F.lit(divisor), unit, ts))

@@ -17,7 +17,6 @@ from pyspark.sql.types import TimestampType
 
 from ..operators import deletes, garmin, gold, health_connect as hc, marts, ops, quality, sessions, silver
 from ..sources import landing
-from ..session import checkpoint_dir
 from ..functions.labels import SEED_DEVICE_ID, channel_predicate, ingest_channel
 from ..session import ensure_session
 from ..sources.bronze_store import bronze_path_for, landed_bronze
