@@ -6,13 +6,13 @@ running maximum end).  Session = min start, max end of its samples.
 
 A plain ``lag`` + running ``sum`` over ``Window.partitionBy(user)`` would
 put one user's whole history in one task.  Instead the timeline is cut into
-fixed time buckets (default one day):
+fixed time buckets (default one hour; any size gives the same result):
 
 1. within (user, bucket): ``lag(end)`` and a running count of new-session
-   flags -- window partitions bounded by one user-day;
+   flags -- window partitions bounded by one user-hour;
 2. per (user, bucket) summary: end of its last sample and its flag count --
-   one row per user-day;
-3. across a user's summaries (one row per day of data, not per sample):
+   one row per user-hour;
+3. across a user's summaries (one row per hour of data, not per sample):
    the previous bucket's last end and the flags before the bucket;
 4. join the summary back: the first sample of a bucket compares against the
    previous bucket's last sample, and the session number is the flags
@@ -31,7 +31,7 @@ GAP_SECONDS = 30 * 60  # fixed value: 30-minute session gap
 
 
 def sessionize(samples: DataFrame, user: str = "user_id", start: str = "start_at", end: str = "end_at",
-               tie: str = "uuid", gap_seconds: int = GAP_SECONDS, bucket_seconds: int = 86400) -> DataFrame:
+               tie: str = "uuid", gap_seconds: int = GAP_SECONDS, bucket_seconds: int = 3600) -> DataFrame:
     """Return ``samples`` with ``session_seq`` (1-based per user)."""
     s = samples.filter(F.col(start).isNotNull() & F.col(end).isNotNull())
     s = s.withColumn("_bucket", F.floor(F.unix_seconds(F.col(start)) / F.lit(bucket_seconds)))
