@@ -114,3 +114,17 @@ def test_s12_create_evolve_and_s15_drop(spark, tmp_path):
     stmts = landing.drop_medallion(spark)
     assert stmts[0].startswith("DROP VIEW") and stmts[-1].endswith("bronze_stream")
     spark.sql("DROP TABLE IF EXISTS vl_test_bronze")
+
+
+def test_request_size_limit(spark, tmp_path):
+    d = tmp_path / "req" / "x_record_type=samples" / "x_platform=p"
+    d.mkdir(parents=True)
+    (d / "small.txt").write_text('{"a":1}\n{"a":2}\n')
+    (d / "big.txt").write_text('{"a":1}\n' * 40)
+    root = str(tmp_path / "req")
+    req = landing.read_request_files(spark, root, max_bytes=100)
+    assert req.count() == 1
+    good, _ = landing.parse_requests(req)
+    assert good.count() == 2
+    big = landing.oversized_request_files(spark, root, max_bytes=100).collect()
+    assert len(big) == 1 and big[0].bytes == 320

@@ -30,6 +30,7 @@ from ..schemas import BLOCKED_HEADERS, BRONZE_COLUMNS, KNOWN_RECORD_TYPES
 
 # Fixed values (must equal the reference).
 MAX_NDJSON_LINES = 10000
+MAX_REQUEST_BYTES = 10 * 1024 * 1024
 MAX_USER_ID = 256
 DEMO_USER_KEY = "demo_user_id"
 REQUEST_SCHEMA = "request_id string, received_at timestamp, headers map<string,string>, payload string"
@@ -152,10 +153,13 @@ def _exists_success(spark: SparkSession, path: str) -> bool:
 
 # --- reading landed request files ---------------------------------------------
 
-def read_request_files(spark: SparkSession, path: str) -> DataFrame:
+def read_request_files(spark: SparkSession, path: str, max_bytes: int = MAX_REQUEST_BYTES) -> DataFrame:
     """Request bodies landed as files under ``.../x_record_type=<t>/x_platform=<p>/``:
-    one file = one request; headers from the path partition values."""
+    one file = one request; headers from the path partition values.  Files
+    over the request limit are skipped by a file-size filter (never read
+    into a row); ``oversized_request_files`` lists them."""
     t = (spark.read.text(path, wholetext=True)
+         .filter(F.col("_metadata.file_size") <= max_bytes)
          .select("*", F.col("_metadata.file_path").alias("_path"),
                  F.col("_metadata.file_modification_time").alias("_mtime")))
     return t.select(
@@ -166,6 +170,16 @@ def read_request_files(spark: SparkSession, path: str) -> DataFrame:
         F.col("value").alias("payload"))
 
 
+def oversized_request_files(spark: SparkSession, path: str, max_bytes: int = MAX_REQUEST_BYTES) -> DataFrame:
+    """Request files over the limit, listed from file metadata only (the
+    ``binaryFile`` source prunes the content column)."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    return (files.filter(F.col("length") > max_bytes)
+            .select(F.sha2(F.col("path"), 256).alias("request_id"), F.col("modificationTime").alias("received_at"),
+                    F.col("length").alias("bytes"),
+                    F.lit(f"Payload too large (limit {max_bytes} bytes)").alias("message")))
+
+
 # --- S16, S17: writing NDJSON ---------------------------------------------------
 
 def ndjson_line(df: DataFrame, columns: list[str] | None = None) -> Column:
