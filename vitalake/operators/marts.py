@@ -175,8 +175,8 @@ def ingest_mix(spark: SparkSession, ingest_daily: DataFrame, start: str, end: st
 def dashboard_kpis(spark: SparkSession, bronze: DataFrame, enriched: DataFrame, steps: DataFrame,
                    start: str, end: str, search: str = "") -> DataFrame:
     """Five KPIs; the three bronze KPIs share one scan (conditional
-    aggregates), each gold KPI is a one-row aggregate; one-row frames are
-    combined on a constant key."""
+    aggregates), each gold KPI is a one-row aggregate; the one-row frames are
+    unioned (other columns NULL) and collapsed with ``max`` -- no join."""
     p = app_params(start, end, search)
     in_win = (F.to_date("ingested_at").between(F.lit(p["startDate"]), F.lit(p["endDate"]))
               & F.col("user_id").like(p["userPattern"]))
@@ -189,11 +189,16 @@ def dashboard_kpis(spark: SparkSession, bronze: DataFrame, enriched: DataFrame,
         w = F.col("day").between(F.lit(p["startDate"]), F.lit(p["endDate"])) & F.col("user_id").like(p["userPattern"])
         return df.filter(w).agg(F.count_distinct("user_id").alias(name))
 
-    one = F.lit(1).alias("_k")
-    out = (b.select(one, "*").join(users(enriched, "active_users_in_window").select(one, "*"), "_k")
-           .join(users(steps, "users_with_steps_in_window").select(one, "*"), "_k"))
-    return out.select("bronze_rows_in_window", "bronze_rows_all_time", "active_users_in_window",
-                      "users_with_steps_in_window", "last_bronze_ingest_in_window")
+    return one_row([b, users(enriched, "active_users_in_window"), users(steps, "users_with_steps_in_window")],
+                   ["bronze_rows_in_window", "bronze_rows_all_time", "active_users_in_window",
+                    "users_with_steps_in_window", "last_bronze_ingest_in_window"])
+
+
+def one_row(frames: list[DataFrame], columns: list[str]) -> DataFrame:
+    """Combine one-row aggregates side by side without a join: union them
+    (missing columns NULL) and take ``max`` of each column."""
+    u = reduce(lambda a, c: a.unionByName(c, allowMissingColumns=True), frames)
+    return u.agg(*[F.max(c).alias(c) for c in columns])
 
 
 def sleep_summary(spark: SparkSession, nightly: DataFrame, start: str, end: str, search: str = "",

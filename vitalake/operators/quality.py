@@ -2,9 +2,9 @@
 
 The six rules of the reference's end-to-end validation, evaluated over
 *every* ingested row (the reference samples the first row for the header
-and body rules).  Each rule is a conditional aggregate; the rule rows are
-produced with ``stack`` from one-row aggregates, so nothing is collected to
-the driver.
+and body rules).  Each rule is a conditional aggregate; the one-row
+aggregates are combined without a join and the rule rows are produced with
+``stack``, so nothing is collected to the driver.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..schemas import KNOWN_RECORD_TYPES
+from .marts import one_row
 
 # Fixed values (must equal the reference).
 CHECK_BLOCKED = ["authorization", "cookie", "set-cookie"]
@@ -44,8 +45,7 @@ def ingest_quality_checks(bronze: DataFrame, ingested_ids: DataFrame, expected_p
     expected = ids.agg(F.count(F.lit(1)).alias("expected"))
     types = bronze.select("record_type").distinct().filter(F.col("record_type").isin(expected_types)) \
         .agg(F.count(F.lit(1)).alias("types_present"))
-    one = F.lit(1).alias("_k")
-    j = a.select(one, "*").join(expected.select(one, "*"), "_k").join(types.select(one, "*"), "_k")
+    j = one_row([a, expected, types], a.columns + ["expected", "types_present"])
     n_types = len(expected_types)
     checks = j.select(F.expr(f"""stack(6,
         'ids_present', found = expected, format_string('found=%d expected=%d', found, expected),
