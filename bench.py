@@ -23,7 +23,7 @@ sys.path.insert(0, ROOT)
 from vitalake.plans.registry import queries  # noqa: E402
 from vitalake.session import get_spark  # noqa: E402
 from vitalake.sources.bindings import read_events  # noqa: E402
-from vitalake.sources.bronze_store import _binding, bronze_path_for, spread, write_bronze  # noqa: E402
+from vitalake.sources.bronze_store import _binding, bronze_path_for, publish_atomically, spread, write_bronze  # noqa: E402
 
 KINDS = ("healthkit", "garmin", "watch", "health_connect")
 
@@ -48,7 +48,8 @@ def main() -> None:
     # landing: derive the variant bronze from events and store it (timed)
     t0 = time.perf_counter()
     for kind in KINDS:
-        write_bronze(spread(spark, _binding(kind)(read_events(spark, sf_dir))), bronze_path_for(spark, sf_dir, kind))
+        frame = spread(spark, _binding(kind)(read_events(spark, sf_dir)))
+        publish_atomically(spark, bronze_path_for(spark, sf_dir, kind), lambda tmp, f=frame: write_bronze(f, tmp))
     landing = round(time.perf_counter() - t0, 3)
     for name in names:
         t0 = time.perf_counter()
