@@ -249,8 +249,9 @@ def garmin_events(bronze: DataFrame) -> DataFrame:
          .select("record_type", "ingested_at", body_str("$.device_id").alias("device_id"),
                  F.to_timestamp(F.try_to_date(body_str("$.date"))).alias("day"), data.alias("data")))
     d, day, ing = F.col("data"), F.col("day"), F.col("ingested_at")
-    g = g.filter(_present(d) & F.coalesce(F.size(vget(d, "$", "map<string,variant>")) > 0,
-                                          F.size(vget(d, "$", "array<variant>")) > 0, F.lit(True)))
+    # an empty object or list yields no candidate in any builder (the
+    # reference's "if not data: return"), so only presence is filtered here
+    g = g.filter(_present(d))
     keep = ("device_id", "ingested_at")
     parts = []
     for rt, build in CATEGORY_EVENTS.items():
