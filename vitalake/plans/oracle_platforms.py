@@ -216,8 +216,18 @@ SELECT s.user_id, s.zone, s.day, coalesce(x.total_steps, 0.0) AS total_steps,
 FROM span s LEFT JOIN sums x ON s.user_id = x.user_id AND s.zone = x.zone AND s.day = x.day"""
 
 
+def _cross_platform() -> str:
+    from .oracle import BASE
+    hc_ctes = HC_SAMPLES.strip()[len("WITH "):]
+    return (BASE + "," + hc_ctes + """
+SELECT *, 'apple_healthkit' AS platform FROM samples
+UNION ALL
+SELECT * EXCLUDE (zone_offset), 'android_health_connect' AS platform FROM hk""")
+
+
 def platform_oracles() -> dict[str, str]:
     return {
+        "samples_all_platforms": _cross_platform(),
         "garmin_events": GARMIN_EVENTS,
         "garmin_bronze_rows": GARMIN_BRONZE_ROWS,
         "garmin_daily_view": GARMIN_DAILY_VIEW,

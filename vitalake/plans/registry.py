@@ -213,6 +213,11 @@ PLATFORM_QUERIES: dict[str, Query] = {
     "hc_daily_summaries": _platform("health_connect", lambda s, b: hc.hc_daily_summaries(b)),
     "hc_deletes": _platform("health_connect", lambda s, b: hc.hc_deletes(b)),
     "hc_daily_from_samples": _platform("health_connect", lambda s, b: hc.daily_summary_from_samples(hc.hc_samples(s, b))),
+    # P10: one cross-platform samples table (HealthKit + Health Connect)
+    "samples_all_platforms": lambda s, d: ntz(
+        medallion(s, d).samples.withColumn("platform", F.lit("apple_healthkit"))
+        .unionByName(hc.hc_samples(s, landed_bronze(s, d, "health_connect")).drop("zone_offset")
+                     .withColumn("platform", F.lit(hc.HC_PLATFORM)))),
 }
 
 
