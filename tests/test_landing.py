@@ -128,3 +128,23 @@ def test_request_size_limit(spark, tmp_path):
     assert good.count() == 2
     big = landing.oversized_request_files(spark, root, max_bytes=100).collect()
     assert len(big) == 1 and big[0].bytes == 320
+
+
+def test_s8_append_staging_and_s14_publish(spark, tmp_path):
+    path = str(tmp_path / "bronze")
+    staged = spark.createDataFrame(
+        [("s1", dt.datetime(2026, 4, 1), '{"uuid":"a","nested":{"x":[1,2]}}', '{"x-device-id":"demo-notebook-seed"}',
+          "samples", "apple_healthkit", "u1")],
+        "record_id string, ingested_at timestamp, body_json string, headers_json string, record_type string, "
+        "source_platform string, user_id string")
+    landing.append_json_staging(staged, path)
+    landing.append_json_staging(staged.withColumn("record_id", F.lit("s2")), path)
+    rows = read_bronze(spark, path).orderBy("record_id").collect()
+    assert [r.record_id for r in rows] == ["s1", "s2"]
+    assert json.loads(str(rows[0].body))["nested"] == {"x": [1, 2]}
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS vl_pub LOCATION '{tmp_path / 'db'}'")
+    landing.publish(spark, {"gold_x": read_bronze(spark, path).select("record_id")},
+                    {"vw_x": read_bronze(spark, path).select("user_id")}, schema="vl_pub")
+    assert spark.table("vl_pub.gold_x").count() == 2 and spark.table("vw_x").count() == 2
+    spark.sql("DROP TABLE IF EXISTS vl_pub.gold_x")
+    spark.sql("DROP DATABASE IF EXISTS vl_pub")
