@@ -374,6 +374,10 @@ FINAL.update({
                   FROM bronze WHERE device_id <> 'demo-notebook-seed') WHERE rn = 1)
         SELECT b.record_id, b.user_id, b.device_id, coalesce(d.device_user_id, b.user_id) AS resolved_user_id
         FROM bronze b LEFT JOIN dev d ON b.device_id = d.device_id""",
+    "stream_change_feed": """SELECT * EXCLUDE (rn) FROM (
+                            SELECT *, row_number() OVER (PARTITION BY hk_uuid ORDER BY ingested_at DESC, record_id DESC)
+                            AS rn FROM s_raw) s
+                          WHERE rn = 1 AND NOT EXISTS (SELECT 1 FROM deletes d WHERE d.deleted_uuid = s.hk_uuid)""",
     "samples_current": """SELECT * EXCLUDE (rn) FROM (
                             SELECT *, row_number() OVER (PARTITION BY hk_uuid ORDER BY ingested_at DESC, record_id DESC)
                             AS rn FROM s_raw) s

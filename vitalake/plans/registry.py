@@ -17,6 +17,7 @@ from pyspark.sql.types import TimestampType
 
 from ..operators import deletes, garmin, gold, health_connect as hc, marts, ops, quality, sessions, silver
 from ..sources import landing
+from ..session import checkpoint_dir
 from ..functions.labels import SEED_DEVICE_ID, channel_predicate, ingest_channel
 from ..session import ensure_session
 from ..sources.bronze_store import bronze_path_for, landed_bronze
@@ -170,7 +171,25 @@ def stream_gold_sleep_nightly(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ntz(streaming.gold_from_sinks(spark, root, m.bronze, ("sleep_stages",)).sleep_nightly.drop("sleep_sessions"))
 
 
+def stream_change_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X6 streaming: sample upserts and delete notices from the bronze stream
+    merged into a versioned current-state table (order-free deletes)."""
+    import uuid
+    from ..streaming.changes import apply_changes_stream, read_current
+    medallion(spark, sf_dir)  # lands the bronze table if needed
+    path = bronze_path_for(spark, sf_dir)
+    ups = silver.samples(streaming.bronze_stream(spark, path), "none").withColumn("op", F.lit("upsert"))
+    dels = (silver.deletes(streaming.bronze_stream(spark, path), "none")
+            .select(F.col("deleted_uuid").alias("hk_uuid"), F.lit("delete").alias("op")))
+    changes = ups.unionByName(dels, allowMissingColumns=True)
+    root = f"{checkpoint_dir(spark)}/streams/{uuid.uuid4().hex}"
+    q = apply_changes_stream(changes, f"{root}/state", f"{root}/checkpoint", "hk_uuid", ["ingested_at", "record_id"])
+    q.awaitTermination()
+    return ntz(read_current(spark, f"{root}/state"))
+
+
 STREAM_QUERIES: dict[str, Query] = {
+    "stream_change_feed": stream_change_feed,
     "stream_samples": stream_samples,
     "stream_samples_bounded": stream_samples_bounded,
     "stream_event_keys": stream_event_keys,

@@ -2,12 +2,19 @@
 
 Change rows (upserts and deletes, one key column, an ordering column) arrive
 as a stream.  Each micro-batch is merged into the current state with
-``foreachBatch``: previous state ∪ batch upserts -> latest per key (a
-``max_by`` aggregate) -> minus keys deleted in the batch (left anti join).
-The result is written as version ``v<epoch>``; the stream's checkpoint is
-the "token" and is committed only after the batch's write succeeds, so a
-failed batch is replayed and rewrites the same version (idempotent).  No
-transactional table format is needed; readers take the newest version.
+``foreachBatch``:
+
+* tombstones = previous tombstones ∪ keys deleted in the batch;
+* rows = latest version per key (a ``max_by`` aggregate) of previous rows ∪
+  batch upserts, minus the tombstones (left anti join).
+
+Deletes are order-free, as in the batch form (J4): record ids are not
+reused, so a delete that arrives before its record still removes it, in
+this batch or any later one.  The result is written as version
+``v<epoch>/{rows,tombstones}``; the stream's checkpoint is the "token" and
+is committed only after the batch's write succeeds, so a failed batch is
+replayed and rewrites the same version (idempotent).  No transactional
+table format is needed; readers take the newest complete version.
 """
 
 from __future__ import annotations
@@ -19,33 +26,38 @@ from pyspark.sql.streaming import StreamingQuery
 from ..operators.ops import latest_per_key
 
 
-def _versions(spark: SparkSession, root: str) -> list[int]:
+def _fs(spark: SparkSession, root: str):
     jvm = spark.sparkContext._jvm
     path = jvm.org.apache.hadoop.fs.Path(root)
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return jvm, path, path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def _versions(spark: SparkSession, root: str) -> list[int]:
+    jvm, path, fs = _fs(spark, root)
     if not fs.exists(path):
         return []
     out = []
     for st in fs.listStatus(path):
         name = st.getPath().getName()
-        if name.startswith("v") and name[1:].isdigit() and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
+        done = jvm.org.apache.hadoop.fs.Path(st.getPath(), "rows/_SUCCESS")
+        if name.startswith("v") and name[1:].isdigit() and fs.exists(done):
             out.append(int(name[1:]))
     return sorted(out)
 
 
 def read_current(spark: SparkSession, root: str) -> DataFrame | None:
     v = _versions(spark, root)
-    return spark.read.parquet(f"{root}/v{v[-1]}") if v else None
+    return spark.read.parquet(f"{root}/v{v[-1]}/rows") if v else None
 
 
-def merge_batch(previous: DataFrame | None, batch: DataFrame, key: str, order: list[str], op_col: str = "op") -> DataFrame:
-    """One merge step: the newest change per key wins -- an upsert replaces
-    the previous state, a delete removes the key unless a newer upsert
-    follows it (on equal order the delete wins)."""
-    changes = batch if previous is None else previous.withColumn(op_col, F.lit("upsert")).unionByName(batch)
-    rank = F.when(F.col(op_col) == "delete", F.lit(1)).otherwise(F.lit(0)).alias("_is_delete")
-    latest = latest_per_key(changes.withColumn("_is_delete", rank), [key], [*order, "_is_delete"])
-    return latest.filter(F.col(op_col) != "delete").drop(op_col, "_is_delete")
+def merge_batch(previous: DataFrame | None, tombstones: DataFrame | None, batch: DataFrame, key: str,
+                order: list[str], op_col: str = "op") -> tuple[DataFrame, DataFrame]:
+    """One merge step -> (rows, tombstones)."""
+    ups = batch.filter(F.col(op_col) == "upsert").drop(op_col)
+    dels = batch.filter(F.col(op_col) == "delete").select(key)
+    tomb = (dels if tombstones is None else tombstones.unionByName(dels)).distinct()
+    merged = ups if previous is None else previous.unionByName(ups)
+    return latest_per_key(merged, [key], order).join(tomb, key, "left_anti"), tomb
 
 
 def apply_changes_stream(changes: DataFrame, root: str, checkpoint: str, key: str, order: list[str],
@@ -54,8 +66,13 @@ def apply_changes_stream(changes: DataFrame, root: str, checkpoint: str, key: st
 
     def step(batch: DataFrame, epoch: int) -> None:
         prior = [v for v in _versions(spark, root) if v < epoch]
-        previous = spark.read.parquet(f"{root}/v{prior[-1]}") if prior else None
-        merge_batch(previous, batch, key, order, op_col).write.mode("overwrite").parquet(f"{root}/v{epoch}")
+        prev = tomb = None
+        if prior:
+            prev = spark.read.parquet(f"{root}/v{prior[-1]}/rows")
+            tomb = spark.read.parquet(f"{root}/v{prior[-1]}/tombstones")
+        rows, tombs = merge_batch(prev, tomb, batch, key, order, op_col)
+        tombs.write.mode("overwrite").parquet(f"{root}/v{epoch}/tombstones")
+        rows.write.mode("overwrite").parquet(f"{root}/v{epoch}/rows")  # rows/_SUCCESS marks the version complete
 
     w = changes.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if trigger == "availableNow" else w.trigger(processingTime=trigger)
