@@ -32,6 +32,15 @@ def sync_stats(bronze: DataFrame) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("records"), F.max("ingested_at").alias("last_sync_at")))
 
 
+def sync_stats_from_log(log: DataFrame, success_only: bool = True) -> DataFrame:
+    """R24 from the client side: per record type, records sent and the last
+    sync time.  T21: one client counts only successful posts
+    (``success_only=True``), the other every attempt."""
+    rows = log.filter(F.col("success")) if success_only else log
+    return (rows.groupBy("record_type")
+            .agg(F.sum("record_count").cast("bigint").alias("records"), F.max("timestamp").alias("last_sync_at")))
+
+
 def last_payload_per_type(log: DataFrame) -> DataFrame:
     """Newest payload per record type."""
     return (log.groupBy("record_type")

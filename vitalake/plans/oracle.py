@@ -422,6 +422,7 @@ FINAL.update({
           UNION ALL SELECT 'activity_summaries', 'activity_summaries', ingested_at FROM rings
           UNION ALL SELECT 'deletes', deleted_sample_type, ingested_at FROM deletes)
         SELECT record_type, breakdown, count(*) AS records, max(ingested_at) AS last_sync_at FROM sb GROUP BY 1, 2""",
+    "sync_stats_client": "SELECT record_type, count(*) AS records FROM bronze GROUP BY 1",
     "batch_chunks": """SELECT record_type, CAST(floor((rn - 1) / 2000) AS BIGINT) AS batch_no, count(*) AS records FROM (
                          SELECT record_type, row_number() OVER (PARTITION BY record_type ORDER BY ingested_at, record_id) AS rn
                          FROM bronze) GROUP BY 1, 2""",

@@ -285,6 +285,8 @@ OPS_QUERIES: dict[str, Query] = {
     "quality_checks": _q(lambda s, m: quality.ingest_quality_checks(
         m.bronze, marts.bronze_seed_slice(m.bronze).select("record_id"), "apple_healthkit")),
     "sync_stats": _q(lambda s, m: ops.sync_stats(m.bronze)),
+    # R24 client side (T21): records sent per type from the request log
+    "sync_stats_client": lambda s, d: ops.sync_stats_from_log(_log(s, d)).select("record_type", "records"),
     "ingest_metrics": lambda s, d: ntz(ops.ingest_metrics(_log(s, d))[0]),
     "ingest_by_type": lambda s, d: ops.ingest_metrics(_log(s, d))[1],
     "last_payload_per_type": lambda s, d: ntz(ops.last_payload_per_type(_log(s, d))),
