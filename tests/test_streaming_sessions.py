@@ -82,3 +82,18 @@ def test_x8_session_window_matches_w2_without_nesting(spark):
     w2 = sorted((r.session_start_at, r.session_end_at, r.stage_count) for r in sleep_sessions(df).collect())
     x8 = sorted((r.session_start_at, r.session_end_at, r.stage_count) for r in session_windows(df).collect())
     assert w2 == x8 and len(w2) == 2
+
+
+def test_w2_bucket_size_does_not_change_sessions(spark):
+    from vitalake.operators.sessions import sessionize
+    rnd = random.Random(11)
+    rows, t = [], dt.datetime(2026, 1, 1)
+    for i in range(400):  # one hot user
+        t += dt.timedelta(seconds=rnd.choice([10, 600, 1799, 1800, 1801, 7200]))
+        rows.append(("hot", f"h{i}", t, t + dt.timedelta(seconds=rnd.choice([5, 300, 3600]))))
+    df = spark.createDataFrame(rows, "user_id string, uuid string, start_at timestamp, end_at timestamp")
+    results = []
+    for b in (60, 3600, 86400):
+        results.append(sorted((r.uuid, r.session_seq) for r in sessionize(df, bucket_seconds=b).collect()))
+    assert results[0] == results[1] == results[2]
+    assert results[0][-1][1] > 20
