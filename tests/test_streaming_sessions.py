@@ -96,4 +96,4 @@ def test_w2_bucket_size_does_not_change_sessions(spark):
     for b in (60, 3600, 86400):
         results.append(sorted((r.uuid, r.session_seq) for r in sessionize(df, bucket_seconds=b).collect()))
     assert results[0] == results[1] == results[2]
-    assert results[0][-1][1] > 20
+    assert max(seq for _, seq in results[0]) > 5  # many sessions, most spanning several buckets
