@@ -20,6 +20,9 @@ fixed time buckets (default one hour; any size gives the same result):
 
 The result is identical to the single-window form; sessions are then
 aggregated with min/max/count (partial aggregation, no collected arrays).
+Steps 2 and 4 read the same shuffled rows twice; adaptive execution reuses
+those shuffles at run time (``ReusedExchange``), so the sample-level data is
+shuffled once for the dedup and once for the (user, bucket) windows.
 """
 
 from __future__ import annotations
