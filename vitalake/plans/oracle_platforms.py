@@ -225,8 +225,15 @@ UNION ALL
 SELECT * EXCLUDE (zone_offset), 'android_health_connect' AS platform FROM hk""")
 
 
+GARMIN_RECORD_SPANS = PBASE + f"""
+SELECT {_CATS}[k % 10 + 1] AS record_type, count(*) AS cnt, min(strftime(ts, '%Y-%m-%d')) AS earliest,
+       max(strftime(ts, '%Y-%m-%d')) AS latest
+FROM pev GROUP BY 1"""
+
+
 def platform_oracles() -> dict[str, str]:
     return {
+        "garmin_record_spans": GARMIN_RECORD_SPANS,
         "samples_all_platforms": _cross_platform(),
         "garmin_events": GARMIN_EVENTS,
         "garmin_bronze_rows": GARMIN_BRONZE_ROWS,

@@ -221,6 +221,7 @@ PLATFORM_QUERIES: dict[str, Query] = {
         F.try_variant_get("headers", "$['X-Device-Id']", "string").alias("device_id"),
         F.try_variant_get("body", "$.date", "string").alias("day"))),
     "garmin_daily_view": _platform("garmin", lambda s, b: garmin.garmin_daily_view(b)),
+    "garmin_record_spans": _platform("garmin", lambda s, b: marts.record_type_span(b, by_body_date=True)),
     # Garmin watch
     "watch_events": _platform("watch", lambda s, b: _events_out(garmin.explode_watch_batch(b))),
     "watch_incremental": _platform("watch", lambda s, b: _events_out(
