@@ -133,3 +133,15 @@ def test_refresh_job_matches_batch(spark, tmp_path):
     got = sorted(tuple(r) for r in spark.read.parquet(written["gold_daily_steps"]).collect())
     assert got == sorted(tuple(r) for r in batch.daily_steps.collect())
     assert spark.table("vw_activity_last_45d").count() == 0 and spark.table("vw_sleep_last_30_sessions").count() == 0
+
+
+def test_publish_atomically_replaces_partial_target(spark, tmp_path):
+    from vitalake.sources.bronze_store import publish_atomically
+    target = tmp_path / "t"
+    target.mkdir()
+    (target / "part-0.parquet").write_text("garbage")  # no _SUCCESS: a crashed writer
+    df = spark.createDataFrame([(1,)], "x int")
+    publish_atomically(spark, str(target), lambda p: df.write.parquet(p))
+    assert spark.read.parquet(str(target)).collect()[0].x == 1
+    publish_atomically(spark, str(target), lambda p: spark.createDataFrame([(2,)], "x int").write.parquet(p))
+    assert spark.read.parquet(str(target)).collect()[0].x == 1  # a complete target is kept

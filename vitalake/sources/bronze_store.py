@@ -99,6 +99,8 @@ def publish_atomically(spark: SparkSession, target: str, write) -> None:
     write(tmp)
     fs, src = _fs(spark, tmp)
     _, dst = _fs(spark, target)
+    if fs.exists(dst) and not _exists(spark, f"{target}/_SUCCESS"):
+        fs.delete(dst, True)  # a partial table left by a crashed non-atomic writer
     if not fs.exists(dst) and fs.rename(src, dst):
         return
     fs.delete(src, True)
