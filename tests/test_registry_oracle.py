@@ -14,6 +14,7 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(
 
 import __spark_entry__ as entry_mod  # noqa: E402
 from check_oracle import TABLES, rows  # noqa: E402
+from vitalake.plans import oracle, registry  # noqa: E402
 from vitalake.plans.registry import medallion  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
@@ -39,8 +40,9 @@ def duck():
 
 
 def test_every_query_has_oracle_or_is_rows_only():
-    qs, oq = entry_mod.queries(), entry_mod.oracle_sql()
-    assert set(oq) <= set(qs)
+    assert set(entry_mod.oracle_sql()) <= set(entry_mod.queries())
+    qs, oq = registry.queries(), oracle.oracle_sql()
+    assert set(oq) <= set(qs) <= set(entry_mod.queries())
     assert set(qs) - set(oq) == ROWS_ONLY
 
 
