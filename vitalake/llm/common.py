@@ -7,6 +7,7 @@ import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -50,7 +51,7 @@ def slices(batch: pa.RecordBatch, text: str = "text", limit: int = SLICE_CHARS)
     """Cut a batch into runs of rows with about ``limit`` bytes of text each
     (a single longer text is a run of its own)."""
     col = batch.column(batch.schema.get_field_index(text))
-    sizes = pa.compute.fill_null(pa.compute.binary_length(col), 0).to_numpy(zero_copy_only=False)
+    sizes = pc.fill_null(pc.binary_length(col), 0).to_numpy(zero_copy_only=False)
     start = held = 0
     for i, n in enumerate(sizes):
         if held and held + n > limit:

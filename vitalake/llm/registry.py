@@ -6,12 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .decontamination import OP3_SQL, op3_decontamination
 from .line_dedup import OP4_SQL, op4_line_dedup
+from .simhash_golay import op6_simhash_golay
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op4_line_dedup": op4_line_dedup}
+    return {
+        "op3_decontamination": op3_decontamination,
+        "op4_line_dedup": op4_line_dedup,
+        "op6_simhash_golay": op6_simhash_golay,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_line_dedup": OP4_SQL}
+    return {"op3_decontamination": OP3_SQL, "op4_line_dedup": OP4_SQL}
