@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .decontamination import OP3_SQL, op3_decontamination
 from .line_dedup import OP4_SQL, op4_line_dedup
+from .packing import op9_best_fit_packing
 from .simhash_golay import op6_simhash_golay
 
 
@@ -16,6 +17,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_decontamination": op3_decontamination,
         "op4_line_dedup": op4_line_dedup,
         "op6_simhash_golay": op6_simhash_golay,
+        "op9_best_fit_packing": op9_best_fit_packing,
     }
 
 
