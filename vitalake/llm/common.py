@@ -92,3 +92,17 @@ def column(batch: pa.RecordBatch, name: str) -> pa.Array:
 def fold(doc_id: Column, parts: int) -> Column:
     """crc32 of the id as text, modulo ``parts``; a null id counts as empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % parts
+
+
+def numbered(docs: DataFrame, name: str) -> DataFrame:
+    """``docs`` stored with a row number ``__row``, so that decisions made on a
+    few columns can be joined back to whole rows."""
+    return stage(docs.withColumn("__row", F.monotonically_increasing_id()), name)
+
+
+def sampled(rows: DataFrame, key: Column, most: int) -> DataFrame:
+    """About ``most`` rows at random by a hash of ``key``; all rows if there are fewer."""
+    n = rows.count()
+    if n <= most:
+        return rows
+    return rows.where(F.pmod(F.xxhash64(key, F.lit("sample")), F.lit(1 << 30)) < int(most / n * (1 << 30)))

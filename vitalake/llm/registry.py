@@ -7,17 +7,26 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .decontamination import OP3_SQL, op3_decontamination
+from .language_id import op10_language_id
 from .line_dedup import OP4_SQL, op4_line_dedup
 from .packing import op9_best_fit_packing
 from .simhash_golay import op6_simhash_golay
 
 
+def _pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op3_decontamination": op3_decontamination,
         "op4_line_dedup": op4_line_dedup,
         "op6_simhash_golay": op6_simhash_golay,
         "op9_best_fit_packing": op9_best_fit_packing,
+        "op10_language_id": op10_language_id,
+        "pipeline": _pipeline,
     }
 
 
