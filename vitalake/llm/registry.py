@@ -10,7 +10,9 @@ from .decontamination import OP3_SQL, op3_decontamination
 from .language_id import op10_language_id
 from .line_dedup import OP4_SQL, op4_line_dedup
 from .packing import op9_best_fit_packing
+from .pii import op5_pii
 from .simhash_golay import op6_simhash_golay
+from .toxicity import op1_toxicity
 
 
 def _pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,8 +23,10 @@ def _pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_toxicity": op1_toxicity,
         "op3_decontamination": op3_decontamination,
         "op4_line_dedup": op4_line_dedup,
+        "op5_pii": op5_pii,
         "op6_simhash_golay": op6_simhash_golay,
         "op9_best_fit_packing": op9_best_fit_packing,
         "op10_language_id": op10_language_id,
