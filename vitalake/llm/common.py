@@ -17,6 +17,8 @@ from ..session import checkpoint_dir
 
 #: code points of text one slice of an Arrow batch may hold; bounds the working set of the numpy steps
 SLICE_CHARS = 4_000_000
+#: labels of fold 0 (crc32 of the id, modulo FOLDS) are never read
+FOLDS = 5
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -106,3 +108,12 @@ def sampled(rows: DataFrame, key: Column, most: int) -> DataFrame:
     if n <= most:
         return rows
     return rows.where(F.pmod(F.xxhash64(key, F.lit("sample")), F.lit(1 << 30)) < int(most / n * (1 << 30)))
+
+
+def labelled(docs: DataFrame, labels: DataFrame, name: str, rows: int, parts: int = FOLDS) -> DataFrame:
+    """``(doc_id, text, label, fold)``: a bounded sample of labelled documents
+    outside fold 0; the sample of labels is small enough to broadcast by its bound."""
+    y = (labels.where(F.col(name).isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max(name).alias("label"))
+         .withColumn("fold", fold(F.col("doc_id"), parts)).where("fold <> 0"))
+    y = sampled(y, F.col("doc_id"), rows)
+    return docs.select("doc_id", "text").join(F.broadcast(y), "doc_id")

@@ -11,6 +11,8 @@ from .language_id import op10_language_id
 from .line_dedup import OP4_SQL, op4_line_dedup
 from .packing import op9_best_fit_packing
 from .pii import op5_pii
+from .quality_cotraining import op7_quality_cotraining
+from .quality_rules import op8_quality_rules
 from .simhash_golay import op6_simhash_golay
 from .toxicity import op1_toxicity
 
@@ -28,6 +30,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_line_dedup": op4_line_dedup,
         "op5_pii": op5_pii,
         "op6_simhash_golay": op6_simhash_golay,
+        "op7_quality_cotraining": op7_quality_cotraining,
+        "op8_quality_rules": op8_quality_rules,
         "op9_best_fit_packing": op9_best_fit_packing,
         "op10_language_id": op10_language_id,
         "pipeline": _pipeline,

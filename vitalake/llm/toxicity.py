@@ -33,9 +33,8 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import arrow_map, column, documents, fold, sampled, stage, texts
+from .common import FOLDS, arrow_map, column, documents, fold, labelled, stage, texts
 
-FOLDS = 5
 FIT_ROWS = 60_000
 BUCKETS = 1 << 20
 STEMS = 1 << 16
@@ -132,15 +131,6 @@ def document_segments(bodies: list[str], model: Model) -> list[tuple[list[tuple[
     return out
 
 
-def labelled(docs: DataFrame, labels: DataFrame, name: str, rows: int, parts: int = FOLDS) -> DataFrame:
-    """``(doc_id, text, label, fold)``: a bounded sample of labelled documents
-    outside fold 0; the sample of labels is small enough to broadcast by its bound."""
-    y = (labels.where(F.col(name).isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max(name).alias("label"))
-         .withColumn("fold", fold(F.col("doc_id"), parts)).where("fold <> 0"))
-    y = sampled(y, F.col("doc_id"), rows)
-    return docs.select("doc_id", "text").join(F.broadcast(y), "doc_id")
-
-
 def fit(train: DataFrame) -> Model:
     def count(batch: pa.RecordBatch) -> dict:
         words, ids, begin = word_ids(texts(batch))
