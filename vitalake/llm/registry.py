@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .decontamination import OP3_SQL, op3_decontamination
+from .katz import op2_katz_scoring
 from .language_id import op10_language_id
 from .line_dedup import OP4_SQL, op4_line_dedup
 from .packing import op9_best_fit_packing
@@ -26,6 +27,7 @@ def _pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_toxicity": op1_toxicity,
+        "op2_katz_scoring": op2_katz_scoring,
         "op3_decontamination": op3_decontamination,
         "op4_line_dedup": op4_line_dedup,
         "op5_pii": op5_pii,
