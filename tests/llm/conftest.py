@@ -1,0 +1,35 @@
+"""Fixtures: the awkward tables, empty tables and tables of nulls, as Parquet."""
+
+from __future__ import annotations
+
+import os
+import sys
+
+import pandas as pd
+import pytest
+
+sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
+
+from llm_tables import make_tables, write_tables  # noqa: E402
+
+
+@pytest.fixture(scope="session")
+def tables():
+    return make_tables()
+
+
+@pytest.fixture(scope="session")
+def sf(spark, tables, tmp_path_factory):
+    return write_tables(spark, tables, str(tmp_path_factory.mktemp("llm") / "sf"))
+
+
+@pytest.fixture(scope="session")
+def empty_sf(spark, tables, tmp_path_factory):
+    return write_tables(spark, {k: v.iloc[:0] for k, v in tables.items()}, str(tmp_path_factory.mktemp("llm") / "none"), clash=False)
+
+
+@pytest.fixture(scope="session")
+def nulls_sf(spark, tables, tmp_path_factory):
+    """Every column null in every row."""
+    blank = {k: pd.DataFrame([[None] * v.shape[1]] * 3, columns=v.columns) for k, v in tables.items()}
+    return write_tables(spark, blank, str(tmp_path_factory.mktemp("llm") / "nulls"), clash=False)
