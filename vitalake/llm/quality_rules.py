@@ -36,6 +36,15 @@ FEATURES = {
 BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
+def window_hashes(text: np.ndarray, ids: np.ndarray, at: np.ndarray, window: int) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        h = text[at].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        for k in range(window):
+            h = (h ^ (ids[at + k].astype(np.uint64) + np.uint64(k + 1))) * np.uint64(0xD6E8FEB86659FD93)
+            h ^= h >> np.uint64(29)
+    return h
+
+
 def repeated_words(ids: np.ndarray, begin: np.ndarray, window: int = WINDOW) -> np.ndarray:
     """For each text the words inside windows that occur twice or more in it."""
     n = len(ids)
@@ -46,11 +55,7 @@ def repeated_words(ids: np.ndarray, begin: np.ndarray, window: int = WINDOW) ->
     at = np.flatnonzero(text[window - 1:] == text[:n - window + 1])
     if not len(at):
         return out
-    with np.errstate(over="ignore"):
-        h = text[at].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-        for k in range(window):
-            h = (h ^ (ids[at + k].astype(np.uint64) + np.uint64(k + 1))) * np.uint64(0xD6E8FEB86659FD93)
-            h ^= h >> np.uint64(29)
+    h = window_hashes(text, ids, at, window)
     order = np.argsort(h, kind="stable")
     same = np.flatnonzero(h[order][1:] == h[order][:-1])
     a, b = at[order[same]], at[order[same + 1]]
