@@ -30,7 +30,7 @@ def test_f11_parse_and_build(spark):
     req = _requests(spark, F11.replace("\n", "\r\n", 1), headers)
     good, errors = landing.parse_requests(req)
     assert [e.message for e in errors.collect()] == ["Line 2: invalid JSON"]  # blank lines removed before numbering
-    b = landing.build_bronze(req, good).orderBy("user_id").collect()
+    b = landing.build_bronze(good).orderBy("user_id").collect()
     assert len(b) == 2
     assert {r.record_type for r in b} == {"samples"} and {r.source_platform for r in b} == {"apple_healthkit"}
     # Bearer -> anonymous; per-line override trimmed and removed from the body
@@ -39,7 +39,7 @@ def test_f11_parse_and_build(spark):
     assert "demo_user_id" not in body_b and body_b["uuid"] == "b"
     hdr = json.loads(str(b[0].headers))
     assert "authorization" not in hdr and "cookie" not in hdr and hdr["x-ingest-channel"] == "rest_app"
-    log = landing.request_log(req, good, errors).collect()[0]
+    log = landing.request_log(req).collect()[0]
     assert (log.record_count, log.http_status_code, log.success) == (2, 200, True)
 
 
@@ -49,18 +49,18 @@ def test_user_from_email_and_line_limit(spark):
     assert good.count() == 0
     assert errors.collect()[0].message == "Too many NDJSON lines (5). Maximum allowed is 4."
     good, _ = landing.parse_requests(req)
-    assert {r.user_id for r in landing.build_bronze(req, good).collect()} == {"me@x"}
+    assert {r.user_id for r in landing.build_bronze(good).collect()} == {"me@x"}
     missing = _requests(spark, '{"a":1}', {"x-record-type": "  "})
     g2, e2 = landing.parse_requests(missing)
-    assert landing.build_bronze(missing, g2).count() == 0
-    assert landing.request_log(missing, g2, e2).collect()[0].http_status_code == 400
+    assert landing.build_bronze(g2).count() == 0
+    assert landing.request_log(missing).collect()[0].http_status_code == 400
 
 
 def test_replay_safe_record_ids(spark):
     req = _requests(spark, F11, {"x-record-type": "samples"})
     good, _ = landing.parse_requests(req)
-    a = sorted(r.record_id for r in landing.build_bronze(req, good).collect())
-    b = sorted(r.record_id for r in landing.build_bronze(req, good).collect())
+    a = sorted(r.record_id for r in landing.build_bronze(good).collect())
+    b = sorted(r.record_id for r in landing.build_bronze(good).collect())
     assert a == b and len(set(a)) == 2
 
 
@@ -130,6 +130,59 @@ def test_request_size_limit(spark, tmp_path):
     assert len(big) == 1 and big[0].bytes == 320
 
 
+def test_nothing_is_lost_for_its_size(spark, tmp_path):
+    d = tmp_path / "req" / "x_record_type=samples" / "x_platform=p"
+    d.mkdir(parents=True)
+    line = '{"uuid":"%07d","pad":"' + "x" * 500 + '"}'
+    (d / "big.txt").write_text("\r\n\n".join(line % i for i in range(25_000)) + "\n{bad\n")  # over 10 MB and 10 000 lines
+    (d / "small.txt").write_text('{"uuid":"s"}')
+    root = str(tmp_path / "req")
+    whole = landing.read_request_lines(spark, root)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(1 << 20))  # the large file in many blocks
+    try:
+        by_line = landing.read_request_lines(spark, root, whole_bytes=1000)
+        names = ("request_id", "line_no", "line")
+        assert sorted(tuple(r[n] for n in names) for r in by_line.collect()) == sorted(tuple(r[n] for n in names) for r in whole.collect())
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    good, errors = landing.parse_lines(whole)
+    assert good.count() == 25_001 and [r.message for r in errors.collect()] == ["Line 25001: invalid JSON"]
+    bronze = landing.build_bronze(good)
+    plan = bronze._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and plan.count("FileScan") == 1
+    log = {r.record_count: r for r in landing.request_log(landing.read_request_files(spark, root)).collect()}
+    assert log[25_000].error_count == 1 and log[25_000].success and log[1].error_count == 0
+    user = "u" * 300
+    req = _requests(spark, json.dumps({"demo_user_id": user}), {"x-record-type": "samples"})
+    assert landing.build_bronze(landing.parse_requests(req)[0]).first().user_id == user
+
+
+def test_s9_emptied_type_and_later_overwrite(spark, tmp_path):
+    path = str(tmp_path / "bronze")
+    rows = [("a", "u1", "samples"), ("b", "u2", "samples"), ("c", "u1", "deletes"), ("d", "u1", None)]
+    base = spark.createDataFrame(rows, "record_id string, user_id string, record_type string").select(
+        "record_id", F.lit(dt.datetime(2026, 4, 1)).alias("ingested_at"), F.parse_json(F.lit('{"a":1}')).alias("body"),
+        F.parse_json(F.lit("{}")).alias("headers"), "record_type", F.lit("p").alias("source_platform"), "user_id")
+    write_bronze(base, path)
+    new = base.filter("record_id = 'a'").withColumn("record_id", F.lit("a2"))
+    before = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    assert landing.replace_rows(spark, path, F.col("user_id") == "u1", new) == 3
+    assert sorted(r.record_id for r in read_bronze(spark, path).collect()) == ["a2", "b"]  # the deletes partition is gone
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode") == before
+    write_bronze(base.filter("record_id = 'b'"), path)
+    assert [r.record_id for r in read_bronze(spark, path).collect()] == ["b"]
+
+
+def test_s17_nulls_and_one_instant(spark):
+    t = dt.datetime(2026, 1, 1)
+    rows = [("t1", t, f"r{i:03d}") for i in range(40)] + [(None, t, "n1"), (None, None, "n2"), ("t1", None, "n0")]
+    df = spark.createDataFrame(rows, "record_type string, ingested_at timestamp, record_id string")
+    for sub in (0, 3):
+        got = {r.record_id: r.batch_no for r in landing.batch_chunks(df, 7, sub_bucket=sub).collect()}
+        ordered = ["n0", *(f"r{i:03d}" for i in range(40))]
+        assert got == {r: i // 7 for i, r in enumerate(ordered)} | {"n2": 0, "n1": 0}
+
+
 def test_s8_append_staging_and_s14_publish(spark, tmp_path):
     path = str(tmp_path / "bronze")
     staged = spark.createDataFrame(

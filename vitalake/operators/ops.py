@@ -1,15 +1,12 @@
-"""Operational rollups: sync statistics, ingest metrics, pipeline progress
-(R24-R27) and the latest-per-key helpers (W3, W4).
+"""Operational rollups: sync statistics, ingest metrics (R24, R25) and the
+latest-per-key helpers (W3, W4).
 
-All are aggregates over bronze, the request log or the pipeline event log;
-latest-per-key uses ``max_by`` (a partial aggregate) rather than a window.
+All are aggregates over bronze or the request log; latest-per-key uses ``max_by`` (a partial aggregate) rather than a window.
 """
 
 from __future__ import annotations
 
-import json
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.variant import body_str
@@ -67,77 +64,3 @@ def ingest_metrics(log: DataFrame) -> tuple[DataFrame, DataFrame]:
                .agg(F.count(F.lit(1)).alias("requests"), F.sum("record_count").cast("bigint").alias("records"))
                .orderBy(F.col("records").desc(), "record_type"))
     return snap, by_type
-
-
-# --- pipeline event log (R26, R27) -------------------------------------------------
-
-# Our flow/query names -> published table names.
-FLOW_TO_TABLE = {
-    "events": "silver_events", "samples": "silver_samples", "workouts": "silver_workouts",
-    "sleep_stages": "silver_sleep_stages", "rings": "silver_activity_ring_daily", "deletes": "silver_deletes",
-}
-SILVER_TABLES = list(FLOW_TO_TABLE.values())
-GOLD_TABLES = ["gold_hk_quantity_daily", "gold_subject_daily", "gold_daily_steps", "gold_activity_enriched_daily",
-               "gold_sleep_nightly", "gold_weekly_workout_summary", "gold_cardio_vitals_daily",
-               "gold_heart_rate_intraday_daily", "gold_bronze_ingest_daily", "gold_hk_family_weekly"]
-EVENT_LOG_SCHEMA = ("event_type string, timestamp string, origin struct<flow_name:string,dataset_name:string>, "
-                    "message string, details string")
-
-
-def event_log_from_progress(spark: SparkSession, progress: dict[str, list[dict]], state: str = "COMPLETED") -> DataFrame:
-    """A pipeline event log built from Structured Streaming progress reports
-    (one ``flow_progress`` event per micro-batch, one ``update_progress``
-    event with the run state).  The input is per-batch metadata, small by
-    construction (one entry per micro-batch, not per row)."""
-    rows = []
-    last_ts = None
-    for flow, reports in progress.items():
-        total = 0
-        for p in reports:
-            out = (p.get("sink") or {}).get("numOutputRows")
-            if out is None or out < 0:
-                out = p.get("numInputRows") or 0
-            total += out
-            last = p is reports[-1]
-            details = {"flow_progress": {"status": "COMPLETED" if last else "RUNNING",
-                                         "metrics": {"num_output_rows": total if last else out}}}
-            rows.append(("flow_progress", p["timestamp"], (flow, flow), f"Flow '{flow}' progressed", json.dumps(details)))
-            last_ts = max(last_ts or p["timestamp"], p["timestamp"])
-    if last_ts:
-        rows.append(("update_progress", last_ts, (None, None), "Update progressed", json.dumps({"state": state})))
-    return spark.createDataFrame(rows, EVENT_LOG_SCHEMA)
-
-
-def latest_flow_status(events: DataFrame, aliases: dict[str, str] = FLOW_TO_TABLE) -> tuple[DataFrame, DataFrame]:
-    """(latest flow_progress per published dataset, latest update state).
-
-    Dataset = origin dataset ∥ flow name, mapped to the published table name;
-    metric numbers are cast with ``try_cast`` (bad text -> NULL)."""
-    d = events.withColumn("_ts", F.try_to_timestamp("timestamp")).withColumn("_d", F.try_parse_json("details"))
-    alias = F.create_map(*[x for k, v in aliases.items() for x in (F.lit(k), F.lit(v))])
-    raw = F.coalesce(F.col("origin.dataset_name"), F.col("origin.flow_name"))
-    suffix = F.element_at(F.split(raw, r"\."), -1)
-    dataset = F.coalesce(F.try_element_at(alias, suffix), suffix)
-    flow = (d.filter(F.upper("event_type") == "FLOW_PROGRESS").filter(raw.isNotNull())
-            .select(dataset.alias("dataset_name"),
-                    F.try_variant_get("_d", "$.flow_progress.status", "string").alias("status"),
-                    F.try_variant_get("_d", "$.flow_progress.metrics.num_output_rows", "bigint").alias("num_output_rows"),
-                    F.try_variant_get("_d", "$.flow_progress.metrics.num_upserted_rows", "bigint").alias("num_upserted_rows"),
-                    "event_type", F.col("timestamp").alias("time_stamp"), "_ts"))
-    latest = latest_per_key(flow, ["dataset_name"], ["_ts", "time_stamp"]).drop("_ts")
-    state = (d.filter(F.col("event_type") == "update_progress")
-             .agg(F.max_by(F.try_variant_get("_d", "$.state", "string"), F.col("_ts")).alias("update_progress_state")))
-    return latest, state
-
-
-def progress_rollup(latest: DataFrame) -> DataFrame:
-    """Σ output rows over flows with metrics; silver/gold reporting vs total."""
-    v = F.coalesce(F.col("num_output_rows"), F.col("num_upserted_rows"))
-    reporting = F.col("status").isNotNull() | F.col("num_output_rows").isNotNull() | F.col("num_upserted_rows").isNotNull()
-    return latest.agg(
-        F.coalesce(F.sum(v), F.lit(0)).cast("bigint").alias("rows_total"),
-        F.count_if(v.isNotNull()).alias("flows_with_metrics"),
-        F.count_if(reporting & F.col("dataset_name").isin(SILVER_TABLES)).alias("silver_reporting"),
-        F.lit(len(SILVER_TABLES)).alias("silver_total"),
-        F.count_if(reporting & F.col("dataset_name").isin(GOLD_TABLES)).alias("gold_reporting"),
-        F.lit(len(GOLD_TABLES)).alias("gold_total"))

@@ -392,11 +392,57 @@ FINAL.update({
     "stream_gold_sleep_nightly": "SELECT * EXCLUDE (sleep_sessions) FROM sleep_nightly",
 })
 
+#: the request files derived from bronze: lines (kind 0: document, 1 and 3: malformed) and requests
+_REQUESTS = """,
+raw_lines AS (
+  SELECT *, event_id // 200 AS b, 0 AS kind FROM bronze
+  UNION ALL SELECT *, event_id // 200, 1 FROM bronze WHERE event_id % 25 = 0
+  UNION ALL SELECT *, event_id // 200, 2 FROM bronze WHERE event_id % 30 = 0
+  UNION ALL SELECT *, event_id // 200, 3 FROM bronze WHERE event_id % 200 = 199
+),
+keyed AS (
+  SELECT *, record_type || '-' || CAST(b AS VARCHAR) || CASE WHEN kind = 3 THEN '-x' ELSE '' END AS request_id,
+         TIMESTAMP '2024-02-01 00:00:00' + to_seconds(b * 60 + CASE WHEN kind = 3 THEN 30 ELSE 0 END) AS received
+  FROM raw_lines
+),
+lines AS (
+  SELECT *, row_number() OVER (PARTITION BY request_id ORDER BY event_id, record_id, kind) AS line_no FROM keyed WHERE kind <> 2
+),
+reqs AS (
+  SELECT request_id, record_type, received, count(*) FILTER (kind = 0) AS records, count(*) AS all_lines
+  FROM keyed GROUP BY ALL
+)"""
+
 FINAL.update({
-    "ndjson_landing": """SELECT record_type, source_platform,
-                           CASE WHEN event_id % 40 = 0 THEN 'anonymous' ELSE user_id END AS user_id, count(*) AS rows
-                         FROM bronze GROUP BY 1, 2, 3""",
-    "ndjson_errors": "SELECT 'invalid JSON' AS kind, count(*) AS errors FROM bronze WHERE event_id % 25 = 0",
+    "ndjson_landing": _REQUESTS + """
+        SELECT sha256(request_id || ':' || CAST(line_no AS VARCHAR)) AS record_id, received AS ingested_at, record_type, source_platform,
+          CASE WHEN event_id % 40 <> 0 THEN user_id WHEN b % 3 = 1 THEN 'sender@example.org' ELSE 'anonymous' END AS user_id,
+          CASE record_type WHEN 'sleep' THEN strftime(ts, '%Y-%m-%dT%H:%M:%SZ') WHEN 'activity_summaries' THEN strftime(ts, '%Y-%m-%d')
+            WHEN 'deletes' THEN 'e' || CAST(event_id - 1 AS VARCHAR) ELSE 'e' || CAST(event_id AS VARCHAR) END AS body_id,
+          CASE WHEN record_type IN ('samples', 'activity_summaries') THEN value END AS body_value, event_id % 40 = 0 AS has_override,
+          CASE WHEN b % 3 = 1 THEN 'content-type,x-forwarded-email,x-ingest-channel,x-platform,x-record-type'
+               ELSE 'content-type,x-ingest-channel,x-platform,x-record-type' END AS header_names
+        FROM lines WHERE kind = 0""",
+    "ndjson_errors": _REQUESTS + """
+        SELECT request_id, CAST(line_no AS INTEGER) AS line_no, printf('Line %d: invalid JSON', line_no) AS message FROM lines WHERE kind <> 0""",
+    "ingest_metrics": _REQUESTS + """
+        SELECT count(*) FILTER (records > 0) AS successful_ingests, count(*) FILTER (records = 0) AS failed_ingests,
+          CAST(sum(records) AS BIGINT) AS total_records_ingested, max(received) FILTER (records > 0) AS last_ingest_at,
+          max(received) FILTER (records = 0) AS last_error_at,
+          max(CASE WHEN records = 0 THEN 'No valid records found. Parse errors: Line 1: invalid JSON' END) AS last_error_message
+        FROM reqs""",
+    "ingest_by_type": _REQUESTS + """
+        SELECT record_type, count(*) AS requests, CAST(sum(records) AS BIGINT) AS records FROM reqs WHERE records > 0 GROUP BY 1""",
+    "last_payload_per_type": _REQUESTS + """,
+        newest AS (SELECT *, row_number() OVER (PARTITION BY record_type ORDER BY received DESC, request_id DESC) AS rn FROM reqs)
+        SELECT n.record_type, n.received AS last_timestamp, CAST(n.all_lines AS INTEGER) AS payload_lines,
+          coalesce((SELECT CASE WHEN l.event_id % 40 = 0 THEN '  ' ELSE l.user_id END FROM lines l
+                    WHERE l.request_id = n.request_id AND l.line_no = 1 AND l.kind = 0), '') AS first_user
+        FROM newest n WHERE rn = 1""",
+    "recent_requests": _REQUESTS + """
+        SELECT request_id, record_type, received AS "timestamp", CAST(records AS INTEGER) AS record_count,
+          CASE WHEN records > 0 THEN 200 ELSE 400 END AS http_status_code, records > 0 AS success
+        FROM reqs ORDER BY received DESC, request_id DESC LIMIT 20""",
     "quality_checks": """,
         sd AS (SELECT * FROM bronze WHERE device_id = 'demo-notebook-seed'),
         a AS (SELECT count(*) AS found, count(DISTINCT source_platform) AS n_platforms,
@@ -422,7 +468,8 @@ FINAL.update({
           UNION ALL SELECT 'activity_summaries', 'activity_summaries', ingested_at FROM rings
           UNION ALL SELECT 'deletes', deleted_sample_type, ingested_at FROM deletes)
         SELECT record_type, breakdown, count(*) AS records, max(ingested_at) AS last_sync_at FROM sb GROUP BY 1, 2""",
-    "sync_stats_client": "SELECT record_type, count(*) AS records FROM bronze GROUP BY 1",
+    "sync_stats_client": _REQUESTS + """
+        SELECT record_type, CAST(sum(records) AS BIGINT) AS records, max(received) AS last_sync_at FROM reqs WHERE records > 0 GROUP BY 1""",
     "batch_chunks": """SELECT record_type, CAST(floor((rn - 1) / 2000) AS BIGINT) AS batch_no, count(*) AS records FROM (
                          SELECT record_type, row_number() OVER (PARTITION BY record_type ORDER BY ingested_at, record_id) AS rn
                          FROM bronze) GROUP BY 1, 2""",

@@ -241,43 +241,47 @@ PLATFORM_QUERIES: dict[str, Query] = {
 }
 
 
-def _landing(spark: SparkSession, sf_dir: str):
-    """Request files written from the landed bronze, read back through S1-S6."""
+def _landing(spark: SparkSession, sf_dir: str) -> str:
+    """Request files written from the landed bronze."""
     m = medallion(spark, sf_dir)
     path = bronze_path_for(spark, sf_dir) + "-requests"
     if not landing._exists_success(spark, path):
         from ..sources.bronze_store import publish_atomically
         publish_atomically(spark, path, lambda tmp: landing.land_request_files(m.bronze, tmp))
-    requests = landing.read_request_files(spark, path)
-    good, errors = landing.parse_requests(requests)
-    return m, requests, good, errors
+    return path
+
+
+def _request_lines(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    return landing.parse_lines(landing.with_credentials(landing.read_request_lines(spark, _landing(spark, sf_dir))))
 
 
 def ndjson_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Landed rows per record type, platform and resolved user."""
-    _, requests, good, _ = _landing(spark, sf_dir)
-    b = landing.build_bronze(requests, good)
-    return b.groupBy("record_type", "source_platform", "user_id").agg(F.count(F.lit(1)).alias("rows"))
+    """Every landed row: id, user, what its body is about, its headers."""
+    b = landing.build_bronze(_request_lines(spark, sf_dir)[0])
+    get = lambda col, path, kind="string": F.try_variant_get(col, path, kind)
+    headers = F.map_keys(F.try_variant_get("headers", "$", "map<string,string>"))
+    return ntz(b.select(
+        "record_id", "ingested_at", "record_type", "source_platform", "user_id",
+        F.coalesce(get("body", "$.uuid"), get("body", "$.date"), get("body", "$.start_date")).alias("body_id"),
+        F.coalesce(get("body", "$.value", "double"), get("body", "$.active_energy_burned_kcal", "double")).alias("body_value"),
+        get("body", "$.demo_user_id").isNotNull().alias("has_override"), F.array_join(F.array_sort(headers), ",").alias("header_names")))
 
 
 def ndjson_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Parse errors by kind."""
-    _, _, _, errors = _landing(spark, sf_dir)
-    kind = F.regexp_extract("message", "invalid JSON|Too many NDJSON lines", 0)
-    return errors.groupBy(kind.alias("kind")).agg(F.count(F.lit(1)).alias("errors"))
+    """Every parse error with its place."""
+    return _request_lines(spark, sf_dir)[1]
 
 
 def _log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, requests, good, errors = _landing(spark, sf_dir)
-    return landing.request_log(requests, good, errors)
+    return landing.request_log(landing.with_credentials(landing.read_request_files(spark, _landing(spark, sf_dir))))
 
 
-def _flow_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    m = medallion(spark, sf_dir)
-    qs = streaming.start_silver_flows(spark, bronze_path_for(spark, sf_dir), dedup="bounded")
-    for q in qs.values():
-        q.awaitTermination()
-    return ops.event_log_from_progress(spark, {name: q.recentProgress for name, q in qs.items()})
+def last_payload_per_type(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newest payload of each type, by its number of lines and the user its first line names."""
+    out = ops.last_payload_per_type(_log(spark, sf_dir))
+    first = F.regexp_extract("last_payload", '^\\{"demo_user_id":"([^"]*)"', 1)
+    return ntz(out.select("record_type", "last_timestamp", F.size(F.split(F.rtrim(F.regexp_replace("last_payload", "\n$", "")), "\n")).alias("payload_lines"),
+                          first.alias("first_user")))
 
 
 OPS_QUERIES: dict[str, Query] = {
@@ -287,13 +291,11 @@ OPS_QUERIES: dict[str, Query] = {
         m.bronze, marts.bronze_seed_slice(m.bronze).select("record_id"), "apple_healthkit")),
     "sync_stats": _q(lambda s, m: ops.sync_stats(m.bronze)),
     # R24 client side (T21): records sent per type from the request log
-    "sync_stats_client": lambda s, d: ops.sync_stats_from_log(_log(s, d)).select("record_type", "records"),
+    "sync_stats_client": lambda s, d: ntz(ops.sync_stats_from_log(_log(s, d))),
     "ingest_metrics": lambda s, d: ntz(ops.ingest_metrics(_log(s, d))[0]),
     "ingest_by_type": lambda s, d: ops.ingest_metrics(_log(s, d))[1],
-    "last_payload_per_type": lambda s, d: ntz(ops.last_payload_per_type(_log(s, d))),
+    "last_payload_per_type": last_payload_per_type,
     "recent_requests": lambda s, d: ntz(ops.recent_events(_log(s, d), 20)),
-    "flow_status": lambda s, d: ops.latest_flow_status(_flow_events(s, d))[0],
-    "progress_rollup": lambda s, d: ops.progress_rollup(ops.latest_flow_status(_flow_events(s, d))[0]),
     "batch_chunks": _q(lambda s, m: landing.batch_chunks(m.bronze.select("record_id", "record_type", "ingested_at"), 2000)
                        .groupBy("record_type", "batch_no").agg(F.count(F.lit(1)).alias("records"))),
 }

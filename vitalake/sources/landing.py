@@ -7,22 +7,25 @@ headers from the path) or built by a caller.  The HTTP route's rules are
 applied as column expressions:
 
 * S1 ``parse_requests`` -- split on ``\\r?\\n``, drop blank lines, number the
-  rest, ``try_parse_json`` each; a request over 10 000 lines is rejected
-  whole; bad lines become ``Line N: invalid JSON`` errors;
+  rest, ``try_parse_json`` each; bad lines become ``Line N: invalid JSON``
+  errors.  The HTTP route's line and size limits protect a server; landed data
+  is never dropped for its size, so they are options, off by default;
 * S3 header blocklist, S4 user from headers, S5 per-line ``demo_user_id``
   override, S6 record type from ``x-record-type`` (lower/trim, non-empty);
 * S2 ``build_bronze`` -- the 7-column row; ``record_id`` is sha256 of
   (request, line) so replaying a landed file never duplicates it.
 
-A request body is one HTTP request (<= 10 MB, <= 10 000 lines), so the
-per-request line array is bounded; everything else is row-parallel.
+Every line carries its request's columns through the explode: building
+bronze is one scan without a shuffle.  A file up to ``WHOLE_FILE`` bytes is read
+as one row; a longer one (a compacted file) is read line by line and numbered
+from counts by block, so no task holds it whole.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.labels import CHANNEL_REST
@@ -31,8 +34,11 @@ from ..schemas import BLOCKED_HEADERS, BRONZE_COLUMNS, KNOWN_RECORD_TYPES
 # Fixed values (must equal the reference).
 MAX_NDJSON_LINES = 10000
 MAX_REQUEST_BYTES = 10 * 1024 * 1024
-MAX_USER_ID = 256
 DEMO_USER_KEY = "demo_user_id"
+#: files up to this many bytes are read as one row each
+WHOLE_FILE = 64 * 1024 * 1024
+#: parse errors that a request's log message quotes
+LOGGED_ERRORS = 20
 REQUEST_SCHEMA = "request_id string, received_at timestamp, headers map<string,string>, payload string"
 
 
@@ -66,53 +72,69 @@ def platform_of(headers: Column) -> Column:
 
 # --- S1 ------------------------------------------------------------------------
 
-def parse_requests(requests: DataFrame, max_lines: int = MAX_NDJSON_LINES) -> tuple[DataFrame, DataFrame]:
-    """(good lines, errors).  Good: request_id, line_no, body (VARIANT).
-    Errors: request_id, line_no (NULL for request-level), message."""
-    lines = F.filter(F.split(F.coalesce(F.col("payload"), F.lit("")), "\r?\n"), lambda l: F.length(F.trim(l)) > 0)
-    r = requests.select("request_id", lines.alias("_lines"))
-    too_many = F.size("_lines") > max_lines
-    over = r.filter(too_many).select(
-        "request_id", F.lit(None).cast("int").alias("line_no"),
-        F.format_string(f"Too many NDJSON lines (%d). Maximum allowed is {max_lines}.", F.size("_lines")).alias("message"))
-    each = r.filter(~too_many).select("request_id", F.posexplode("_lines").alias("_pos", "_line"))
-    each = each.select("request_id", (F.col("_pos") + 1).cast("int").alias("line_no"),
-                       F.try_parse_json("_line").alias("body"))
+def _lines(payload: Column) -> Column:
+    return F.filter(F.split(F.coalesce(payload, F.lit("")), "\r?\n"), lambda l: F.length(F.trim(l)) > 0)
+
+
+def request_lines(requests: DataFrame) -> DataFrame:
+    """The non-blank lines of each request, numbered from 1, with the request's columns."""
+    each = requests.select("request_id", "received_at", "headers", F.posexplode(_lines(F.col("payload"))).alias("_pos", "line"))
+    return each.select("request_id", "received_at", "headers", (F.col("_pos") + 1).cast("int").alias("line_no"), "line")
+
+
+def parse_lines(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(good lines with ``body``, errors) of numbered request lines."""
+    each = lines.withColumn("body", F.try_parse_json("line")).drop("line")
     good = each.filter(F.col("body").isNotNull())
     bad = each.filter(F.col("body").isNull()).select(
         "request_id", "line_no", F.format_string("Line %d: invalid JSON", F.col("line_no")).alias("message"))
+    return good, bad
+
+
+def parse_requests(requests: DataFrame, max_lines: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """(good lines, errors).  Good: request_id, received_at, headers,
+    line_no, body (VARIANT).  Errors: request_id, line_no (NULL for
+    request-level), message.  ``max_lines``: the HTTP route's limit; a request
+    over it is rejected whole and reported."""
+    if max_lines is None:
+        return parse_lines(request_lines(requests))
+    n = F.size(_lines(F.col("payload")))
+    over = requests.filter(n > max_lines).select(
+        "request_id", F.lit(None).cast("int").alias("line_no"),
+        F.format_string(f"Too many NDJSON lines (%d). Maximum allowed is {max_lines}.", n).alias("message"))
+    good, bad = parse_lines(request_lines(requests.filter(n <= max_lines)))
     return good, over.unionByName(bad)
 
 
 # --- S5, S2 ------------------------------------------------------------------------
 
 def override_user(body: Column, default_user: Column) -> tuple[Column, Column]:
-    """A non-blank string ``demo_user_id`` becomes the user (trimmed, cut
-    to 256) and is removed from the body; other bodies pass unchanged."""
+    """A non-blank string ``demo_user_id`` becomes the user (trimmed, whole)
+    and is removed from the body; other bodies pass unchanged."""
     raw = F.try_variant_get(body, f"$.{DEMO_USER_KEY}", "variant")
     is_str = F.schema_of_variant(raw) == F.lit("STRING")
     txt = F.trim(F.try_variant_get(raw, "$", "string"))
     use = raw.isNotNull() & is_str & (F.length(txt) > 0)
-    user = F.when(use, F.substring(txt, 1, MAX_USER_ID)).otherwise(default_user)
+    user = F.when(use, txt).otherwise(default_user)
     as_map = F.try_variant_get(body, "$", "map<string,variant>")
     new_body = F.when(use, F.to_variant_object(F.map_filter(as_map, lambda k, _v: k != F.lit(DEMO_USER_KEY)))
                       ).otherwise(body)
     return new_body, user
 
 
-def build_bronze(requests: DataFrame, good: DataFrame) -> DataFrame:
+def build_bronze(good: DataFrame) -> DataFrame:
     """S2 (+S3-S6): bronze rows for every good line of an accepted request
     (a request needs a record type; unknown types are landed and flagged by
-    ``flag_unknown_type``)."""
-    req = requests.select(
-        "request_id", "received_at", record_type_of(F.col("headers")).alias("record_type"),
-        platform_of(F.col("headers")).alias("source_platform"), resolve_user(F.col("headers")).alias("_user"),
-        F.map_concat(strip_headers(F.col("headers")),
+    ``flag_unknown_type``).  One projection over the lines: no join, no shuffle."""
+    headers = F.col("headers")
+    rows = good.select(
+        "request_id", "received_at", "line_no", "body", record_type_of(headers).alias("record_type"),
+        platform_of(headers).alias("source_platform"), resolve_user(headers).alias("_user"),
+        F.map_concat(F.map_filter(strip_headers(headers), lambda k, _v: k != F.lit("x-ingest-channel")),
                      F.create_map(F.lit("x-ingest-channel"), F.lit(CHANNEL_REST))).alias("_headers"),
     ).filter(F.col("record_type").isNotNull())
-    j = good.join(req, "request_id")
     body, user = override_user(F.col("body"), F.col("_user"))
-    return j.select(
+    return rows.select(
         F.sha2(F.concat_ws(":", F.col("request_id"), F.col("line_no").cast("string")), 256).alias("record_id"),
         F.col("received_at").alias("ingested_at"), body.alias("body"),
         F.to_variant_object(F.col("_headers")).alias("headers"), "record_type", "source_platform",
@@ -125,25 +147,34 @@ def flag_unknown_type(bronze: DataFrame) -> DataFrame:
     return bronze.withColumn("is_known_type", F.col("record_type").isin(KNOWN_RECORD_TYPES))
 
 
-def request_log(requests: DataFrame, good: DataFrame, errors: DataFrame) -> DataFrame:
-    """Per-request outcome (the sync/ingest log): record_count, status, message."""
-    ok = good.groupBy("request_id").agg(F.count(F.lit(1)).alias("record_count"))
-    err = errors.groupBy("request_id").agg(
-        F.sort_array(F.collect_list(F.struct(F.coalesce("line_no", F.lit(0)).alias("n"), "message"))).alias("_e"))
-    r = requests.join(ok, "request_id", "left").join(err, "request_id", "left")
-    n = F.coalesce(F.col("record_count"), F.lit(0))
-    rt = record_type_of(F.col("headers"))
-    msgs = F.array_join(F.transform("_e", lambda e: e["message"]), "; ")
-    status = F.when(rt.isNull() | (F.length(F.coalesce("payload", F.lit(""))) == 0) | (n == 0), F.lit(400)).otherwise(F.lit(200))
-    message = (F.when(rt.isNull(), F.lit("Missing X-Record-Type header"))
-               .when(F.length(F.coalesce("payload", F.lit(""))) == 0, F.lit("Request body is empty"))
-               .when(n == 0, F.when(F.col("_e").isNotNull(), F.concat(F.lit("No valid records found. Parse errors: "), msgs))
-                     .otherwise(F.lit("No valid records found in request body.")))
-               .otherwise(F.when(F.col("_e").isNotNull(), msgs)))
+# Fixed values (must equal the reference): messages of rejected requests.
+NO_TYPE = "Missing X-Record-Type header"
+EMPTY_BODY = "Request body is empty"
+NO_RECORDS = "No valid records found in request body."
+ONLY_ERRORS = "No valid records found. Parse errors: "
+
+
+def request_log(requests: DataFrame, max_errors: int = LOGGED_ERRORS) -> DataFrame:
+    """Per-request outcome (the sync/ingest log): record_count, error_count,
+    status, message.  Computed inside each request's row, so no shuffle; the
+    message quotes the first ``max_errors`` errors, ``error_count`` has them all."""
+    headers, payload = F.col("headers"), F.coalesce(F.col("payload"), F.lit(""))
+    checked = F.transform(_lines(payload), lambda l, i: F.struct((i + 1).alias("n"), F.try_parse_json(l).isNull().alias("bad")))
+    r = requests.withColumn("_lines", checked)
+    r = r.withColumn("_bad", F.filter("_lines", lambda x: x["bad"]))
+    n = F.size("_lines") - F.size("_bad")
+    rt = record_type_of(headers)
+    quoted = F.array_join(F.transform(F.slice("_bad", 1, max_errors), lambda x: F.format_string("Line %d: invalid JSON", x["n"])), "; ")
+    has_errors = F.size("_bad") > 0
+    status = F.when(rt.isNull() | (F.length(payload) == 0) | (n == 0), F.lit(400)).otherwise(F.lit(200))
+    message = (F.when(rt.isNull(), F.lit(NO_TYPE))
+               .when(F.length(payload) == 0, F.lit(EMPTY_BODY))
+               .when(n == 0, F.when(has_errors, F.concat(F.lit(ONLY_ERRORS), quoted)).otherwise(F.lit(NO_RECORDS)))
+               .otherwise(F.when(has_errors, quoted)))
     return r.select("request_id", rt.alias("record_type"), F.col("received_at").alias("timestamp"),
-                    n.cast("int").alias("record_count"), status.alias("http_status_code"),
+                    n.cast("int").alias("record_count"), F.size("_bad").alias("error_count"), status.alias("http_status_code"),
                     (status == 200).alias("success"), message.alias("message"),
-                    F.col("payload").alias("ndjson_payload"), strip_headers(F.col("headers")).alias("request_headers"))
+                    F.col("payload").alias("ndjson_payload"), strip_headers(headers).alias("request_headers"))
 
 
 def _exists_success(spark: SparkSession, path: str) -> bool:
@@ -153,21 +184,48 @@ def _exists_success(spark: SparkSession, path: str) -> bool:
 
 # --- reading landed request files ---------------------------------------------
 
-def read_request_files(spark: SparkSession, path: str, max_bytes: int = MAX_REQUEST_BYTES) -> DataFrame:
+def _request_columns(files: DataFrame) -> list[Column]:
+    """Id, time and headers of a request from its path: ``x_request=<id>`` and
+    ``x_received=<yyyyMMddHHmmss>`` where the path has them (else a hash of the
+    path, and the file's time); every other ``x_*`` directory is a header."""
+    names = files.columns
+    request_id = F.col("x_request").cast("string") if "x_request" in names else F.sha2(F.col("_metadata.file_path"), 256)
+    received = (F.to_timestamp(F.col("x_received").cast("string"), "yyyyMMddHHmmss") if "x_received" in names
+                else F.col("_metadata.file_modification_time"))
+    pairs = [x for c in names if c.startswith("x_") and c not in ("x_request", "x_received")
+             for x in (F.lit(c.replace("_", "-")), F.col(c).cast("string"))]
+    return [request_id.alias("request_id"), received.alias("received_at"),
+            F.create_map(*pairs, F.lit("content-type"), F.lit("application/x-ndjson")).alias("headers")]
+
+
+def read_request_files(spark: SparkSession, path: str, max_bytes: int | None = None) -> DataFrame:
     """Request bodies landed as files under ``.../x_record_type=<t>/x_platform=<p>/``:
-    one file = one request; headers from the path partition values.  Files
-    over the request limit are skipped by a file-size filter (never read
-    into a row); ``oversized_request_files`` lists them."""
-    t = (spark.read.text(path, wholetext=True)
-         .filter(F.col("_metadata.file_size") <= max_bytes)
-         .select("*", F.col("_metadata.file_path").alias("_path"),
-                 F.col("_metadata.file_modification_time").alias("_mtime")))
-    return t.select(
-        F.sha2(F.col("_path"), 256).alias("request_id"), F.col("_mtime").alias("received_at"),
-        F.create_map(F.lit("x-record-type"), F.col("x_record_type").cast("string"),
-                     F.lit("x-platform"), F.col("x_platform").cast("string"),
-                     F.lit("content-type"), F.lit("application/x-ndjson")).alias("headers"),
-        F.col("value").alias("payload"))
+    one file = one request of one row.  Nothing is left out for its size unless
+    ``max_bytes`` asks for the HTTP route's limit (``oversized_request_files``
+    lists what it rejects)."""
+    t = spark.read.text(path, wholetext=True)
+    if max_bytes is not None:
+        t = t.filter(F.col("_metadata.file_size") <= max_bytes)
+    return t.select(*_request_columns(t), F.col("value").alias("payload"))
+
+
+def read_request_lines(spark: SparkSession, path: str, whole_bytes: int = WHOLE_FILE) -> DataFrame:
+    """Numbered lines of all request files (as ``request_lines``).  Files over
+    ``whole_bytes`` are read by line: the rows of a block are numbered in their
+    own order and offset by the counts of the file's earlier blocks."""
+    lines = request_lines(read_request_files(spark, path, whole_bytes))
+    if oversized_request_files(spark, path, whole_bytes).isEmpty():
+        return lines
+    t = spark.read.option("lineSep", "\n").text(path).filter(F.col("_metadata.file_size") > whole_bytes)
+    rows = t.filter(F.length(F.trim(F.regexp_replace("value", "\r$", ""))) > 0).select(
+        *_request_columns(t), F.regexp_replace("value", "\r$", "").alias("line"), F.col("_metadata.file_path").alias("_file"),
+        F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_row"))
+    blocks = rows.groupBy("_file", "_block").agg(F.min("_row").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy("_file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+    large = rows.join(blocks, ["_file", "_block"]).select(
+        "request_id", "received_at", "headers", (F.col("_before") + F.col("_row") - F.col("_first") + 1).cast("int").alias("line_no"), "line")
+    return lines.unionByName(large)
 
 
 def oversized_request_files(spark: SparkSession, path: str, max_bytes: int = MAX_REQUEST_BYTES) -> DataFrame:
@@ -189,7 +247,7 @@ def ndjson_line(df: DataFrame, columns: list[str] | None = None) -> Column:
 
 
 def batch_chunks(df: DataFrame, size: int, by: str = "record_type", order: str = "ingested_at",
-                 bucket_seconds: int = 60) -> DataFrame:
+                 bucket_seconds: int = 60, sub_bucket: int = 0) -> DataFrame:
     """Number records into batches of ``size`` per ``by`` group:
     ``batch_no = floor((rn - 1) / size)`` with ``rn`` the row number in
     ``order`` within the group.
@@ -198,17 +256,23 @@ def batch_chunks(df: DataFrame, size: int, by: str = "record_type", order: str =
     a group would put a fifth of the data in one task.  Instead the row
     number is computed per (group, time bucket) and offset by the row count
     of the group's earlier buckets (a running sum over one row per bucket);
-    the result equals the single-window numbering."""
-    from pyspark.sql import Window
+    the result equals the single-window numbering.  ``sub_bucket`` > 0 splits
+    the rows of one instant by that many leading characters of the tie-break
+    column (text), for bulk loads that share one time stamp."""
     tie = [F.col(c) for c in df.columns if c not in (by, order)][:1]
     d = df.withColumn("_b", F.floor(F.unix_micros(F.col(order)) / F.lit(bucket_seconds * 1_000_000)))
-    d = d.withColumn("_rn", F.row_number().over(Window.partitionBy(by, "_b").orderBy(F.col(order), *tie)))
-    counts = d.groupBy(by, "_b").agg(F.count(F.lit(1)).alias("_n"))
+    d = d.withColumn("_s", F.substring(tie[0].cast("string"), 1, sub_bucket) if tie and sub_bucket else F.lit(""))
+    d = d.withColumn("_t", F.col(order)) if sub_bucket else d.withColumn("_t", F.lit(None).cast(df.schema[order].dataType))
+    keys = [by, "_b", "_t", "_s"]
+    d = d.withColumn("_rn", F.row_number().over(Window.partitionBy(*keys).orderBy(F.col(order), *tie)))
+    counts = d.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     counts = counts.withColumn("_before", F.coalesce(F.sum("_n").over(
-        Window.partitionBy(by).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    d = d.join(counts.select(by, "_b", "_before"), [by, "_b"])
-    return (d.withColumn("batch_no", F.floor((F.col("_before") + F.col("_rn") - 1) / F.lit(size)).cast("bigint"))
-            .drop("_b", "_rn", "_before"))
+        Window.partitionBy(by).orderBy("_b", "_t", "_s").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    left, right = d.alias("l"), counts.alias("r")
+    same = [F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}")) for k in keys]  # NULL groups and times are numbered too
+    j = left.join(right, same).select("l.*", "r._before")
+    return (j.withColumn("batch_no", F.floor((F.col("_before") + F.col("_rn") - 1) / F.lit(size)).cast("bigint"))
+            .drop("_b", "_t", "_s", "_rn", "_before"))
 
 
 def write_ndjson(df: DataFrame, path: str, partition_by: list[str] | None = None,
@@ -240,21 +304,42 @@ def append_json_staging(staged: DataFrame, path: str, body_col: str = "body_json
 def replace_rows(spark: SparkSession, path: str, predicate: Column, new_rows: DataFrame) -> int:
     """Delete the rows matching ``predicate`` and append ``new_rows``.
 
-    Without a transactional table format, the table is rewritten per
-    ``record_type`` partition with dynamic partition overwrite: only the
-    partitions touched by the predicate or the new rows are replaced.
+    The record types touched by either are rewritten to a staging table of
+    their own, which is then swapped in partition by partition (a rename each);
+    a type left without rows loses its partition.  No session setting changes.
     Returns the number of rows removed."""
-    from ..sources.bronze_store import read_bronze
+    import uuid
+
+    from .bronze_store import _fs, read_bronze
     current = read_bronze(spark, path)
-    removed = current.filter(predicate).count()
-    touched = (current.filter(predicate).select("record_type")
-               .unionByName(new_rows.select("record_type")).distinct())
-    keep = current.join(touched, "record_type", "left_semi").filter(~predicate | predicate.isNull())
-    out = keep.unionByName(new_rows.select(*BRONZE_COLUMNS))
-    staging = f"{path.rstrip('/')}_replace_staging"
-    out.write.mode("overwrite").partitionBy("record_type").parquet(staging)  # cut lineage before overwrite
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    spark.read.parquet(staging).select(*BRONZE_COLUMNS).write.mode("overwrite").partitionBy("record_type").parquet(path)
+    matches = F.coalesce(predicate, F.lit(False))
+    removed = current.filter(matches).count()
+    touched = {r.record_type for r in (current.filter(matches).select("record_type")
+                                       .unionByName(new_rows.select("record_type")).distinct().collect())}  # one row a type
+    if not touched:
+        return removed
+    of_touched = F.col("record_type").isin([t for t in touched if t is not None])
+    if None in touched:
+        of_touched = of_touched | F.col("record_type").isNull()
+    out = current.filter(of_touched & ~matches).unionByName(new_rows.select(*BRONZE_COLUMNS))
+    root = path.rstrip("/")
+    staging = f"{root}.replace-{uuid.uuid4().hex}"
+    out.write.partitionBy("record_type").parquet(staging)
+    fs, base = _fs(spark, root)
+    make = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    names = {f.getPath().getName() for d in (root, staging) for f in fs.listStatus(make(d)) if f.getPath().getName().startswith("record_type=")}
+    escape = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.getPartitionPathString
+    for t in touched:
+        name = escape("record_type", t)
+        if name not in names:
+            continue
+        old, new = make(f"{root}/{name}"), make(f"{staging}/{name}")
+        if fs.exists(old):
+            fs.rename(old, make(f"{staging}/_old-{name}"))
+        if fs.exists(new):
+            fs.rename(new, old)
+    fs.delete(make(staging), True)
+    spark.catalog.refreshByPath(root)
     return removed
 
 
@@ -327,20 +412,46 @@ def publish(spark: SparkSession, frames: dict[str, DataFrame], views: dict[str,
 
 # --- request files derived from a bronze table (used by the registry) ---------
 
-def land_request_files(bronze: DataFrame, path: str, lines_per_file: int = 2000) -> None:
-    """Write a bronze table back out as NDJSON request files: one line per
-    document with its user as ``demo_user_id`` (blank for every 40th event,
-    so the header fallback applies), a malformed line after every 25th and a
-    blank line after every 30th; files are split at ``lines_per_file`` lines
-    (the client's foreground batch size) under header-valued directories."""
+def land_request_files(bronze: DataFrame, path: str, rows_per_request: int = 200) -> None:
+    """Write a bronze table back out as NDJSON request files under a stated id
+    and time: the events ``200 b`` to ``200 b + 199`` of a record type are request
+    ``<type>-<b>``, received ``b`` minutes into 2024-02-01.  A line per document
+    with its user as ``demo_user_id`` (blank for every 40th event, so the header
+    fallback applies), a malformed line after every 25th and a blank line after
+    every 30th.  The last event of each request is also sent alone and malformed
+    (``<type>-<b>-x``, 30 seconds later): a request that is rejected whole.
+    ``x_auth`` names the caller's credentials: token, email or none."""
     n = F.regexp_extract("record_id", "[0-9]+", 0).cast("bigint")
     user = F.when(n % 40 == 0, F.lit("  ")).otherwise(F.col("user_id"))
     user_json = F.regexp_replace(F.to_json(F.array(user)), r"^\[|\]$", "")
     rest = F.expr("substring(to_json(body), 2)")
     line = F.concat(F.lit('{"' + DEMO_USER_KEY + '":'), user_json, F.when(rest != "}", F.lit(",")).otherwise(F.lit("")), rest)
-    lines = F.array(line, F.when(n % 25 == 0, F.concat(F.lit("{bad "), n.cast("string"))),
-                    F.when(n % 30 == 0, F.lit("   ")))
-    out = bronze.select(F.col("record_type").alias("x_record_type"), F.col("source_platform").alias("x_platform"),
-                        F.explode(F.filter(lines, lambda x: x.isNotNull())).alias("value"))
-    (out.write.mode("overwrite").option("maxRecordsPerFile", lines_per_file)
-     .partitionBy("x_record_type", "x_platform").text(path))
+    b = F.floor(n / rows_per_request).cast("bigint")
+    lines = F.array(F.struct(F.lit(0).alias("i"), line.alias("value"), F.lit("").alias("suffix")),
+                    F.when(n % 25 == 0, F.struct(F.lit(1).alias("i"), F.concat(F.lit("{bad "), n.cast("string")).alias("value"), F.lit("").alias("suffix"))),
+                    F.when(n % 30 == 0, F.struct(F.lit(2).alias("i"), F.lit("   ").alias("value"), F.lit("").alias("suffix"))),
+                    F.when(n % rows_per_request == rows_per_request - 1,
+                           F.struct(F.lit(3).alias("i"), F.concat(F.lit("{bad "), n.cast("string")).alias("value"), F.lit("-x").alias("suffix"))))
+    out = bronze.select("record_type", "source_platform", n.alias("n"), b.alias("b"), "record_id",
+                        F.explode(F.filter(lines, lambda x: x.isNotNull())).alias("l"))
+    seconds = F.col("b") * 60 + F.when(F.col("l.suffix") == "", 0).otherwise(30)
+    out = out.select(
+        F.col("record_type").alias("x_record_type"), F.col("source_platform").alias("x_platform"),
+        F.concat("record_type", F.lit("-"), F.col("b").cast("string"), "l.suffix").alias("x_request"),
+        F.date_format(F.to_timestamp(F.lit("2024-02-01 00:00:00")) + F.make_dt_interval(secs=seconds.cast("decimal(18,6)")), "yyyyMMddHHmmss").alias("x_received"),
+        F.element_at(F.array(F.lit("token"), F.lit("email"), F.lit("none")), (F.col("b") % 3 + 1).cast("int")).alias("x_auth"),
+        "n", "record_id", F.col("l.i").alias("i"), F.col("l.value").alias("value"))
+    parts = ["x_record_type", "x_platform", "x_request", "x_received", "x_auth"]
+    # the sort also holds within each request: its lines keep the events' order
+    out = out.repartition("x_request").sortWithinPartitions(*parts, "n", "record_id", "i")
+    out.select(*parts, "value").write.mode("overwrite").partitionBy(*parts).text(path)
+
+
+def with_credentials(requests: DataFrame) -> DataFrame:
+    """The credential headers that ``x-auth`` stands for, and a cookie."""
+    h = F.col("headers")
+    auth = F.try_element_at(h, F.lit("x-auth"))
+    own = F.create_map(F.lit("authorization"), F.when(auth == "token", F.lit("Bearer abc")),
+                       F.lit("x-forwarded-email"), F.when(auth == "email", F.lit("sender@example.org")), F.lit("cookie"), F.lit("c=1"))
+    rest = F.map_filter(h, lambda k, _v: k != F.lit("x-auth"))
+    return requests.withColumn("headers", F.map_filter(F.map_concat(rest, own), lambda _k, v: v.isNotNull()))
