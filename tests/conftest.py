@@ -41,3 +41,15 @@ def make_bronze(spark, rows):
     return df.select("record_id", F.to_timestamp("ts").alias("ingested_at"), F.parse_json("body").alias("body"),
                      F.parse_json("headers").alias("headers"), "record_type", "source_platform",
                      "user_id").select(*BRONZE_COLUMNS)
+
+
+def cardio_by_outer_joins(spark, samples):
+    """The three-outer-join form of the daily cardio table, in SQL."""
+    parts = {"resting_hr_avg": "hk_type LIKE '%RestingHeartRate%'", "hrv_sdnn_avg": "hk_type LIKE '%HeartRateVariability%'",
+             "spo2_avg": "hk_type LIKE '%OxygenSaturation%'"}
+    heart = "hk_type LIKE '%HeartRate%' AND hk_type NOT LIKE '%Resting%'"
+    one = "(SELECT user_id, to_date(start_at) AS day, {agg} FROM {{s}} WHERE start_at IS NOT NULL AND {where} GROUP BY ALL)"
+    subqueries = [one.format(agg=f"avg(value) AS {n}", where=w) for n, w in parts.items()]
+    subqueries.append(one.format(agg="avg(value) AS heart_rate_avg, max(value) AS heart_rate_max", where=heart))
+    joined = subqueries[0] + "".join(f" FULL OUTER JOIN {q} USING (user_id, day)" for q in subqueries[1:])
+    return spark.sql(f"SELECT * FROM {joined}", s=samples)

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
 
 import __spark_entry__ as entry_mod  # noqa: E402
+from conftest import cardio_by_outer_joins  # noqa: E402
 from check_oracle import TABLES, rows  # noqa: E402
 from vitalake.plans import oracle, registry  # noqa: E402
 from vitalake.plans.registry import medallion  # noqa: E402
@@ -73,5 +74,5 @@ def test_invariants(spark):
     # one-pass cardio equals the reference's outer-join form (no NULL users here)
     from vitalake.operators import gold
     a = sorted(tuple(r) for r in gold.cardio_vitals_daily(m.samples).collect())
-    b = sorted(tuple(r) for r in gold.cardio_vitals_daily_joined(m.samples).select(*gold.cardio_vitals_daily(m.samples).columns).collect())
+    b = sorted(tuple(r) for r in cardio_by_outer_joins(spark, m.samples).select(*gold.cardio_vitals_daily(m.samples).columns).collect())
     assert a == b

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from conftest import make_bronze
+from conftest import cardio_by_outer_joins, make_bronze
 from vitalake.operators import garmin, gold, ops, silver
 
 
@@ -16,7 +16,7 @@ def test_t12_null_user_split_in_join_form(spark):
              "body": {**base, "uuid": "2", "type": "HKQuantityTypeIdentifierOxygenSaturation", "value": 0.97}}]
     s = silver.samples(make_bronze(spark, rows))
     assert gold.cardio_vitals_daily(s).count() == 1        # one-pass: one NULL-user row
-    assert gold.cardio_vitals_daily_joined(s).count() == 2  # outer joins never match NULL keys
+    assert cardio_by_outer_joins(spark, s).count() == 2  # outer joins never match NULL keys
 
 
 def test_t13_night_is_session_start_date(spark):

@@ -9,7 +9,7 @@ size check happens at run time, on real statistics.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.variant import header
@@ -37,22 +37,34 @@ def apply_deletes(facts: DataFrame, deletes: DataFrame, key: str, mode: str = "r
     raise ValueError(f"unknown mode {mode!r}")
 
 
+def device_id() -> Column:
+    """The device header, in either of the cases that clients send."""
+    return F.coalesce(header("x-device-id"), header("X-Device-Id"))
+
+
 def device_registry(bronze: DataFrame, exclude_device: str | None = None) -> DataFrame:
     """A devices dimension (device_id -> user_id) as registered devices would
     give it: for each device, the user it most recently reported for."""
-    d = bronze.select(header("x-device-id").alias("device_id"), "user_id", "ingested_at")
+    d = bronze.select(device_id().alias("device_id"), "user_id", "ingested_at")
     d = d.filter(F.col("device_id").isNotNull() & F.col("user_id").isNotNull())
     if exclude_device:
         d = d.filter(F.col("device_id") != F.lit(exclude_device))
     return d.groupBy("device_id").agg(F.max_by("user_id", F.struct("ingested_at", "user_id")).alias("device_user_id"))
 
 
-def attribute_user_by_device(bronze: DataFrame, devices: DataFrame) -> DataFrame:
+def attribute_user_by_device(bronze: DataFrame, devices: DataFrame, exclude_device: str | None = None) -> DataFrame:
     """Resolve the user of each bronze row through its device; rows with
-    an unknown device keep their own user_id."""
-    b = bronze.withColumn("device_id", header("x-device-id"))
-    j = b.join(devices.select("device_id", "device_user_id"), "device_id", "left")
-    return j.withColumn("resolved_user_id", F.coalesce(F.col("device_user_id"), F.col("user_id"))).drop("device_user_id")
+    an unknown device keep their own user_id.  Rows that cannot match (no device,
+    or the one that the registry leaves out) are set apart before the join: they
+    can be most of a table, and would all be shuffled to one or two partitions."""
+    b = bronze.withColumn("device_id", device_id())
+    can_match = F.col("device_id").isNotNull()
+    if exclude_device is not None:
+        can_match = can_match & (F.col("device_id") != exclude_device)
+    j = b.filter(can_match).join(devices.select("device_id", "device_user_id"), "device_id", "left")
+    matched = j.withColumn("resolved_user_id", F.coalesce(F.col("device_user_id"), F.col("user_id"))).drop("device_user_id")
+    rest = b.filter(~F.coalesce(can_match, F.lit(False))).withColumn("resolved_user_id", F.col("user_id"))
+    return matched.unionByName(rest)
 
 
 def current_state(changes: DataFrame, deletes: DataFrame, key: str, order: tuple[str, ...] = ("ingested_at",),

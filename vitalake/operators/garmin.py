@@ -282,6 +282,28 @@ def garmin_daily_view(bronze: DataFrame) -> DataFrame:
                         "try_variant_get(body, '$.data.vO2MaxValue', 'double') AS vo2_max"))
 
 
+def _round(x: Column, digits: int) -> Column:
+    return F.round(x.cast("decimal(38,10)"), digits).cast("double")
+
+
+def garmin_sleep_view(bronze: DataFrame) -> DataFrame:
+    """Hours and minutes of the night's stages and its score."""
+    seconds = lambda name: F.try_variant_get("body", f"$.data.dailySleepDTO.{name}", "int")
+    minutes = {"deep_min": "deepSleepSeconds", "light_min": "lightSleepSeconds", "rem_min": "remSleepSeconds"}
+    return bronze.filter(F.col("record_type") == "sleep").select(
+        body_str("$.date").alias("day"), _round(seconds("sleepTimeSeconds") / 3600, 1).alias("sleep_hours"),
+        *[_round(seconds(c) / 60, 0).alias(n) for n, c in minutes.items()],
+        F.try_variant_get("body", "$.data.dailySleepDTO.sleepScores.overall.value", "int").alias("sleep_score"))
+
+
+def garmin_hrv_view(bronze: DataFrame) -> DataFrame:
+    """Weekly average, last night and status of heart-rate variability."""
+    get = lambda name, kind: F.try_variant_get("body", f"$.data.hrvSummary.{name}", kind)
+    return bronze.filter(F.col("record_type") == "hrv").select(
+        body_str("$.date").alias("day"), get("weeklyAvg", "double").alias("hrv_weekly_avg_ms"),
+        get("lastNight5MinHigh", "double").alias("hrv_last_night_ms"), get("status", "string").alias("hrv_status"))
+
+
 # --- P30, P31: watch batches --------------------------------------------------
 
 def explode_watch_batch(bronze: DataFrame) -> DataFrame:
@@ -296,10 +318,10 @@ def explode_watch_batch(bronze: DataFrame) -> DataFrame:
                     "ingested_at", F.lit(None).cast(META_TYPE).alias("metadata"))
 
 
-def incremental_since(events: DataFrame, since: DataFrame | str, cap: int = WATCH_CAP_PER_TYPE) -> DataFrame:
+def incremental_since(events: DataFrame, since: DataFrame | str, cap: int | None = None) -> DataFrame:
     """Per device and metric, only samples newer than the stored
-    high-water mark, newest first, at most ``cap`` (the watch's per-type
-    limit).  ``since`` is a timestamp literal or a (device_id, since) frame.
+    high-water mark; with ``cap`` (a watch's buffer holds
+    ``WATCH_CAP_PER_TYPE``) only the newest ``cap`` of each.  ``since`` is a timestamp literal or a (device_id, since) frame.
     ``row_number() <= cap`` is planned with a map-side WindowGroupLimit."""
     from pyspark.sql import Window
     if isinstance(since, str):
@@ -307,5 +329,7 @@ def incremental_since(events: DataFrame, since: DataFrame | str, cap: int = WATC
     else:
         fresh = (events.join(since.select("device_id", F.col("since").alias("_since")), "device_id", "left")
                  .filter(F.col("_since").isNull() | (F.col("recorded_at") > F.col("_since"))).drop("_since"))
+    if cap is None:
+        return fresh
     w = Window.partitionBy("device_id", "metric_type").orderBy(F.col("recorded_at").desc(), F.col("value").desc())
     return fresh.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= cap).drop("_rn")

@@ -6,13 +6,14 @@ running maximum end).  Session = min start, max end of its samples.
 
 A plain ``lag`` + running ``sum`` over ``Window.partitionBy(user)`` would
 put one user's whole history in one task.  Instead the timeline is cut into
-fixed time buckets (default one hour; any size gives the same result):
+fixed time buckets (default one minute, so that even the one user that all
+callers without credentials share is spread; any size gives the same result):
 
 1. within (user, bucket): ``lag(end)`` and a running count of new-session
-   flags -- window partitions bounded by one user-hour;
+   flags -- window partitions bounded by one user-minute;
 2. per (user, bucket) summary: end of its last sample and its flag count --
-   one row per user-hour;
-3. across a user's summaries (one row per hour of data, not per sample):
+   one row per user-minute;
+3. across a user's summaries (one row per minute with data, not per sample):
    the previous bucket's last end and the flags before the bucket;
 4. join the summary back: the first sample of a bucket compares against the
    previous bucket's last sample, and the session number is the flags
@@ -33,8 +34,14 @@ from pyspark.sql import functions as F
 GAP_SECONDS = 30 * 60  # fixed value: 30-minute session gap
 
 
+def _with_bucket_of(rows: DataFrame, buckets: DataFrame, user: str, column: str) -> DataFrame:
+    """``rows`` with ``column`` of their (user, bucket); a NULL user is a user like any other."""
+    same = F.col(f"l.{user}").eqNullSafe(F.col(f"r.{user}")) & (F.col("l._bucket") == F.col("r._bucket"))
+    return rows.alias("l").join(buckets.alias("r"), same).select("l.*", f"r.{column}")
+
+
 def sessionize(samples: DataFrame, user: str = "user_id", start: str = "start_at", end: str = "end_at",
-               tie: str = "uuid", gap_seconds: int = GAP_SECONDS, bucket_seconds: int = 3600) -> DataFrame:
+               tie: str = "uuid", gap_seconds: int = GAP_SECONDS, bucket_seconds: int = 60) -> DataFrame:
     """Return ``samples`` with ``session_seq`` (1-based per user)."""
     s = samples.filter(F.col(start).isNotNull() & F.col(end).isNotNull())
     s = s.withColumn("_bucket", F.floor(F.unix_seconds(F.col(start)) / F.lit(bucket_seconds)))
@@ -47,7 +54,7 @@ def sessionize(samples: DataFrame, user: str = "user_id", start: str = "start_at
     per_user = Window.partitionBy(user).orderBy("_bucket")
     summary = summary.withColumn("_prev_bucket_end", F.lag("_last_end").over(per_user))
 
-    s = s.join(summary.select(user, "_bucket", "_prev_bucket_end"), [user, "_bucket"])
+    s = _with_bucket_of(s, summary, user, "_prev_bucket_end")
     prev = F.coalesce(F.col("_prev_end"), F.col("_prev_bucket_end"))
     gap = F.unix_micros(F.col(start)) - F.unix_micros(prev)
     s = s.withColumn("_new", F.when(prev.isNull() | (gap > F.lit(gap_seconds * 1_000_000)), 1).otherwise(0))
@@ -56,7 +63,7 @@ def sessionize(samples: DataFrame, user: str = "user_id", start: str = "start_at
     flags = s.groupBy(user, "_bucket").agg(F.sum("_new").alias("_n_new"))
     flags = flags.withColumn("_before", F.coalesce(
         F.sum("_n_new").over(per_user.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    s = s.join(flags.select(user, "_bucket", "_before"), [user, "_bucket"])
+    s = _with_bucket_of(s, flags, user, "_before")
     return (s.withColumn("session_seq", (F.col("_before") + F.col("_run")).cast("bigint"))
             .drop("_bucket", "_prev_end", "_prev_bucket_end", "_new", "_run", "_before"))
 

@@ -117,3 +117,37 @@ class Medallion:
             getattr(self, name).write.mode("overwrite").parquet(path)
             self.__dict__[name] = spark.read.parquet(path)
         return self
+
+
+class StoredMedallion(Medallion):
+    """A medallion whose silver and gold tables are stored once under ``root``
+    and read from there by everything above them: a tile scans the gold table it
+    shows, with its window in the scan's filters, and never the bronze again.
+
+    Gold is sorted by day (or week) within files, so that the row-group
+    statistics let a window skip most of it.  A table is written on its first
+    use and published by a rename, so a crashed writer leaves nothing behind."""
+
+    SORTED_BY = {"hk_quantity_daily": "day", "subject_daily": "day", "daily_steps": "day", "activity_enriched": "day", "sleep_nightly": "sleep_night",
+                 "weekly_workouts": "week_start", "cardio_vitals": "day", "hr_intraday": "day", "ingest_daily": "ingest_day", "family_weekly": "week_start"}
+
+    def __init__(self, bronze: DataFrame, root: str, dedup: str = "first", strict_heart_rate: bool = False):
+        super().__init__(bronze, dedup, strict_heart_rate)
+        self.root = root.rstrip("/")
+
+    def __getattribute__(self, name: str):
+        if name not in Medallion.SILVER_TABLES and name not in Medallion.GOLD_TABLES:
+            return super().__getattribute__(name)
+        held = self.__dict__
+        if name not in held:
+            held[name] = self._stored(name, Medallion.__dict__[name].func(self))
+        return held[name]
+
+    def _stored(self, name: str, table: DataFrame) -> DataFrame:
+        from ..sources.bronze_store import _exists, publish_atomically
+        spark, path = table.sparkSession, f"{self.root}/{name}"
+        if not _exists(spark, f"{path}/_SUCCESS"):
+            day = self.SORTED_BY.get(name)
+            rows = table.repartitionByRange(day).sortWithinPartitions(day) if day else table
+            publish_atomically(spark, path, lambda tmp: rows.write.parquet(tmp))
+        return spark.read.schema(table.schema).parquet(path)

@@ -12,11 +12,20 @@ binary value; ``rnd()`` casts to DECIMAL first so both agree.
 
 from __future__ import annotations
 
+import datetime as _dt
+
 from ..sources.bindings import SAMPLE_TYPES, WORKOUT_CODES
 from ..functions.dims import HK_WORKOUT_NAMES
 
 AS_OF = "2024-01-31"
 AS_OF_TS = "2024-02-01 00:00:00"
+
+
+def as_of(days: int) -> str:
+    """A day whose window of ``days`` days begins on 2024-01-15, inside the data: the filter has rows to drop."""
+    return str(_dt.date(2024, 1, 15) + _dt.timedelta(days=days))
+
+
 APP_START, APP_END = "2024-01-08", "2024-01-28"
 
 
@@ -237,15 +246,17 @@ FINAL = {
     "g_hr_intraday": "SELECT * FROM hr_intraday",
     "g_ingest_daily": "SELECT * FROM ingest_daily",
     "g_family_weekly": "SELECT * FROM family_weekly",
-    "vw_activity_45d": f"SELECT * FROM enriched WHERE day >= DATE '{AS_OF}' - INTERVAL 45 DAY",
+    "vw_activity_45d": f"SELECT * FROM enriched WHERE day >= DATE '{as_of(45)}' - INTERVAL 45 DAY",
     "vw_sleep_30": """SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY user_id
                       ORDER BY sleep_night DESC) AS rn FROM sleep_nightly) WHERE rn <= 30""",
-    "vw_workouts_12w": f"SELECT * FROM weekly WHERE week_start >= DATE '{AS_OF}' - INTERVAL 84 DAY",
+    "vw_sleep_5": """SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY user_id
+                      ORDER BY sleep_night DESC) AS rn FROM sleep_nightly) WHERE rn <= 5""",
+    "vw_workouts_12w": f"SELECT * FROM weekly WHERE week_start >= DATE '{as_of(84)}' - INTERVAL 84 DAY",
     "dash_01_ingest_overview": """SELECT CAST(ingested_at AS DATE) AS ingest_day, record_type, source_platform,
                                   count(*) AS row_count FROM bronze GROUP BY 1, 2, 3""",
     "dash_02_hk_quantity_30d": f"""SELECT day, user_id, replace(hk_type, 'HKQuantityTypeIdentifier', '') AS metric_short,
                                    avg_value, min_value, max_value, sample_rows FROM hk_daily
-                                   WHERE day >= DATE '{AS_OF}' - INTERVAL 30 DAY""",
+                                   WHERE day >= DATE '{as_of(30)}' - INTERVAL 30 DAY""",
     "dash_03_recent_workouts": f"""SELECT start_at, user_id, activity_type, {rnd('duration_seconds / 60', 1)} AS duration_min,
                                    total_energy_burned_kcal, {rnd('total_distance_meters / 1000', 2)} AS distance_km,
                                    ingested_at FROM workouts
@@ -260,7 +271,7 @@ FINAL = {
     "dash_05_ring_adherence": f"""SELECT summary_date, user_id, active_energy_burned_kcal, active_energy_burned_goal_kcal,
                                   {rnd('active_energy_burned_kcal / nullif(active_energy_burned_goal_kcal, 0)', 2)}
                                   AS move_ring_ratio, exercise_minutes, exercise_minutes_goal, stand_hours,
-                                  stand_hours_goal FROM rings WHERE summary_date >= DATE '{AS_OF}' - INTERVAL 30 DAY""",
+                                  stand_hours_goal FROM rings WHERE summary_date >= DATE '{as_of(30)}' - INTERVAL 30 DAY""",
     "dash_06_silver_gold_volumes": """
         SELECT 'silver_events' AS dataset, count(*) AS row_count FROM events_silver
         UNION ALL SELECT 'silver_samples', count(*) FROM samples
@@ -286,12 +297,12 @@ FINAL = {
         UNION ALL SELECT 'gold_bronze_ingest_daily', count(*) FROM ingest_daily
         UNION ALL SELECT 'gold_hk_family_weekly', count(*) FROM family_weekly""",
     "dash_10_activity_60d": f"""SELECT day, user_id, move_ring_ratio, exercise_ring_ratio, stand_ring_ratio, total_steps
-                                FROM enriched WHERE day >= DATE '{AS_OF}' - INTERVAL 60 DAY""",
+                                FROM enriched WHERE day >= DATE '{as_of(60)}' - INTERVAL 60 DAY""",
     "dash_11_sleep_90d": f"""SELECT sleep_night, user_id, deep_sleep_min, rem_sleep_min, core_sleep_min, awake_min,
                              in_bed_min, total_tracked_min, sleep_sessions FROM sleep_nightly
-                             WHERE sleep_night >= DATE '{AS_OF}' - INTERVAL 90 DAY""",
+                             WHERE sleep_night >= DATE '{as_of(90)}' - INTERVAL 90 DAY""",
     "dash_12_ingest_by_type_90d": f"""SELECT ingest_day, user_id, record_type, row_count FROM ingest_daily
-                                      WHERE ingest_day >= DATE '{AS_OF}' - INTERVAL 90 DAY""",
+                                      WHERE ingest_day >= DATE '{as_of(90)}' - INTERVAL 90 DAY""",
     "app_activity_trend": f"""SELECT day, count(DISTINCT user_id) AS active_users,
                               {rnd('avg(CAST(move_ring_ratio AS DECIMAL(18,3)))', 3)} AS avg_move_ratio, {rnd('avg(CAST(total_steps AS DECIMAL(38,6)))', 0)} AS avg_steps
                               FROM enriched WHERE {_win('day')} GROUP BY day""",
@@ -388,6 +399,7 @@ FINAL.update({
     "stream_samples": "SELECT * EXCLUDE (record_id, ingested_at) FROM samples",
     "stream_samples_bounded": "SELECT * EXCLUDE (record_id, ingested_at) FROM samples",
     "stream_event_keys": "SELECT event_id FROM events_silver",
+    "stream_bronze_mirror": "SELECT record_id, record_type, user_id, ingested_at FROM bronze",
     "stream_gold_hk_daily": "SELECT * FROM hk_daily",
     "stream_gold_sleep_nightly": "SELECT * EXCLUDE (sleep_sessions) FROM sleep_nightly",
 })

@@ -110,6 +110,18 @@ SELECT strftime(ts, '%Y-%m-%d') AS day, CAST(50 + j AS INTEGER) AS resting_hr, C
        CASE WHEN j % 3 <> 0 THEN CAST(40 + j AS DOUBLE) END AS vo2_max
 FROM pev WHERE k % 10 = 0"""
 
+GARMIN_SLEEP_VIEW = PBASE + """
+SELECT strftime(ts, '%Y-%m-%d') AS day, CAST(round(CAST((25200 + k * 60) / 3600.0 AS DECIMAL(38,10)), 1) AS DOUBLE) AS sleep_hours,
+       CAST(round(CAST((3600 + j * 60) / 60.0 AS DECIMAL(38,10)), 0) AS DOUBLE) AS deep_min, 180.0::DOUBLE AS light_min,
+       CAST(round(CAST((5400 + j * 30) / 60.0 AS DECIMAL(38,10)), 0) AS DOUBLE) AS rem_min,
+       CASE WHEN j % 5 <> 0 THEN CAST(60 + j AS INTEGER) END AS sleep_score
+FROM pev WHERE k % 10 = 2"""
+
+GARMIN_HRV_VIEW = PBASE + f"""
+SELECT strftime(ts, '%Y-%m-%d') AS day, CAST(40 + j AS DOUBLE) AS hrv_weekly_avg_ms, CAST(50 + j AS DOUBLE) AS hrv_last_night_ms,
+       {_list(HRV_STATUS_TEXT)}[j % 4 + 1] AS hrv_status
+FROM pev WHERE k % 10 = 4"""
+
 _W = """
 w AS (
   SELECT 'garmin_connect_iq' AS source, 'watch-' || CAST(user_id AS VARCHAR) AS device_id, r.metric_type,
@@ -127,7 +139,7 @@ WATCH_EVENTS = PBASE + "," + _W + "SELECT * FROM w"
 WATCH_INCREMENTAL = PBASE + "," + _W + """
 SELECT * EXCLUDE (rn) FROM (
   SELECT *, row_number() OVER (PARTITION BY device_id, metric_type ORDER BY recorded_at DESC, value DESC) AS rn
-  FROM w WHERE recorded_at > TIMESTAMP '2024-01-15 00:00:00') WHERE rn <= 60"""
+  FROM w WHERE recorded_at > TIMESTAMP '2024-01-15 00:00:00') WHERE rn <= {cap}"""
 
 _UNITS = dict((c, u) for c, _t, u in HC_SAMPLE_TYPES)
 _HC = f"""
@@ -239,7 +251,10 @@ def platform_oracles() -> dict[str, str]:
         "garmin_bronze_rows": GARMIN_BRONZE_ROWS,
         "garmin_daily_view": GARMIN_DAILY_VIEW,
         "watch_events": WATCH_EVENTS,
-        "watch_incremental": WATCH_INCREMENTAL,
+        "watch_incremental": WATCH_INCREMENTAL.format(cap=10**9),
+        "watch_incremental_capped": WATCH_INCREMENTAL.format(cap=5),
+        "garmin_sleep_view": GARMIN_SLEEP_VIEW,
+        "garmin_hrv_view": GARMIN_HRV_VIEW,
         "hc_samples": HC_SAMPLES + "SELECT * FROM hk",
         "hc_workouts": HC_WORKOUTS,
         "hc_sleep_stages": HC_SLEEP_STAGES,

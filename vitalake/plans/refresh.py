@@ -39,7 +39,7 @@ GOLD_OUTPUTS = {
 }
 
 
-def refresh(spark: SparkSession, bronze_path: str, out: str | None = None, dedup: str = "exact",
+def refresh(spark: SparkSession, bronze_path: str, out: str | None = None, dedup: str = "bounded",
             as_of: str | None = None) -> dict[str, str]:
     root = (out or f"{checkpoint_dir(spark)}/refresh").rstrip("/")
     streaming.run_available_now(spark, bronze_path, f"{root}/silver", dedup=dedup)
@@ -61,7 +61,7 @@ def main() -> None:
     ap = argparse.ArgumentParser(description=__doc__.splitlines()[0])
     ap.add_argument("--bronze", required=True)
     ap.add_argument("--out")
-    ap.add_argument("--dedup", default="exact", choices=["exact", "bounded"])
+    ap.add_argument("--dedup", default="bounded", choices=["exact", "bounded"])
     ap.add_argument("--as-of")
     a = ap.parse_args()
     spark = get_spark()

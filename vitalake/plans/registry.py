@@ -22,8 +22,8 @@ from ..functions.labels import SEED_DEVICE_ID, channel_predicate, ingest_channel
 from ..session import ensure_session
 from ..sources.bronze_store import bronze_path_for, landed_bronze
 from ..streaming import medallion as streaming
-from .medallion import Medallion
-from .oracle import APP_END, APP_START, AS_OF, AS_OF_TS
+from .medallion import Medallion, StoredMedallion
+from .oracle import APP_END, APP_START, AS_OF_TS, as_of
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -39,6 +39,21 @@ def medallion(spark: SparkSession, sf_dir: str) -> Medallion:
     return Medallion(landed_bronze(spark, sf_dir))
 
 
+def stored(spark: SparkSession, sf_dir: str) -> StoredMedallion:
+    """Silver and gold of ``sf_dir``, stored beside its bronze."""
+    ensure_session(spark)
+    bronze = landed_bronze(spark, sf_dir)
+    return StoredMedallion(bronze, bronze_path_for(spark, sf_dir) + "-layers")
+
+
+def _tile(build: Callable[[SparkSession, Medallion], DataFrame]) -> Query:
+    """A view, tile or app query: reads stored layers."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return ntz(build(spark, stored(spark, sf_dir)))
+    run.__doc__ = build.__doc__
+    return run
+
+
 def _q(build: Callable[[SparkSession, Medallion], DataFrame]) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return ntz(build(spark, medallion(spark, sf_dir)))
@@ -68,34 +83,35 @@ MEDALLION_QUERIES: dict[str, Query] = {
     "g_ingest_daily": _q(lambda s, m: m.ingest_daily),
     "g_family_weekly": _q(lambda s, m: m.family_weekly),
     # views (L5, W1)
-    "vw_activity_45d": _q(lambda s, m: gold.activity_last_days(m.activity_enriched, AS_OF, 45)),
-    "vw_sleep_30": _q(lambda s, m: gold.sleep_last_nights(m.sleep_nightly, 30)),
-    "vw_workouts_12w": _q(lambda s, m: gold.workouts_recent(m.weekly_workouts, AS_OF, 84)),
+    "vw_activity_45d": _tile(lambda s, m: gold.activity_last_days(m.activity_enriched, as_of(45), 45)),
+    "vw_sleep_30": _tile(lambda s, m: gold.sleep_last_nights(m.sleep_nightly, 30)),
+    "vw_sleep_5": _tile(lambda s, m: gold.sleep_last_nights(m.sleep_nightly, 5)),
+    "vw_workouts_12w": _tile(lambda s, m: gold.workouts_recent(m.weekly_workouts, as_of(84), 84)),
     # dashboard tiles
-    "dash_01_ingest_overview": _q(lambda s, m: marts.bronze_ingest_overview(m.bronze)),
-    "dash_02_hk_quantity_30d": _q(lambda s, m: marts.hk_quantity_recent(m.hk_quantity_daily, AS_OF, 30)),
-    "dash_03_recent_workouts": _q(lambda s, m: marts.recent_workouts(m.workouts, AS_OF_TS, 14, 200)),
-    "dash_04_sleep_stage_minutes": _q(lambda s, m: marts.sleep_stage_minutes(m.sleep_stages)),
-    "dash_05_ring_adherence": _q(lambda s, m: marts.ring_adherence(m.rings, AS_OF, 30)),
-    "dash_06_silver_gold_volumes": _q(lambda s, m: marts.volumes(m.silver_volumes())),
-    "dash_07_seed_footprint": _q(lambda s, m: marts.seed_footprint(m.bronze)),
-    "dash_08_bronze_freshness": _q(lambda s, m: marts.bronze_freshness(m.bronze, AS_OF_TS)),
-    "dash_09_gold_volumes": _q(lambda s, m: marts.volumes(m.gold_volumes())),
-    "dash_10_activity_60d": _q(lambda s, m: marts.activity_recent(m.activity_enriched, AS_OF, 60)),
-    "dash_11_sleep_90d": _q(lambda s, m: marts.sleep_recent(m.sleep_nightly, AS_OF, 90)),
-    "dash_12_ingest_by_type_90d": _q(lambda s, m: marts.ingest_by_type_recent(m.ingest_daily, AS_OF, 90)),
+    "dash_01_ingest_overview": _tile(lambda s, m: marts.bronze_ingest_overview(m.bronze)),
+    "dash_02_hk_quantity_30d": _tile(lambda s, m: marts.hk_quantity_recent(m.hk_quantity_daily, as_of(30), 30)),
+    "dash_03_recent_workouts": _tile(lambda s, m: marts.recent_workouts(m.workouts, AS_OF_TS, 14, 200)),
+    "dash_04_sleep_stage_minutes": _tile(lambda s, m: marts.sleep_stage_minutes(m.sleep_stages)),
+    "dash_05_ring_adherence": _tile(lambda s, m: marts.ring_adherence(m.rings, as_of(30), 30)),
+    "dash_06_silver_gold_volumes": _tile(lambda s, m: marts.volumes(m.silver_volumes())),
+    "dash_07_seed_footprint": _tile(lambda s, m: marts.seed_footprint(m.bronze)),
+    "dash_08_bronze_freshness": _tile(lambda s, m: marts.bronze_freshness(m.bronze, AS_OF_TS)),
+    "dash_09_gold_volumes": _tile(lambda s, m: marts.volumes(m.gold_volumes())),
+    "dash_10_activity_60d": _tile(lambda s, m: marts.activity_recent(m.activity_enriched, as_of(60), 60)),
+    "dash_11_sleep_90d": _tile(lambda s, m: marts.sleep_recent(m.sleep_nightly, as_of(90), 90)),
+    "dash_12_ingest_by_type_90d": _tile(lambda s, m: marts.ingest_by_type_recent(m.ingest_daily, as_of(90), 90)),
     # parameterised app queries
-    "app_activity_trend": _q(lambda s, m: marts.activity_trend(s, m.activity_enriched, *W)),
-    "app_ingest_daily_trend": _q(lambda s, m: marts.ingest_daily_trend(s, m.bronze, *W)),
-    "app_ingest_mix": _q(lambda s, m: marts.ingest_mix(s, m.ingest_daily, *W)),
-    "app_dashboard_kpis": _q(lambda s, m: marts.dashboard_kpis(s, m.bronze, m.activity_enriched, m.daily_steps, *W)),
-    "app_sleep_summary": _q(lambda s, m: marts.sleep_summary(s, m.sleep_nightly, *W)),
-    "app_steps_leaderboard": _q(lambda s, m: marts.steps_leaderboard(s, m.daily_steps, *W)),
-    "app_rhr_trend": _q(lambda s, m: marts.rhr_trend(s, m.cardio_vitals, *W)),
-    "app_workout_volume": _q(lambda s, m: marts.workout_volume_by_user(s, m.weekly_workouts, *W)),
+    "app_activity_trend": _tile(lambda s, m: marts.activity_trend(s, m.activity_enriched, *W)),
+    "app_ingest_daily_trend": _tile(lambda s, m: marts.ingest_daily_trend(s, m.bronze, *W)),
+    "app_ingest_mix": _tile(lambda s, m: marts.ingest_mix(s, m.ingest_daily, *W)),
+    "app_dashboard_kpis": _tile(lambda s, m: marts.dashboard_kpis(s, m.bronze, m.activity_enriched, m.daily_steps, *W)),
+    "app_sleep_summary": _tile(lambda s, m: marts.sleep_summary(s, m.sleep_nightly, *W)),
+    "app_steps_leaderboard": _tile(lambda s, m: marts.steps_leaderboard(s, m.daily_steps, *W)),
+    "app_rhr_trend": _tile(lambda s, m: marts.rhr_trend(s, m.cardio_vitals, *W)),
+    "app_workout_volume": _tile(lambda s, m: marts.workout_volume_by_user(s, m.weekly_workouts, *W)),
     # P36 with a user search and swapped window bounds; P37 with one record type
-    "app_activity_trend_search": _q(lambda s, m: marts.activity_trend(s, m.activity_enriched, APP_END, APP_START, "1")),
-    "app_ingest_mix_samples": _q(lambda s, m: marts.ingest_mix(s, m.ingest_daily, *W, record_type="samples")),
+    "app_activity_trend_search": _tile(lambda s, m: marts.activity_trend(s, m.activity_enriched, APP_END, APP_START, "1")),
+    "app_ingest_mix_samples": _tile(lambda s, m: marts.ingest_mix(s, m.ingest_daily, *W, record_type="samples")),
     # notebook checks
     "seed_counts": _q(lambda s, m: marts.seed_counts_by_user_type(m.bronze)),
     "platform_types": _q(lambda s, m: marts.platform_type_counts(m.bronze)),
@@ -124,7 +140,7 @@ JOIN_QUERIES: dict[str, Query] = {
     "verify_inserted": _q(lambda s, m: deletes.verify_inserted(m.bronze, _seed_rows(m))),
     # User resolved through the device registry
     "user_by_device": _q(lambda s, m: deletes.attribute_user_by_device(
-        m.bronze, deletes.device_registry(m.bronze, SEED_DEVICE_ID))
+        m.bronze, deletes.device_registry(m.bronze, SEED_DEVICE_ID), SEED_DEVICE_ID)
         .select("record_id", "user_id", "device_id", "resolved_user_id")),
     # X6 batch: latest version per sample from the raw change log, minus deletes
     "samples_current": _q(lambda s, m: deletes.current_state(
@@ -188,7 +204,15 @@ def stream_change_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ntz(read_current(spark, f"{root}/state"))
 
 
+def stream_bronze_mirror(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The bronze mirror, a few files a micro-batch."""
+    medallion(spark, sf_dir)
+    root = streaming.run_bronze_mirror(spark, bronze_path_for(spark, sf_dir), max_files_per_trigger=2)
+    return ntz(streaming.read_sink(spark, root, "bronze").select("record_id", "record_type", "user_id", "ingested_at"))
+
+
 STREAM_QUERIES: dict[str, Query] = {
+    "stream_bronze_mirror": stream_bronze_mirror,
     "stream_change_feed": stream_change_feed,
     "stream_samples": stream_samples,
     "stream_samples_bounded": stream_samples_bounded,
@@ -221,11 +245,15 @@ PLATFORM_QUERIES: dict[str, Query] = {
         F.try_variant_get("headers", "$['X-Device-Id']", "string").alias("device_id"),
         F.try_variant_get("body", "$.date", "string").alias("day"))),
     "garmin_daily_view": _platform("garmin", lambda s, b: garmin.garmin_daily_view(b)),
+    "garmin_sleep_view": _platform("garmin", lambda s, b: garmin.garmin_sleep_view(b)),
+    "garmin_hrv_view": _platform("garmin", lambda s, b: garmin.garmin_hrv_view(b)),
     "garmin_record_spans": _platform("garmin", lambda s, b: marts.record_type_span(b, by_body_date=True)),
     # Garmin watch
     "watch_events": _platform("watch", lambda s, b: _events_out(garmin.explode_watch_batch(b))),
     "watch_incremental": _platform("watch", lambda s, b: _events_out(
         garmin.incremental_since(garmin.explode_watch_batch(b), WATCH_SINCE))),
+    "watch_incremental_capped": _platform("watch", lambda s, b: _events_out(
+        garmin.incremental_since(garmin.explode_watch_batch(b), WATCH_SINCE, cap=5))),
     # Health Connect
     "hc_samples": _platform("health_connect", lambda s, b: hc.hc_samples(s, b)),
     "hc_workouts": _platform("health_connect", lambda s, b: hc.hc_workouts(s, b)),

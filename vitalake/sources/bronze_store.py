@@ -107,7 +107,7 @@ def publish_atomically(spark: SparkSession, target: str, write) -> None:
 
 
 def spread(spark: SparkSession, df: DataFrame) -> DataFrame:
-    """Round-robin the landed rows over 2x the cluster's default parallelism
-    so every ``record_type`` directory gets that many files: readers of one
-    partition then run that many tasks instead of one per small file."""
-    return df.repartition(2 * spark.sparkContext.defaultParallelism)
+    """Rebalance the landed rows by record type: adaptive execution splits and
+    joins the partitions to its advisory size, so the number of files follows
+    the data and not the cluster's cores."""
+    return df.hint("rebalance", *PARTITION_COLUMNS)

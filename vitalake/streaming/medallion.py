@@ -33,6 +33,8 @@ from ..plans.medallion import Medallion
 from ..schemas import BRONZE, BRONZE_COLUMNS
 from ..session import checkpoint_dir
 
+#: files that one micro-batch takes in at most, so that a backlog is worked off in steps
+FILES_PER_TRIGGER = 500
 SILVER_FLOWS = ("events", "samples", "workouts", "sleep_stages", "rings", "deletes")
 
 
@@ -67,9 +69,9 @@ def start_flow(df: DataFrame, sink: str, checkpoint: str, trigger: str = "availa
     return _trigger(w, trigger).start()
 
 
-def start_silver_flows(spark: SparkSession, bronze_path: str, root: str | None = None, dedup: str = "exact",
+def start_silver_flows(spark: SparkSession, bronze_path: str, root: str | None = None, dedup: str = "bounded",
                        trigger: str = "availableNow", channel: str = "all",
-                       flows: tuple[str, ...] = SILVER_FLOWS, max_files_per_trigger: int | None = None
+                       flows: tuple[str, ...] = SILVER_FLOWS, max_files_per_trigger: int | None = FILES_PER_TRIGGER
                        ) -> dict[str, StreamingQuery]:
     """Fan one bronze stream out to one append flow per silver table."""
     root = (root or f"{checkpoint_dir(spark)}/streams/{uuid.uuid4().hex}").rstrip("/")
@@ -81,8 +83,8 @@ def start_silver_flows(spark: SparkSession, bronze_path: str, root: str | None =
     return out
 
 
-def run_available_now(spark: SparkSession, bronze_path: str, root: str | None = None, dedup: str = "exact",
-                      flows: tuple[str, ...] = SILVER_FLOWS, max_files_per_trigger: int | None = None) -> str:
+def run_available_now(spark: SparkSession, bronze_path: str, root: str | None = None, dedup: str = "bounded",
+                      flows: tuple[str, ...] = SILVER_FLOWS, max_files_per_trigger: int | None = FILES_PER_TRIGGER) -> str:
     """Triggered refresh (X5): process everything landed so far, then stop."""
     root = (root or f"{checkpoint_dir(spark)}/streams/{uuid.uuid4().hex}").rstrip("/")
     qs = start_silver_flows(spark, bronze_path, root, dedup, "availableNow", flows=flows,
@@ -94,6 +96,21 @@ def run_available_now(spark: SparkSession, bronze_path: str, root: str | None =
     return root
 
 
+def run_bronze_mirror(spark: SparkSession, bronze_path: str, root: str | None = None,
+                      max_files_per_trigger: int | None = FILES_PER_TRIGGER) -> str:
+    """The bronze table as a stream under its 72 h watermark, appended
+    to a mirror table partitioned by record type."""
+    root = (root or f"{checkpoint_dir(spark)}/streams/{uuid.uuid4().hex}").rstrip("/")
+    b = bronze_stream(spark, bronze_path, watermark=silver.WATERMARKS["bronze"], max_files_per_trigger=max_files_per_trigger)
+    w = (b.writeStream.format("parquet").outputMode("append").partitionBy("record_type")
+         .option("path", f"{root}/tables/bronze").option("checkpointLocation", f"{root}/checkpoints/bronze"))
+    q = _trigger(w, "availableNow").start()
+    q.awaitTermination()
+    if q.exception():
+        raise q.exception()
+    return root
+
+
 def read_sink(spark: SparkSession, root: str, flow: str) -> DataFrame:
     return spark.read.parquet(f"{root}/tables/{flow}")
 
