@@ -47,9 +47,10 @@ from .common import column, documents, fold, scratch, slices, stage, struct, tex
 FOLDS, HELD_OUT = 7, 2
 CUTOFF = 5
 #: occurrences that a bucket holds
-BUCKET = 3_500_000
+BUCKET = 1_400_000
 LEAST_BUCKETS = 24
 SLICE = 8_000_000
+DECIMALS = 1e9
 START, END = np.uint64(1), np.uint64(2)
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
@@ -75,6 +76,38 @@ def unpack_sorted(b: bytes) -> np.ndarray:
     return np.cumsum(unpack(b, np.uint64), dtype=np.uint64)
 
 
+def pack_hashes(a: np.ndarray) -> bytes:
+    """Hashes of which some occur often: those by number, most frequent first, the others in place."""
+    names, at, often = np.unique(a, return_inverse=True, return_counts=True)
+    rank = np.argsort(-often, kind="stable")
+    rank = rank[:int((often > 1).sum())]
+    place = np.zeros(len(names), np.int64)
+    place[rank] = np.arange(1, len(rank) + 1)
+    which = place[at]
+    parts = [pack(names[rank]), pack(a[which == 0]), pack(small(which))]
+    return np.array([len(x) for x in parts[:2]], "<u4").tobytes() + b"".join(parts)
+
+
+def unpack_hashes(b: bytes) -> np.ndarray:
+    m, n = np.frombuffer(b, "<u4", 2).tolist()
+    names, rest, which = unpack(b[8:8 + m], np.uint64), unpack(b[8 + m:8 + m + n], np.uint64), unpack(b[8 + m + n:], np.int32)
+    out = np.empty(len(which), np.uint64)
+    out[which > 0] = names[which[which > 0] - 1]
+    out[which == 0] = rest
+    return out
+
+
+def fixed(a: np.ndarray) -> bytes:
+    """Numbers to 9 decimals: sums of parts do not depend on their order."""
+    n = np.rint(a * DECIMALS).astype(np.int64).ravel()
+    return pack((n << 1 ^ n >> 63).astype(np.uint64))  # the sign in the lowest bit
+
+
+def unfixed(b: bytes) -> np.ndarray:
+    n = unpack(b, np.uint64)
+    return (n >> np.uint64(1)).astype(np.int64) ^ -(n & np.uint64(1)).astype(np.int64)
+
+
 def small(a: np.ndarray) -> np.ndarray:
     """The narrowest unsigned type that holds ``a``."""
     return a.astype(np.min_scalar_type(int(a.max()) if len(a) else 0))
@@ -178,7 +211,7 @@ class Unigrams:
 
 # ------------------------------------------------- 2: occurrences and buckets
 
-_SENT = "bucket int, chunk long, train binary, words binary, sizes binary, histories binary, which binary, docs binary, times binary, meta binary"
+_SENT = "bucket int, chunk long, train binary, words binary, sizes binary, histories binary, docs binary, times binary, meta binary"
 
 
 def occurrences(docs: DataFrame, uni: Unigrams) -> DataFrame:
@@ -214,13 +247,8 @@ def occurrences(docs: DataFrame, uni: Unigrams) -> DataFrame:
             for b in np.flatnonzero(np.diff(cut)).tolist():
                 at = order[cut[b]:cut[b + 1]]
                 words, first = np.unique(w[at], return_index=True)
-                histories, which, often = np.unique(h[at], return_inverse=True, return_counts=True)
-                rank = np.argsort(-often, kind="stable")  # frequent histories get small numbers
-                place = np.empty(len(rank), np.int64)
-                place[rank] = np.arange(len(rank))
                 for n, v in (("bucket", b), ("chunk", base + k), ("train", train), ("words", pack_sorted(words)),
-                             ("sizes", pack(small(np.diff(np.r_[first, len(at)])))), ("histories", pack(histories[rank])),
-                             ("which", pack(small(place[which]))), ("docs", pack(small(doc[at]))), ("times", pack(small(times[at]))),
+                             ("sizes", pack(small(np.diff(np.r_[first, len(at)])))), ("histories", pack_hashes(h[at])), ("docs", pack(small(doc[at]))), ("times", pack(small(times[at]))),
                              ("meta", meta if not rows["meta"] else None)):
                     rows[n].append(v)
             yield pa.RecordBatch.from_arrays([pa.array(rows[f.name], f.type) for f in schema], schema=schema)
@@ -243,29 +271,32 @@ def bucket_step(uni: Unigrams):
         chunks, first_doc, n_docs = [], [], 0
         for r in rows:
             train = np.unpackbits(np.frombuffer(r["train"], np.uint8)).astype(bool)
-            doc = unpack(r["docs"], np.int64)
-            part["w"].append(np.repeat(unpack_sorted(r["words"]), unpack(r["sizes"], np.int64)))
-            part["h"].append(unpack(r["histories"], np.uint64)[unpack(r["which"], np.int64)])
-            part["times"].append(unpack(r["times"], np.int64))
+            doc = unpack(r["docs"], np.int32)
+            part["w"].append(np.repeat(unpack_sorted(r["words"]), unpack(r["sizes"], np.int32)))
+            part["h"].append(unpack_hashes(r["histories"]))
+            part["times"].append(unpack(r["times"], np.int32))
             part["train"].append(train[doc])
-            part["doc"].append(doc + n_docs)
+            part["doc"].append(doc + np.int32(n_docs))
             chunks.append(r["chunk"])
             first_doc.append(n_docs)
             n_docs += len(train)  # padded to whole bytes
-        w, h, times, train, doc = (np.concatenate(part.pop(k)) for k in ("w", "h", "times", "train", "doc"))
-        order = np.argsort(bigram_key(w, h), kind="stable")
-        w, h, times, train, doc = w[order], h[order], times[order], train[order], doc[order]
+        rows = [(r["chunk"], r["meta"]) for r in rows]
+        w, h = np.concatenate(part.pop("w")), np.concatenate(part.pop("h"))
+        order = np.argsort(bigram_key(w, h), kind="stable").astype(np.int32)
+        w, h = w[order], h[order]
+        times, train, doc = (np.concatenate(part.pop(k))[order] for k in ("times", "train", "doc"))
+        del order
         new = np.r_[True, (w[1:] != w[:-1]) | (h[1:] != h[:-1])]
-        pair = np.cumsum(new) - 1
-        counted = times * train
-        c_pair = np.bincount(pair, counted).astype(np.int64)
-        words, at = np.unique(w, return_inverse=True)
-        c_word = np.bincount(at, counted).astype(np.int64)
+        pair = (np.cumsum(new) - 1).astype(np.int32)
+        c_pair = np.bincount(pair, times * train).astype(np.int64)
+        head = np.flatnonzero(new)
+        words, at = np.unique(w[head], return_inverse=True)
+        c_word = np.bincount(at, c_pair, len(words)).astype(np.int64)
         if uni.hot:
             hot = np.array(list(uni.hot), np.uint64)
             where = np.minimum(np.searchsorted(hot, words), len(hot) - 1)
             c_word = np.where(hot[where] == words, np.array(list(uni.hot.values()), np.int64)[where], c_word)
-        c_w, c = c_word[at], c_pair[pair]
+        c_w, c = c_word[at][pair], c_pair[pair]
         seen, known = c > 0, c_w > 0
         gain = np.where(seen, np.log10(np.where(c > CUTOFF, c - 0.5, np.maximum(c, 1))), uni.log_probability(c_w))
         gain -= np.where(known & (w != END), np.log10(np.maximum(c_w, 1)), 0.0)  # as the history of what follows
@@ -278,16 +309,15 @@ def bucket_step(uni: Unigrams):
             for n, v in zip(out, (kind, key, *blobs, *[None] * (4 - len(blobs)))):
                 out[n].append(v)
 
-        for r, chunk, a, z in zip(rows, chunks, first_doc, [*first_doc[1:], n_docs]):
+        for (chunk, meta), a, z in zip(rows, first_doc, [*first_doc[1:], n_docs]):
             own = np.flatnonzero(touched[a:z])
-            put("doc", chunk, pack(small(own)), sums[:, a + own].tobytes(), pack(small(counts[:, a + own].ravel())), r["meta"])
+            put("doc", chunk, pack(small(own)), fixed(sums[:, a + own]), pack(small(counts[:, a + own].ravel())), meta)
         # the bigram table
-        head = np.flatnonzero(new)
         kept = c_pair > 0
         tw, th, tc, tcw = w[head][kept], h[head][kept], c_pair[kept], c_w[head][kept]
         by = np.lexsort((th, tw))
         names, first = np.unique(tw[by], return_index=True)
-        put("bigrams", bucket, pack_sorted(names), pack(small(np.diff(np.r_[first, len(by)]))), pack(th[by]), pack(small(tc[by])))
+        put("bigrams", bucket, pack_sorted(names), pack(small(np.diff(np.r_[first, len(by)]))), pack_hashes(th[by]), pack(small(tc[by])))
         put("counts", bucket, np.bincount(np.minimum(tc, CUTOFF + 2), minlength=CUTOFF + 3)[1:CUTOFF + 2].astype("<i8").tobytes())
         # sums by history
         names, at = np.unique(th, return_inverse=True)
@@ -304,8 +334,10 @@ def bucket_step(uni: Unigrams):
         miss = np.flatnonzero(~seen)
         if len(miss):
             chunk_at = np.searchsorted(first_doc, doc[miss], side="right") - 1
-            put("unseen", bucket, pack(h[miss]), np.array(chunks, "<i8")[chunk_at].tobytes(),
-                pack(small(doc[miss] - np.array(first_doc)[chunk_at])), pack(small(times[miss])))
+            row = doc[miss] - np.array(first_doc)[chunk_at]
+            for k in np.unique(chunk_at).tolist():
+                own = np.flatnonzero(chunk_at == k)
+                put("unseen", chunks[k], pack_hashes(h[miss][own]), pack(small(row[own])), pack(small(times[miss][own])))
         return pa.table(out, schema=schema)
 
     return merge
@@ -337,11 +369,11 @@ def unseen_rows(blobs: DataFrame) -> DataFrame:
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for r in batch.to_pylist():
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(unpack(r["a"], np.uint64).view(np.int64)), pa.array(np.frombuffer(r["b"], "<i8")),
-                    pa.array(unpack(r["c"], np.int32)), pa.array(unpack(r["d"], np.int64))], schema=to_arrow_schema(kind))
+                h = unpack_hashes(r["a"]).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(np.full(len(h), r["key"])), pa.array(unpack(r["b"], np.int32)),
+                                                  pa.array(unpack(r["c"], np.int64))], schema=to_arrow_schema(kind))
 
-    return blobs.select("a", "b", "c", "d").mapInArrow(rows, kind)
+    return blobs.select("key", "a", "b", "c").mapInArrow(rows, kind)
 
 
 _PARTS = ("chunk long, doc int, doc_id long, held_out boolean, n_tokens long, n_known long, base double, gain double, "
@@ -359,13 +391,13 @@ def document_parts(blobs: DataFrame) -> DataFrame:
         ids = np.frombuffer(meta, "<i8", n, 4)
         none, held = np.frombuffer(meta, np.uint8, 2 * n, 4 + 8 * n).reshape(2, n).astype(bool)
         size = np.frombuffer(meta, "<i8", n, 4 + 10 * n)
-        sums, counts = np.zeros((2, n)), np.zeros((CUTOFF + 1, n), np.int64)
-        for r in sorted(rows, key=lambda r: r["a"]):  # the same order of additions whenever it runs
+        sums, counts = np.zeros((2, n), np.int64), np.zeros((CUTOFF + 1, n), np.int64)
+        for r in rows:
             own = unpack(r["a"], np.int64)
-            sums[:, own] += np.frombuffer(r["b"]).reshape(2, -1)
+            sums[:, own] += unfixed(r["b"]).reshape(2, -1)
             counts[:, own] += unpack(r["c"], np.int64).reshape(CUTOFF + 1, -1)
         return pa.table({"chunk": np.full(n, rows[0]["key"]), "doc": np.arange(n, dtype=np.int32), "doc_id": pa.array(ids, mask=none),
-                         "held_out": held, "n_tokens": size, "n_known": counts[0], "base": sums[0], "gain": sums[1],
+                         "held_out": held, "n_tokens": size, "n_known": counts[0], "base": sums[0] / DECIMALS, "gain": sums[1] / DECIMALS,
                          **{f"m{r}": counts[r] for r in range(1, CUTOFF + 1)}}, schema=schema)
 
     return blobs.groupBy("key").applyInArrow(merge, _PARTS)
