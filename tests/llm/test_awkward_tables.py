@@ -5,6 +5,7 @@ from __future__ import annotations
 import pytest
 
 import corpus_pipeline
+from llm_tables import empty_sf, nulls_sf, tables  # noqa: F401
 from vitalake.llm import registry
 
 NAMES = list(registry.queries())

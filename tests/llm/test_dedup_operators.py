@@ -14,7 +14,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from llm_tables import ids_and_texts
+from llm_tables import ids_and_texts, sf, tables  # noqa: F401
 from vitalake.llm import decontamination, line_dedup, packing, registry, simhash_golay
 from vitalake.llm.tokens import Encoder
 

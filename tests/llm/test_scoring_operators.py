@@ -17,7 +17,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from llm_tables import TOXIC, ids_and_texts
+from llm_tables import TOXIC, ids_and_texts, sf, tables  # noqa: F401
 from vitalake.llm import boosted_trees, katz, language_id, pii, quality_cotraining, quality_rules, toxicity
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
