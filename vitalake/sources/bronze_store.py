@@ -19,6 +19,7 @@ import hashlib
 import os
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..schemas import BRONZE_COLUMNS
 from ..session import checkpoint_dir, ensure_session
@@ -107,7 +108,7 @@ def publish_atomically(spark: SparkSession, target: str, write) -> None:
 
 
 def spread(spark: SparkSession, df: DataFrame) -> DataFrame:
-    """Rebalance the landed rows by record type: adaptive execution splits and
-    joins the partitions to its advisory size, so the number of files follows
-    the data and not the cluster's cores."""
-    return df.hint("rebalance", *PARTITION_COLUMNS)
+    """Rebalance the landed rows by record type and day: adaptive execution
+    splits and joins the partitions to its advisory size, so the number of files
+    follows the data and not the cluster's cores, and a file holds few days."""
+    return df.withColumn("_day", F.to_date("ingested_at")).hint("rebalance", *PARTITION_COLUMNS, "_day").drop("_day")
