@@ -16,7 +16,7 @@ from pyspark.sql.types import StructType, _parse_datatype_string
 from ..session import checkpoint_dir
 
 #: code points of text one slice of an Arrow batch may hold; bounds the working set of the numpy steps
-SLICE_CHARS = 4_000_000
+SLICE_CHARS = 1_500_000
 #: labels of fold 0 (crc32 of the id, modulo FOLDS) are never read
 FOLDS = 5
 

@@ -21,7 +21,7 @@ WHITE_SPACE = [9, 10, 11, 12, 13, 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B)
 #: blocks where recent Unicode versions assign characters
 RECENT = [(0x1C80, 0x1C90), (0xA7C0, 0xA800), (0x10500, 0x1E600)]
 OTHER, LETTER, NUMBER, SPACE, DOUBT = range(5)
-CACHE = 400_000
+CACHE = 150_000
 LONGEST_CACHED = 64
 
 
