@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import arrow_map, column, documents, numbered, sampled, stage, texts
+from .common import arrow_map, column, documents, numbered, stage, texts
 
 FIT_ROWS = 20_000
 BUCKETS = 1 << 14
@@ -40,6 +40,8 @@ BUCKETS = 1 << 14
 LEAST_SHARE = 0.001
 #: trigrams overlap, so each counts for a third
 TEMPER = 1 / 3
+#: share of the uniform distribution in each language's model: a short text of rare trigrams is not yet no language
+UNIFORM = 0.1
 STRENGTH = 20.0
 MIN_CONFIDENCE = 0.5
 UND = "und"
@@ -78,9 +80,12 @@ def trigrams(bodies: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return (h >> np.uint32(18)).astype(np.int64)[real], text[1:-1][real]
 
 
-def fit_trigrams(docs: DataFrame, rows: int = FIT_ROWS) -> tuple[list[str], np.ndarray]:
-    """Languages and log-probabilities (language x bucket) from a bounded sample."""
-    known = sampled(docs.where("declared IS NOT NULL"), F.col("key"), rows)
+def fit_trigrams(docs: DataFrame, evidence: DataFrame, rows: int = FIT_ROWS) -> tuple[list[str], np.ndarray]:
+    """Languages and log-probabilities (language x bucket) from a bounded sample
+    of the documents with a declaration."""
+    n = add_evidence(docs.drop("text"), evidence).where("declared IS NOT NULL").count()
+    some = docs if n <= rows else docs.where(F.pmod(F.xxhash64("key", F.lit("sample")), F.lit(1 << 30)) < int(rows / n * (1 << 30)))
+    known = add_evidence(some, evidence).where("declared IS NOT NULL")
 
     def count(batch: pa.RecordBatch) -> dict:
         langs = np.array(column(batch, "declared").to_pylist())
@@ -97,8 +102,8 @@ def fit_trigrams(docs: DataFrame, rows: int = FIT_ROWS) -> tuple[list[str], np.n
     table = np.zeros((len(langs), BUCKETS))
     for r in counts.where(F.col("lang").isin(langs)).collect() if langs else []:  # a row for each language and bucket
         table[langs.index(r.lang), r.bucket] = r.n
-    table += 0.5
-    return langs, np.log(table / table.sum(axis=1, keepdims=True))
+    share = (table + 0.5) / (table + 0.5).sum(axis=1, keepdims=True)
+    return langs, np.log((1 - UNIFORM) * share + UNIFORM / BUCKETS)
 
 
 def likelihoods(bodies: list[str], model: np.ndarray) -> np.ndarray:
@@ -116,14 +121,8 @@ def likelihoods(bodies: list[str], model: np.ndarray) -> np.ndarray:
     return out
 
 
-def with_evidence(docs: DataFrame, pages: DataFrame | None) -> DataFrame:
-    """``(__row, key, text, declared, suffix, host)`` of each document."""
-    base = docs.select("__row", F.col("doc_id").cast("long").alias("key"), "text",
-                       F.lower("lang").alias("own"), F.concat(F.lit("source:"), "source").alias("from"))
-    if pages is None:
-        return base.select("__row", "key", "text", F.col("own").alias("declared"), F.lit(None).cast("string").alias("suffix"),
-                           F.col("from").alias("host"))
-
+def page_evidence(pages: DataFrame) -> DataFrame:
+    """``(key, page struct<page_id, markup, host, suffix>)``, stored: the page of each document."""
     def found(text: Column, pattern: str) -> Column:
         return F.nullif(F.lower(F.regexp_extract(text, pattern, 1)), F.lit(""))
 
@@ -131,10 +130,14 @@ def with_evidence(docs: DataFrame, pages: DataFrame | None) -> DataFrame:
     of = pages.select(found(F.col("url"), PAGE_ID).cast("long").alias("key"), F.struct(
         "page_id", found(F.col("html"), MARKUP).alias("markup"), host.alias("host"),
         F.coalesce(found(F.col("url"), PATH_LANG), found(host, SUFFIX)).alias("suffix")).alias("page"))
-    of = of.where("key IS NOT NULL").groupBy("key").agg(F.min("page").alias("page"))
-    return base.join(of, "key", "left").select(
-        "__row", "key", "text", F.coalesce("page.markup", "own").alias("declared"), F.col("page.suffix").alias("suffix"),
-        F.coalesce("page.host", "from").alias("host"))
+    return stage(of.where("key IS NOT NULL").groupBy("key").agg(F.min("page").alias("page")), "page-evidence")
+
+
+def add_evidence(rows: DataFrame, evidence: DataFrame) -> DataFrame:
+    """``rows(key, own, from, ...)`` with ``declared``, ``suffix`` and ``host``."""
+    return rows.join(evidence, "key", "left").select(
+        *[c for c in rows.columns if c not in ("own", "from")], F.coalesce("page.markup", "own").alias("declared"),
+        F.col("page.suffix").alias("suffix"), F.coalesce("page.host", "from").alias("host"))
 
 
 def domain(host: Column) -> Column:
@@ -142,22 +145,23 @@ def domain(host: Column) -> Column:
     return F.when(host.startswith("source:"), "source:").otherwise(F.substring_index(host, ".", -2))
 
 
-def identify(docs: DataFrame, pages: DataFrame | None = None, fit_rows: int = FIT_ROWS, strength: float = STRENGTH) -> DataFrame:
+def identify(docs: DataFrame, pages: DataFrame, fit_rows: int = FIT_ROWS, strength: float = STRENGTH) -> DataFrame:
     """``(__row, key, language, confidence, text_language, declared, host)`` of
     ``docs`` (numbered by ``__row``)."""
     spark = docs.sparkSession
-    rows = with_evidence(docs, pages)
-    langs, model = fit_trigrams(rows, fit_rows)
+    rows = docs.select("__row", F.col("doc_id").cast("long").alias("key"), "text", F.lower("lang").alias("own"),
+                       F.concat(F.lit("source:"), "source").alias("from"))
+    evidence = page_evidence(pages)
+    langs, model = fit_trigrams(rows, evidence, fit_rows)
     names = [*langs, UND]
     shared = spark.sparkContext.broadcast(model)
 
     def score(batch: pa.RecordBatch) -> dict:
         ll = likelihoods(texts(batch), shared.value)
-        return {n: column(batch, n) for n in ("__row", "key", "declared", "suffix", "host")} | {
-            "ll": ll.tolist(), "best": [names[k] for k in ll.argmax(axis=1)]}
+        return {n: column(batch, n) for n in ("__row", "key", "own", "from")} | {"ll": ll.tolist(), "best": [names[k] for k in ll.argmax(axis=1)]}
 
-    seen = stage(arrow_map(rows, score, "__row long, key long, declared string, suffix string, host string, ll array<double>, best string"),
-                 "language-likelihoods")
+    scored = arrow_map(rows, score, "__row long, key long, own string, from string, ll array<double>, best string")
+    seen = stage(add_evidence(scored, evidence), "language-likelihoods")
 
     def confusion(name: str) -> np.ndarray:
         """log P(declared | language); the last column is for all other declarations."""
