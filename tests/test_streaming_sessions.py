@@ -46,6 +46,33 @@ def test_f16_dedup_modes_and_late_data(spark, tmp_path):
     assert with_time[1] == 2 and bounded[1] == 2
 
 
+def test_backlog_in_many_batches_loses_no_row(spark, tmp_path):
+    """30 days in one file a day, newest first, one file a micro-batch: the keys of the batch form."""
+    from conftest import make_bronze
+    from vitalake.operators import silver
+    from vitalake.sources.bronze_store import read_bronze, write_bronze
+    from vitalake.streaming import medallion as streaming
+
+    path = str(tmp_path / "bronze")
+    for day in range(30, 0, -1):
+        rows = [{"record_id": f"r{day}-{k}", "record_type": "samples", "ingested_at": f"2026-01-{day:02d}T0{k}:00:00Z",
+                 "body": {"uuid": f"s{day}" if k < 2 else f"s{day % 7}", "type": "x", "value": 1.0}} for k in range(3)]
+        write_bronze(make_bronze(spark, rows).coalesce(1), path, "append")
+    want = sorted(r.hk_uuid for r in silver.samples(read_bronze(spark, path)).select("hk_uuid").collect())
+    assert want == sorted(f"s{k}" for k in range(31))
+    for dedup in ("exact", "bounded"):
+        root = streaming.run_available_now(spark, path, str(tmp_path / dedup), dedup, ("samples",), max_files_per_trigger=1)
+        assert sorted(r.hk_uuid for r in streaming.read_sink(spark, root, "samples").collect()) == want
+
+
+def test_silver_flows_have_no_size_switch():
+    import inspect
+    from vitalake.streaming import medallion as streaming
+
+    for f in (streaming.run_available_now, streaming.start_silver_flows):
+        assert inspect.signature(f).parameters["max_files_per_trigger"].default is None
+
+
 def _single_window(df, gap=1800):
     w = Window.partitionBy("user_id").orderBy("start_at", "end_at", "uuid")
     prev = F.lag("end_at").over(w)

@@ -13,6 +13,8 @@ The same functions serve batch and streaming: they only ``filter`` and
 * ``"bounded"`` (stream): ``dropDuplicatesWithinWatermark([key])`` -- state
   evicted past the watermark.
 * ``"none"``: keep every row.
+
+``watermark`` replaces the flow's fixed watermark in the two stream modes.
 """
 
 from __future__ import annotations
@@ -54,7 +56,7 @@ def _of_type(bronze: DataFrame, record_type: str) -> DataFrame:
     return bronze.filter(F.col("record_type") == F.lit(record_type))
 
 
-def events(bronze: DataFrame, dedup_mode: str = "first") -> DataFrame:
+def events(bronze: DataFrame, dedup_mode: str = "first", watermark: str | None = None) -> DataFrame:
     """One normalised event row per bronze document, any record type."""
     event_id = F.coalesce(body_str("$.uuid"), F.col("record_id"))
     metric_type = F.coalesce(
@@ -72,10 +74,10 @@ def events(bronze: DataFrame, dedup_mode: str = "first") -> DataFrame:
         event_id.alias("event_id"), F.col("user_id").alias("subject_id"), metric_type.alias("metric_type"),
         effective.alias("effective_time"), value_number.alias("value_number"),
     ).filter(F.col("event_id").isNotNull() & F.col("metric_type").isNotNull())
-    return dedup(out, "event_id", dedup_mode, WATERMARKS["events"])
+    return dedup(out, "event_id", dedup_mode, watermark or WATERMARKS["events"])
 
 
-def samples(bronze: DataFrame, dedup_mode: str = "first") -> DataFrame:
+def samples(bronze: DataFrame, dedup_mode: str = "first", watermark: str | None = None) -> DataFrame:
     """P5: HealthKit quantity samples."""
     out = _of_type(bronze, "samples").select(
         "record_id", "ingested_at", "user_id",
@@ -87,10 +89,10 @@ def samples(bronze: DataFrame, dedup_mode: str = "first") -> DataFrame:
         parse_ts(body_str("$.end_date")).alias("end_at"),
         body_str("$.source_name").alias("source_name"),
     ).filter(F.col("hk_type").isNotNull())
-    return dedup(out, "hk_uuid", dedup_mode, WATERMARKS["samples"])
+    return dedup(out, "hk_uuid", dedup_mode, watermark or WATERMARKS["samples"])
 
 
-def workouts(bronze: DataFrame, dedup_mode: str = "first") -> DataFrame:
+def workouts(bronze: DataFrame, dedup_mode: str = "first", watermark: str | None = None) -> DataFrame:
     """Typed workouts."""
     out = _of_type(bronze, "workouts").select(
         "record_id", "ingested_at", "user_id",
@@ -104,10 +106,10 @@ def workouts(bronze: DataFrame, dedup_mode: str = "first") -> DataFrame:
         body_dbl("$.total_distance_meters").alias("total_distance_meters"),
         body_str("$.source_name").alias("source_name"),
     )
-    return dedup(out, "workout_uuid", dedup_mode, WATERMARKS["workouts"])
+    return dedup(out, "workout_uuid", dedup_mode, watermark or WATERMARKS["workouts"])
 
 
-def sleep_stages(bronze: DataFrame, dedup_mode: str = "first") -> DataFrame:
+def sleep_stages(bronze: DataFrame, dedup_mode: str = "first", watermark: str | None = None) -> DataFrame:
     """One row per stage; a stage without uuid gets sha256(record|stage|start)."""
     parsed = _of_type(bronze, "sleep").select(
         F.col("record_id").alias("sleep_record_id"), "ingested_at", "user_id",
@@ -125,10 +127,11 @@ def sleep_stages(bronze: DataFrame, dedup_mode: str = "first") -> DataFrame:
         parse_ts(F.col("st.start_date")).alias("stage_start_at"),
         parse_ts(F.col("st.end_date")).alias("stage_end_at"),
     )
-    return dedup(out, "stage_uuid", dedup_mode, WATERMARKS["sleep_stages"], ("ingested_at", "sleep_record_id"))
+    return dedup(out, "stage_uuid", dedup_mode, watermark or WATERMARKS["sleep_stages"], ("ingested_at", "sleep_record_id"))
 
 
-def activity_rings(bronze: DataFrame, dedup_mode: str = "first", natural_key: bool = False) -> DataFrame:
+def activity_rings(bronze: DataFrame, dedup_mode: str = "first", natural_key: bool = False,
+                   watermark: str | None = None) -> DataFrame:
     """Daily ring summaries.  T5: the reference keys on record_id, so a
     re-sent day is kept twice; ``natural_key=True`` keeps the latest per
     (user_id, summary_date) instead."""
@@ -147,17 +150,17 @@ def activity_rings(bronze: DataFrame, dedup_mode: str = "first", natural_key: bo
         latest = out.groupBy("user_id", "summary_date").agg(
             F.max_by(F.struct(*rest), F.struct("ingested_at", "record_id")).alias("_l"))
         return latest.select("user_id", "summary_date", "_l.*").select(*out.columns)
-    return dedup(out, "record_id", dedup_mode, WATERMARKS["rings"])
+    return dedup(out, "record_id", dedup_mode, watermark or WATERMARKS["rings"])
 
 
-def deletes(bronze: DataFrame, dedup_mode: str = "first") -> DataFrame:
+def deletes(bronze: DataFrame, dedup_mode: str = "first", watermark: str | None = None) -> DataFrame:
     """Delete notices."""
     out = _of_type(bronze, "deletes").select(
         "record_id", "ingested_at", "user_id",
         body_str("$.uuid").alias("deleted_uuid"),
         body_str("$.sample_type").alias("deleted_sample_type"),
     )
-    return dedup(out, "record_id", dedup_mode, WATERMARKS["deletes"])
+    return dedup(out, "record_id", dedup_mode, watermark or WATERMARKS["deletes"])
 
 
 def category_samples(df: DataFrame, value_col: str = "value") -> DataFrame:

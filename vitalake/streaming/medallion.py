@@ -13,7 +13,11 @@ streaming bronze with a streaming de-duplication mode:
 * watermarks and dedup (X1, X2, X7): ``dedup="exact"`` is the reference's
   ``dropDuplicates(key)`` (state never evicted, T4); ``"bounded"`` is
   ``dropDuplicatesWithinWatermark(key)``.  Rows older than the watermark
-  are dropped by the stateful operator;
+  are dropped by the stateful operator.  Files come in no order of
+  ``ingested_at``, so a silver flow takes what has landed since its last run as
+  one micro-batch, in which nothing is late; where the caller caps the files of a
+  micro-batch, the watermark is widened by the time span of the whole table,
+  and no row that had landed when the flow started is late either;
 * ``gold_from_sinks`` (X4): the stream-static boundary -- gold is a batch
   read of the silver sinks after each run.
 """
@@ -33,7 +37,7 @@ from ..plans.medallion import Medallion
 from ..schemas import BRONZE, BRONZE_COLUMNS
 from ..session import checkpoint_dir
 
-#: files that one micro-batch takes in at most, so that a backlog is worked off in steps
+#: files that one micro-batch of the mirror takes in at most (it drops no late row), so that a backlog is worked off in steps
 FILES_PER_TRIGGER = 500
 SILVER_FLOWS = ("events", "samples", "workouts", "sleep_stages", "rings", "deletes")
 
@@ -69,22 +73,30 @@ def start_flow(df: DataFrame, sink: str, checkpoint: str, trigger: str = "availa
     return _trigger(w, trigger).start()
 
 
+def landed_span(spark: SparkSession, path: str) -> int:
+    """Seconds between the oldest and the newest row of a bronze table, rounded up."""
+    at = F.unix_micros("ingested_at")
+    return spark.read.schema(BRONZE).parquet(path).agg(
+        F.ceil((F.max(at) - F.min(at)) / 1e6).cast("long").alias("span")).first().span or 0
+
+
 def start_silver_flows(spark: SparkSession, bronze_path: str, root: str | None = None, dedup: str = "bounded",
                        trigger: str = "availableNow", channel: str = "all",
-                       flows: tuple[str, ...] = SILVER_FLOWS, max_files_per_trigger: int | None = FILES_PER_TRIGGER
+                       flows: tuple[str, ...] = SILVER_FLOWS, max_files_per_trigger: int | None = None
                        ) -> dict[str, StreamingQuery]:
     """Fan one bronze stream out to one append flow per silver table."""
     root = (root or f"{checkpoint_dir(spark)}/streams/{uuid.uuid4().hex}").rstrip("/")
+    span = landed_span(spark, bronze_path) if max_files_per_trigger and dedup in ("exact", "bounded") else 0
     out = {}
     for flow in flows:
         b = bronze_stream(spark, bronze_path, channel, max_files_per_trigger=max_files_per_trigger)
-        df = silver.SILVER[flow](b, dedup)
+        df = silver.SILVER[flow](b, dedup, watermark=f"{silver.WATERMARKS[flow]} {span} seconds")
         out[flow] = start_flow(df, f"{root}/tables/{flow}", f"{root}/checkpoints/{flow}", trigger)
     return out
 
 
 def run_available_now(spark: SparkSession, bronze_path: str, root: str | None = None, dedup: str = "bounded",
-                      flows: tuple[str, ...] = SILVER_FLOWS, max_files_per_trigger: int | None = FILES_PER_TRIGGER) -> str:
+                      flows: tuple[str, ...] = SILVER_FLOWS, max_files_per_trigger: int | None = None) -> str:
     """Triggered refresh (X5): process everything landed so far, then stop."""
     root = (root or f"{checkpoint_dir(spark)}/streams/{uuid.uuid4().hex}").rstrip("/")
     qs = start_silver_flows(spark, bronze_path, root, dedup, "availableNow", flows=flows,
