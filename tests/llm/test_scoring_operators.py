@@ -17,7 +17,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from llm_tables import TOXIC, ids_and_texts, sf, tables  # noqa: F401
+from llm_tables import TOXIC, ids_and_texts, prose, sf, tables  # noqa: F401
 from vitalake.llm import boosted_trees, katz, language_id, pii, quality_cotraining, quality_rules, toxicity
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -288,6 +288,27 @@ def test_host_and_markup_decide_where_the_text_does_not(spark, tmp_path):
     assert out[400].language == "de" and out[401].language == "en"
 
 
+def test_rare_languages_are_known(spark):
+    """Two languages far under a thousandth of the fitted sample: one by its own text, one by declaration alone."""
+    rng = random.Random(8)
+    rows = [(prose(rng, lang, 40), lang) for lang in ("en", "de") for _ in range(3000)]
+    letters = {"fi": "aa kk ii yö tä lla ssa nen uo mm".split(), "eu": "tx eta arr zk ko tz ak eg uz ba".split()}
+    rare = lambda lang, n: " ".join("".join(rng.choices(letters[lang], k=rng.randint(2, 4))) for _ in range(n))
+    rows += [(rare("fi", 1200), "fi") for _ in range(4)] + [(rare("eu", 30), "eu") for _ in range(3)] + [(rare("fi", 60), None)]
+    docs = spark.createDataFrame([(k, t, lang, "s", k) for k, (t, lang) in enumerate(rows)],
+                                 "doc_id long, text string, lang string, source string, __row long")
+    pages = spark.createDataFrame([], "page_id long, url string, html string")
+    out = {r.key: (r.language, r.accepted) for r in language_id.identify(docs, pages, fit_rows=1000)
+           .withColumn("accepted", language_id.accepted()).collect()}
+    assert [out[6000 + k] for k in range(8)] == [("fi", True)] * 4 + [("eu", True)] * 3 + [("fi", True)]
+    assert np.mean([out[k] == (lang, True) for k, (_, lang) in enumerate(rows[:6000])]) > 0.99
+
+
+def test_quota_takes_rare_languages_whole():
+    assert language_id.quota([10, 5000, 6000], 1000) == 495
+    assert language_id.quota([10, 20], 1000) >= 20 and language_id.quota([], 1000) and language_id.quota([9] * 500, 1000) >= 9
+
+
 def test_pipeline_stages_by_brute_force(spark, sf, tables):
     docs = corpus_pipeline.documents(spark, sf)
     names = docs.columns

@@ -10,9 +10,14 @@ The posterior of a document's language is the product of
     the whole corpus (Dirichlet, ``strength`` pseudo-counts a level), from
     grouped counts over all documents.
 
-The trigram model is fitted on a bounded sample (``FIT_ROWS`` documents, by a
-hash of the id) with the declared languages as labels; counts of hosts and
-confusions cover every document.  A document without a page uses its ``lang``
+The trigram models are fitted on a sample stratified by declared language, with
+the declarations as labels: so many documents of each that ``FIT_ROWS`` are used, all
+documents of the rare ones, ``LEAST_ROWS`` of each at least.  Every declared
+language is known.  One with fewer than ``LEAST_TRIGRAMS`` trigrams is thin: its
+model says little, so in documents whose markup, address or host names it, its
+likelihood is at least that of text that fits the best model a little worse
+(``MARGIN``) than that model's own text does; the other evidence decides.  Counts of
+hosts and confusions cover every document.  A document without a page uses its ``lang``
 column as declaration and its ``source`` as host.  Rejected are documents whose
 best language has a posterior under ``MIN_CONFIDENCE`` or is ``und``; texts
 without any letter are ``und``.
@@ -36,8 +41,12 @@ from .common import arrow_map, column, documents, numbered, stage, texts
 
 FIT_ROWS = 20_000
 BUCKETS = 1 << 14
-#: declared languages that the model knows: those with at least this share of the fitted rows
-LEAST_SHARE = 0.001
+#: fitted documents of each language, if it has so many
+LEAST_ROWS = 100
+#: with fewer trigrams than this a language's model is hardly more than its pseudo-counts
+LEAST_TRIGRAMS = BUCKETS
+#: log-probability a trigram by which text of a language without a model of its own is worse than that of the best model
+MARGIN = 0.3
 #: trigrams overlap, so each counts for a third
 TEMPER = 1 / 3
 #: share of the uniform distribution in each language's model: a short text of rare trigrams is not yet no language
@@ -80,30 +89,53 @@ def trigrams(bodies: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return (h >> np.uint32(18)).astype(np.int64)[real], text[1:-1][real]
 
 
-def fit_trigrams(docs: DataFrame, evidence: DataFrame, rows: int = FIT_ROWS) -> tuple[list[str], np.ndarray]:
-    """Languages and log-probabilities (language x bucket) from a bounded sample
-    of the documents with a declaration."""
-    n = add_evidence(docs.drop("text"), evidence).where("declared IS NOT NULL").count()
-    some = docs if n <= rows else docs.where(F.pmod(F.xxhash64("key", F.lit("sample")), F.lit(1 << 30)) < int(rows / n * (1 << 30)))
-    known = add_evidence(some, evidence).where("declared IS NOT NULL")
+def quota(counts: list[int], rows: int) -> int:
+    """Documents to take of each language, so that about ``rows`` are taken together."""
+    left, counts = rows, sorted(counts)
+    for k, n in enumerate(counts):
+        if n * (len(counts) - k) > left:
+            return max(LEAST_ROWS, left // (len(counts) - k))
+        left -= n
+    return max(LEAST_ROWS, counts[-1] if counts else 0)
+
+
+class Models:
+    """The trigram models: log-probabilities (language x bucket), the mean log-probability
+    of each language's own text, and the languages that have too little text."""
+
+    def __init__(self, langs: list[str], table: np.ndarray):
+        size = table.sum(axis=1)
+        share = (table + 0.5) / (table + 0.5).sum(axis=1, keepdims=True)
+        self.langs, self.log = langs, np.log((1 - UNIFORM) * share + UNIFORM / BUCKETS)
+        self.own = (table * self.log).sum(axis=1) / np.maximum(size, 1)
+        self.thin = [l for l, n in zip(langs, size) if n < LEAST_TRIGRAMS]
+
+
+def fit_trigrams(docs: DataFrame, evidence: DataFrame, rows: int = FIT_ROWS) -> Models:
+    """Models of all declared languages from a bounded sample of each."""
+    said = stage(add_evidence(docs.drop("text"), evidence).where(F.col("declared").isNotNull() & ~F.col("declared").isin("", UND))
+                 .select("__row", "key", "declared"), "language-declared")
+    sizes = {r.declared: r.n for r in said.groupBy("declared").agg(F.count("*").alias("n")).collect()}  # a row for each language
+    langs, most = sorted(sizes), quota(list(sizes.values()), rows)
+    limits = docs.sparkSession.createDataFrame([(l, min(1 << 30, most * (1 << 30) // n)) for l, n in sizes.items()], "declared string, limit long")
+    some = (said.join(F.broadcast(limits), "declared")
+            .where(F.pmod(F.xxhash64("key", F.lit("sample")), F.lit(1 << 30)) < F.col("limit")).select("__row"))
+    known = add_evidence(docs.join(F.broadcast(some), "__row", "left_semi"), evidence).where(F.col("declared").isin(langs))
 
     def count(batch: pa.RecordBatch) -> dict:
         langs = np.array(column(batch, "declared").to_pylist())
         buckets, text = trigrams(texts(batch))
         names, code = np.unique(langs, return_inverse=True)
-        n = np.bincount(code[text] * BUCKETS + buckets, minlength=len(names) * BUCKETS)
-        at = np.flatnonzero(n)
-        return {"lang": names[at // BUCKETS].tolist(), "bucket": at % BUCKETS, "n": n[at]}
-
-    counts = arrow_map(known.select("declared", "text"), count, "lang string, bucket int, n long")
-    counts = counts.groupBy("lang", "bucket").agg(F.sum("n").alias("n")).checkpoint()
-    total = counts.groupBy("lang").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "lang").limit(int(1 / LEAST_SHARE)).collect()
-    langs = sorted(r.lang for r in total if r.n >= LEAST_SHARE * sum(x.n for x in total))
+        key, n = np.unique(code[text] * BUCKETS + buckets, return_counts=True)
+        return {"lang": names[key // BUCKETS].tolist(), "bucket": key % BUCKETS, "n": n}
+
     table = np.zeros((len(langs), BUCKETS))
-    for r in counts.where(F.col("lang").isin(langs)).collect() if langs else []:  # a row for each language and bucket
-        table[langs.index(r.lang), r.bucket] = r.n
-    share = (table + 0.5) / (table + 0.5).sum(axis=1, keepdims=True)
-    return langs, np.log((1 - UNIFORM) * share + UNIFORM / BUCKETS)
+    if langs:
+        counts = arrow_map(known.select("declared", "text"), count, "lang string, bucket int, n long")
+        place = {l: k for k, l in enumerate(langs)}
+        for r in counts.groupBy("lang", "bucket").agg(F.sum("n").alias("n")).collect():  # a row for each language and bucket
+            table[place[r.lang], r.bucket] = r.n
+    return Models(langs, table)
 
 
 def likelihoods(bodies: list[str], model: np.ndarray) -> np.ndarray:
@@ -152,49 +184,73 @@ def identify(docs: DataFrame, pages: DataFrame, fit_rows: int = FIT_ROWS, streng
     rows = docs.select("__row", F.col("doc_id").cast("long").alias("key"), "text", F.lower("lang").alias("own"),
                        F.concat(F.lit("source:"), "source").alias("from"))
     evidence = page_evidence(pages)
-    langs, model = fit_trigrams(rows, evidence, fit_rows)
+    models = fit_trigrams(rows, evidence, fit_rows)
+    langs, thin = models.langs, models.thin
     names = [*langs, UND]
-    shared = spark.sparkContext.broadcast(model)
+    place = {n: k for k, n in enumerate(langs)}
+    shared = spark.sparkContext.broadcast((models.log, models.own))
 
     def score(batch: pa.RecordBatch) -> dict:
-        ll = likelihoods(texts(batch), shared.value)
-        return {n: column(batch, n) for n in ("__row", "key", "own", "from")} | {"ll": ll.tolist(), "best": [names[k] for k in ll.argmax(axis=1)]}
-
-    scored = arrow_map(rows, score, "__row long, key long, own string, from string, ll array<double>, best string")
-    seen = stage(add_evidence(scored, evidence), "language-likelihoods")
+        model, own = shared.value
+        ll = likelihoods(texts(batch), model)
+        level = ll[:, -1]  # of a thin language that other evidence names
+        if langs:
+            top = ll[:, :-1].argmax(axis=1)
+            level = np.where(ll[:, 0] == -50.0, -50.0, level / -np.log(BUCKETS) * (own[top] - MARGIN))  # -50: no letters
+        return {n: column(batch, n) for n in ("__row", "key", "own", "from")} | {
+            "ll": ll.tolist(), "level": level, "top": ll.max(axis=1), "best": [names[k] for k in ll.argmax(axis=1)]}
+
+    scored = arrow_map(rows, score, "__row long, key long, own string, from string, ll array<double>, level double, top double, best string")
+    named = F.lit(None).cast("string")
+    for name in ("suffix", "declared") if thin else ():
+        named = F.when(F.col(name).isin(thin), F.col(name)).otherwise(named)
+    seen = stage(add_evidence(scored, evidence).withColumn("best", F.when(F.col("level") >= F.col("top"), F.coalesce(named, "best"))
+                                                           .otherwise(F.col("best"))).drop("top"), "language-likelihoods")
 
     def confusion(name: str) -> np.ndarray:
         """log P(declared | language); the last column is for all other declarations."""
-        n = np.full((len(names), len(langs) + 1), 0.5)
+        n = np.full((len(names), len(langs) + 1), min(0.5, 2.5 / (len(langs) + 1)))
         other = F.when(F.col(name).isin(langs), F.col(name)).otherwise("").alias("said") if langs else F.lit("").alias("said")
         for r in seen.where(F.col(name).isNotNull()).groupBy("best", other).agg(F.count("*").alias("n")).collect():
-            n[names.index(r.best), langs.index(r.said) if r.said in langs else -1] += r.n
+            n[place.get(r.best, -1), place.get(r.said, -1)] += r.n
         return np.log(n / n.sum(axis=1, keepdims=True))
 
-    by_text = [F.sum((F.col("best") == n).cast("long")).alias(f"n{k}") for k, n in enumerate(names)]
-    columns = [f"n{k}" for k in range(len(names))]
-    host = seen.where("host IS NOT NULL").groupBy("host").agg(*by_text).withColumn("domain", domain(F.col("host"))).checkpoint()
-    wide = host.groupBy("domain").agg(*[F.sum(c).alias(c) for c in columns])
-    whole = seen.agg(*by_text).first()
-    total = sum(x or 0 for x in whole)
-    base = np.array([((x or 0) + 1) / (total + len(names)) for x in whole])
-
-    def smoothed(counts: list[str], prior: list[Column]) -> list[Column]:
-        n = sum((F.col(c) for c in counts[1:]), F.col(counts[0]))
-        return [(F.col(c) + strength * p) / (n + strength) for c, p in zip(counts, prior)]
-
-    wide = wide.select("domain", F.array(*smoothed(columns, [F.lit(float(b)) for b in base])).alias("up"))
-    prior = host.join(wide, "domain").select("host", F.array(*smoothed(columns, [F.col("up")[k] for k in range(len(names))])).alias("prior"))
-    tables = spark.sparkContext.broadcast((base, confusion("declared"), confusion("suffix")))
-    place = {n: k for k, n in enumerate(langs)}
+    def by_language(rows: DataFrame, of: str, name: str) -> DataFrame:
+        """How many rows of each ``of`` have which best language."""
+        return rows.groupBy(of).agg(F.map_from_entries(F.collect_list(F.struct("best", "n"))).alias(name))  # an entry for each language
+
+    host = seen.where("host IS NOT NULL").groupBy("host", "best").agg(F.count("*").alias("n")).withColumn("domain", domain(F.col("host"))).checkpoint()
+    wide = host.groupBy("domain", "best").agg(F.sum("n").alias("n"))
+    whole = np.ones(len(names))
+    for r in seen.groupBy("best").agg(F.count("*").alias("n")).collect():  # a row for each language
+        whole[place.get(r.best, -1)] += r.n
+    prior = (by_language(host, "host", "here").withColumn("domain", domain(F.col("host")))
+             .join(by_language(wide, "domain", "around"), "domain").select("host", "here", "around"))
+    tables = spark.sparkContext.broadcast((whole / whole.sum(), confusion("declared"), confusion("suffix")))
+
+    def smoothed(counts: list[tuple[str, int]], p: np.ndarray) -> np.ndarray:
+        out = strength * p
+        for name, n in counts:
+            out[place.get(name, -1)] += n
+        return out / (sum(n for _, n in counts) + strength)
+
+    faint = {place[n] for n in thin}
 
     def fuse(batch: pa.RecordBatch) -> dict:
         whole, said, named = tables.value
         post = np.array(column(batch, "ll").to_pylist(), float).reshape(batch.num_rows, len(names))
         text_best = post.argmax(axis=1)
-        post += np.log(np.array([p if p else whole for p in column(batch, "prior").to_pylist()]))
-        for name, table in (("declared", said), ("suffix", named)):
-            for k, value in enumerate(column(batch, name).to_pylist()):
+        level = column(batch, "level").to_numpy()
+        known: dict[str, np.ndarray] = {}
+        evidence = zip(*(column(batch, n).to_pylist() for n in ("host", "here", "around", "declared", "suffix")))
+        for k, (host, here, around, *words) in enumerate(evidence):
+            if host not in known:
+                known[host] = smoothed(here, smoothed(around, whole)) if here else whole
+            p = known[host]
+            for t in faint & {*map(place.get, words), int(p.argmax()) if here else -1}:
+                post[k, t] = max(post[k, t], level[k])
+            post[k] += np.log(p)
+            for value, table in zip(words, (said, named)):
                 if value is not None:
                     post[k] += table[:, place.get(value, -1)]
         post = np.exp(post - post.max(axis=1, keepdims=True))
