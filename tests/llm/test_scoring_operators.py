@@ -78,6 +78,34 @@ def test_op1_passage_covers_the_words(spark):
     assert r.score > 0.5 and (best.begin, best.end) == (7, 10)
 
 
+def test_op1_finds_repeated_and_late_passages(spark):
+    train = [(f"plain text of words that say {k} nothing much at all", 0) for k in range(400)]
+    train += [(f"plain text with {TOXIC[k % 5]} {TOXIC[(k + 1) % 5]} in it of words {k}", 1) for k in range(400)]
+    df = spark.createDataFrame([(k, t) for k, (t, _) in enumerate(train)], "doc_id long, text string")
+    model = toxicity.train_model(df, spark.createDataFrame([(k, y) for k, (_, y) in enumerate(train)], "doc_id long, toxic int"))
+    plain, abuse = "text of words that say nothing much at all".split(), TOXIC * 2
+    twice = plain + abuse + plain * 20 + abuse + plain
+    late = [w for t in TOXIC for w in [*plain * 4, t]] + plain * 50 + abuse + plain
+    rows = [(1, " ".join(twice)), (2, " ".join(late)), (3, " ".join([*plain, *["moron"] * 12, *plain])), (4, " ".join([*plain, "moron", *plain]))]
+    out = {r.doc_id: r for r in toxicity.score_documents(spark.createDataFrame(rows, "doc_id long, text string"), model).collect()}
+    assert [(p.begin, p.end) for p in out[1].passages] == [(9, 19), (9 + 10 + 180, 9 + 20 + 180)]
+    assert (len(late) - 19, len(late) - 9) in [(p.begin, p.end) for p in out[2].passages]
+    assert out[3].p_value_log10 < out[4].p_value_log10 - 1  # abuse that repeats one word
+
+
+def test_op1_sum_statistic_runs_over_all_segments():
+    one = np.zeros(1)
+    model = toxicity.Model(one, one, one, one)
+    model.scale, model.log_k = 1.0, 0.0
+    score = lambda k: model.value([(np.log(100) + 2.0, 0, 1)] * k, 100)
+    assert score(40) > score(20) > score(8) > 0
+    rng = np.random.default_rng(4)  # the bound holds: sums of the r highest of a Poisson process
+    for r in (6, 10):
+        total = -r * np.log(rng.gamma(r, size=200_000)) + rng.gamma(r - 1, size=200_000)
+        for q in (0.1, 0.01, 0.001):
+            assert 0 < toxicity.chernoff(r, float(np.quantile(total, 1 - q))) <= -np.log(q)
+
+
 # ------------------------------------------------------------------------ op2
 
 def test_op2_brute_force_and_normalisation(spark, sf, tables):

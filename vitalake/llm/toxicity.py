@@ -4,11 +4,11 @@ A word's score is its log-odds between toxic and clean documents under
 Dirichlet priors: the prior of a word is the rate of its four-letter beginning,
 whose prior is the overall rate; one standard deviation is taken off, so that
 rare words say little, and a constant drift, so that ordinary text scores
-negative.  A word's further occurrences in a document score as the drift alone.
+negative.  Every occurrence of a word has its score.
 The linear-time scan of Ruzzo and Tompa finds all maximal-scoring segments; the
 scores are normalised by Karlin-Altschul statistics (lambda solved from the
 scores of clean words, K fitted to the largest segments of clean documents), a
-document's best sum statistic over its top segments gives its P-value, and a
+document's best sum statistic over its segments, however many, gives its P-value, and a
 logistic map fitted on a calibration fold turns -log10 P into a probability.
 
 Words are hashed to ``BUCKETS`` counters, so the broadcast model has a fixed
@@ -23,9 +23,10 @@ Repeated rows are scored alike; an empty table gives no rows.
 
 from __future__ import annotations
 
+import math
 import re
 from collections import defaultdict
-from itertools import islice
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -41,10 +42,14 @@ STEMS = 1 << 16
 STEM_LETTERS = 4
 STEM_PRIOR, WORD_PRIOR = 20.0, 5.0
 DRIFT = 1.0
-#: segments of a document that are summed, at most
-TOP = 5
+#: segments up to which the tail of their sum is taken from the asymptotic formula; beyond, that is
+#: too small, and Chernoff's bound of the exact distribution is used
+ASYMPTOTIC = 5
+_U = np.linspace(0.02, 0.98, 49)
 #: E-value under which a segment is a passage
 SIGNIFICANT = 0.01
+#: -log10 P is not told apart beyond this
+MOST = 60.0
 _WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -64,6 +69,17 @@ def buckets(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return word, stem
 
 
+@lru_cache(maxsize=4096)
+def _log_moments(r: int) -> np.ndarray:
+    return np.array([math.lgamma(r * u) for u in _U]) - math.lgamma(r) - (r - 1) * np.log(_U)
+
+
+def chernoff(r: int, total: float) -> float:
+    """-log of a bound of P(sum of the r highest normalised scores >= total).  The scores are a Poisson
+    process of density exp(-x), so the sum is -r log G(r) + G(r-1) for independent gamma variables."""
+    return float(-(_log_moments(r) - (1 - _U) * total).min())
+
+
 class Model:
     """Counts by bucket, the segment statistics and the calibration."""
 
@@ -86,14 +102,20 @@ class Model:
     def value(self, segments: list[tuple[float, int, int]], n: int) -> float:
         """-log10 of the P-value of the best sum of the highest segments."""
         best, total, factor = 0.0, 0.0, 0.0
-        for r, (s, _, _) in enumerate(islice(sorted(segments, reverse=True), TOP), 1):
+        for r, (s, _, _) in enumerate(sorted(segments, reverse=True), 1):
             x = self.scale * s - self.log_k - np.log(max(n, 1))
             if x <= 0:
                 break
             total += x
-            factor += np.log(r) + (np.log(r - 1) if r > 1 else 0.0)  # r! (r-1)!
-            best = max(best, (total + factor - (r - 1) * np.log(max(total, 1.0)) - r * np.log(2)) / np.log(10))
-        return min(best, 60.0)
+            if r <= ASYMPTOTIC:
+                factor += np.log(r) + (np.log(r - 1) if r > 1 else 0.0)  # r! (r-1)!
+                tail = total + factor - (r - 1) * np.log(max(total, 1.0))
+            else:
+                tail = chernoff(r, total)
+            best = max(best, (tail - r * np.log(2)) / np.log(10))
+            if best >= MOST:
+                return MOST
+        return best
 
     def probability(self, x: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.slope * x + self.shift, -30, 30)))
@@ -123,10 +145,7 @@ def document_segments(bodies: list[str], model: Model) -> list[tuple[list[tuple[
     value = model.scores(words)
     out = []
     for a, b in zip(begin[:-1], begin[1:]):
-        own = ids[a:b]
-        score = np.minimum(value[own], -DRIFT)
-        _, first = np.unique(own, return_index=True)
-        score[first] = value[own[first]]
+        score = value[ids[a:b]]
         out.append((segments(score), score))
     return out
 
@@ -174,14 +193,13 @@ def calibrate(model: Model, train: DataFrame) -> Model:
     def tops(batch: pa.RecordBatch) -> dict:
         found = document_segments(texts(batch), shared.value)
         return {"label": column(batch, "label"), "n": [len(s) for _, s in found],
-                "segments": [sorted((s for s, _, _ in seg), reverse=True)[:TOP] for seg, _ in found],
+                "segments": [sorted((s for s, _, _ in seg), reverse=True) for seg, _ in found],
                 "histogram": [np.bincount(np.digitize(s, _EDGES), minlength=len(_EDGES) + 1).tolist() for _, s in found]}
 
     rows = stage(arrow_map(train.where("fold = 1").select("text", "label"), tops,
                            "label int, n long, segments array<double>, histogram array<long>"), "toxic-calibration")
-    seen = rows.select("label", "n", "segments").toArrow()  # at most a quarter of FIT_ROWS rows
-    label, n = seen["label"].to_numpy(), seen["n"].to_numpy()
-    found = seen["segments"].to_pylist()
+    seen = rows.select("label", "n", F.get("segments", F.lit(0)).alias("top")).toArrow()  # at most a quarter of FIT_ROWS rows
+    label, n, top = seen["label"].to_numpy(), seen["n"].to_numpy(), seen["top"].to_pylist()
     if len(set((label > 0).tolist())) < 2:
         model.shift = float(np.log(model.base / (1 - model.base)))
         return model
@@ -189,10 +207,16 @@ def calibrate(model: Model, train: DataFrame) -> Model:
     share = np.array(rows.where("label = 0").agg(*bins).first(), float)
     centres = np.r_[_EDGES[0], (_EDGES[1:] + _EDGES[:-1]) / 2, _EDGES[-1]]
     model.scale = solve_lambda(centres, share / max(share.sum(), 1))
-    clean = [model.scale * f[0] - np.log(m) for f, m, y in zip(found, n, label) if y == 0 and f and m]
+    clean = [model.scale * s - np.log(m) for s, m, y in zip(top, n, label) if y == 0 and s is not None and m]
     model.log_k = float(np.median(clean)) - 0.3665 if clean else -1.0  # the median of a Gumbel variable
-    x = np.array([model.value([(s, 0, 0) for s in f], m) for f, m in zip(found, n)])
-    y = (label > 0).astype(float)
+    fitted = train.sparkSession.sparkContext.broadcast(model)
+
+    def values(batch: pa.RecordBatch) -> dict:
+        found = zip(column(batch, "segments").to_pylist(), column(batch, "n").to_pylist())
+        return {"label": column(batch, "label"), "x": [fitted.value.value([(s, 0, 0) for s in f], m) for f, m in found]}
+
+    both = arrow_map(rows.select("label", "n", "segments"), values, "label int, x double", None).toArrow()
+    x, y = both["x"].to_numpy(), (both["label"].to_numpy() > 0).astype(float)
     w = np.zeros(2)
     for _ in range(50):  # Newton steps of a ridge logistic fit
         p = 1 / (1 + np.exp(-np.clip(w[0] * x + w[1], -30, 30)))
