@@ -194,6 +194,31 @@ def test_disguised_spans_map_back(text, kind, want):
     assert [text[a:b] for a, b in added[kind]] == [want]
 
 
+@pytest.mark.parametrize("text,kind,want", [
+    ("call plus 49 170 1234567 now", "phone", "plus 49 170 1234567"),
+    ("host 192 point 168 point 0 point 1 is", "ip", "192 point 168 point 0 point 1"),
+    ("host 127 dot zero dot zero dot one is", "ip", "127 dot zero dot zero dot one"),
+    ("host one zero dot 0 [dot] null.eins is", "ip", "one zero dot 0 [dot] null.eins"),
+    *((f"write jane at example dot {e} please", "email", f"jane at example dot {e}") for e in ("pl", "it", "se", "in", "xyz")),
+    ("jane@example dot pl", "email", "jane@example dot pl"),
+    ("john\t@\texample.com", "email", "john\t@\texample.com"),
+    ("plus 1 555 123 4567 – yes", "phone", "plus 1 555 123 4567"),
+])
+def test_disguises_need_no_other_sign(text, kind, want):
+    _, added = pii.find(text)
+    assert [text[a:b] for a, b in added[kind]] == [want]
+
+
+def test_gate_changes_no_span(monkeypatch):
+    rng = random.Random(12)
+    parts = ["plus", "point", "Punkt", "punto", "dot", "DOT", "at", "@", "[at]", "(dot)", "zero", "one", "fünf", "Drei", "7", "49", "192", "0", "170 1234567", ".",
+             "jane", "example", "com", "pl", "xyz", "–", "é", "the", "this", "555", "poİnt", "1 2 3 4", "4 5 5 6 7 3 7 5 8 6 8 9 9 8 5 5", "127.0.0.1"]
+    texts = ["".join(rng.choice(parts) + rng.choice([" ", " ", " ", "\t", "_", "", ", "]) for _ in range(rng.randint(1, 14))) for _ in range(10_000)]
+    gated = [pii.find(t) for t in texts]
+    monkeypatch.setattr(pii, "disguised", lambda text: True)
+    assert [pii.find(t) for t in texts] == gated and sum(any(a.values()) for _, a in gated) > 50
+
+
 @pytest.mark.parametrize("text", ["we met at the cafe. Then one two three", "look at this dot here", "Привет мир, как дела", "il a vu un, deux", "visit us at example.com"])
 def test_clean_text_gets_no_span(text):
     base, added = pii.find(text)

@@ -101,15 +101,24 @@ _DIGIT = {w: str(k) for words in DIGIT_WORDS for k, w in enumerate(words.split()
 _D = "(?:" + "|".join(sorted(_DIGIT, key=len, reverse=True)) + "|[0-9])"
 _SPELLED = re.compile(rf"\b{_D}(?:[\s,_-]+{_D}){{2,}}\b", re.I)
 _TOKEN = re.compile(rf"{_D}", re.I)
+_LETTERS = re.compile(r"[^\W\d_]+")
 _PLUS = re.compile(r"\bplus\s+(?=[0-9])", re.I)
 _POINT = re.compile(r"(?<=[0-9])\s+(?:dot|point|punkt|punto)\s+(?=[0-9])", re.I)
 _OPEN, _CLOSE = r"[\[({<]", r"[\])}>]"
 _AT = re.compile(rf"\s*{_OPEN}\s*(?:at|@|arroba)\s*{_CLOSE}\s*", re.I)
 _DOT = re.compile(rf"\s*{_OPEN}\s*(?:dot|\.|punkt|punto|point)\s*{_CLOSE}\s*", re.I)
-# Endings that make a spelled address.
+# Four numbers of one to three digits, spelled or not, with dots between them, spelled or not.
+_OCTET = rf"(?:[0-9]{{1,3}}|{_D}(?:[\s,_-]+{_D}){{0,2}})"
+_BETWEEN = rf"(?:\s+(?:dot|point|punkt|punto)\s+|\s*{_OPEN}\s*(?:dot|\.|punkt|punto|point)\s*{_CLOSE}\s*|\.)"
+_DOTTED = re.compile(rf"\b{_OCTET}(?:{_BETWEEN}{_OCTET}){{3,}}\b", re.I)
+_BETWEEN_OR_DIGIT = re.compile(rf"({_BETWEEN})|{_D}", re.I)
+# Endings that make a spelled address whatever comes before them.
 _ENDING = "(?:com|org|net|edu|gov|mil|info|biz|io|co|ai|app|dev|uk|de|fr|es|nl|eu|ca|au|ch|ru|jp|cn|br)"
-_WORDY = re.compile(rf"[A-Za-z0-9._%+-]+(?:\s+|_)at(?:\s+|_)(?:[A-Za-z0-9-]+(?:\s+|_)dot(?:\s+|_))+{_ENDING}\b|"
-                    rf"[A-Za-z0-9._%+-]+@(?:[A-Za-z0-9-]+(?:\s+|_)dot(?:\s+|_))+{_ENDING}\b", re.I)
+# Words before "dot" where it is a noun; other endings of two or more letters need another one.
+_NOUN = "(?:a|the|this|that|these|those|each|every|any|some|one|no|my|your|his|her|its|our|their|which|what|another)"
+_LABELS = r"(?:[A-Za-z0-9-]+(?:\s+|_)dot(?:\s+|_))+"
+_WORDY = re.compile(rf"[A-Za-z0-9._%+-]+(?:\s+|_)at(?:\s+|_)(?:{_LABELS}{_ENDING}\b|(?!{_NOUN}(?:\s|_)){_LABELS}[A-Za-z]{{2,}}\b)|"
+                    rf"[A-Za-z0-9._%+-]+@{_LABELS}[A-Za-z]{{2,}}\b", re.I)
 _SIGN = re.compile(r"(?:\s+|_)(at|dot)(?:\s+|_)", re.I)
 _ADDRESS_AROUND = re.compile(r"(?<=[A-Za-z0-9])\s+@\s+(?=[A-Za-z0-9])")
 _BRACKETED = re.compile(rf"{_OPEN}\s*(?:at|@|arroba|dot|\.|punkt|punto|point)\s*{_CLOSE}", re.I)
@@ -180,6 +189,11 @@ def _digits(m: re.Match) -> list:
             for t in _TOKEN.finditer(m.string, m.start(), m.end())]
 
 
+def _dotted(m: re.Match) -> list:
+    return [(None if t[0] == "." or t[0].isdecimal() else "." if t[1] else _DIGIT[t[0].lower()], t.start(), t.end())
+            for t in _BETWEEN_OR_DIGIT.finditer(m.string, m.start(), m.end())]
+
+
 def _wordy(m: re.Match) -> list:
     out, at = [], m.start()
     for s in _SIGN.finditer(m.string, m.start(), m.end()):
@@ -190,6 +204,7 @@ def _wordy(m: re.Match) -> list:
 
 def normalise(source: str) -> Mapped:
     m = Mapped(source)
+    m.rewrite(_DOTTED, _dotted)
     m.rewrite(_SPELLED, _digits)
     m.rewrite(_PLUS, _as("+"))
     m.rewrite(_POINT, _as("."))
@@ -201,14 +216,16 @@ def normalise(source: str) -> Mapped:
 
 
 def disguised(text: str) -> bool:
-    """Whether any transducer could change the text in a way that matters."""
-    if not text.isascii() and any(_CHARACTERS[c] != c for c in set(text)):
+    """Whether any transducer changes the text: one of their patterns is in it.  Spaced digits
+    (``_SPELLED`` without a word) are left out, no character of them is rewritten."""
+    if not text.isascii() and ("İ" in text or any(_CHARACTERS[c] != c for c in set(text))):  # İ is an i to a pattern only
         return True
     low = text.lower()
-    if ("dot" in low and _SPELLED_DOT.search(low)) or " @" in low or "@ " in low or _BRACKETED.search(text):
+    if "dot" in low and _SPELLED_DOT.search(low) or "@" in low and _ADDRESS_AROUND.search(text) or _BRACKETED.search(text):
+        return True
+    if "plus" in low and _PLUS.search(text) or any(w in low for w in ("dot", "point", "punkt", "punto")) and _POINT.search(text):
         return True
-    words = low.replace(",", " ").replace("_", " ").replace("-", " ").split()
-    return not _DIGIT.keys().isdisjoint(words) and _SPELLED.search(text) is not None
+    return not _DIGIT.keys().isdisjoint(_LETTERS.findall(low)) and (_SPELLED.search(text) or _DOTTED.search(text)) is not None
 
 
 def find(text: str) -> tuple[dict[str, list[Span]], dict[str, list[Span]]]:
