@@ -240,3 +240,42 @@ def test_token_ids_equal_the_tokenizer():
     for _ in range(150):
         bodies = ["".join(rng.choices(bits, k=rng.randint(0, 14))) for _ in range(20)]
         assert [x.tolist() for x in e.encode(bodies)] == [t.encode(b, add_special_tokens=False).ids for b in bodies]
+
+
+def test_op3_shared_template_in_bounded_chunks(monkeypatch):
+    """A preamble that all items share: the matches of plain search, in chunks of any size and in bounded memory."""
+    import random
+    import tracemalloc
+    from vitalake.llm import decontamination as op3
+
+    rng = random.Random(2)
+    head = [f"h{k}" for k in range(30)]
+
+    def plain(doc, items):
+        out = {}
+        for name, words in items:
+            n = min(10, len(words))
+            for d in range(len(doc) - n + 1):
+                for w in range(len(words) - n + 1):
+                    m = 0
+                    while d + m < len(doc) and w + m < len(words) and doc[d + m] == words[w + m]:
+                        m += 1
+                    if m >= n and (m, -d, -w) > out.get(name, (0, 0, 0)):
+                        out[name] = (m, -d, -w)
+        return {(i, m, -d, -w) for i, (m, d, w) in out.items()}
+
+    items = [(f"i{k}", head[:rng.randint(12, 30)] + [f"w{rng.randrange(3)}" for _ in range(6)]) for k in range(12)]
+    docs = [head[rng.randint(0, 5):] + [f"w{rng.randrange(3)}" for _ in range(5)] + head[:rng.randint(10, 30)] + ["x"] for _ in range(6)]
+    block = op3.Block([(i, " ".join(w)) for i, w in items], 10)
+    for pairs in (1, 7, 1000):
+        monkeypatch.setattr(op3, "PAIRS", pairs)
+        _, found = op3.shard_hits([[w.encode() for w in d] for d in docs], block)
+        assert [{(m["item_id"], m["length"], m["doc_word"], m["item_word"]) for m in f} for f in found] == [plain(d, items) for d in docs]
+    monkeypatch.setattr(op3, "PAIRS", 100_000)
+    block = op3.Block([(f"i{k:04}", " ".join([*head, f"w{k}"])) for k in range(1500)], 10)
+    words = [[w.encode() for w in head + ["x"]] * 4 for _ in range(25)]  # 3.15 million pairs
+    tracemalloc.start()
+    _, found = op3.shard_hits(words, block)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert [len(f) for f in found] == [1500] * 25 and peak < 100e6

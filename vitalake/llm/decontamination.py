@@ -34,6 +34,8 @@ from .common import arrow_map, column, documents, stage, struct, texts
 
 WINDOW = 10
 BLOCK_CHARS = 32_000_000
+#: pairs of a place and a benchmark suffix that are looked at together
+PAIRS = 1_000_000
 _TABLE = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 STATE = "__n_words long, __n_hit long, __hit binary, __matches array<struct<item_id:string,length:int,doc_word:int,item_word:int>>"
 
@@ -121,6 +123,40 @@ def search(ids: np.ndarray, order: np.ndarray, text: np.ndarray, start: np.ndarr
     return low
 
 
+def longest_matches(block: Block, part: np.ndarray, at: np.ndarray, place: np.ndarray, which: np.ndarray, bounds: np.ndarray) -> list[np.ndarray]:
+    """``(document, item, length, place, suffix)`` of the longest match of each
+    document and item, from every suffix with the window found at each place.
+    Of these pairs ``PAIRS`` at a time are spread out and reduced, so the working
+    set is bounded by that and by what is returned."""
+    rank = np.argsort(place, kind="stable")
+    place, which = place[rank], which[rank]
+    ends = np.cumsum((block.first[1:] - block.first[:-1])[which])
+    held = [np.zeros(0, np.int64)] * 5
+
+    def best(rows: list[np.ndarray]) -> list[np.ndarray]:
+        doc, item, length, where, suffix = rows
+        order = np.lexsort((suffix, where, -length, item, doc))
+        new = np.r_[True, (np.diff(doc[order]) != 0) | (np.diff(item[order]) != 0)] if len(order) else np.zeros(0, bool)
+        return [x[order[new]] for x in rows]
+
+    more: list[list[np.ndarray]] = []
+    total = int(ends[-1]) if len(ends) else 0
+    for low in range(0, total, PAIRS):
+        pair = np.arange(low, min(low + PAIRS, total))
+        k = np.searchsorted(ends, pair, side="right")
+        suffix = block.order[block.first[1:][which[k]] - (ends[k] - pair)]
+        p, q = place[k], block.start[suffix]
+        # where the words before are the same too, the match from there on is longer
+        longer = (p > 0) & (q > 0) & (part[p - 1] == block.text[q - 1]) & (part[p - 1] > 0)
+        p, q, suffix = p[~longer], q[~longer], suffix[~longer]
+        where = at[p]
+        more.append(best([np.searchsorted(bounds, where, side="right") - 1, block.item[suffix],
+                          common_prefix(block.text, q, block.left[suffix], part, p), where, suffix]))
+        if sum(len(x[0]) for x in more) > PAIRS + len(held[0]):
+            held, more = best([np.concatenate(x) for x in zip(held, *more)]), []
+    return best([np.concatenate(x) for x in zip(held, *more)])
+
+
 def shard_hits(words: list[list[bytes]], block: Block) -> tuple[list[np.ndarray], list[list[dict]]]:
     """For each document the mask of hit words and its best match with each item."""
     bounds = np.cumsum([0, *(len(w) + 1 for w in words)])  # a break after each document
@@ -148,18 +184,9 @@ def shard_hits(words: list[list[bytes]], block: Block) -> tuple[list[np.ndarray]
         span = block.size[one][which]
         np.add.at(hit, at[place], 1)
         np.add.at(hit, at[place] + span, -1)
-        # every suffix with such a window: its longest match from that place on
-        many = (block.first[1:] - block.first[:-1])[which]
-        pair = np.repeat(np.arange(len(which)), many)
-        suffix = block.order[np.repeat(block.first[:-1][which] - np.r_[0, np.cumsum(many)[:-1]], many) + np.arange(many.sum())] if len(which) else which
-        length = common_prefix(block.text, block.start[suffix], block.left[suffix], part, place[pair])
-        where = at[place[pair]]
-        doc = np.searchsorted(bounds, where, side="right") - 1
-        best = np.lexsort((where, -length, block.item[suffix], doc))
-        key = doc[best] * (len(block.items) + 1) + block.item[suffix][best]
-        for k in best[np.r_[True, np.diff(key) != 0]] if len(best) else []:
-            found[doc[k]].append({"item_id": block.items[block.item[suffix[k]]], "length": int(length[k]),
-                                  "doc_word": int(where[k] - bounds[doc[k]]), "item_word": int(block.word[suffix[k]])})
+        for d, item, length, where, suffix in zip(*longest_matches(block, part, at, place, which, bounds)):
+            found[d].append({"item_id": block.items[item], "length": int(length),
+                             "doc_word": int(where - bounds[d]), "item_word": int(block.word[suffix])})
     mask = np.cumsum(hit)[:-1] > 0
     return [mask[b:b + len(w)] for w, b in zip(words, bounds)], found
 
