@@ -99,7 +99,11 @@ def make_tables(seed: int = 5) -> dict[str, pd.DataFrame]:
     lab = pd.DataFrame(labels, columns=["doc_id", "quality", "toxic"]).astype("Int64")
     pg = pd.DataFrame(pages, columns=["page_id", "url", "html"])
     pg["page_id"] = pg["page_id"].astype("Int64")
-    return {"documents": d, "benchmark": pd.DataFrame(bench, columns=["item_id", "text"]), "labels": lab, "pages": pg}
+    talks = [(c, t, ["user", "assistant"][t % 2], f"turn {t} {c % 3}" if t else "hello") for c in range(30) for t in range(1 + c % 6)]
+    talks += [(31, None, None, None), (31, 2, "user", ""), (31, 2, "user", ""), (None, 0, "user", "lost"), (-4, 1, "system", "é" * 5000)]
+    ct = pd.DataFrame(talks, columns=["conv_id", "turn", "role", "text"])
+    ct["conv_id"], ct["turn"] = ct["conv_id"].astype("Int64"), ct["turn"].astype("Int64")
+    return {"conversations": ct, "documents": d, "benchmark": pd.DataFrame(bench, columns=["item_id", "text"]), "labels": lab, "pages": pg}
 
 
 #: names that the operators use inside or return
@@ -107,7 +111,7 @@ CLASHES = ["score", "key", "body", "did", "th", "lines", "drop", "held", "label"
            "component_id", "pos", "n", "line"]
 
 SCHEMAS = {"documents": "doc_id long, text string, lang string, source string, n_chars long", "benchmark": "item_id long, text string",
-           "labels": "doc_id long, quality int, toxic int", "pages": "page_id long, url string, html string"}
+           "labels": "doc_id long, quality int, toxic int", "pages": "page_id long, url string, html string", "conversations": "conv_id long, turn long, role string, text string"}
 
 
 def write_tables(spark, tables, path, clash=True):

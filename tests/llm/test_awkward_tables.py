@@ -21,11 +21,12 @@ def test_empty_tables_give_no_rows(spark, empty_sf, name):
 @pytest.mark.parametrize("name", NAMES)
 def test_rows_of_nulls_do_not_crash(spark, nulls_sf, name):
     rows = registry.queries()[name](spark, nulls_sf).collect()
-    assert len(rows) == (0 if name == "pipeline" else 3)  # without letters, language ID rejects them
+    # without letters, language ID rejects them; there are no conversations and no words
+    assert len(rows) == (0 if name in ("pipeline", "op11_conversation_trie", "op12_spelling_variants") else 3)
 
 
 def test_one_query_for_each_operator():
     numbers = [int(n[2:].split("_")[0]) for n in NAMES if n != "pipeline"]
-    assert sorted(numbers) == list(range(1, 11))
+    assert sorted(numbers) == list(range(1, 14))
     assert set(registry.oracle_sql()) <= set(NAMES)
     assert len(corpus_pipeline.STAGES) == 5

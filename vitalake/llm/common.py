@@ -33,10 +33,15 @@ def scratch(spark: SparkSession, name: str) -> str:
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: later steps read the
     stored rows, so a lost executor costs no upstream work."""
+    return stage_path(df, name)[0]
+
+
+def stage_path(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """``stage``, with the path, for tables that are deleted once a later one is stored."""
     path = scratch(df.sparkSession, name)
     schema = df.schema
     df.write.parquet(path)
-    return df.sparkSession.read.schema(schema).parquet(path)
+    return df.sparkSession.read.schema(schema).parquet(path), path
 
 
 def delete_path(spark: SparkSession, path: str) -> None:

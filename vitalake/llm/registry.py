@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .conversation_trie import op11_conversation_trie
 from .decontamination import OP3_SQL, op3_decontamination
 from .katz import op2_katz_scoring
 from .language_id import op10_language_id
@@ -36,6 +37,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_quality_rules": op8_quality_rules,
         "op9_best_fit_packing": op9_best_fit_packing,
         "op10_language_id": op10_language_id,
+        "op11_conversation_trie": op11_conversation_trie,
         "pipeline": _pipeline,
     }
 
