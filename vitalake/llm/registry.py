@@ -11,11 +11,13 @@ from .decontamination import OP3_SQL, op3_decontamination
 from .katz import op2_katz_scoring
 from .language_id import op10_language_id
 from .line_dedup import OP4_SQL, op4_line_dedup
+from .minhash_tensor import op13_minhash_tensor
 from .packing import op9_best_fit_packing
 from .pii import op5_pii
 from .quality_cotraining import op7_quality_cotraining
 from .quality_rules import op8_quality_rules
 from .simhash_golay import op6_simhash_golay
+from .spelling_variants import op12_spelling_variants
 from .toxicity import op1_toxicity
 
 
@@ -38,6 +40,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_best_fit_packing": op9_best_fit_packing,
         "op10_language_id": op10_language_id,
         "op11_conversation_trie": op11_conversation_trie,
+        "op12_spelling_variants": op12_spelling_variants,
+        "op13_minhash_tensor": op13_minhash_tensor,
         "pipeline": _pipeline,
     }
 
