@@ -69,8 +69,9 @@ class Shingler:
         kept = self.kept
         if len(kept) > _WORDS_KEPT:
             kept.clear()
-        for w in set(words) - kept.keys():
-            kept[w] = xxhash.xxh64_intdigest(w)
+        for w in set(words):
+            if w not in kept:
+                kept[w] = xxhash.xxh64_intdigest(w)
         h = np.fromiter(map(kept.__getitem__, words), np.uint64, len(words))
         size = min(self.size, len(words))
         out = np.full(len(h) - size + 1, size, np.uint64)  # a short sequence is no shingle of another length
