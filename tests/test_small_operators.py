@@ -97,27 +97,6 @@ def test_x8_sessions_on_a_stream(spark, tmp_path):
     assert [(r.session_start_at, r.session_end_at, r.stage_count) for r in rows] == [(t, t + dt.timedelta(hours=4), 2)]
 
 
-def test_x6_change_feed_stream(spark, tmp_path):
-    from vitalake.streaming.changes import apply_changes_stream, read_current
-    src = tmp_path / "changes"
-    src.mkdir()
-    schema = "op string, id string, v int, t timestamp"
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(src))
-    t = dt.datetime(2026, 1, 1)
-    batches = [[("upsert", "a", 1, t), ("upsert", "b", 1, t), ("upsert", "a", 2, t + dt.timedelta(hours=1))],
-               [("delete", "b", None, t + dt.timedelta(hours=2)), ("upsert", "c", 1, t)],
-               [("upsert", "a", 0, t - dt.timedelta(hours=5)),  # older version of a: loses
-                ("delete", "c", None, t + dt.timedelta(hours=1)), ("upsert", "c", 3, t + dt.timedelta(hours=2)),
-                ("delete", "e", None, t)],                            # delete before its record ...
-               [("upsert", "e", 1, t + dt.timedelta(hours=3))]]      # ... still removes it (order-free)
-    for b in batches:
-        spark.createDataFrame(b, schema).coalesce(1).write.mode("append").parquet(str(src))
-    q = apply_changes_stream(stream, str(tmp_path / "state"), str(tmp_path / "ck"), "id", ["t"])
-    q.awaitTermination()
-    cur = sorted((r.id, r.v) for r in read_current(spark, str(tmp_path / "state")).collect())
-    assert cur == [("a", 2)]
-
-
 def test_p36_window_and_pattern():
     from vitalake.functions.labels import ordered_window, user_like
     assert ordered_window("2026-02-01", "2026-01-01") == ("2026-01-01", "2026-02-01")

@@ -404,6 +404,20 @@ FINAL.update({
     "stream_gold_sleep_nightly": "SELECT * EXCLUDE (sleep_sessions) FROM sleep_nightly",
 })
 
+# tables maintained in steps: the same rows as one batch run
+FINAL.update({
+    "bronze_reseeded": """SELECT record_id, record_type, user_id, ingested_at FROM bronze WHERE device_id <> 'demo-notebook-seed'
+        UNION ALL SELECT record_id || '-again', record_type, user_id, ingested_at + INTERVAL 1 DAY FROM bronze
+        WHERE device_id = 'demo-notebook-seed' AND record_type = 'samples'""",
+    "change_feed_synced": FINAL["samples_current"],
+    "stream_gold_incremental": FINAL["g_hk_daily"],
+    "inc_subject_daily": FINAL["g_subject_daily"],
+    "inc_sleep_nightly": FINAL["g_sleep_nightly"],
+    "inc_weekly_workouts": FINAL["g_weekly_workouts"],
+    "inc_family_weekly": FINAL["g_family_weekly"],
+    "inc_ingest_daily": FINAL["g_ingest_daily"],
+})
+
 #: the request files derived from bronze: lines (kind 0: document, 1 and 3: malformed) and requests
 _REQUESTS = """,
 raw_lines AS (

@@ -24,6 +24,7 @@ from ..sources.bronze_store import bronze_path_for, landed_bronze
 from ..streaming import medallion as streaming
 from .medallion import Medallion, StoredMedallion
 from .oracle import APP_END, APP_START, AS_OF_TS, as_of
+from .state_queries import STATE_QUERIES
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -187,23 +188,6 @@ def stream_gold_sleep_nightly(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ntz(streaming.gold_from_sinks(spark, root, m.bronze, ("sleep_stages",)).sleep_nightly.drop("sleep_sessions"))
 
 
-def stream_change_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """X6 streaming: sample upserts and delete notices from the bronze stream
-    merged into a versioned current-state table (order-free deletes)."""
-    import uuid
-    from ..streaming.changes import apply_changes_stream, read_current
-    medallion(spark, sf_dir)  # lands the bronze table if needed
-    path = bronze_path_for(spark, sf_dir)
-    ups = silver.samples(streaming.bronze_stream(spark, path), "none").withColumn("op", F.lit("upsert"))
-    dels = (silver.deletes(streaming.bronze_stream(spark, path), "none")
-            .select(F.col("deleted_uuid").alias("hk_uuid"), F.lit("delete").alias("op")))
-    changes = ups.unionByName(dels, allowMissingColumns=True)
-    root = f"{checkpoint_dir(spark)}/streams/{uuid.uuid4().hex}"
-    q = apply_changes_stream(changes, f"{root}/state", f"{root}/checkpoint", "hk_uuid", ["ingested_at", "record_id"])
-    q.awaitTermination()
-    return ntz(read_current(spark, f"{root}/state"))
-
-
 def stream_bronze_mirror(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The bronze mirror, a few files a micro-batch."""
     medallion(spark, sf_dir)
@@ -213,7 +197,6 @@ def stream_bronze_mirror(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 STREAM_QUERIES: dict[str, Query] = {
     "stream_bronze_mirror": stream_bronze_mirror,
-    "stream_change_feed": stream_change_feed,
     "stream_samples": stream_samples,
     "stream_samples_bounded": stream_samples_bounded,
     "stream_event_keys": stream_event_keys,
@@ -329,5 +312,13 @@ OPS_QUERIES: dict[str, Query] = {
 }
 
 
+def _ntz_out(build: Query) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return ntz(build(spark, sf_dir))
+    run.__doc__ = build.__doc__
+    return run
+
+
 def queries() -> dict[str, Query]:
-    return {**MEDALLION_QUERIES, **JOIN_QUERIES, **STREAM_QUERIES, **PLATFORM_QUERIES, **OPS_QUERIES}
+    stepwise = {name: _ntz_out(build) for name, build in STATE_QUERIES.items()}
+    return {**MEDALLION_QUERIES, **JOIN_QUERIES, **STREAM_QUERIES, **stepwise, **PLATFORM_QUERIES, **OPS_QUERIES}
