@@ -81,7 +81,11 @@ def change_feed_synced(spark: SparkSession, sf_dir: str) -> DataFrame:
     the third pull the log loses, for every third type, all but its newest changes, so that the
     tokens of these types expire and they are read again in full."""
     bronze = _bronze(spark, sf_dir)
-    ups, dels = silver.samples(bronze, "none"), silver.deletes(bronze, "none")
+    ups = silver.samples(bronze, "none")
+    # a feed names the type of the record that is gone; the test rows do not, so it is looked up
+    kinds = ups.groupBy("hk_uuid").agg(F.max("hk_type").alias("kind"))
+    dels = (silver.deletes(bronze, "none").join(kinds, F.col("deleted_uuid") == F.col("hk_uuid"), "left").drop("hk_uuid")
+            .withColumn("deleted_sample_type", F.coalesce("kind", "deleted_sample_type")).drop("kind"))
     state = _samples_state(spark, "synced", ups)
     seq = F.unix_micros("ingested_at")
     cuts = time_cuts(bronze, 4)
