@@ -216,6 +216,60 @@ def test_plan_covers_each_length_and_packs_well(lengths, most):
     assert plan.sequences <= most
 
 
+def _packed(histogram, capacity=1024):
+    """The plan's sequences, filled from its rows."""
+    plan = packing.make_plan(histogram, capacity)
+    filled, given = {}, {}
+    p = plan.arrays()
+    for length, n in histogram.items():
+        for rank in range(n):
+            row = np.searchsorted(p["key"], length << 44 | rank, side="right") - 1
+            inner, many = rank - p["rank"][row], p["many"][row]
+            s, at = p["sequence"][row] + inner // many, p["offset"][row] + inner % many * length
+            filled.setdefault(int(s), []).append((int(at), length))
+            given[length] = given.get(length, 0) + 1
+    for parts in filled.values():
+        end = 0
+        for at, length in sorted(parts):
+            assert at == end
+            end += length
+        assert end <= capacity
+    assert len(filled) == plan.sequences and given == histogram
+    return plan
+
+
+@pytest.mark.parametrize("lengths,gain", [(range(330, 420), 0.015), (range(200, 700, 3), 0.008)])
+def test_the_program_beats_best_fit_on_awkward_lengths(lengths, gain):
+    rng = random.Random(4)
+    histogram = {n: rng.randint(3, 20) for n in lengths}
+    alone = packing.Plan()
+    k = np.array(sorted(histogram))
+    d = np.array([histogram[x] for x in k.tolist()])
+    packing.best_fit(k, d, 1024, alone)
+    plan = _packed(histogram)
+    assert plan.sequences <= alone.sequences * (1 - gain)
+    assert plan.by_columns > 0.1 * plan.sequences
+    assert sum(n * x for n, x in histogram.items()) / 1024 <= plan.bound + 1e-6 <= plan.value + 1e-6 <= plan.sequences + 1e-6
+
+
+def test_the_program_solves_a_small_case_to_its_bound():
+    """Three lengths that fit only as (500, 300, 224): the linear program's value is the bound."""
+    lengths, demand = np.array([224, 300, 500]), np.array([400, 400, 400])
+    columns, x, bound, value = packing.solve(lengths, demand, 1024, rounds=800)
+    assert bound == pytest.approx(400, rel=1e-6) and 400 <= value <= 404
+    assert _packed({224: 400, 300: 400, 500: 400}).sequences <= 402
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_no_plan_is_worse_than_best_fit(seed):
+    rng = random.Random(seed)
+    histogram = {rng.randint(1, 1024): rng.randint(1, 40) for _ in range(120)}
+    alone = packing.Plan()
+    k = np.array(sorted(x for x in histogram if x < 1024))
+    packing.best_fit(k, np.array([histogram[x] for x in k.tolist()]), 1024, alone)
+    assert _packed(histogram).sequences <= alone.sequences + histogram.get(1024, 0)
+
+
 def test_best_configuration_is_optimal():
     rng = random.Random(3)
     for _ in range(30):
