@@ -93,6 +93,21 @@ def test_op1_finds_repeated_and_late_passages(spark):
     assert out[3].p_value_log10 < out[4].p_value_log10 - 1  # abuse that repeats one word
 
 
+def test_segments_take_linear_time():
+    """Scattered positives in a falling sequence, the worst case of a search that walks back; and rising, all merged."""
+    import time
+
+    def seconds(score):
+        t = time.perf_counter()
+        found = toxicity.segments(score)
+        return time.perf_counter() - t, len(found)
+
+    falling, count = seconds(np.tile([1.0, -0.6, -0.6, -0.6], 250_000))
+    assert count == 250_000 and falling < 10
+    rising, count = seconds(np.tile([1.0, -0.6], 500_000))
+    assert count == 1 and rising < 10
+
+
 def test_op1_sum_statistic_runs_over_all_segments():
     one = np.zeros(1)
     model = toxicity.Model(one, one, one, one)

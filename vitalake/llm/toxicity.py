@@ -123,21 +123,25 @@ class Model:
 
 def segments(score: np.ndarray) -> list[tuple[float, int, int]]:
     """All maximal-scoring segments ``(score, begin, end)`` of a score sequence
-    (Ruzzo and Tompa, 1999)."""
+    (Ruzzo and Tompa, 1999), in linear time: each held segment knows the nearest
+    one before it with a smaller left sum, so a search passes over no segment
+    that an earlier one has passed over."""
     total = np.cumsum(score)
-    held: list[list[float]] = []  # left sum, right sum, begin, end
-    for i in np.flatnonzero(score > 0).tolist():
-        k = [total[i] - score[i], total[i], i, i + 1]
+    hits = np.flatnonzero(score > 0)
+    rights = total[hits]
+    held: list[tuple[float, float, int, int, int]] = []  # left sum, right sum, begin, end, nearest with a smaller left sum
+    for left, right, begin in zip((rights - score[hits]).tolist(), rights.tolist(), hits.tolist()):
+        end, j = begin + 1, len(held) - 1
         while True:
-            j = len(held) - 1
-            while j >= 0 and held[j][0] >= k[0]:
-                j -= 1
-            if j < 0 or held[j][1] >= k[1]:
-                held.append(k)
+            while j >= 0 and held[j][0] >= left:
+                j = held[j][4]
+            if j < 0 or held[j][1] >= right:
+                held.append((left, right, begin, end, j))
                 break
-            k = [held[j][0], k[1], held[j][2], k[3]]
+            left, _, begin, _, before = held[j]
             del held[j:]
-    return [(float(r - a), int(b), int(e)) for a, r, b, e in held]
+            j = before
+    return [(r - a, b, e) for a, r, b, e, _ in held]
 
 
 def document_segments(bodies: list[str], model: Model) -> list[tuple[list[tuple[float, int, int]], np.ndarray]]:
