@@ -93,6 +93,17 @@ def test_op1_finds_repeated_and_late_passages(spark):
     assert out[3].p_value_log10 < out[4].p_value_log10 - 1  # abuse that repeats one word
 
 
+def test_labelled_rows_are_bounded_after_the_join(spark):
+    """One labelled id that many rows repeat."""
+    from vitalake.llm.common import labelled
+
+    docs = spark.range(20_000).selectExpr("1L AS doc_id", "concat('text ', id % 7) AS text").union(spark.sql("SELECT 2L, 'other'"))
+    labels = spark.createDataFrame([(k, k % 2) for k in range(50)], "doc_id long, toxic int")
+    assert 0 < labelled(docs, labels, "toxic", 500, parts=1000).count() < 900
+    few = docs.limit(50)
+    assert labelled(few, labels, "toxic", 500, parts=1000).count() == few.where("doc_id < 50").count()
+
+
 def test_segments_take_linear_time():
     """Scattered positives in a falling sequence, the worst case of a search that walks back; and rising, all merged."""
     import time

@@ -117,8 +117,10 @@ def sampled(rows: DataFrame, key: Column, most: int) -> DataFrame:
 
 def labelled(docs: DataFrame, labels: DataFrame, name: str, rows: int, parts: int = FOLDS) -> DataFrame:
     """``(doc_id, text, label, fold)``: a bounded sample of labelled documents
-    outside fold 0; the sample of labels is small enough to broadcast by its bound."""
+    outside fold 0; the sample of labels is small enough to broadcast by its bound.
+    Where rows repeat a labelled id, the rows found are sampled again to the same bound."""
     y = (labels.where(F.col(name).isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max(name).alias("label"))
          .withColumn("fold", fold(F.col("doc_id"), parts)).where("fold <> 0"))
     y = sampled(y, F.col("doc_id"), rows)
-    return docs.select("doc_id", "text").join(F.broadcast(y), "doc_id")
+    found = docs.select("doc_id", "text").join(F.broadcast(y), "doc_id")
+    return sampled(found, F.monotonically_increasing_id(), rows + rows // 10)
