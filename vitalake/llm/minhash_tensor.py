@@ -9,13 +9,15 @@ two collections; at similarity 0.8 a pair stays unseen with a chance of about
 
 Equal sets are one row (a class) before any key is made.  Table keys are dealt
 by range of (key, class), so a bucket of any size is spread over tasks.  A
-bucket of up to ``SMALL`` classes gives its pairs; of a larger one all members
-are paired with its first.  Candidates are verified on the full sets, for each
-class its smallest partner first; then only pairs that are not joined already.
-What this leaves open are large buckets whose members are not all joined: their
-members are compared by an exact prefix filter (two sets with similarity 0.8
-share one of the rarest fifth of their shingles), so no link is lost to the
-shortcut.  Components come from the verified links.
+bucket of up to ``SMALL`` classes gives its pairs.  In a larger one all members
+are paired with its heaviest member, the one that meets most others in large
+buckets (the original of a group of near copies meets its copies more often than
+they meet each other).  Candidates are verified on the full sets, these first;
+then pairs that are not joined already.  What this leaves open are large buckets
+whose members are not all joined: their members are compared by an exact filter
+(of shingles in order of frequency, two sets with similarity 0.8 share one so
+far to the rare end that enough others can follow in both), so no link is lost to
+the shortcut.  Components come from the verified links.
 
 Rows: a null or empty text, or one without words, has the empty set, is linked
 with nothing and is its own component.  Fewer words than a shingle are one
@@ -33,7 +35,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import arrow_map, column, delete_path, documents, stage, stage_path, struct, texts
@@ -124,60 +126,50 @@ def table_keys(classes: DataFrame) -> DataFrame:
 
 
 def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Over rows sorted by (key, cid): candidate pairs ``(u, v)``, the rows ``(key, v)`` of
-    buckets that are not done by them, and the first member ``(key, u)`` of the
-    buckets at both ends, which may go on in the tasks beside."""
+    """Over rows sorted by (key, cid): the pairs ``(u, v)`` of small buckets, and the rows ``(key, v)`` of
+    large ones and of those at both ends of the task, which may go on in the tasks beside."""
     schema = pa.schema([("key", pa.int64()), ("u", pa.int64()), ("v", pa.int64())])
 
-    def rows(key: np.ndarray | None, u: np.ndarray | None, v: np.ndarray | None) -> pa.RecordBatch:
-        n = len(next(x for x in (key, u, v) if x is not None))
-        return pa.RecordBatch.from_arrays([pa.nulls(n, pa.int64()) if x is None else pa.array(x, pa.int64()) for x in (key, u, v)], schema=schema)
+    def told(keys: np.ndarray, ids: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(keys), pa.nulls(len(keys), pa.int64()), pa.array(ids)], schema=schema)
 
-    held_keys, held_ids = np.zeros(0, np.int64), np.zeros(0, np.int64)
-    going_on = False  # the held row is the first member of a large bucket whose other rows are out already
-    edge = None  # key of the first bucket of this task
-
-    def done(keys: np.ndarray, ids: np.ndarray, large: bool, closing: np.ndarray) -> Iterator[pa.RecordBatch]:
-        """``large``: the first run is one; ``closing``: keys of runs at an end of the task."""
+    def done(keys: np.ndarray, ids: np.ndarray, edge: np.int64) -> Iterator[pa.RecordBatch]:
         first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
         size = np.diff(np.r_[first, len(keys)])
-        big = (size > SMALL) | np.isin(keys[first], closing)
-        if large:
-            big[0] = True
-        of_big, hub = np.repeat(big, size), np.repeat(ids[first], size)
-        told = of_big.copy()
-        if large:
-            told[0] = False
-        if told.any():
-            yield rows(keys[told], None, ids[told])
-        pairs = of_big & (hub != ids)
-        if pairs.any():
-            yield rows(None, hub[pairs], ids[pairs])
-        keys, ids = keys[~of_big], ids[~of_big]
+        big = np.repeat((size > SMALL) | (keys[first] == edge), size)
+        if big.any():
+            yield told(keys[big], ids[big])
+        keys, ids = keys[~big], ids[~big]
         for s in range(1, SMALL):
             same = keys[s:] == keys[:-s]
             if not same.any():
                 break
-            yield rows(None, ids[:-s][same], ids[s:][same])
+            yield pa.RecordBatch.from_arrays([pa.nulls(int(same.sum()), pa.int64()), pa.array(ids[:-s][same]), pa.array(ids[s:][same])], schema=schema)
 
+    held_keys, held_ids = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    edge = large = None  # keys of the first bucket of this task, and of a large one whose rows are passed on as they come
     for batch in batches:
         if not batch.num_rows:
             continue
         keys, ids = np.r_[held_keys, batch.column(0).to_numpy()], np.r_[held_ids, batch.column(1).to_numpy()]
         if edge is None:
             edge = keys[0]
-            yield rows(keys[:1], ids[:1], None)
+        if large is not None:
+            n = int(np.searchsorted(keys, large, side="right"))
+            if n:
+                yield told(keys[:n], ids[:n])
+            if n == len(keys):
+                continue
+            keys, ids, large = keys[n:], ids[n:], None
         cut = int(np.searchsorted(keys, keys[-1]))  # the last run may go on in the next batch
         if cut:
-            yield from done(keys[:cut], ids[:cut], going_on, np.array([edge]))
-            going_on = False
+            yield from done(keys[:cut], ids[:cut], edge)
         held_keys, held_ids = keys[cut:], ids[cut:]
-        if len(held_keys) > SMALL or going_on:
-            yield from done(held_keys, held_ids, going_on, held_keys[:1])
-            held_keys, held_ids, going_on = held_keys[:1], held_ids[:1], True
+        if len(held_keys) > SMALL:
+            yield told(held_keys, held_ids)
+            held_keys, held_ids, large = held_keys[:0], held_ids[:0], held_keys[0]
     if len(held_keys):
-        yield from done(held_keys, held_ids, going_on, held_keys[:1])
-        yield rows(held_keys[:1], held_ids[:1], None)
+        yield told(held_keys, held_ids)
 
 
 def lookup(left: DataFrame, keys: list[str], right: DataFrame, spread: str) -> DataFrame:
@@ -189,46 +181,47 @@ def lookup(left: DataFrame, keys: list[str], right: DataFrame, spread: str) -> D
     return salted.join(wanted, [*keys, "__salt"]).drop("__salt")
 
 
-class Verifier:
-    """Checks pairs of classes on the full sets of their texts."""
+def shingle_sets(docs: DataFrame, classes: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
+    """``(cid, set)`` stored, for the classes ``cid`` of ``wanted``."""
+    shingler = Shingler(size)
+    last = F.lit((1 << 63) - 1)
+    where = classes.join(wanted.distinct(), "cid", "left_semi").select(F.coalesce("least", last).alias("did"), "body", "cid")
+    found = (_named(docs).withColumn("did", F.coalesce("doc_id", last)).select("did", "body", "text")
+             .join(where, ["did", "body"]).select("cid", "text").dropDuplicates(["cid"]))
+
+    def step(batch: pa.RecordBatch) -> dict:
+        return {"cid": column(batch, "cid"), "set": [shingler(t).tobytes() for t in texts(batch)]}
 
-    def __init__(self, docs: DataFrame, classes: DataFrame, size: int, percent: int) -> None:
-        self.docs, self.classes, self.size, self.percent = docs, classes, size, percent
+    return stage(arrow_map(found, step, "cid long, set binary"), "shingle-sets")
 
-    def sets(self, wanted: DataFrame) -> DataFrame:
-        """``(cid, set)`` stored, for the classes ``cid`` of ``wanted``."""
-        shingler = Shingler(self.size)
-        last = F.lit((1 << 63) - 1)
-        where = self.classes.join(wanted.distinct(), "cid", "left_semi").select(F.coalesce("least", last).alias("did"), "body", "cid")
-        found = (_named(self.docs).withColumn("did", F.coalesce("doc_id", last)).select("did", "body", "text")
-                 .join(where, ["did", "body"]).select("cid", "text").dropDuplicates(["cid"]))
 
-        def step(batch: pa.RecordBatch) -> dict:
-            return {"cid": column(batch, "cid"), "set": [shingler(t).tobytes() for t in texts(batch)]}
+def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs ``(u, v)`` whose sets are similar, stored."""
+    both = lookup(lookup(pairs.select("u", "v"), ["v"], sets.select(F.col("cid").alias("v"), F.col("set").alias("b")), "u"),
+                  ["u"], sets.select(F.col("cid").alias("u"), F.col("set").alias("a")), "v")
 
-        return stage(arrow_map(found, step, "cid long, set binary"), "shingle-sets")
+    def step(batch: pa.RecordBatch) -> dict:
+        keep = []
+        for k, (a, b) in enumerate(zip(column(batch, "a"), column(batch, "b"))):
+            a, b = np.frombuffer(a.as_buffer(), "<u8"), np.frombuffer(b.as_buffer(), "<u8")
+            least, most = sorted((len(a), len(b)))
+            if 100 * least >= percent * most:
+                same = len(np.intersect1d(a, b, assume_unique=True))
+                if 100 * same >= percent * (least + most - same):
+                    keep.append(k)
+        rows = pa.array(keep, pa.int64())
+        return {"u": column(batch, "u").take(rows), "v": column(batch, "v").take(rows)}
 
-    def links(self, pairs: DataFrame) -> DataFrame:
-        """The pairs ``(u, v)`` whose sets are similar, stored."""
-        pairs = stage(pairs, "pairs")
-        sets = self.sets(pairs.select(F.col("u").alias("cid")).union(pairs.select("v")))
-        percent = self.percent
-        both = lookup(lookup(pairs, ["v"], sets.select(F.col("cid").alias("v"), F.col("set").alias("b")), "u"),
-                      ["u"], sets.select(F.col("cid").alias("u"), F.col("set").alias("a")), "v")
+    return stage(arrow_map(both.select("u", "v", "a", "b"), step, "u long, v long", None), "links")
 
-        def step(batch: pa.RecordBatch) -> dict:
-            keep = []
-            for k, (a, b) in enumerate(zip(column(batch, "a"), column(batch, "b"))):
-                a, b = np.frombuffer(a.as_buffer(), "<u8"), np.frombuffer(b.as_buffer(), "<u8")
-                least, most = sorted((len(a), len(b)))
-                if 100 * least >= percent * most:
-                    same = len(np.intersect1d(a, b, assume_unique=True))
-                    if 100 * same >= percent * (least + most - same):
-                        keep.append(k)
-            rows = pa.array(keep, pa.int64())
-            return {"u": column(batch, "u").take(rows), "v": column(batch, "v").take(rows)}
 
-        return stage(arrow_map(both.select("u", "v", "a", "b"), step, "u long, v long", None), "links")
+def star_pairs(told: DataFrame) -> DataFrame:
+    """``(u, v)``: each member of a large bucket with the bucket's heaviest member."""
+    sizes = told.groupBy("key").agg(F.count("*").alias("n"))
+    weights = lookup(told, ["key"], sizes, "cid").groupBy("cid").agg(F.sum("n").alias("w"))
+    hubs = told.join(weights, "cid").groupBy("key").agg(F.max(F.struct("w", (-F.col("cid")).alias("m"))).alias("h")).select("key", (-F.col("h.m")).alias("hub"))
+    return (lookup(told, ["key"], hubs, "cid").where("cid <> hub")
+            .select(F.least("cid", "hub").alias("u"), F.greatest("cid", "hub").alias("v")).distinct())
 
 
 def _labelled(rows: DataFrame, name: str, labels: DataFrame, out: str) -> DataFrame:
@@ -237,26 +230,27 @@ def _labelled(rows: DataFrame, name: str, labels: DataFrame, out: str) -> DataFr
     return rows.join(of, name, "left").withColumn(out, F.coalesce("__of", name)).drop("__of")
 
 
-def _prefix_pairs(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs of unjoined ``members (cid, label)`` that share a shingle of their prefix in order of frequency."""
+def filtered_pairs(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """All pairs of differently labelled ``members (cid, label)`` that can be similar by their sizes and by the place
+    of a common shingle in the order of frequency (the first common one of a similar pair passes)."""
     def step(batch: pa.RecordBatch) -> dict:
-        sets = [np.frombuffer(s.as_buffer(), "<i8") for s in column(batch, "set")]
-        return {"cid": np.repeat(column(batch, "cid").to_numpy(), [len(s) for s in sets]), "n": np.repeat([len(s) for s in sets], [len(s) for s in sets]),
-                "shingle": np.concatenate(sets)}
-
-    from pyspark.sql import Window
-
-    all_of = arrow_map(sets, step, "cid long, n long, shingle long", "set")
-    common = all_of.groupBy("shingle").agg(F.count("*").alias("f")).where("f > 1")
-    ranked = (lookup(all_of, ["shingle"], common, "cid").withColumn("back", F.row_number().over(Window.partitionBy("cid").orderBy(F.desc("f"), "shingle"))))
-    # counted from the frequent end (single shingles rank before all others): position > need - 1 lies in the prefix
-    need = F.ceil(F.col("n") * percent / 100)
-    prefix = stage(ranked.where(F.col("back") >= need).join(members, "cid").select("shingle", "cid", "n", "label"), "prefixes")
+        each = [np.frombuffer(s.as_buffer(), "<i8") for s in column(batch, "set")]
+        sizes = [len(s) for s in each]
+        return {"cid": np.repeat(column(batch, "cid").to_numpy(), sizes), "n": np.repeat(sizes, sizes), "shingle": np.concatenate(each)}
+
+    whole = arrow_map(sets.join(members.select("cid"), "cid", "left_semi"), step, "cid long, n long, shingle long", "set")
+    common = whole.groupBy("shingle").agg(F.count("*").alias("f")).where("f > 1")
+    # back: how many shingles, this one included, are at least as far to the frequent end (single ones are at the rare end)
+    order = Window.partitionBy("cid").orderBy(F.desc("f"), "shingle")
+    ranked = lookup(whole, ["shingle"], common, "cid").withColumn("back", F.row_number().over(order))
+    prefix = stage(ranked.where(F.col("back") >= F.ceil(F.col("n") * percent / 100)).join(members, "cid")
+                   .select("shingle", "cid", "n", "label", "back"), "prefixes")
     mixed = prefix.groupBy("shingle").agg(F.min("label").alias("a"), F.max("label").alias("b")).where("a <> b").select("shingle")
     prefix = prefix.join(mixed, "shingle", "left_semi")
-    other = prefix.select("shingle", F.col("cid").alias("v"), F.col("n").alias("m"), F.col("label").alias("other"))
+    other = prefix.select("shingle", F.col("cid").alias("v"), F.col("n").alias("m"), F.col("label").alias("other"), F.col("back").alias("rest"))
     return (prefix.join(other, "shingle").where((F.col("cid") < F.col("v")) & (F.col("label") != F.col("other"))
-                                                & (100 * F.least("n", "m") >= percent * F.greatest("n", "m")))
+                                                & (100 * F.least("n", "m") >= percent * F.greatest("n", "m"))
+                                                & ((100 + percent) * F.least("back", "rest") >= percent * (F.col("n") + F.col("m"))))
             .select(F.col("cid").alias("u"), "v").distinct())
 
 
@@ -276,24 +270,23 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT
     wide = max(parts, 2 * spark.sparkContext.defaultParallelism)
     met, met_path = stage_path(table_keys(classes).repartitionByRange(wide, "key", "cid").sortWithinPartitions("key", "cid")
                                .mapInArrow(_meet, struct("key long, u long, v long")), "buckets")
-    edges = met.where("v IS NULL").groupBy("key").agg(F.collect_set("u").alias("us")).where(F.size("us") > 1)  # at most two a task
-    across = edges.select(F.array_min("us").alias("u"), F.explode("us").alias("v")).where("u <> v")
-    pairs, pairs_path = stage_path(met.where("key IS NULL").select("u", "v").union(across).distinct(), "candidates")
-    check = Verifier(docs, classes, size, percent)
-    one = check.links(pairs.groupBy("v").agg(F.min("u").alias("u")).select("u", "v"))
+    pairs, pairs_path = stage_path(met.where("key IS NULL").select("u", "v").distinct(), "candidates")
+    told = met.where("key IS NOT NULL").select("key", F.col("v").alias("cid"))
+    sets = shingle_sets(docs, classes, pairs.select(F.col("u").alias("cid")).union(pairs.select("v")).union(told.select("cid")), size)
+    stars_, stars_path = stage_path(star_pairs(told), "stars")
+    one = verified(stars_, sets, percent)
     labels = stars(one)
-    open_pairs = _labelled(_labelled(pairs, "u", labels, "a"), "v", labels, "b").where("a <> b")
-    first = pairs.groupBy("v").agg(F.min("u").alias("u"))
-    two = check.links(open_pairs.select("u", "v").join(first, ["u", "v"], "left_anti"))
+    apart = _labelled(_labelled(pairs, "u", labels, "a"), "v", labels, "b").where("a <> b").select("u", "v")
+    two = verified(apart.join(stars_, ["u", "v"], "left_anti"), sets, percent)
     labels = stars(one.union(two))
-    open_rows = _labelled(met.where("key IS NOT NULL AND v IS NOT NULL").select("key", F.col("v").alias("cid")), "cid", labels, "label")
+    open_rows = _labelled(told, "cid", labels, "label")
     mixed = open_rows.groupBy("key").agg(F.min("label").alias("a"), F.max("label").alias("b")).where("a <> b").select("key")
     members = stage(open_rows.join(mixed, "key", "left_semi").select("cid", "label").distinct(), "open-members")
-    three = check.links(_prefix_pairs(members, check.sets(members.select("cid")), percent)
-                        .join(pairs, ["u", "v"], "left_anti"))
+    seen = pairs.union(stars_)
+    three = verified(filtered_pairs(members, sets, percent).join(seen, ["u", "v"], "left_anti"), sets, percent)
     labels = stars(one.union(two).union(three))
-    delete_path(spark, met_path)
-    delete_path(spark, pairs_path)
+    for path in (met_path, pairs_path, stars_path):
+        delete_path(spark, path)
     least = classes.select(F.col("cid").alias("root"), "least")
     found = classes.select("k1", "k2", "cid").join(labels.select(F.col("u").alias("cid"), F.col("v").alias("root")), "cid", "left")
     joined = lookup(found.where("root IS NOT NULL"), ["root"], least, "cid").select("k1", "k2", F.col("least").alias("component_id"))
