@@ -177,12 +177,23 @@ def test_s17_nulls_and_one_instant(spark):
     t = dt.datetime(2026, 1, 1)
     rows = [("t1", t, f"r{i:03d}") for i in range(40)] + [(None, t, "n1"), (None, None, "n2"), ("t1", None, "n0")]
     df = spark.createDataFrame(rows, "record_type string, ingested_at timestamp, record_id string")
-    for sub in (0, 3):
-        got = {r.record_id: r.batch_no for r in landing.batch_chunks(df, 7, sub_bucket=sub).collect()}
+    for splits in (1, 5, 64):
+        got = {r.record_id: r.batch_no for r in landing.batch_chunks(df, 7, splits=splits).collect()}
         ordered = ["n0", *(f"r{i:03d}" for i in range(40))]
         assert got == {r: i // 7 for i, r in enumerate(ordered)} | {"n2": 0, "n1": 0}
 
 
+def test_s17_one_instant_is_spread_and_numbers_sort_as_numbers(spark):
+    t = dt.datetime(2026, 1, 1)
+    df = spark.range(3000).select(F.lit("t").alias("record_type"), F.lit(t).alias("ingested_at"), (F.col("id") * 7 % 3000).alias("n"))
+    out = landing.batch_chunks(df, 100)
+    assert {r.n: r.batch_no for r in out.collect()} == {k: k // 100 for k in range(3000)}
+    marks = landing._range_marks(df.select("n"), 64)
+    assert len(marks) > 40 and marks == sorted(marks)
+    sizes = [sum(a <= k < b for k in range(3000)) for a, b in zip([-1, *marks], [*marks, 3000])]
+    assert max(sizes) < 300  # no window holds the instant
+
+
 def test_s8_append_staging_and_s14_publish(spark, tmp_path):
     path = str(tmp_path / "bronze")
     staged = spark.createDataFrame(

@@ -292,3 +292,76 @@ def test_x4_a_stream_keeps_several_tables(spark, tmp_path):
     assert _table_of(g.read("daily_steps").select(*want.columns)) == _table_of(want)
     assert g.table("daily_steps").version() == 4
     assert set(ROLLUPS) >= {"daily_steps", "ingest_daily", "weekly_workouts"}
+
+
+def test_x4_refresh_takes_only_what_is_new(spark, tmp_path):
+    from vitalake.plans.medallion import Medallion
+    from vitalake.plans.refresh import refresh_incremental
+    from vitalake.sources.bronze_store import read_bronze, write_bronze
+
+    def landed(days):
+        rows = []
+        for d in days:
+            for k in range(6):
+                kind = ["HKQuantityTypeIdentifierStepCount", "HKQuantityTypeIdentifierHeartRateVariabilitySDNN", "HKQuantityTypeIdentifierRestingHeartRate"][k % 3]
+                at = f"2026-01-{d:02d}T0{k}:00:00Z"
+                rows.append({"record_id": f"{d}-{k}", "ingested_at": at, "record_type": "samples", "user_id": f"u{k % 2}",
+                             "body": {"uuid": f"s{d}-{k}", "type": kind, "unit": "x", "value": k + d, "start_date": at, "end_date": at}})
+            rows.append({"record_id": f"w{d}", "ingested_at": f"2026-01-{d:02d}T09:00:00Z", "record_type": "workouts", "user_id": "u0",
+                         "body": {"uuid": f"w{d}", "activity_type": "run", "start_date": f"2026-01-{d:02d}T08:00:00Z", "duration_seconds": 60.0 * d}})
+            stage = {"uuid": f"z{d}", "stage": "asleepDeep", "start_date": f"2026-01-{d:02d}T01:00:00Z", "end_date": f"2026-01-{d:02d}T02:00:00Z"}
+            rows.append({"record_id": f"sl{d}", "ingested_at": f"2026-01-{d:02d}T10:00:00Z", "record_type": "sleep", "user_id": "u1",
+                         "body": {"start_date": stage["start_date"], "end_date": stage["end_date"], "stages": [stage]}})
+        return make_bronze(spark, rows)
+
+    path = str(tmp_path / "bronze")
+    write_bronze(landed(range(5, 10)), path)
+    first = refresh_incremental(spark, path, str(tmp_path / "out"))
+    before = {name: set(first.table(name).folders()) for name in ROLLUPS}
+    write_bronze(landed([20]), path, "append")
+    again = refresh_incremental(spark, path, str(tmp_path / "out"))
+    batch = Medallion(read_bronze(spark, path))
+    for name in ROLLUPS:
+        if name == "cardio_vitals_strict":
+            want = gold.cardio_vitals_daily(batch.samples, True)
+        else:
+            want = getattr(batch, name)
+        assert _table_of(again.read(name).select(*want.columns)) == _table_of(want), name
+        new = set(again.table(name).folders())
+        assert len(before[name]) > 1 or name.endswith("weekly") or name == "weekly_workouts"
+        assert before[name] <= new and len(new - before[name]) == 1, name  # the new day (week) only
+
+
+def test_stored_layers_keep_options_apart_and_follow_the_code(spark, tmp_path, monkeypatch):
+    from vitalake.plans.medallion import Medallion, StoredMedallion
+    from vitalake.sources import bronze_store
+    rows = [{"record_id": f"r{k}", "record_type": "samples", "ingested_at": "2026-01-05T00:00:00Z",
+             "body": {"uuid": f"s{k}", "type": t, "value": v, "start_date": "2026-01-05T01:00:00Z"}}
+            for k, (t, v) in enumerate([("HKQuantityTypeIdentifierHeartRate", 60.0), ("HKQuantityTypeIdentifierHeartRateVariabilitySDNN", 10.0)])]
+    bronze, root = make_bronze(spark, rows), str(tmp_path / "layers")
+    for strict in (False, True, False):
+        stored = StoredMedallion(bronze, root, strict_heart_rate=strict)
+        fresh = Medallion(bronze, strict_heart_rate=strict)
+        assert stored.cardio_vitals.first().heart_rate_avg == fresh.cardio_vitals.first().heart_rate_avg == (60.0 if strict else 35.0)
+    monkeypatch.setattr(bronze_store, "code_version", lambda *m: "changed")
+    monkeypatch.setattr(gold, "cardio_vitals_daily", lambda s, strict=False: s.select(F.lit(1.0).alias("heart_rate_avg"), F.to_date("start_at").alias("day")))
+    assert StoredMedallion(bronze, root).cardio_vitals.first().heart_rate_avg == 1.0  # not the table of the old rule
+
+
+def test_code_version_ignores_comments_and_docstrings(tmp_path):
+    import ast
+    from vitalake.sources.bronze_store import LANDED_BY, LAYERS_BY, _without_docs, code_version
+    one, two, three = ('"""a"""\ndef f():\n    """b"""\n    return 1  # c\n', 'def f():\n    return 1\n', 'def f():\n    return 2\n')
+    dump = lambda text: ast.dump(_without_docs(ast.parse(text)))
+    assert dump(one) == dump(two) != dump(three)
+    assert len(code_version(*LANDED_BY)) == 8 and code_version(*LANDED_BY) != code_version(*LAYERS_BY)
+
+
+def test_input_key_sees_files_of_a_folder(spark, tmp_path):
+    from vitalake.sources.bronze_store import _input_key
+    path = tmp_path / "events.parquet"
+    spark.range(5).coalesce(1).write.parquet(str(path))
+    one = _input_key(spark, str(path))
+    assert one == _input_key(spark, str(path))
+    spark.range(2).coalesce(1).write.mode("append").parquet(str(path))
+    assert _input_key(spark, str(path)) != one

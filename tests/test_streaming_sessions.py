@@ -120,7 +120,29 @@ def test_w2_bucket_size_does_not_change_sessions(spark):
         rows.append(("hot", f"h{i}", t, t + dt.timedelta(seconds=rnd.choice([5, 300, 3600]))))
     df = spark.createDataFrame(rows, "user_id string, uuid string, start_at timestamp, end_at timestamp")
     results = []
-    for b in (60, 3600, 86400):
-        results.append(sorted((r.uuid, r.session_seq) for r in sessionize(df, bucket_seconds=b).collect()))
-    assert results[0] == results[1] == results[2]
-    assert max(seq for _, seq in results[0]) > 5  # many sessions, most spanning several buckets
+    for b, d in ((60, 1440), (3600, 24), (86400, 1), (60, 7), (7, 3)):
+        results.append(sorted((r.uuid, r.session_seq, r.stage_no) for r in sessionize(df, bucket_seconds=b, buckets=d).collect()))
+    assert all(r == results[0] for r in results)
+    ordered, seen = sorted(rows, key=lambda r: (r[2], r[3], r[1])), {}
+    want, last = [], None
+    for _, uuid, start, end in ordered:
+        seq = (1 if last is None else seq + ((start - last).total_seconds() > 1800))
+        seen[seq] = seen.get(seq, 0) + 1
+        want.append((uuid, seq, seen[seq]))
+        last = end
+    assert results[0] == sorted(want)
+    assert max(r[1] for r in results[0]) > 5  # many sessions, most spanning several buckets
+
+
+def test_w2_shuffles_stage_rows_once_and_keeps_null_users(spark):
+    from vitalake.operators.sessions import session_documents, sessionize
+    t = dt.datetime(2026, 1, 1)
+    rows = [(u, f"{u}{k}", t + dt.timedelta(minutes=40 * k), t + dt.timedelta(minutes=40 * k + 15), f"s{k}") for u in ("a", None, "") for k in range(4)]
+    df = spark.createDataFrame(rows, "user_id string, uuid string, start_at timestamp, end_at timestamp, sleep_stage string")
+    plan = sessionize(df)._jdf.queryExecution().executedPlan().toString()
+    carrying = [x for x in plan.splitlines() if "Exchange hashpartitioning" in x and "_u" in x]
+    assert len(carrying) >= 3
+    assert all("coalesce" not in x and "isnull" not in x for x in carrying)
+    docs = session_documents(df).collect()
+    assert sorted((str(r.user_id), len(r.stages)) for r in docs) == sorted((str(u), 4) for u in ("a", None, ""))
+    assert all([x.stage for x in r.stages] == ["s0", "s1", "s2", "s3"] for r in docs)

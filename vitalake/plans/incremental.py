@@ -70,7 +70,23 @@ _USER: dict[str, Expr] = {"user_id": "user_id"}
 _STAGE_MINUTES = {out: ("sum", lambda stage=stage: F.when(F.col("sleep_stage") == stage, stage_minutes()).otherwise(F.lit(0.0)))
                   for stage, out in SLEEP_STAGE_COLUMNS}
 
+_CARDIO = {"resting_hr_avg": "contains(hk_type, 'RestingHeartRate')", "hrv_sdnn_avg": "contains(hk_type, 'HeartRateVariability')",
+           "spo2_avg": "contains(hk_type, 'OxygenSaturation')", "heart_rate_avg": "contains(hk_type, 'HeartRate') AND NOT contains(hk_type, 'Resting')"}
+
+
+def _cardio(strict: bool) -> Rollup:
+    """G7; ``strict`` keeps heart-rate variability out of the heart rate."""
+    types = _CARDIO | ({"heart_rate_avg": f"{_CARDIO['heart_rate_avg']} AND NOT contains(hk_type, 'HeartRateVariability')"} if strict else {})
+    value = {name: f"CASE WHEN {t} THEN value END" for name, t in types.items()}
+    return Rollup(
+        "samples", "start_at IS NOT NULL AND (" + " OR ".join(f"({t})" for t in types.values()) + ")", _USER, "day", "to_date(start_at)",
+        {f"s_{n}": ("sum", v) for n, v in value.items()} | {f"c_{n}": ("count", v) for n, v in value.items()} | {"top": ("max", value["heart_rate_avg"])},
+        {n: f"s_{n} / nullif(c_{n}, 0)" for n in value} | {"heart_rate_max": "top"})
+
+
 ROLLUPS: dict[str, Rollup] = {
+    "cardio_vitals": _cardio(False),
+    "cardio_vitals_strict": _cardio(True),
     "hk_quantity_daily": Rollup(
         "samples", "value IS NOT NULL AND hk_type IS NOT NULL", _USER | {"hk_type": "hk_type"}, "day", "to_date(start_at)", _of("value"),
         {"avg_value": "s / c", "min_value": "lo", "max_value": "hi", "sample_rows": "c"}),

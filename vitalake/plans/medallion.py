@@ -126,14 +126,18 @@ class StoredMedallion(Medallion):
 
     Gold is sorted by day (or week) within files, so that the row-group
     statistics let a window skip most of it.  A table is written on its first
-    use and published by a rename, so a crashed writer leaves nothing behind."""
+    use and published by a rename, so a crashed writer leaves nothing behind.
+    The folder names the options and the version of the code that makes the
+    tables, so no option and no changed rule is served another one's rows."""
 
     SORTED_BY = {"hk_quantity_daily": "day", "subject_daily": "day", "daily_steps": "day", "activity_enriched": "day", "sleep_nightly": "sleep_night",
                  "weekly_workouts": "week_start", "cardio_vitals": "day", "hr_intraday": "day", "ingest_daily": "ingest_day", "family_weekly": "week_start"}
 
     def __init__(self, bronze: DataFrame, root: str, dedup: str = "first", strict_heart_rate: bool = False):
         super().__init__(bronze, dedup, strict_heart_rate)
-        self.root = root.rstrip("/")
+        from ..sources.bronze_store import LAYERS_BY, code_version
+        options = f"{dedup}-{'strict' if strict_heart_rate else 'plain'}"
+        self.root = f"{root.rstrip('/')}/{options}-{code_version(*LAYERS_BY)}"
 
     def __getattribute__(self, name: str):
         if name not in Medallion.SILVER_TABLES and name not in Medallion.GOLD_TABLES:

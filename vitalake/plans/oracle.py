@@ -369,6 +369,15 @@ FINAL.update({
                            ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS session_seq FROM x)
         SELECT user_id, CAST(session_seq AS BIGINT) AS session_seq, min(stage_start_at) AS session_start_at,
                max(stage_end_at) AS session_end_at, count(*) AS stage_count FROM y GROUP BY 1, 2""",
+    "sleep_session_stages": """,
+        x AS (SELECT user_id, stage_uuid, sleep_stage, stage_start_at, stage_end_at,
+                     lag(stage_end_at) OVER (PARTITION BY user_id ORDER BY stage_start_at, stage_end_at, stage_uuid) AS prev_end
+              FROM sleep_stages WHERE stage_start_at IS NOT NULL AND stage_end_at IS NOT NULL),
+        y AS (SELECT *, CAST(sum(CASE WHEN prev_end IS NULL OR stage_start_at - prev_end > INTERVAL 30 MINUTE THEN 1 ELSE 0 END)
+                     OVER (PARTITION BY user_id ORDER BY stage_start_at, stage_end_at, stage_uuid
+                           ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS session_seq FROM x)
+        SELECT user_id, session_seq, row_number() OVER (PARTITION BY user_id, session_seq ORDER BY stage_start_at, stage_end_at, stage_uuid) AS stage_no,
+               sleep_stage AS stage, stage_start_at, stage_end_at FROM y""",
     "samples_live": """SELECT * FROM samples s WHERE NOT EXISTS (
                          SELECT 1 FROM deletes d WHERE d.deleted_uuid = s.hk_uuid)""",
     "workouts_live": """SELECT * FROM workouts w WHERE NOT EXISTS (
@@ -410,6 +419,22 @@ FINAL.update({
         UNION ALL SELECT record_id || '-again', record_type, user_id, ingested_at + INTERVAL 1 DAY FROM bronze
         WHERE device_id = 'demo-notebook-seed' AND record_type = 'samples'""",
     "change_feed_synced": FINAL["samples_current"],
+    "stream_sleep_sessions": FINAL["sleep_sessions"],
+    "samples_late_split": """,
+        w AS (SELECT *, CAST(floor((epoch(date_trunc('second', ingested_at)) + CASE WHEN CAST(regexp_extract(record_id, '[0-9]+') AS BIGINT) % 17 = 0
+                             THEN 6 * 86400 ELSE 0 END) / (4 * 86400)) AS BIGINT) AS arrival FROM s_raw),
+        high AS (SELECT arrival, max(max(ingested_at)) OVER (ORDER BY arrival ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+                        - INTERVAL 36 HOUR AS mark FROM w GROUP BY arrival),
+        d AS (SELECT w.*, mark, coalesce(ingested_at < mark, false) AS late FROM w JOIN high USING (arrival)),
+        o AS (SELECT *, row_number() OVER (PARTITION BY hk_uuid, arrival ORDER BY ingested_at, record_id) AS rn FROM d WHERE NOT late),
+        f AS (SELECT *, lag(ingested_at) OVER (PARTITION BY hk_uuid ORDER BY arrival) AS prior FROM o WHERE rn = 1)
+        SELECT 'kept' AS kind, record_id, hk_uuid, ingested_at, arrival FROM f WHERE prior IS NULL OR prior < mark
+        UNION ALL SELECT 'late', record_id, hk_uuid, ingested_at, arrival FROM d WHERE late""",
+    "backfill_ledger": """,
+        days AS (SELECT CAST(unnest(generate_series(DATE '2024-01-01', DATE '2024-01-31', INTERVAL 1 DAY)) AS DATE) AS day),
+        n AS (SELECT CAST(ingested_at AS DATE) AS day, count(*) AS rows FROM bronze GROUP BY 1)
+        SELECT day, 'landed' AS status, CASE WHEN extract(day FROM day) % 5 = 0 AND rows IS NOT NULL THEN 2 ELSE 1 END AS attempts,
+               coalesce(rows, 0) AS rows, coalesce(rows, 0) AS held FROM days LEFT JOIN n USING (day)""",
     "stream_gold_incremental": FINAL["g_hk_daily"],
     "inc_subject_daily": FINAL["g_subject_daily"],
     "inc_sleep_nightly": FINAL["g_sleep_nightly"],
@@ -504,4 +529,5 @@ FINAL.update({
 
 def oracle_sql() -> dict[str, str]:
     from .oracle_platforms import platform_oracles
-    return {**{name: BASE + final for name, final in FINAL.items()}, **platform_oracles()}
+    platforms = platform_oracles()
+    return {**{name: BASE + final for name, final in FINAL.items()}, **platforms, "watch_delivered": platforms["watch_events"]}

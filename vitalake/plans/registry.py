@@ -132,6 +132,8 @@ JOIN_QUERIES: dict[str, Query] = {
     # Sleep stages grouped into gap-based sessions per user
     "sleep_sessions": _q(lambda s, m: sessions.sleep_sessions(
         m.sleep_stages, start="stage_start_at", end="stage_end_at", tie="stage_uuid")),
+    "sleep_session_stages": _q(lambda s, m: sessions.session_stages(
+        m.sleep_stages, start="stage_start_at", end="stage_end_at", tie="stage_uuid")),
     # Deletes applied (remove / flag)
     "samples_live": _q(lambda s, m: deletes.apply_deletes(m.samples, m.deletes, "hk_uuid")),
     "workouts_live": _q(lambda s, m: deletes.apply_deletes(m.workouts, m.deletes, "workout_uuid")),

@@ -11,13 +11,17 @@ from pyspark.sql import functions as F
 
 from ..functions.labels import SEED_DEVICE_ID
 from ..functions.variant import header
-from ..operators import deletes, silver
+from ..operators import deletes, garmin, silver
+from ..operators.marks import Deliveries
 from ..schemas import BRONZE
 from ..session import checkpoint_dir, ensure_session
+from ..sources.backfill import Backfill
 from ..sources.bronze_store import bronze_path_for, landed_bronze
 from ..sources.snapshots import SnapshotTable, replace_where
 from ..streaming import medallion as streaming
 from ..streaming.change_feed import KeyedState
+from ..streaming.late_rows import LateGate
+from ..streaming.open_sessions import OpenSessions
 from .incremental import IncrementalGold
 from .medallion import Medallion
 
@@ -136,7 +140,68 @@ def stream_gold_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold.read("hk_quantity_daily")
 
 
+#: days of one arrival window, and how many days every 17th record is delayed
+ARRIVAL_DAYS, DELAY_DAYS = 4, 6
+LATE_SECONDS = 36 * 3600
+
+
+def samples_late_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Samples arriving in windows of four days, every 17th record six days late: kept and late rows
+    with the window they came in (what is missing are duplicates)."""
+    rows = silver.samples(_bronze(spark, sf_dir), "none")
+    number = F.regexp_extract("record_id", "[0-9]+", 0).cast("long")
+    arrives = F.unix_seconds("ingested_at") + F.when(number % 17 == 0, DELAY_DAYS * 86400).otherwise(0)
+    window = F.floor(arrives / (ARRIVAL_DAYS * 86400))
+    gate = LateGate(spark, _root(spark, "late"), rows.schema, "hk_uuid", LATE_SECONDS)
+    for w in sorted(r[0] for r in rows.select(window).distinct().collect() if r[0] is not None):  # a row a window
+        gate.take(rows.filter(window == w), w)
+    columns = ["record_id", "hk_uuid", "ingested_at", F.col("_epoch").alias("arrival")]
+    return (gate.rows("kept").select(F.lit("kept").alias("kind"), *columns)
+            .unionByName(gate.rows("late").select(F.lit("late").alias("kind"), *columns)))
+
+
+def stream_sleep_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sessions by W2's rule from five arrivals of raw stage rows, resent stages included."""
+    stages = silver.sleep_stages(_bronze(spark, sf_dir), "none")
+    state, t = OpenSessions(spark, _root(spark, "sessions")), F.unix_micros("ingested_at")
+    low = None
+    for k, cut in enumerate(time_cuts(stages, 5)):
+        state.take(stages.filter(t <= cut if low is None else (t > low) & (t <= cut)), k)
+        low = cut
+    return state.sessions()
+
+
+def backfill_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Days of January backfilled from the bronze table.  In the first run the source cannot read every
+    fifth day; the second run is given the same range and takes those days alone."""
+    bronze = _bronze(spark, sf_dir).select(F.to_date("ingested_at").alias("day"), "record_id", "record_type", "user_id")
+    job = Backfill(spark, _root(spark, "backfill"), bronze.schema)
+
+    def extract(days: DataFrame, broken: bool) -> DataFrame:
+        bad = (F.dayofmonth("day") % 5 == 0) & F.lit(broken)
+        return bronze.join(F.broadcast(days), "day", "left_semi").withColumn("error", F.when(bad, F.lit("source not readable")))
+
+    job.run("2024-01-01", "2024-02-01", lambda days: extract(days, True))
+    job.run("2024-01-01", "2024-02-01", lambda days: extract(days, False))
+    held = job.sink.read().groupBy("day").agg(F.count(F.lit(1)).alias("held"))
+    return job.ledger.read().join(held, "day", "left").select("day", "status", "attempts", "rows", F.coalesce("held", F.lit(0)).alias("held"))
+
+
+def watch_delivered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P31 with stored marks: three deliveries from a growing buffer, the second one repeated."""
+    ensure_session(spark)
+    events = garmin.explode_watch_batch(landed_bronze(spark, sf_dir, "watch"))
+    out, t = Deliveries(spark, _root(spark, "watch"), events.schema), F.unix_micros("recorded_at")
+    for cut in [c for k, c in enumerate(time_cuts(events, 3, "recorded_at")) for _ in range(1 + (k == 1))]:
+        out.deliver(events.filter(t <= cut))
+    return out.delivered().withColumn("metadata_json", F.to_json("metadata")).drop("metadata")
+
+
 STATE_QUERIES = {
+    "samples_late_split": samples_late_split,
+    "stream_sleep_sessions": stream_sleep_sessions,
+    "backfill_ledger": backfill_ledger,
+    "watch_delivered": watch_delivered,
     "bronze_reseeded": bronze_reseeded,
     "stream_change_feed": stream_change_feed,
     "change_feed_synced": change_feed_synced,

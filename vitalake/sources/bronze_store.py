@@ -15,7 +15,10 @@ partitioned by ``record_type``:
 
 from __future__ import annotations
 
+import ast
+import functools
 import hashlib
+import importlib.util
 import os
 
 from pyspark.sql import DataFrame, SparkSession
@@ -39,22 +42,38 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
-def _code_version() -> str:
-    """Hash of the modules that decide what a landed table contains: a code
-    change lands a fresh table instead of reusing a stale one."""
-    from . import bindings, landing, platform_bindings
-    from ..operators import garmin
+def _without_docs(tree: ast.AST) -> ast.AST:
+    for node in ast.walk(tree):
+        body = getattr(node, "body", None)
+        if isinstance(body, list) and body and isinstance(body[0], ast.Expr) and isinstance(body[0].value, ast.Constant):
+            node.body = body[1:]
+    return tree
+
+
+@functools.cache
+def code_version(*modules: str) -> str:
+    """Hash of the code of the named modules of this package, without comments and docstrings: a rule that
+    changes makes a fresh table, an edited comment does not."""
     h = hashlib.sha1()
-    for path in (bindings.__file__, platform_bindings.__file__, landing.__file__, garmin.__file__, __file__):
-        with open(path, "rb") as f:
-            h.update(f.read())
+    for name in modules:
+        with open(importlib.util.find_spec(f"{__package__.rpartition('.')[0]}.{name}").origin, encoding="utf-8") as f:
+            h.update(ast.dump(_without_docs(ast.parse(f.read()))).encode())
     return h.hexdigest()[:8]
 
 
+#: the modules that decide what a landed table, and what a stored silver or gold table, contains
+LANDED_BY = ("sources.bindings", "sources.platform_bindings", "sources.landing", "sources.bronze_store", "operators.garmin", "functions.variant", "schemas")
+LAYERS_BY = ("operators.silver", "operators.gold", "functions.variant", "functions.labels", "functions.dims", "plans.medallion")
+
+
 def _input_key(spark: SparkSession, path: str) -> str:
+    """Name, size and time of every file of the input (a folder's own length says nothing), and the landing code."""
     fs, p = _fs(spark, path)
-    st = fs.getFileStatus(p)
-    raw = f"{fs.makeQualified(p).toString()}|{st.getLen()}|{st.getModificationTime()}|{_code_version()}"
+    files, found = fs.listFiles(p, True), []
+    while files.hasNext():
+        st = files.next()
+        found.append(f"{st.getPath().toString()}|{st.getLen()}|{st.getModificationTime()}")
+    raw = "\n".join([fs.makeQualified(p).toString(), *sorted(found), code_version(*LANDED_BY)])
     return hashlib.sha1(raw.encode()).hexdigest()[:16]
 
 

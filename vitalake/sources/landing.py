@@ -246,33 +246,48 @@ def ndjson_line(df: DataFrame, columns: list[str] | None = None) -> Column:
     return F.to_json(F.struct(*[F.col(c) for c in cols]))
 
 
+def _range_marks(column: DataFrame, parts: int) -> list:
+    """At most ``parts - 1`` values that cut a column into ranges of about equal size, from a sample of a
+    bounded expected size (any marks give the same numbering)."""
+    known = column.filter(F.col(column.columns[0]).isNotNull())
+    total = known.count()
+    held = sorted(r[0] for r in known.sample(min(1.0, 20.0 * parts / max(total, 1)), 7).collect())
+    return sorted({held[len(held) * k // parts] for k in range(1, parts)}) if held else []
+
+
 def batch_chunks(df: DataFrame, size: int, by: str = "record_type", order: str = "ingested_at",
-                 bucket_seconds: int = 60, sub_bucket: int = 0) -> DataFrame:
+                 bucket_seconds: int = 60, splits: int = 64) -> DataFrame:
     """Number records into batches of ``size`` per ``by`` group:
     ``batch_no = floor((rn - 1) / size)`` with ``rn`` the row number in
     ``order`` within the group.
 
     ``by`` has a handful of values (five record types), so one window over
     a group would put a fifth of the data in one task.  Instead the row
-    number is computed per (group, time bucket) and offset by the row count
-    of the group's earlier buckets (a running sum over one row per bucket);
-    the result equals the single-window numbering.  ``sub_bucket`` > 0 splits
-    the rows of one instant by that many leading characters of the tie-break
-    column (text), for bulk loads that share one time stamp."""
-    tie = [F.col(c) for c in df.columns if c not in (by, order)][:1]
-    d = df.withColumn("_b", F.floor(F.unix_micros(F.col(order)) / F.lit(bucket_seconds * 1_000_000)))
-    d = d.withColumn("_s", F.substring(tie[0].cast("string"), 1, sub_bucket) if tie and sub_bucket else F.lit(""))
-    d = d.withColumn("_t", F.col(order)) if sub_bucket else d.withColumn("_t", F.lit(None).cast(df.schema[order].dataType))
-    keys = [by, "_b", "_t", "_s"]
-    d = d.withColumn("_rn", F.row_number().over(Window.partitionBy(*keys).orderBy(F.col(order), *tie)))
-    counts = d.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    number is computed per (group, time bucket, range of the tie-break column)
+    and offset by the row count of what precedes it (a running sum over one row
+    per such part); the result equals the single-window numbering.  The ranges,
+    ``splits`` of them by sampled quantiles of the tie-break column, keep a bulk
+    load that shares one time stamp from being one task's work."""
+    rest = [c for c in df.columns if c not in (by, order)]
+    at = F.coalesce(F.unix_micros(F.col(order)), F.lit(-(1 << 62)))  # NULL times come first
+    minute = F.floor(at / F.lit(bucket_seconds * 1_000_000))
+    key = F.coalesce(F.concat(F.lit("="), F.col(by).cast("string")), F.lit(""))
+    d = df.withColumns({"_k": key, "_b": minute})
+    windows = ["_k", "_b"]
+    if rest:
+        tie = F.col(rest[0])
+        # (time, range of the tie-break) keeps the order; NULL comes first
+        marks = _range_marks(df.select(tie), splits)
+        part = F.coalesce(sum(((tie >= F.lit(m)).cast("int") for m in marks), F.lit(0)), F.lit(-1))
+        d = d.withColumns({"_t": at, "_s": part})
+        windows = ["_k", "_b", "_t", "_s"]
+    order_by = [F.col(order), *[F.col(c) for c in rest[:1]]]
+    d = d.withColumn("_rn", F.row_number().over(Window.partitionBy(*windows).orderBy(*order_by)))
+    counts = d.groupBy(*windows).agg(F.count(F.lit(1)).alias("_n"))
     counts = counts.withColumn("_before", F.coalesce(F.sum("_n").over(
-        Window.partitionBy(by).orderBy("_b", "_t", "_s").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    left, right = d.alias("l"), counts.alias("r")
-    same = [F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}")) for k in keys]  # NULL groups and times are numbered too
-    j = left.join(right, same).select("l.*", "r._before")
-    return (j.withColumn("batch_no", F.floor((F.col("_before") + F.col("_rn") - 1) / F.lit(size)).cast("bigint"))
-            .drop("_b", "_t", "_s", "_rn", "_before"))
+        Window.partitionBy("_k").orderBy(*windows[1:]).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_n")
+    return (d.join(counts, windows).withColumn("batch_no", F.floor((F.col("_before") + F.col("_rn") - 1) / F.lit(size)).cast("bigint"))
+            .select(*df.columns, "batch_no"))
 
 
 def write_ndjson(df: DataFrame, path: str, partition_by: list[str] | None = None,
