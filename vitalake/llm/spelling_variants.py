@@ -237,8 +237,9 @@ def near_words(words: list[str], queries: list[str], suffix: bool) -> tuple[np.n
     return q[new], w[new]
 
 
-def _dealt(words: DataFrame, chars: int) -> DataFrame:
-    """``(side, shard, block, lot, word, n, role)``: role 1 in the index of a block, 2 a query of a lot, 3 both."""
+def _dealt(words: DataFrame, chars: int) -> tuple[DataFrame, int]:
+    """``(side, shard, block, lot, word, n, role)``: role 1 in the index of a block, 2 a query of a lot, 3 both;
+    and the number of shards of both sides."""
     total = words.agg(F.sum(F.length("word"))).first()[0] or 0
     shards = max(1, -(-total // chars))
     both = words.withColumn("side", F.explode(F.array(F.lit(0), F.lit(1))))
@@ -249,8 +250,9 @@ def _dealt(words: DataFrame, chars: int) -> DataFrame:
     every = F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)
     one = both.where("blocks = 1").select("side", "shard", F.lit(0).cast("long").alias("block"), F.lit(0).cast("long").alias("lot"), "word", "n", F.lit(3).alias("role"))
     more = both.where("blocks > 1")
-    return (one.union(more.withColumn("lot", F.explode(every)).select("side", "shard", F.col("own").alias("block"), "lot", "word", "n", F.lit(1)))
+    dealt = (one.union(more.withColumn("lot", F.explode(every)).select("side", "shard", F.col("own").alias("block"), "lot", "word", "n", F.lit(1)))
             .union(more.withColumn("block", F.explode(every)).select("side", "shard", "block", F.col("own").alias("lot"), "word", "n", F.lit(2))))
+    return dealt, 2 * shards
 
 
 def near_summary(words: DataFrame, chars: int = INDEX_CHARS) -> DataFrame:
@@ -274,7 +276,9 @@ def near_summary(words: DataFrame, chars: int = INDEX_CHARS) -> DataFrame:
         rows = [(names[asked[a]], many[a], -m, b) for a, (m, b) in best.items()]
         return pa.table([pa.array([r[k] for r in rows], f.type) for k, f in enumerate(schema)], schema=schema)
 
-    found = (_dealt(words, chars).groupBy("side", "shard", "block", "lot")
+    group = ["side", "shard", "block", "lot"]
+    dealt, shards = _dealt(words, chars)
+    found = (dealt.repartition(shards, *group).groupBy(*group)  # a search takes long for its bytes: as many tasks as shards
              .applyInArrow(search, struct("word string, n_near long, best_n long, best string")))
     return (found.groupBy("word").agg(F.sum("n_near").alias("n_near"), F.min(F.struct((-F.col("best_n")).alias("m"), "best")).alias("b"))
             .select("word", "n_near", (-F.col("b.m")).alias("best_n"), F.col("b.best").alias("best")))
