@@ -1,43 +1,51 @@
 """Quality classifier by co-training of two views.
 
-View one reads the text alone (document statistics), view two the metadata
-alone (language, source and size columns, and the document's page: scheme, path,
-host and the make-up of its markup).  Each view has its own logistic classifier.
-Over ``ROUNDS`` rounds each marks the rows of an unlabelled pool it is surest
-of, in the proportion of the classes, and hands them with its labels to the
-other's training set.  Each view is then calibrated on its own fold of labelled
-rows, and a logistic combination of the calibrated views scores every document.
-
-Labelled rows (``FIT_ROWS``) and the pool (``POOL_ROWS``) are bounded samples by
-a hash of the id; fold 0 is never read.  Every document is scored.
-
-Rows: a null text is empty; null metadata and missing pages are a value of
-their own.  Of several pages of a document the smallest page_id counts, of
-several labels the highest.  Without labels of both kinds all scores are the
-base rate.  Repeated rows are scored alike; an empty table gives no rows.
+View one reads the text: its words (hashed) and its form (document statistics in
+bins).  View two reads the metadata: language, source and size columns, and the
+document's page (scheme, path, host and the make-up of its markup).  Each view is
+a naive Bayes model over its tokens with a logistic calibration.
+
+Over ``ROUNDS`` rounds both views score *all* unlabelled documents; the surest of
+each view, by quantiles of its scores over all of them, in the proportion of the
+classes and more in each round, become training rows of the other view.  Models
+are counts of tokens by class that Spark sums over all labelled and pseudo-labelled
+documents, so nothing but the count tables (of fixed size) and quantiles reaches
+the driver, and no pool is cut.  Each round's views are calibrated on fold 1 of the
+labelled documents (at most ``FIT_ROWS`` of them, by a hash), and a logistic
+combination of both scores every document.  Fold 0 is never read.
+
+Rows: a null text is empty; empty texts have only the tokens of their form; very
+long texts are read whole.  Null metadata and missing pages are a value of their
+own.  Of several pages of a document the smallest page_id counts, of several
+labels the highest.  Without labels of both kinds all scores are the base rate.
+Repeated rows are scored alike and count as often as they stand; ties at a
+quantile are marked together.  Other columns are not read, whatever their names.
+An empty table gives no rows.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass, field
+
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import FOLDS, arrow_map, column, documents, fold, sampled, stage, texts
+from .common import FOLDS, arrow_map, column, documents, fold, sampled, stage_path, delete_path, texts
 from .language_id import HOST, PAGE_ID
-from .quality_rules import matrix, statistics
+from .quality_rules import FEATURES, matrix, statistics
 
 FIT_ROWS = 20_000
-POOL_ROWS = 20_000
 ROUNDS = 5
-#: share of the pool that each view may mark in a round
+#: share of the unlabelled documents that each view marks in the first round; as many more in each further one
 MARK_SHARE = 0.05
-#: a pseudo-label needs a probability this far from one half
-SURE = 0.4
-#: slots that sources, languages and hosts are hashed to
-SLOTS = {"source": 64, "lang": 16, "host": 64}
 KEEP = 0.5
+#: slots of words, bins of a statistic, slots of a metadata feature
+WORDS, BINS, SLOTS = 1 << 15, 16, 64
+FORM = len(FEATURES)
+_WORDS_KEPT = 400_000
 
 
 def page_features(pages: DataFrame) -> DataFrame:
@@ -56,27 +64,49 @@ def page_features(pages: DataFrame) -> DataFrame:
 
 
 PAGE_NUMBERS = 10
+META = 5 + PAGE_NUMBERS
+SIZE = WORDS + FORM * BINS + META * SLOTS
+
+
+class WordSlots:
+    """Distinct hashed words of a text; hashes of words are kept up to a bound."""
+
+    def __init__(self) -> None:
+        self.kept: dict[bytes, int] = {}
+
+    def __call__(self, text: str) -> np.ndarray:
+        kept, found = self.kept, set(text.encode("utf-8", "replace").lower().split())
+        if len(kept) > _WORDS_KEPT:
+            kept.clear()
+        for w in found:
+            if w not in kept:
+                kept[w] = xxhash.xxh64_intdigest(w) % WORDS
+        return np.unique(np.fromiter(map(kept.__getitem__, found), np.int32, len(found)))
 
 
 def features(docs: DataFrame, pages: DataFrame) -> DataFrame:
-    """``(doc_id, key, text_view, meta_view)``: the two views, without any text."""
+    """``(doc_id, key, words, form, meta)``: the tokens of both views, without any text; ``form`` holds numbers."""
     names = ("doc_id", "lang", "source", "n_chars")
+    slots = WordSlots()
 
     def step(batch: pa.RecordBatch) -> dict:
-        return {n: column(batch, n) for n in names} | {"text_view": matrix(statistics(texts(batch))).tolist()}
+        bodies = texts(batch)
+        return {n: column(batch, n) for n in names} | {"words": [slots(t) for t in bodies], "form": matrix(statistics(bodies)).tolist()}
 
     kinds = ", ".join(f"{n} {docs.schema[n].dataType.simpleString()}" for n in names)
-    seen = arrow_map(docs.select(*names, "text"), step, f"{kinds}, text_view array<double>")
+    seen = arrow_map(docs.select(*names, "text"), step, f"{kinds}, words array<int>, form array<double>")
     seen = seen.withColumn("key", F.col("doc_id").cast("long")).join(page_features(pages), "key", "left")
 
-    def slot(name: str):
-        n = SLOTS[name]
-        at = F.when(F.col(name).isNull(), 0).otherwise(F.pmod(F.xxhash64(name), F.lit(n - 1)) + 1).cast("int")
-        return F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda k: (k == at).cast("double"))
+    def name_slot(name: str):
+        return F.when(F.col(name).isNull(), 0).otherwise(F.pmod(F.xxhash64(name), F.lit(SLOTS - 1)) + 1)
 
-    meta = F.concat(F.array(F.log1p(F.coalesce(F.col("n_chars").cast("double"), F.lit(0.0))), F.col("page").isNull().cast("double")),
-                    F.coalesce("page", F.array(*[F.lit(0.0)] * PAGE_NUMBERS)), *[slot(n) for n in SLOTS])
-    return seen.select("doc_id", "key", "text_view", meta.alias("meta_view"))
+    def number_slot(x):
+        return F.coalesce(F.least(F.greatest(F.floor(F.log1p(F.greatest(x, F.lit(0.0))) * 4), F.lit(0)) + 1, F.lit(SLOTS - 1)), F.lit(0))
+
+    slots_of = [name_slot("source"), name_slot("lang"), name_slot("host"), number_slot(F.col("n_chars").cast("double")),
+                F.col("page").isNull().cast("long"), *[number_slot(F.get("page", F.lit(k))) for k in range(PAGE_NUMBERS)]]
+    meta = F.array(*[(F.lit(k * SLOTS) + s).cast("int") for k, s in enumerate(slots_of)])
+    return seen.select("doc_id", "key", "words", "form", meta.alias("meta"))
 
 
 class Logistic:
@@ -106,86 +136,180 @@ class Logistic:
         return 1 / (1 + np.exp(-np.clip(self.logit(x), -30, 30)))
 
 
-class CoTrained:
-    """Two view classifiers, their calibrations and their combination; ``base`` alone if one class is missing."""
-
-    def __init__(self, base: float, views: list[Logistic] | None = None, calibrated: list[Logistic] | None = None,
-                 combined: Logistic | None = None):
-        self.base, self.views, self.calibrated, self.combined = base, views, calibrated, combined
-
-    def scores(self, xs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Probability of each view and of both together."""
-        if self.views is None:
-            one = np.full(len(xs[0]), self.base)
-            return one, one, one
-        logits = [c.logit(v.logit(x)[:, None]) for v, c, x in zip(self.views, self.calibrated, xs)]
-        both = self.combined.probability(np.stack(logits, axis=1))
-        return *(1 / (1 + np.exp(-np.clip(z, -30, 30))) for z in logits), both
-
-
-def co_train(label: np.ndarray, part: np.ndarray, xs: list[np.ndarray], pool: list[np.ndarray], rounds: int = ROUNDS,
-             share: float = MARK_SHARE, sure: float = SURE) -> CoTrained:
-    """``part`` is the fold of each labelled row: fold 1 calibrates, the others train."""
-    y = (label > 0).astype(float)
-    base = float((y.sum() + 1) / (len(y) + 2))
-    train, check = part != 1, part == 1
-    if any(len(set(y[m].tolist())) < 2 for m in (train, check)):
-        return CoTrained(base)
-    sets = [(x[train], y[train]) for x in xs]
-    free = np.ones(len(pool[0]), bool)
-    views = [Logistic(*s) for s in sets]
-    for _ in range(rounds):
-        at = np.flatnonzero(free)
-        most = int(share * len(free))
-        if not len(at) or not most:
+@dataclass
+class Model:
+    """Documents and tokens by class for both views (text, metadata), bin edges of the form,
+    calibrations; ``base`` alone where a class is missing."""
+
+    base: float
+    edges: np.ndarray
+    counts: np.ndarray = field(default_factory=lambda: np.zeros((2, SIZE)))  # by class
+    rows: np.ndarray = field(default_factory=lambda: np.zeros((2, 2)))  # by view and class
+    views: list[Logistic] | None = None
+    combined: Logistic | None = None
+
+    def odds(self) -> np.ndarray:
+        of = np.r_[np.zeros(WORDS + FORM * BINS, int), np.ones(META * SLOTS, int)]
+        share = (self.counts + 0.5) / (self.rows[of].T + 1)
+        return np.log(share[1] / share[0])
+
+    def scores(self, t: "Tokens") -> list[np.ndarray]:
+        """What each view says of each row: mean and scaled sum of its words' log-odds, and the mean of its form's; of its metadata's."""
+        odds = self.odds()
+        n = np.diff(t.begin)
+        words = np.add.reduceat(np.r_[odds[t.words], 0.0], np.minimum(t.begin[:-1], len(t.words))) * (n > 0)
+        form = odds[WORDS + t.form].mean(axis=1)
+        meta = odds[WORDS + FORM * BINS + t.meta].mean(axis=1)
+        return [np.stack([words / np.maximum(n, 1), words / np.sqrt(n + 1), form], axis=1), meta[:, None]]
+
+    def logits(self, t: "Tokens") -> list[np.ndarray]:
+        return [v.logit(x) for v, x in zip(self.views, self.scores(t))]
+
+
+class Tokens:
+    """The tokens of a batch of rows."""
+
+    def __init__(self, batch: pa.RecordBatch, edges: np.ndarray) -> None:
+        words = column(batch, "words")
+        self.words = words.flatten().to_numpy(zero_copy_only=False)
+        self.begin = np.r_[0, np.cumsum(words.value_lengths().to_numpy(zero_copy_only=False))].astype(np.int64)
+        numbers = column(batch, "form").flatten().to_numpy(zero_copy_only=False).reshape(-1, FORM)
+        self.form = np.stack([np.searchsorted(edges[k], numbers[:, k], side="right") + k * BINS for k in range(FORM)], axis=1)
+        self.meta = column(batch, "meta").flatten().to_numpy(zero_copy_only=False).reshape(-1, META)
+
+    def count(self, rows: np.ndarray, view: int) -> np.ndarray:
+        """Rows that hold each token, among ``rows`` (a mask)."""
+        if view:
+            return np.bincount(self.meta[rows].ravel() + WORDS + FORM * BINS, minlength=SIZE)
+        inside = np.repeat(rows, np.diff(self.begin))
+        return np.bincount(np.r_[self.words[inside], self.form[rows].ravel() + WORDS], minlength=SIZE)
+
+
+def said_of(model: Model, marks: list[tuple[float, float]] | None, t: Tokens, label: np.ndarray, part: np.ndarray) -> list[np.ndarray]:
+    """The class of each row for the training of each view (-1: none): its label outside the folds 0 and 1,
+    or what the *other* view is surest of.  ``label`` is -1 where there is none."""
+    own = np.where((label >= 0) & (part > 1), label, -1)
+    if marks is None:
+        return [own, own]
+    open_ = (label < 0) & (part != 0)
+    said = []
+    for z, (low, high) in zip(model.logits(t), marks):
+        said.append(np.where(open_ & (z >= high) & (z > 0), 1, np.where(open_ & (z <= low) & (z < 0), 0, own)))
+    return said[::-1]
+
+
+def recount(rows: DataFrame, model: Model, marks: list[tuple[float, float]] | None) -> tuple[np.ndarray, np.ndarray]:
+    """Token and row counts by class over all rows, summed by Spark; the table has a fixed number of slots."""
+    shared = rows.sparkSession.sparkContext.broadcast((model, marks))
+
+    def step(batch: pa.RecordBatch) -> dict:
+        model, marks = shared.value
+        t = Tokens(batch, model.edges)
+        said = said_of(model, marks, t, column(batch, "label").to_numpy(), column(batch, "part").to_numpy())
+        counts = np.zeros((2, SIZE + 2), np.int64)
+        for view in (0, 1):
+            for c in (0, 1):
+                mine = said[view] == c
+                counts[c, :SIZE] += t.count(mine, view)
+                counts[c, SIZE + view] += mine.sum()
+        at = np.flatnonzero(counts.any(axis=0))
+        return {"token": at, "no": counts[0, at], "yes": counts[1, at]}
+
+    found = arrow_map(rows, step, "token int, no long, yes long", None).groupBy("token").agg(F.sum("no").alias("no"), F.sum("yes").alias("yes")).toArrow()
+    both = np.zeros((2, SIZE + 2))
+    both[:, found["token"].to_numpy()] = found["no"].to_numpy(), found["yes"].to_numpy()
+    return both[:, :SIZE], both[:, SIZE:].T
+
+
+def calibrated(rows: DataFrame, model: Model, fit_rows: int) -> Model:
+    """Logistic calibration of each view, and of both together, on the labelled rows of fold 1 (at most ``fit_rows``)."""
+    shared = rows.sparkSession.sparkContext.broadcast(model)
+
+    def step(batch: pa.RecordBatch) -> dict:
+        x = np.concatenate(shared.value.scores(Tokens(batch, shared.value.edges)), axis=1)
+        return {"label": column(batch, "label"), "x": list(x)}
+
+    known = rows.where("part = 1 AND label >= 0")
+    got = arrow_map(sampled(known, F.monotonically_increasing_id(), fit_rows), step, "label int, x array<double>", None).toArrow()
+    y = (got["label"].to_numpy() > 0).astype(float)
+    if len(set(y.tolist())) < 2:
+        model.views = None
+        return model
+    x = np.array(got["x"].to_pylist())
+    model.views = [Logistic(x[:, :-1], y), Logistic(x[:, -1:], y)]
+    model.combined = Logistic(np.stack([model.views[0].logit(x[:, :-1]), model.views[1].logit(x[:, -1:])], axis=1), y)
+    return model
+
+
+def quantile_marks(rows: DataFrame, model: Model, share: float) -> list[tuple[float, float]]:
+    """For each view the scores below and above which it marks ``share`` of all unlabelled rows, by the classes' proportion."""
+    shared = rows.sparkSession.sparkContext.broadcast(model)
+
+    def step(batch: pa.RecordBatch) -> dict:
+        text, meta = shared.value.logits(Tokens(batch, shared.value.edges))
+        return {"text": text, "meta": meta}
+
+    z = arrow_map(rows.where("label < 0 AND part <> 0"), step, "text double, meta double", None)
+    at = [share * (1 - model.base), 1 - share * model.base]
+    got = z.agg(*[F.percentile_approx(v, F.array(*[F.lit(q) for q in at])).alias(v) for v in ("text", "meta")]).first()
+    return [tuple(got[v]) if got[v] else (-np.inf, np.inf) for v in ("text", "meta")]
+
+
+def form_edges(rows: DataFrame) -> np.ndarray:
+    """Edges of the bins of each statistic: its quantiles over all documents."""
+    at = F.array(*[F.lit(k / BINS) for k in range(1, BINS)])
+    got = rows.agg(*[F.percentile_approx(F.col("form")[k], at).alias(f"q{k}") for k in range(FORM)]).first()
+    return np.array([got[k] if got[k] else [0.0] * (BINS - 1) for k in range(FORM)])
+
+
+def co_train(rows: DataFrame, rounds: int = ROUNDS, share: float = MARK_SHARE, fit_rows: int = FIT_ROWS) -> Model:
+    """``rows``: the tokens with ``label`` (-1: none) and ``part`` (fold)."""
+    seen = rows.where("label >= 0 AND part > 1").agg(F.count("*").alias("n"), F.sum("label").alias("y")).first()
+    model = Model(float(((seen.y or 0) + 1) / (seen.n + 2)), form_edges(rows))
+    if not 0 < (seen.y or 0) < seen.n:
+        return model
+    marks = None
+    for k in range(rounds + 1):
+        fresh = Model(model.base, model.edges)
+        fresh.counts, fresh.rows = recount(rows, model, marks)
+        model = calibrated(rows, fresh, fit_rows)
+        if model.views is None or k == rounds:
             break
-        marked = []
-        for view, x in zip(views, pool):
-            p = view.probability(x[at])
-            order = np.argsort(p, kind="stable")
-            low, high = order[:max(1, round(most * (1 - base)))], order[len(order) - max(1, round(most * base)):]
-            rows = np.r_[low[p[low] < 0.5 - sure], high[p[high] > 0.5 + sure]]
-            marked.append((at[rows], (p[rows] > 0.5).astype(float)))
-        for other, (rows, said) in zip((1, 0), marked):
-            sets[other] = (np.r_[sets[other][0], pool[other][rows]], np.r_[sets[other][1], said])
-            free[rows] = False
-        views = [Logistic(*s) for s in sets]
-    logits = [v.logit(x[check]) for v, x in zip(views, xs)]
-    calibrated = [Logistic(z[:, None], y[check]) for z in logits]
-    combined = Logistic(np.stack([c.logit(z[:, None]) for c, z in zip(calibrated, logits)], axis=1), y[check])
-    return CoTrained(base, views, calibrated, combined)
-
-
-def train(seen: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, pool_rows: int = POOL_ROWS) -> CoTrained:
-    y = (labels.where("quality IS NOT NULL AND doc_id IS NOT NULL").groupBy(F.col("doc_id").cast("long").alias("key"))
-         .agg(F.max("quality").alias("label")).withColumn("fold", fold(F.col("key"), FOLDS)))
-    chosen = sampled(y.where("fold <> 0"), F.col("key"), fit_rows)  # bounded by fit_rows, so broadcast below
-    known = seen.join(F.broadcast(chosen), "key").select("label", "fold", "text_view", "meta_view").toArrow()
-    open_ = seen.join(y.select("key"), "key", "left_anti").where((fold(F.col("key"), FOLDS) != 0) & F.col("key").isNotNull())
-    pool = sampled(open_, F.col("key"), pool_rows).select("text_view", "meta_view").toArrow()
+        marks = quantile_marks(rows, model, share * (k + 1))
+    return model
 
-    def as_matrix(t: pa.Table, name: str) -> np.ndarray:
-        rows = t[name].to_pylist()
-        return np.array(rows, float) if rows else np.zeros((0, 1))
 
-    views = ("text_view", "meta_view")
-    return co_train(known["label"].to_numpy(), known["fold"].to_numpy(), [as_matrix(known, v) for v in views], [as_matrix(pool, v) for v in views])
+def labelled_rows(seen: DataFrame, labels: DataFrame) -> DataFrame:
+    y = (labels.where("quality IS NOT NULL AND doc_id IS NOT NULL").groupBy(F.col("doc_id").cast("long").alias("key"))
+         .agg((F.max("quality") > 0).cast("int").alias("label")))
+    return seen.join(y, "key", "left").select("doc_id", "words", "form", "meta", F.coalesce("label", F.lit(-1)).alias("label"),
+                                              fold(F.col("doc_id"), FOLDS).cast("int").alias("part"))
+
 
+def score(rows: DataFrame, model: Model) -> DataFrame:
+    shared = rows.sparkSession.sparkContext.broadcast(model)
 
-def score(seen: DataFrame, model: CoTrained) -> DataFrame:
-    shared = seen.sparkSession.sparkContext.broadcast(model)
+    def sure(z: np.ndarray) -> np.ndarray:
+        return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
     def step(batch: pa.RecordBatch) -> dict:
-        text, meta, both = shared.value.scores([np.array(column(batch, v).to_pylist(), float) for v in ("text_view", "meta_view")])
+        m = shared.value
+        if m.views is None:
+            both = text = meta = np.full(batch.num_rows, m.base)
+        else:
+            zs = m.logits(Tokens(batch, m.edges))
+            both, (text, meta) = m.combined.probability(np.stack(zs, axis=1)), map(sure, zs)
         return {"doc_id": column(batch, "doc_id"), "score": both, "text_score": text, "meta_score": meta}
 
-    kind = seen.schema["doc_id"].dataType.simpleString()
-    return arrow_map(seen.select("doc_id", "text_view", "meta_view"), step, f"doc_id {kind}, score double, text_score double, meta_score double", None)
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    return arrow_map(rows.select("doc_id", "words", "form", "meta"), step, f"doc_id {kind}, score double, text_score double, meta_score double", None)
 
 
 def op7_quality_cotraining(spark: SparkSession, sf_dir: str) -> DataFrame:
-    seen = stage(features(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/pages.parquet")), "quality-views")
-    out = score(seen, train(seen, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+    seen = features(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/pages.parquet"))
+    rows, path = stage_path(labelled_rows(seen, spark.read.parquet(f"{sf_dir}/labels.parquet")), "quality-views")
+    out, _ = stage_path(score(rows, co_train(rows)), "quality-scores")
+    delete_path(spark, path)
     return out.select("doc_id", (fold(F.col("doc_id"), FOLDS) == 0).alias("held_out"), "score",
                       (F.col("score") >= KEEP).cast("int").alias("predicted"), (F.col("score") >= KEEP).alias("kept"),
                       "text_score", "meta_score")
