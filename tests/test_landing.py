@@ -157,6 +157,29 @@ def test_nothing_is_lost_for_its_size(spark, tmp_path):
     assert landing.build_bronze(landing.parse_requests(req)[0]).first().user_id == user
 
 
+def test_r25_log_by_line_equals_the_log_of_whole_requests(spark, tmp_path):
+    for name, text in {"a": '{"x":1}\n\n{bad\n{"x":2}\n', "b": "", "c": "\n  \n", "d": "{bad\n" * 40, "e": '{"x":1}'}.items():
+        d = tmp_path / "req" / f"x_record_type={'' if name == 'x' else 'samples'}" / "x_platform=p" / f"x_request={name}" / "x_received=20260101000000"
+        d.mkdir(parents=True)
+        (d / "r.txt").write_text(text)
+    root = str(tmp_path / "req")
+    names = ["request_id", "record_type", "timestamp", "record_count", "error_count", "http_status_code", "success", "message"]
+    whole = landing.request_log(landing.read_request_files(spark, root))
+    for whole_bytes in (64 << 20, 10):  # all files as rows, then the large ones by line
+        lines = landing.read_request_lines(spark, root, whole_bytes)
+        log = landing.request_log_by_line(landing.list_requests(spark, root), lines)
+        got = {r.request_id: tuple(r) for r in log.select(*names).collect()}
+        want = {r.request_id: tuple(r) for r in whole.select(*names).collect()}
+        assert got == want and set(got) == {"a", "c", "d", "e"}
+        assert "b" not in got and "b" not in want  # a file without bytes is none to either reader
+        assert got["d"][4] == 40 and got["d"][7].count("Line") == landing.LOGGED_ERRORS
+    empty = landing.list_requests(spark, root).filter("request_id = 'e'").selectExpr("'z' AS request_id", "received_at", "headers", "0L AS bytes")
+    log = landing.request_log_by_line(empty, landing.read_request_lines(spark, root)).first()
+    assert (log.record_count, log.http_status_code, log.message) == (0, 400, "Request body is empty")
+    plan = landing.list_requests(spark, root)._jdf.queryExecution().executedPlan().toString()
+    assert "content" not in plan.split("ReadSchema")[-1]
+
+
 def test_s9_emptied_type_and_later_overwrite(spark, tmp_path):
     path = str(tmp_path / "bronze")
     rows = [("a", "u1", "samples"), ("b", "u2", "samples"), ("c", "u1", "deletes"), ("d", "u1", None)]

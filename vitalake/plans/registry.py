@@ -286,12 +286,18 @@ def ndjson_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return landing.request_log(landing.with_credentials(landing.read_request_files(spark, _landing(spark, sf_dir))))
+    path = _landing(spark, sf_dir)
+    return landing.request_log_by_line(landing.with_credentials(landing.list_requests(spark, path)),
+                                       landing.read_request_lines(spark, path))
 
 
 def last_payload_per_type(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The newest payload of each type, by its number of lines and the user its first line names."""
-    out = ops.last_payload_per_type(_log(spark, sf_dir))
+    """The newest payload of each type, by its number of lines and the user its first line names.
+    Only the newest request of each type is read as a whole."""
+    newest = (_log(spark, sf_dir).groupBy("record_type").agg(F.max_by("request_id", F.struct("timestamp", "request_id")).alias("request_id")))
+    files = landing.read_request_files(spark, _landing(spark, sf_dir))
+    wanted = files.join(F.broadcast(newest.select("request_id")), "request_id", "left_semi")  # a row a type
+    out = ops.last_payload_per_type(landing.request_log(landing.with_credentials(wanted)))
     first = F.regexp_extract("last_payload", '^\\{"demo_user_id":"([^"]*)"', 1)
     return ntz(out.select("record_type", "last_timestamp", F.size(F.split(F.rtrim(F.regexp_replace("last_payload", "\n$", "")), "\n")).alias("payload_lines"),
                           first.alias("first_user")))

@@ -154,27 +154,52 @@ NO_RECORDS = "No valid records found in request body."
 ONLY_ERRORS = "No valid records found. Parse errors: "
 
 
+def _outcome(record_type: Column, empty: Column, good: Column, bad: Column, quoted: Column) -> tuple[Column, Column]:
+    """Status and message of a request."""
+    status = F.when(record_type.isNull() | empty | (good == 0), F.lit(400)).otherwise(F.lit(200))
+    message = (F.when(record_type.isNull(), F.lit(NO_TYPE)).when(empty, F.lit(EMPTY_BODY))
+               .when(good == 0, F.when(bad > 0, F.concat(F.lit(ONLY_ERRORS), quoted)).otherwise(F.lit(NO_RECORDS)))
+               .otherwise(F.when(bad > 0, quoted)))
+    return status, message
+
+
 def request_log(requests: DataFrame, max_errors: int = LOGGED_ERRORS) -> DataFrame:
-    """Per-request outcome (the sync/ingest log): record_count, error_count,
-    status, message.  Computed inside each request's row, so no shuffle; the
-    message quotes the first ``max_errors`` errors, ``error_count`` has them all."""
-    headers, payload = F.col("headers"), F.coalesce(F.col("payload"), F.lit(""))
+    """Per-request outcome (the sync/ingest log) with the payload: record_count,
+    error_count, status, message.  Computed inside each request's row, so no shuffle;
+    the message quotes the first ``max_errors`` errors, ``error_count`` has them all.
+    For requests that fit a row; ``request_log_by_line`` has no such limit."""
+    payload = F.coalesce(F.col("payload"), F.lit(""))
     checked = F.transform(_lines(payload), lambda l, i: F.struct((i + 1).alias("n"), F.try_parse_json(l).isNull().alias("bad")))
     r = requests.withColumn("_lines", checked)
     r = r.withColumn("_bad", F.filter("_lines", lambda x: x["bad"]))
-    n = F.size("_lines") - F.size("_bad")
-    rt = record_type_of(headers)
+    n, bad, rt = F.size("_lines") - F.size("_bad"), F.size("_bad"), record_type_of(F.col("headers"))
     quoted = F.array_join(F.transform(F.slice("_bad", 1, max_errors), lambda x: F.format_string("Line %d: invalid JSON", x["n"])), "; ")
-    has_errors = F.size("_bad") > 0
-    status = F.when(rt.isNull() | (F.length(payload) == 0) | (n == 0), F.lit(400)).otherwise(F.lit(200))
-    message = (F.when(rt.isNull(), F.lit(NO_TYPE))
-               .when(F.length(payload) == 0, F.lit(EMPTY_BODY))
-               .when(n == 0, F.when(has_errors, F.concat(F.lit(ONLY_ERRORS), quoted)).otherwise(F.lit(NO_RECORDS)))
-               .otherwise(F.when(has_errors, quoted)))
+    status, message = _outcome(rt, F.length(payload) == 0, n, bad, quoted)
     return r.select("request_id", rt.alias("record_type"), F.col("received_at").alias("timestamp"),
-                    n.cast("int").alias("record_count"), F.size("_bad").alias("error_count"), status.alias("http_status_code"),
+                    n.cast("int").alias("record_count"), bad.alias("error_count"), status.alias("http_status_code"),
                     (status == 200).alias("success"), message.alias("message"),
-                    F.col("payload").alias("ndjson_payload"), strip_headers(headers).alias("request_headers"))
+                    F.col("payload").alias("ndjson_payload"), strip_headers(F.col("headers")).alias("request_headers"))
+
+
+def request_log_by_line(requests: DataFrame, lines: DataFrame, max_errors: int = LOGGED_ERRORS) -> DataFrame:
+    """``request_log`` without the payload, from numbered lines: no request is held as a row, whatever its size.
+
+    ``requests``: ``request_id, received_at, headers, bytes``, a row a request, also for those without
+    a line.  Lines are reduced to counts before they are shuffled; of the errors only the first
+    ``max_errors`` of a request travel (a row number with that limit, applied map-side first)."""
+    checked = lines.select("request_id", "line_no", F.try_parse_json("line").isNull().alias("bad"))
+    counts = checked.groupBy("request_id").agg(F.count_if(~F.col("bad")).alias("_good"), F.count_if(F.col("bad")).alias("_bad"))
+    first = Window.partitionBy("request_id").orderBy("line_no")
+    errors = (checked.filter("bad").select("request_id", "line_no", F.row_number().over(first).alias("_rn")).filter(F.col("_rn") <= max_errors)
+              .groupBy("request_id").agg(F.array_sort(F.collect_list("line_no")).alias("_first")))
+    r = requests.join(counts, "request_id", "left").join(errors, "request_id", "left")
+    n, bad = F.coalesce("_good", F.lit(0)), F.coalesce("_bad", F.lit(0))
+    rt = record_type_of(F.col("headers"))
+    quoted = F.array_join(F.transform("_first", lambda k: F.format_string("Line %d: invalid JSON", k)), "; ")
+    status, message = _outcome(rt, F.col("bytes") == 0, n, bad, quoted)
+    return r.select("request_id", rt.alias("record_type"), F.col("received_at").alias("timestamp"), n.cast("int").alias("record_count"),
+                    bad.cast("int").alias("error_count"), status.alias("http_status_code"), (status == 200).alias("success"), message.alias("message"),
+                    strip_headers(F.col("headers")).alias("request_headers"))
 
 
 def _exists_success(spark: SparkSession, path: str) -> bool:
@@ -209,6 +234,13 @@ def read_request_files(spark: SparkSession, path: str, max_bytes: int | None = N
     return t.select(*_request_columns(t), F.col("value").alias("payload"))
 
 
+def list_requests(spark: SparkSession, path: str) -> DataFrame:
+    """``request_id, received_at, headers, bytes`` of all request files, from file metadata only (the contents are
+    pruned from the scan)."""
+    files = spark.read.format("binaryFile").load(path)
+    return files.select(*_request_columns(files), F.col("length").alias("bytes"))
+
+
 def read_request_lines(spark: SparkSession, path: str, whole_bytes: int = WHOLE_FILE) -> DataFrame:
     """Numbered lines of all request files (as ``request_lines``).  Files over
     ``whole_bytes`` are read by line: the rows of a block are numbered in their
