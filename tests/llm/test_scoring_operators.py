@@ -423,7 +423,7 @@ def test_op7_on_awkward_tables(spark, sf, tables):
     assert len(rows) == len(tables["documents"])
     assert all(0 <= r.score <= 1 and 0 <= r.text_score <= 1 and 0 <= r.meta_score <= 1 for r in rows)
     assert all(r.held_out == (crc(r.doc_id, 5) == 0) for r in rows if r.doc_id is not None)
-    labels = {int(r.doc_id): int(r.quality) for r in tables["labels"].itertuples() if r.doc_id == r.doc_id and r.quality == r.quality and r.doc_id is not None}
+    labels = {int(i): int(q) for i, q in tables["labels"][["doc_id", "quality"]].dropna().itertuples(index=False)}
     known = [r for r in rows if r.doc_id in labels and r.doc_id < 260 and r.doc_id not in (0, 2)]
     assert np.mean([(r.score >= 0.5) == (labels[r.doc_id] == 1) for r in known]) > 0.85
 
