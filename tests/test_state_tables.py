@@ -365,3 +365,55 @@ def test_input_key_sees_files_of_a_folder(spark, tmp_path):
     assert one == _input_key(spark, str(path))
     spark.range(2).coalesce(1).write.mode("append").parquet(str(path))
     assert _input_key(spark, str(path)) != one
+
+
+# --- R23 in the write pass, R13 / R16 / R19 by bitmaps ----------------------------
+
+def test_r23_a_failing_rule_leaves_the_table_unpublished(spark, tmp_path):
+    from vitalake.operators.quality import QualityRefused, land_checked
+    body = {"uuid": "u", "type": "t", "value": 1, "unit": "x", "start_date": "2026-01-01T00:00:00Z", "end_date": "2026-01-01T00:00:00Z", "source_name": "s"}
+    headers = {"x-record-type": "samples", "x-platform": "apple_healthkit", "x-device-id": "d"}
+    good = [{"record_id": f"r{k}", "body": body, "headers": headers, "record_type": "samples"} for k in range(4)]
+    table = SnapshotTable(spark, str(tmp_path / "t"), "record_type", BRONZE)
+    checks = {c[0]: c[1] for c in land_checked(table, make_bronze(spark, good), "apple_healthkit", expected_rows=4)}
+    assert checks["rows_present"] and checks["single_user"] and not checks["record_types_present"] and table.version() == 1
+    bad_rows = {"single_platform": {"source_platform": "other"}, "header_blocklist": {"headers": headers | {"cookie": "c"}},
+                "sample_body_keys": {"body": {"uuid": "u"}}, "keys_present": {"record_id": None}}
+    for rule, change in bad_rows.items():
+        batch = make_bronze(spark, [*good[:2], good[2] | {k: v for k, v in change.items() if k != "record_id"}])
+        if rule == "keys_present":
+            batch = batch.withColumn("ingested_at", F.when(F.col("record_id") != "r2", F.col("ingested_at")))
+        with pytest.raises(QualityRefused) as refused:
+            land_checked(table, batch, "apple_healthkit")
+        assert [c[0] for c in refused.value.checks if not c[1] and c[0] not in ("record_types_present", "single_user")] == [rule]
+    with pytest.raises(QualityRefused):
+        land_checked(table, make_bronze(spark, good), "apple_healthkit", expected_rows=5)
+    assert table.version() == 1 and table.read().count() == 4
+    assert table.manifest()["meta"]["checks"][0][:2] == ["rows_present", True]
+
+
+def test_distinct_users_of_any_window_from_day_rows(spark, tmp_path):
+    from vitalake.operators.distinct_users import UserDays
+    rng = random.Random(6)
+    rows = [(dt.date(2026, 1, 1 + rng.randrange(20)), rng.choice([None, *[f"u{k}" for k in range(50)]])) for _ in range(600)]
+    frame = lambda r: spark.createDataFrame(r, "day date, user_id string")
+    users = UserDays(spark, str(tmp_path / "u"))
+    for k in range(3):
+        users.update(frame(rows[k * 200:(k + 1) * 200]), k)
+    assert users.update(frame(rows[:50]), 2) == []
+    whole = frame(rows)
+    for start, end in (("2026-01-01", "2026-01-20"), ("2026-01-05", "2026-01-05"), ("2026-01-03", "2026-01-09"), ("2027-01-01", "2027-02-01")):
+        want = whole.filter(F.col("day").between(F.lit(start).cast("date"), F.lit(end).cast("date"))).agg(F.count_distinct("user_id")).first()[0]
+        assert users.between(start, end).first().users == want
+    per_day = {r.day: r.users for r in users.per_day().collect()}
+    assert per_day == {r.day: r.n for r in whole.groupBy("day").agg(F.count_distinct("user_id").alias("n")).collect()}
+    seen = {}
+    for d, u in rows:
+        seen.setdefault(d, set()).add(u)
+    rolling = {r.window_end: r.users for r in users.rolling(7).collect()}
+    assert rolling == {d: len(set().union(*(seen.get(d - dt.timedelta(days=k), set()) for k in range(7))) - {None}) for d in seen}
+    numbers = users.users.read().collect()
+    assert len({r.n for r in numbers}) == len({r.user_id for r in numbers}) == 50
+    before = set(users.days.folders())
+    assert users.update(frame([(dt.date(2026, 1, 3), "new"), (None, "x")]), 3) == ["2026-01-03"]
+    assert len(set(users.days.folders()) - before) == 1 and users.between("2026-01-01", "2026-01-31").first().users == 51

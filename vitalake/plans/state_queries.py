@@ -12,7 +12,9 @@ from pyspark.sql import functions as F
 from ..functions.labels import SEED_DEVICE_ID
 from ..functions.variant import header
 from ..operators import deletes, garmin, silver
+from ..operators.distinct_users import UserDays
 from ..operators.marks import Deliveries
+from ..operators.quality import QualityRefused, land_checked
 from ..schemas import BRONZE
 from ..session import checkpoint_dir, ensure_session
 from ..sources.backfill import Backfill
@@ -197,7 +199,39 @@ def watch_delivered(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.delivered().withColumn("metadata_json", F.to_json("metadata")).drop("metadata")
 
 
+def quality_gated_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R23 in the write pass: the bronze rows of the first half of the time are landed and published; a second
+    batch, in which the seed device names another platform, is refused.  All checks of both batches."""
+    bronze = _bronze(spark, sf_dir)
+    cuts = time_cuts(bronze, 2)
+    table = SnapshotTable(spark, _root(spark, "gated"), "record_type", BRONZE)
+    t, results = F.unix_micros("ingested_at"), []
+    strange = F.when(header("x-device-id") == SEED_DEVICE_ID, F.lit("other")).otherwise(F.col("source_platform"))
+    for k, rows in enumerate([bronze.filter(t <= cuts[0]), bronze.filter(t > cuts[0]).withColumn("source_platform", strange)] if cuts else []):
+        try:
+            checks = land_checked(table, rows, "apple_healthkit")
+        except QualityRefused as refused:
+            checks = refused.checks
+        results += [(k, *c, table.version() == k + 1) for c in checks]
+    published = table.read().agg(F.count(F.lit(1)).alias("rows_published"))
+    out = spark.createDataFrame(results, "batch int, check string, passed boolean, detail string, published boolean")
+    return out.join(F.broadcast(published))  # one row
+
+
+def active_users_rolling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct users with activity in the seven days up to each day, from day bitmaps that three
+    arrivals built."""
+    rings = Medallion(_bronze(spark, sf_dir)).rings.select("ingested_at", F.col("summary_date").alias("day"), "user_id")
+    users, t, low = UserDays(spark, _root(spark, "users")), F.unix_micros("ingested_at"), None
+    for k, cut in enumerate(time_cuts(rings, 3)):
+        users.update(rings.filter(t <= cut if low is None else (t > low) & (t <= cut)), k)
+        low = cut
+    return users.rolling(7)
+
+
 STATE_QUERIES = {
+    "quality_gated_landing": quality_gated_landing,
+    "active_users_rolling": active_users_rolling,
     "samples_late_split": samples_late_split,
     "stream_sleep_sessions": stream_sleep_sessions,
     "backfill_ledger": backfill_ledger,
