@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vitalake.llm.common import documents, stage
+from vitalake.llm.common import delete_path, documents, stage_path
 from vitalake.llm.decontamination import stage_decontamination
 from vitalake.llm.language_id import stage_language_id
 from vitalake.llm.line_dedup import stage_line_dedup
@@ -26,7 +26,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = documents(spark, sf_dir)
+    docs, before = documents(spark, sf_dir), None
     for name, step in STAGES:
-        docs = stage(step(spark, docs, sf_dir), f"pipeline-{name}")
+        docs, path = stage_path(step(spark, docs, sf_dir), f"pipeline-{name}")
+        if before:  # the next stage is stored: nothing reads the one before any more
+            delete_path(spark, before)
+        before = path
     return docs
