@@ -22,6 +22,7 @@ hits.  Columns of ``docs`` are passed through whatever their names.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from itertools import repeat
 
 import numpy as np
@@ -33,7 +34,8 @@ from pyspark.sql.types import StructType
 from .common import arrow_map, column, documents, stage, struct, texts
 
 WINDOW = 10
-BLOCK_CHARS = 32_000_000
+#: characters of the benchmark in one block: about 50 bytes each on the driver while it is built, 9 in each worker
+BLOCK_CHARS = 4_000_000
 #: pairs of a place and a benchmark suffix that are looked at together
 PAIRS = 1_000_000
 _TABLE = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
@@ -191,14 +193,13 @@ def shard_hits(words: list[list[bytes]], block: Block) -> tuple[list[np.ndarray]
     return [mask[b:b + len(w)] for w, b in zip(words, bounds)], found
 
 
-def benchmark_blocks(bench: DataFrame, block_chars: int, window: int):
-    """The benchmark's blocks, one after another; each is bounded by ``block_chars``."""
+def benchmark_blocks(bench: DataFrame, block_chars: int, window: int) -> tuple[int, Callable[[int], Block]]:
+    """How many blocks of at most about ``block_chars`` the benchmark has, and what builds one of them."""
     rows = bench.select(F.coalesce(bench["item_id"].cast("string"), F.lit("")).alias("item"),
                         F.coalesce(bench["text"], F.lit("")).alias("body"))
     total = rows.agg(F.sum(F.char_length("body"))).first()[0] or 0
     n = -(-total // block_chars) or 1
-    for k in range(n):
-        yield Block([tuple(r) for r in rows.where(F.pmod(F.xxhash64("item", "body"), F.lit(n)) == k).collect()], window)
+    return n, lambda k: Block([tuple(r) for r in rows.where(F.pmod(F.xxhash64("item", "body"), F.lit(n)) == k).collect()], window)
 
 
 def annotate(docs: DataFrame, bench: DataFrame, window: int = WINDOW, block_chars: int = BLOCK_CHARS,
@@ -210,12 +211,11 @@ def annotate(docs: DataFrame, bench: DataFrame, window: int = WINDOW, block_char
     keep = docs.columns if keep is None else keep
     state = [f.name for f in struct(STATE)]
     out = docs.select(*dict.fromkeys([*keep, text]))
-    blocks = benchmark_blocks(bench, block_chars, window)
-    block, more = next(blocks), False
-    while block is not None:
-        following = next(blocks, None)
-        shared = spark.sparkContext.broadcast(block)
-        names = [*dict.fromkeys([*keep, *([text] if following is not None else [])])]
+    many, build = benchmark_blocks(bench, block_chars, window)
+    for k in range(many):  # one block at a time on the driver and in the workers
+        last, more = k == many - 1, k > 0
+        shared = spark.sparkContext.broadcast(build(k))
+        names = [*dict.fromkeys([*keep, *([] if last else [text])])]
         def step(batch: pa.RecordBatch, shared=shared, names=names, more=more) -> dict:
             words = [split_words(x) for x in texts(batch, text)]
             masks, found = shard_hits(words, shared.value)
@@ -230,9 +230,9 @@ def annotate(docs: DataFrame, bench: DataFrame, window: int = WINDOW, block_char
 
         schema = StructType([*[docs.schema[n] for n in names], *struct(STATE).fields])
         out = arrow_map(out, step, schema, text)
-        if following is not None:
-            out, more = stage(out, "decontamination"), True
-        block = following
+        if not last:
+            out = stage(out, "decontamination")
+            shared.destroy()
     return out.select(*keep, *state)
 
 
