@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from llm_tables import TOXIC, ids_and_texts, prose, sf, tables  # noqa: F401
+from vitalake.llm.common import documents, stage
 from vitalake.llm import boosted_trees, katz, language_id, pii, quality_cotraining, quality_rules, toxicity
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -473,11 +474,11 @@ def test_quota_takes_rare_languages_whole():
 
 
 def test_pipeline_stages_by_brute_force(spark, sf, tables):
-    docs = corpus_pipeline.documents(spark, sf)
+    docs = documents(spark, sf)
     names = docs.columns
     kept = [docs]
     for name, step in corpus_pipeline.STAGES:
-        kept.append(corpus_pipeline.stage(step(spark, kept[-1], sf), f"test-{name}"))
+        kept.append(stage(step(spark, kept[-1], sf), f"test-{name}"))
     assert all(x.columns == names for x in kept[:-1])
     a, b, c, d, e = kept[1:]
     ids = lambda df: sorted(((r.doc_id, r.text) for r in df.select("doc_id", "text").collect()), key=repr)

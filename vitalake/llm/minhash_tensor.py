@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import arrow_map, column, delete_path, documents, stage, stage_path, struct, texts
+from .common import arrow_map, column, delete_path, documents, lookup, stage, stage_path, struct, texts
 from .components import stars
 
 SHINGLE = 2
@@ -172,15 +172,6 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield told(held_keys, held_ids)
 
 
-def lookup(left: DataFrame, keys: list[str], right: DataFrame, spread: str) -> DataFrame:
-    """Inner join with a table of unique ``keys``; rows of ``left`` that share a
-    key are spread by the column ``spread``, each part with one copy of the right row."""
-    parts = max(16, int(left.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    salted = left.withColumn("__salt", F.pmod(F.xxhash64(spread), F.lit(parts)))
-    wanted = salted.select(*keys, "__salt").distinct().join(right, keys)
-    return salted.join(wanted, [*keys, "__salt"]).drop("__salt")
-
-
 def shingle_sets(docs: DataFrame, classes: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
     """``(cid, set)`` stored, for the classes ``cid`` of ``wanted``."""
     shingler = Shingler(size)

@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from .common import arrow_map, column, documents, stage, texts
+from .common import arrow_map, column, documents, lookup, stage, texts
 from .components import stars
 
 SHINGLE = 4
@@ -228,7 +228,8 @@ def components(prints: DataFrame, doc_id: str = "doc_id", bits: int = MAX_BITS)
     roots = stars(links(one.select("__fp"), bits)).select(F.col("u").alias("__fp"), F.col("v").alias("root"))
     named = one.join(roots, "__fp", "left").select("__fp", "least", F.coalesce("root", "__fp").alias("root"))
     least = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    return named.select("__fp", "root").join(least, "root").select("__fp", "component_id")
+    # a component may hold a third of all fingerprints: its rows are spread, each part with a copy of the answer
+    return lookup(named.select("__fp", "root"), ["root"], least, "__fp").select("__fp", "component_id")
 
 
 def op6_simhash_golay(spark: SparkSession, sf_dir: str) -> DataFrame:
