@@ -417,3 +417,26 @@ def test_distinct_users_of_any_window_from_day_rows(spark, tmp_path):
     before = set(users.days.folders())
     assert users.update(frame([(dt.date(2026, 1, 3), "new"), (None, "x")]), 3) == ["2026-01-03"]
     assert len(set(users.days.folders()) - before) == 1 and users.between("2026-01-01", "2026-01-31").first().users == 51
+
+
+def test_j1_on_bucketed_tables_needs_no_exchange(spark, tmp_path):
+    from vitalake.plans.bucketed import BucketedStore, activity_enriched_bucketed
+    rng = random.Random(1)
+    rings = spark.createDataFrame(
+        [(f"r{k}", rng.choice(["a", "b", None]), dt.date(2026, 1, 1 + k % 28), float(k), 500.0, 1.0, 30.0, k % 16, 12) for k in range(200)],
+        "record_id string, user_id string, summary_date date, active_energy_burned_kcal double, active_energy_burned_goal_kcal double, "
+        "exercise_minutes double, exercise_minutes_goal double, stand_hours long, stand_hours_goal long")
+    steps = spark.createDataFrame([(u, dt.date(2026, 1, d), float(d), d) for u in ("a", "b") for d in range(1, 29, 2)],
+                                  "user_id string, day date, total_steps double, sample_intervals long")
+    out = activity_enriched_bucketed(BucketedStore(spark, str(tmp_path / "s"), 8), rings, steps)
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        again = BucketedStore(spark, str(tmp_path / "s"), 99)  # another session's default: the layout is the stored one
+        out = activity_enriched_bucketed(again, rings, steps)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    want = gold.activity_enriched_daily(rings, steps)
+    assert _table_of(out.select(*want.columns)) == _table_of(want) and out.count() == 200

@@ -451,6 +451,7 @@ FINAL.update({
         SELECT day, 'landed' AS status, CASE WHEN extract(day FROM day) % 5 = 0 AND rows IS NOT NULL THEN 2 ELSE 1 END AS attempts,
                coalesce(rows, 0) AS rows, coalesce(rows, 0) AS held FROM days LEFT JOIN n USING (day)""",
     "stream_gold_incremental": FINAL["g_hk_daily"],
+    "g_activity_enriched_bucketed": FINAL["g_activity_enriched"],
     "inc_subject_daily": FINAL["g_subject_daily"],
     "inc_sleep_nightly": FINAL["g_sleep_nightly"],
     "inc_weekly_workouts": FINAL["g_weekly_workouts"],

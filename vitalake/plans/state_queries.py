@@ -24,6 +24,7 @@ from ..streaming import medallion as streaming
 from ..streaming.change_feed import KeyedState
 from ..streaming.late_rows import LateGate
 from ..streaming.open_sessions import OpenSessions
+from .bucketed import BucketedStore, activity_enriched_bucketed
 from .incremental import IncrementalGold
 from .medallion import Medallion
 
@@ -229,7 +230,15 @@ def active_users_rolling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return users.rolling(7)
 
 
+def g_activity_enriched_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J1/G4 on rings and steps stored in buckets of (user_id, day): the join needs no shuffle."""
+    m = Medallion(_bronze(spark, sf_dir))
+    store = BucketedStore(spark, _root(spark, "bucketed"), buckets=int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return activity_enriched_bucketed(store, m.rings, m.daily_steps)
+
+
 STATE_QUERIES = {
+    "g_activity_enriched_bucketed": g_activity_enriched_bucketed,
     "quality_gated_landing": quality_gated_landing,
     "active_users_rolling": active_users_rolling,
     "samples_late_split": samples_late_split,
