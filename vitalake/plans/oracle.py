@@ -15,7 +15,7 @@ from __future__ import annotations
 import datetime as _dt
 
 from ..sources.bindings import SAMPLE_TYPES, WORKOUT_CODES
-from ..functions.dims import HK_WORKOUT_NAMES
+from ..functions.dims import HK_CANONICAL_UNITS, HK_WORKOUT_NAMES
 
 AS_OF = "2024-01-31"
 AS_OF_TS = "2024-02-01 00:00:00"
@@ -413,6 +413,23 @@ FINAL.update({
     "stream_gold_sleep_nightly": "SELECT * EXCLUDE (sleep_sessions) FROM sleep_nightly",
 })
 
+_UNITS_OF = "CASE hk_type " + " ".join(f"WHEN '{t}' THEN '{u}'" for t, u in HK_CANONICAL_UNITS) + " ELSE 'count' END"
+_BODY_ID = """CASE record_type WHEN 'sleep' THEN strftime(ts, '%Y-%m-%dT%H:%M:%SZ') WHEN 'activity_summaries' THEN strftime(ts, '%Y-%m-%d')
+            WHEN 'deletes' THEN 'e' || CAST(event_id - 1 AS VARCHAR) ELSE 'e' || CAST(event_id AS VARCHAR) END"""
+FINAL.update({
+    "sample_labels": f"""SELECT hk_uuid, substr(l, 1, 1) || regexp_replace(substr(l, 2), '([A-Z])', ' \\1', 'g') AS label, {_UNITS_OF} AS canonical_unit,
+        'category' AS category_unit, CAST(floor(value) AS DOUBLE) AS value FROM (SELECT *, regexp_replace(hk_type,
+        '^(HKQuantityTypeIdentifier|HKCategoryTypeIdentifier|HKCorrelationTypeIdentifier)', '') AS l FROM samples)""",
+    "workout_spans": "SELECT workout_uuid, date_diff('millisecond', start_at, end_at) / 1000.0::DOUBLE AS seconds FROM workouts",
+    "header_maps": """SELECT record_id, 'content-type=application/x-ndjson;x-device-id=' || device_id
+        || CASE WHEN channel IS NULL THEN '' ELSE ';x-ingest-channel=' || channel END || ';x-platform=apple_healthkit;x-record-type=' || record_type
+        || ';x-upload-timestamp=' || strftime(ts, '%Y-%m-%dT%H:%M:%SZ') AS headers FROM bronze""",
+    "staged_rows": f"SELECT record_id, record_type, user_id, ingested_at, device_id, {_BODY_ID} AS body_id FROM bronze",
+    "evolved_rows": "SELECT record_id, record_type, user_id, CASE WHEN record_type <> 'deletes' THEN device_id END AS device_id FROM bronze",
+    "ndjson_lines": """SELECT record_id, '{' || CASE WHEN channel IS NULL THEN '' ELSE '"channel":"' || channel || '",' END || '"record_id":"' || record_id
+        || '","record_type":"' || record_type || '","user_id":"' || user_id || '"}' AS line FROM bronze""",
+})
+
 # tables maintained in steps: the same rows as one batch run
 FINAL.update({
     "bronze_reseeded": """SELECT record_id, record_type, user_id, ingested_at FROM bronze WHERE device_id <> 'demo-notebook-seed'

@@ -24,6 +24,7 @@ from ..sources.bronze_store import bronze_path_for, landed_bronze
 from ..streaming import medallion as streaming
 from .medallion import Medallion, StoredMedallion
 from .oracle import APP_END, APP_START, AS_OF_TS, as_of
+from .small_queries import SMALL_QUERIES
 from .state_queries import STATE_QUERIES
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -328,5 +329,5 @@ def _ntz_out(build: Query) -> Query:
 
 
 def queries() -> dict[str, Query]:
-    stepwise = {name: _ntz_out(build) for name, build in STATE_QUERIES.items()}
+    stepwise = {name: _ntz_out(build) for name, build in (STATE_QUERIES | SMALL_QUERIES).items()}
     return {**MEDALLION_QUERIES, **JOIN_QUERIES, **STREAM_QUERIES, **stepwise, **PLATFORM_QUERIES, **OPS_QUERIES}
