@@ -468,6 +468,27 @@ def test_rare_languages_are_known(spark):
     assert np.mean([out[k] == (lang, True) for k, (_, lang) in enumerate(rows[:6000])]) > 0.99
 
 
+def test_declared_strings_beyond_the_models_share_one_place(spark, monkeypatch):
+    """More declared languages than models: the others are decided by declaration and address, and nothing grows with them."""
+    monkeypatch.setattr(language_id, "MODELS", 3)
+    rng = random.Random(5)
+    rows = [(prose(rng, lang, 40), lang) for lang in ("en", "de", "fr") for _ in range(300)]
+    letters = ["tx", "eta", "arr", "zk", "ko", "tz", "ak", "eg", "uz", "yö", "lla", "ää", "gg", "oro"]
+    many = [f"x{chr(97 + k // 26)}{chr(97 + k % 26)}" for k in range(60)]
+    rows += [(" ".join("".join(rng.choices(letters, k=3)) for _ in range(30)), lang) for lang in many for _ in range(2)]
+    rows += [(prose(rng, "en", 40), None), (prose(rng, "de", 40), "xaa"), (None, "xaa"), ("12 34", "xab"), (prose(rng, "fr", 30), "*")]
+    docs = spark.createDataFrame([(k, t, lang, f"s{k % 5}", k) for k, (t, lang) in enumerate(rows)],
+                                 "doc_id long, text string, lang string, source string, __row long")
+    pages = spark.createDataFrame([(1, f"https://a.example.org/{900 + 2 * 7}", '<html lang="xzz">')], "page_id long, url string, html string")
+    out = {r.key: r for r in language_id.identify(docs, pages).withColumn("accepted", language_id.accepted()).collect()}
+    assert np.mean([out[k].language == lang and out[k].accepted for k, (_, lang) in enumerate(rows[:900])]) > 0.99
+    right = [out[k].language == (rows[k][1] if k != 914 else "xzz") and out[k].accepted for k in range(900, 1020)]
+    assert np.mean(right) > 0.95 and out[914].language == "xzz"
+    assert out[1020].language == "en" and out[1021].language == "de" and out[1024].language == "fr"
+    assert not out[1022].accepted and not out[1023].accepted  # no letters
+    assert {r.text_language for r in out.values()} <= {"en", "de", "fr", "und"}
+
+
 def test_quota_takes_rare_languages_whole():
     assert language_id.quota([10, 5000, 6000], 1000) == 495
     assert language_id.quota([10, 20], 1000) >= 20 and language_id.quota([], 1000) and language_id.quota([9] * 500, 1000) >= 9

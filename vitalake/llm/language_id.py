@@ -16,8 +16,12 @@ documents of the rare ones, ``LEAST_ROWS`` of each at least.  Every declared
 language is known.  One with fewer than ``LEAST_TRIGRAMS`` trigrams is thin: its
 model says little, so in documents whose markup, address or host names it, its
 likelihood is at least that of text that fits the best model a little worse
-(``MARGIN``) than that model's own text does; the other evidence decides.  Counts of
-hosts and confusions cover every document.  A document without a page uses its ``lang``
+(``MARGIN``) than that model's own text does; the other evidence decides.  Markup and the
+``lang`` column are free text, so models are kept for the ``MODELS`` most declared
+languages only; all others share one place: in a document whose markup or address
+names one of them it stands for that language, weighed like a thin one.  So models,
+counts and what is kept of a document do not grow with the number of declared
+strings.  Counts of hosts and confusions cover every document.  A document without a page uses its ``lang``
 column as declaration and its ``source`` as host.  Rejected are documents whose
 best language has a posterior under ``MIN_CONFIDENCE`` or is ``und``; texts
 without any letter are ``und``.
@@ -40,6 +44,8 @@ from pyspark.sql import functions as F
 from .common import arrow_map, column, documents, numbered, stage, texts
 
 FIT_ROWS = 20_000
+#: languages with a model of their own
+MODELS = 64
 BUCKETS = 1 << 14
 #: fitted documents of each language, if it has so many
 LEAST_ROWS = 100
@@ -54,6 +60,8 @@ UNIFORM = 0.1
 STRENGTH = 20.0
 MIN_CONFIDENCE = 0.5
 UND = "und"
+#: the place of all declared languages without a model
+OTHER = "*"
 MARKUP = r"(?i)<html[^>]*\slang\s*=\s*[\"']?([a-z]{2,3})"
 PAGE_ID = r"/([0-9]{1,18})(?:\.[a-z]+)?/?(?:[?#].*)?$"
 HOST = r"^[A-Za-z]+://([^/:?#]+)"
@@ -112,10 +120,11 @@ class Models:
 
 
 def fit_trigrams(docs: DataFrame, evidence: DataFrame, rows: int = FIT_ROWS) -> Models:
-    """Models of all declared languages from a bounded sample of each."""
+    """Models of the most declared languages from a bounded sample of each."""
     said = stage(add_evidence(docs.drop("text"), evidence).where(F.col("declared").isNotNull() & ~F.col("declared").isin("", UND))
                  .select("__row", "key", "declared"), "language-declared")
-    sizes = {r.declared: r.n for r in said.groupBy("declared").agg(F.count("*").alias("n")).collect()}  # a row for each language
+    top = said.where(F.col("declared") != OTHER).groupBy("declared").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "declared").limit(MODELS)
+    sizes = {r.declared: r.n for r in top.collect()}
     langs, most = sorted(sizes), quota(list(sizes.values()), rows)
     limits = docs.sparkSession.createDataFrame([(l, min(1 << 30, most * (1 << 30) // n)) for l, n in sizes.items()], "declared string, limit long")
     some = (said.join(F.broadcast(limits), "declared")
@@ -186,10 +195,12 @@ def identify(docs: DataFrame, pages: DataFrame, fit_rows: int = FIT_ROWS, streng
     evidence = page_evidence(pages)
     models = fit_trigrams(rows, evidence, fit_rows)
     langs, thin = models.langs, models.thin
-    names = [*langs, UND]
-    place = {n: k for k, n in enumerate(langs)}
+    names = [*langs, OTHER, UND]
+    place = {n: k for k, n in enumerate(names[:-1])}
     shared = spark.sparkContext.broadcast((models.log, models.own))
 
+    said = [*langs, UND]
+
     def score(batch: pa.RecordBatch) -> dict:
         model, own = shared.value
         ll = likelihoods(texts(batch), model)
@@ -198,13 +209,15 @@ def identify(docs: DataFrame, pages: DataFrame, fit_rows: int = FIT_ROWS, streng
             top = ll[:, :-1].argmax(axis=1)
             level = np.where(ll[:, 0] == -50.0, -50.0, level / -np.log(BUCKETS) * (own[top] - MARGIN))  # -50: no letters
         return {n: column(batch, n) for n in ("__row", "key", "own", "from")} | {
-            "ll": ll.tolist(), "level": level, "top": ll.max(axis=1), "best": [names[k] for k in ll.argmax(axis=1)]}
+            "ll": ll.tolist(), "level": level, "top": ll.max(axis=1), "best": [said[k] for k in ll.argmax(axis=1)]}
 
     scored = arrow_map(rows, score, "__row long, key long, own string, from string, ll array<double>, level double, top double, best string")
     named = F.lit(None).cast("string")
     for name in ("suffix", "declared") if thin else ():
         named = F.when(F.col(name).isin(thin), F.col(name)).otherwise(named)
-    seen = stage(add_evidence(scored, evidence).withColumn("best", F.when(F.col("level") >= F.col("top"), F.coalesce(named, "best"))
+    unmodelled = [F.when(~F.col(name).isin("", UND, OTHER, *langs), F.col(name)) for name in ("declared", "suffix")]
+    named = F.coalesce(named, F.when(F.col("other").isNotNull(), F.lit(OTHER)))
+    seen = stage(add_evidence(scored, evidence).withColumn("other", F.coalesce(*unmodelled)).withColumn("best", F.when(F.col("level") >= F.col("top"), F.coalesce(named, "best"))
                                                            .otherwise(F.col("best"))).drop("top"), "language-likelihoods")
 
     def confusion(name: str) -> np.ndarray:
@@ -234,13 +247,15 @@ def identify(docs: DataFrame, pages: DataFrame, fit_rows: int = FIT_ROWS, streng
             out[place.get(name, -1)] += n
         return out / (sum(n for _, n in counts) + strength)
 
-    faint = {place[n] for n in thin}
+    faint, said_of = {place[n] for n in thin}, [*langs, UND]
 
     def fuse(batch: pa.RecordBatch) -> dict:
         whole, said, named = tables.value
-        post = np.array(column(batch, "ll").to_pylist(), float).reshape(batch.num_rows, len(names))
-        text_best = post.argmax(axis=1)
+        text = np.array(column(batch, "ll").to_pylist(), float).reshape(batch.num_rows, len(names) - 1)
+        text_best = text.argmax(axis=1)
         level = column(batch, "level").to_numpy()
+        other = column(batch, "other").to_pylist()
+        post = np.insert(text, len(langs), np.where([o is None for o in other], -1e9, level), axis=1)
         known: dict[str, np.ndarray] = {}
         evidence = zip(*(column(batch, n).to_pylist() for n in ("host", "here", "around", "declared", "suffix")))
         for k, (host, here, around, *words) in enumerate(evidence):
@@ -257,7 +272,8 @@ def identify(docs: DataFrame, pages: DataFrame, fit_rows: int = FIT_ROWS, streng
         post /= post.sum(axis=1, keepdims=True)
         best = post.argmax(axis=1)
         return {n: column(batch, n) for n in ("__row", "key", "declared", "host")} | {
-            "language": [names[k] for k in best], "confidence": post.max(axis=1), "text_language": [names[k] for k in text_best]}
+            "language": [other[i] if names[k] == OTHER else names[k] for i, k in enumerate(best)], "confidence": post.max(axis=1),
+            "text_language": [said_of[k] for k in text_best]}
 
     return arrow_map(seen.join(prior, "host", "left"), fuse, "__row long, key long, language string, confidence double, "
                      "text_language string, declared string, host string", None)
