@@ -25,7 +25,9 @@ Tables (``unigrams``, ``bigrams`` and what else comes out of a bucket by kind,
 
 Rows: a null text is empty, its one token is the end.  A null id counts as
 empty text for the fold and stays null.  Repeated rows are counted and scored
-each.  An empty table gives no rows; without training rows every word is
+each; very long texts are counted and scored whole, in slices.  Columns other than
+id and text are not read, whatever they are called.  An empty table gives no rows;
+without training rows every word is
 unknown, with probability 1.
 """
 

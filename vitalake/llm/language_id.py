@@ -28,7 +28,10 @@ without any letter are ``und``.
 
 Rows: null text is empty; null ``lang``, ``source``, url or html is no evidence
 of that kind.  Of several pages of a document the one with the smallest page_id
-counts.  Repeated rows are judged alike.  Empty tables give no rows; without
+counts.  Repeated rows are judged alike; of languages with equal posteriors the first
+by name wins; very long texts are read whole.  Other columns pass through the
+pipeline stage whatever their names, but names that begin with two underscores are
+the stages' own.  Empty tables give no rows; without
 any declared language every document is ``und``.
 """
 

@@ -8,8 +8,9 @@ source range it stands for, so what the same detectors find there is mapped
 back to source offsets.  A found span is added if at least one of its
 characters was rewritten and it overlaps no base span of its kind.
 
-Rows: null texts are empty; repeated rows are treated alike; an empty table
-gives no rows.  Offsets are code points, ends exclusive.  The counts of
+Rows: null texts are empty; very long texts are read whole; repeated rows are
+treated alike; columns other than id and text are not read, whatever they are
+called; an empty table gives no rows.  Offsets are code points, ends exclusive.  The counts of
 ``op5_pii`` are those of the base spans; ``n_added`` counts the others.
 """
 

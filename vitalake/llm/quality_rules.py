@@ -7,7 +7,8 @@ shares of symbols, repeated words, repeated lines and capitals grow.
 
 Rows: a null text has no words; documents that fail the base rules are never
 kept.  Null labels do not count; without labels of both kinds the trees say the
-base rate for all.  Repeated rows are judged alike; an empty table gives no rows.
+base rate for all.  Repeated rows are judged alike; very long texts are read whole; other columns are
+not read, whatever they are called.  An empty table gives no rows.
 """
 
 from __future__ import annotations

@@ -20,8 +20,10 @@ forest of its links, never all pairs.
 
 Rows: a null or empty text has the fingerprint zero and is linked like any
 other.  Null ids are passed over when a component's smallest id is taken (null
-if it has no other).  Repeated rows are linked with each other.  An empty table
-gives no rows.
+if it has no other).  Repeated rows are linked with each other.  Very long texts
+are read whole.  Other columns pass through a pipeline stage whatever their
+names, but names that begin with two underscores are the stages' own.  An empty
+table gives no rows.
 """
 
 from __future__ import annotations

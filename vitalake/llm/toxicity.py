@@ -18,7 +18,9 @@ size.  It is fitted on a bounded sample of ``FIT_ROWS`` labelled rows: folds
 Rows: null texts are empty and get the score of no evidence.  Null labels do not
 count; a document labelled twice is toxic if any label says so.  With no
 labelled document, or one class only, every score is the smoothed base rate.
-Repeated rows are scored alike; an empty table gives no rows.
+Repeated rows are scored alike (ties stay ties: equal texts have equal scores);
+very long texts are scanned whole.  Columns beyond those named are not read,
+whatever they are called.  An empty table gives no rows.
 """
 
 from __future__ import annotations
