@@ -440,3 +440,21 @@ def test_j1_on_bucketed_tables_needs_no_exchange(spark, tmp_path):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
     want = gold.activity_enriched_daily(rings, steps)
     assert _table_of(out.select(*want.columns)) == _table_of(want) and out.count() == 200
+
+
+def test_j4_on_bucketed_tables_moves_no_facts(spark, tmp_path):
+    from vitalake.operators.deletes import apply_deletes
+    from vitalake.plans.bucketed import BucketedStore, live_bucketed
+    facts = spark.createDataFrame([(f"f{k}" if k % 9 else None, k) for k in range(300)], "id string, v long")
+    gone = spark.createDataFrame([(f"f{k}",) for k in range(0, 400, 7)] * 2 + [(None,)], "deleted_uuid string")
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for mode in ("remove", "flag"):
+            out = live_bucketed(BucketedStore(spark, str(tmp_path / mode), 4), "facts", facts, gone, "id", mode)
+            plan = out._jdf.queryExecution().executedPlan().toString()
+            assert "SortMergeJoin" in plan and "Exchange" not in plan, plan
+            want = apply_deletes(facts, gone, "id", mode)
+            assert _table_of(out.select(*want.columns)) == _table_of(want)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)

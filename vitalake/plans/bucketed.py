@@ -1,4 +1,4 @@
-"""J1/G4 on co-bucketed tables: a join of stored daily tables without a shuffle.
+"""J1/G4 and J4 on co-bucketed tables: joins of stored tables without a shuffle.
 
 A daily table is written once in buckets of its join keys, sorted by them within
 each bucket; the folder is registered in the session's catalog with that layout.
@@ -13,7 +13,9 @@ import hashlib
 import json
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from ..operators import deletes as deletion
 from ..operators import gold
 from ..sources.bronze_store import _exists, _fs, publish_atomically
 
@@ -73,3 +75,12 @@ def activity_enriched_bucketed(store: BucketedStore, rings: DataFrame, steps: Da
     by_day = store.store("rings_by_user_day", rings.withColumnRenamed("summary_date", "day"), ["user_id", "day"])
     steps_by_day = store.store("steps_by_user_day", steps, ["user_id", "day"])
     return gold.activity_enriched_daily(by_day.withColumnRenamed("day", "summary_date"), steps_by_day)
+
+
+def live_bucketed(store: BucketedStore, name: str, facts: DataFrame, deletes: DataFrame, key: str, mode: str = "remove") -> DataFrame:
+    """J4 on facts stored by their id: the delete feed, one row an id, lies in the same buckets, so reading the live
+    rows moves neither side.  A feed that has grown is stored under a name of its own; the facts stay as they are."""
+    by_id = store.store(name, facts, [key])
+    gone = deletes.select(F.col("deleted_uuid").alias(key)).filter(F.col(key).isNotNull()).distinct()
+    feed = store.store(f"{name}_deletes", gone, [key])
+    return deletion.apply_deletes(by_id, feed, key, mode, key)

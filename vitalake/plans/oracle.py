@@ -469,6 +469,7 @@ FINAL.update({
                coalesce(rows, 0) AS rows, coalesce(rows, 0) AS held FROM days LEFT JOIN n USING (day)""",
     "stream_gold_incremental": FINAL["g_hk_daily"],
     "g_activity_enriched_bucketed": FINAL["g_activity_enriched"],
+    "samples_live_bucketed": FINAL["samples_live"],
     "inc_subject_daily": FINAL["g_subject_daily"],
     "inc_sleep_nightly": FINAL["g_sleep_nightly"],
     "inc_weekly_workouts": FINAL["g_weekly_workouts"],

@@ -24,7 +24,7 @@ from ..streaming import medallion as streaming
 from ..streaming.change_feed import KeyedState
 from ..streaming.late_rows import LateGate
 from ..streaming.open_sessions import OpenSessions
-from .bucketed import BucketedStore, activity_enriched_bucketed
+from .bucketed import BucketedStore, activity_enriched_bucketed, live_bucketed
 from .incremental import IncrementalGold
 from .medallion import Medallion
 
@@ -237,7 +237,15 @@ def g_activity_enriched_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return activity_enriched_bucketed(store, m.rings, m.daily_steps)
 
 
+def samples_live_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J4 on samples and delete feed stored in buckets of the id: the anti-join needs no shuffle."""
+    m = Medallion(_bronze(spark, sf_dir))
+    store = BucketedStore(spark, _root(spark, "bucketed"), buckets=int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return live_bucketed(store, "samples", m.samples, m.deletes, "hk_uuid")
+
+
 STATE_QUERIES = {
+    "samples_live_bucketed": samples_live_bucketed,
     "g_activity_enriched_bucketed": g_activity_enriched_bucketed,
     "quality_gated_landing": quality_gated_landing,
     "active_users_rolling": active_users_rolling,
