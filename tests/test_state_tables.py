@@ -458,3 +458,56 @@ def test_j4_on_bucketed_tables_moves_no_facts(spark, tmp_path):
             assert _table_of(out.select(*want.columns)) == _table_of(want)
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
+def _files_for(table, user, start, end):
+    """Data files whose statistics do not rule the user and the time span out, and all files."""
+    import glob
+    import pyarrow.parquet as pq
+    hit = every = 0
+    for folder in table.folders():
+        for f in glob.glob(f"{folder}/*.parquet"):
+            meta = pq.ParquetFile(f).metadata
+            names = [meta.schema.column(k).name for k in range(meta.num_columns)]
+            every += 1
+            for g in range(meta.num_row_groups):
+                u, t = (meta.row_group(g).column(names.index(c)).statistics for c in ("user_id", "ingested_at"))
+                if u.min <= user <= u.max and t.min.replace(tzinfo=None) < end and t.max.replace(tzinfo=None) >= start:
+                    hit += 1
+                    break
+    return hit, every
+
+
+def test_s12_clustered_files_skip_more_as_the_table_grows(spark, tmp_path):
+    from vitalake.sources import layout
+    schema = _parse_datatype_string("record_id long, user_id string, ingested_at timestamp, kind string")
+    start, end = T0 + dt.timedelta(days=60), T0 + dt.timedelta(days=90)
+    old = spark.conf.get("spark.sql.parquet.outputTimestampType")
+    spark.conf.set("spark.sql.parquet.outputTimestampType", "TIMESTAMP_MICROS")  # statistics of times
+    try:
+        shares = []
+        for size, files in ((4_000, 4), (16_000, 16), (64_000, 64)):
+            rows = spark.range(size).select(
+                F.col("id").alias("record_id"), F.concat(F.lit("u"), F.lpad((F.xxhash64("id") % 500 + 500).cast("string"), 3, "0")).alias("user_id"),
+                (F.lit(T0) + F.make_dt_interval(hours=F.pmod(F.xxhash64("id", F.lit(1)), F.lit(24 * 360)).cast("int"))).alias("ingested_at"), F.lit("k").alias("kind"))
+            table = SnapshotTable(spark, str(tmp_path / f"t{size}"), "kind", schema)
+            for k in range(4):
+                table.append(rows.filter(F.col("record_id") % 4 == k).repartition(files // 2 + 1))
+            plain, n = _files_for(table, "u500", start, end)
+            assert plain == n  # appended files say nothing
+            total = sum(map(sum, layout.file_sizes(table).values()))
+            assert layout.compact(table, target_bytes=-(-total // files)) and layout.compact(table, target_bytes=-(-total // files)) == {}
+            hit, every = _files_for(table, "u500", start, end)
+            shares.append(hit / every)
+            assert every <= files and table.read().count() == size and table.read().select("record_id").distinct().count() == size
+        assert shares[0] >= shares[1] >= shares[2] and shares[2] <= 0.15, shares
+    finally:
+        spark.conf.set("spark.sql.parquet.outputTimestampType", old)
+
+
+def test_s12_compaction_plan_takes_small_files_only():
+    from vitalake.sources.layout import plan_compaction
+    mb = 1 << 20
+    sizes = {"a": [mb] * 10, "b": [100 * mb] * 3, "c": [300 * mb], "d": [60 * mb] * 9, "e": [], "f": [mb]}
+    assert plan_compaction(sizes, 128 * mb) == {"a": 1}
+    assert plan_compaction(sizes, 300 * mb) == {"a": 1, "b": 1, "d": 2}

@@ -470,6 +470,8 @@ FINAL.update({
     "stream_gold_incremental": FINAL["g_hk_daily"],
     "g_activity_enriched_bucketed": FINAL["g_activity_enriched"],
     "samples_live_bucketed": FINAL["samples_live"],
+    "clustered_bronze_window": """SELECT record_id, record_type, user_id, ingested_at FROM bronze WHERE user_id BETWEEN 'u10' AND 'u19'
+        AND ingested_at >= TIMESTAMP '2024-01-08' AND ingested_at < TIMESTAMP '2024-01-15'""",
     "inc_subject_daily": FINAL["g_subject_daily"],
     "inc_sleep_nightly": FINAL["g_sleep_nightly"],
     "inc_weekly_workouts": FINAL["g_weekly_workouts"],

@@ -17,6 +17,7 @@ from ..operators.marks import Deliveries
 from ..operators.quality import QualityRefused, land_checked
 from ..schemas import BRONZE
 from ..session import checkpoint_dir, ensure_session
+from ..sources import layout
 from ..sources.backfill import Backfill
 from ..sources.bronze_store import bronze_path_for, landed_bronze
 from ..sources.snapshots import SnapshotTable, replace_where
@@ -244,7 +245,20 @@ def samples_live_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return live_bucketed(store, "samples", m.samples, m.deletes, "hk_uuid")
 
 
+def clustered_bronze_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze landed in six appends, compacted into clustered files, then read for some users and days."""
+    bronze = _bronze(spark, sf_dir)
+    table, t, low = SnapshotTable(spark, _root(spark, "clustered"), "record_type", BRONZE), F.unix_micros("ingested_at"), None
+    for cut in time_cuts(bronze, 6):
+        table.append(bronze.filter(t <= cut if low is None else (t > low) & (t <= cut)))
+        low = cut
+    layout.compact(table)
+    rows = table.read().filter(F.col("user_id").between("u10", "u19") & (F.col("ingested_at") >= "2024-01-08") & (F.col("ingested_at") < "2024-01-15"))
+    return rows.select("record_id", "record_type", "user_id", "ingested_at")
+
+
 STATE_QUERIES = {
+    "clustered_bronze_window": clustered_bronze_window,
     "samples_live_bucketed": samples_live_bucketed,
     "g_activity_enriched_bucketed": g_activity_enriched_bucketed,
     "quality_gated_landing": quality_gated_landing,
