@@ -25,7 +25,9 @@ SUBSET = ["silver_events", "silver_sleep_stages", "g_activity_enriched", "g_card
           "vw_sleep_30", "dash_03_recent_workouts", "app_steps_leaderboard", "app_ingest_mix", "sleep_sessions",
           "samples_live", "user_by_device", "garmin_events", "watch_incremental", "hc_samples",
           "hc_daily_from_samples", "quality_checks", "sync_stats", "batch_chunks", "ndjson_landing", "ndjson_errors", "ingest_metrics", "ingest_by_type", "last_payload_per_type",
-          "recent_requests", "sync_stats_client"]
+          "recent_requests", "sync_stats_client", "sleep_session_stages", "header_maps", "sample_labels", "evolved_rows", "staged_rows",
+          "ndjson_lines", "workout_spans", "backfill_ledger", "active_users_rolling", "quality_gated_landing", "bronze_reseeded",
+          "change_feed_synced", "inc_sleep_nightly", "samples_late_split", "watch_delivered", "samples_live_bucketed"]
 
 pytestmark = pytest.mark.skipif(not os.path.exists(f"{SF}/events.parquet"), reason="driver test data not present")
 
