@@ -235,3 +235,33 @@ def test_s8_append_staging_and_s14_publish(spark, tmp_path):
     assert spark.table("vl_pub.gold_x").count() == 2 and spark.table("vw_x").count() == 2
     spark.sql("DROP TABLE IF EXISTS vl_pub.gold_x")
     spark.sql("DROP DATABASE IF EXISTS vl_pub")
+
+
+def test_s1_packed_requests_read_as_one_file_each(spark, tmp_path):
+    from vitalake.sources.bindings import bronze_from_dir
+    bronze = bronze_from_dir(spark, "/root/testdata/sf0.001").cache()
+    packed, tree = str(tmp_path / "packed"), tmp_path / "tree"
+    landing.land_request_files(bronze, packed, rows_per_request=20, part_lines=3)  # most bodies in several parts
+    n = spark.read.parquet(packed).select("x_request").distinct().count()
+    files = list((tmp_path / "packed").rglob("*.parquet"))
+    assert n >= 50 and len(files) <= spark.sparkContext.defaultParallelism  # not a file a request
+    # the same bodies as a file each
+    for r in landing.packed_requests(spark, packed).orderBy("x_request", "part").collect():
+        d = tree / "/".join(f"{c}={r[c]}" for c in r.__fields__ if c.startswith("x_"))
+        d.mkdir(parents=True, exist_ok=True)
+        with open(d / "r.txt", "a") as f:
+            f.write(r.payload)
+    assert max(r.parts for r in spark.read.parquet(packed).select("parts").collect()) > 1
+    whole = str(tmp_path / "whole")
+    landing.land_request_files(bronze, whole, rows_per_request=20)  # a row a request
+    text = F.to_json("headers").alias("h")
+    readers = {"lines": lambda p: landing.read_request_lines(spark, p).select("request_id", "received_at", "line_no", "line", text),
+               "files": lambda p: landing.read_request_files(spark, p).select("request_id", "received_at", "payload", text),
+               "list": lambda p: landing.list_requests(spark, p).select("request_id", "received_at", "bytes", text),
+               "limit": lambda p: landing.read_request_files(spark, p, max_bytes=2000).select("request_id", "payload")}
+    for name, read in readers.items():
+        want = sorted(tuple(r) for r in read(str(tree)).collect())
+        assert sorted(tuple(r) for r in read(packed).collect()) == want and len(want) >= 5, name
+        assert sorted(tuple(r) for r in read(whole).collect()) == want, name
+    big = landing.oversized_request_files(spark, packed, max_bytes=2000).collect()
+    assert {r.request_id for r in big} == {r.request_id for r in landing.list_requests(spark, str(tree)).filter("bytes > 2000").collect()} and big

@@ -19,6 +19,11 @@ Every line carries its request's columns through the explode: building
 bronze is one scan without a shuffle.  A file up to ``WHOLE_FILE`` bytes is read
 as one row; a longer one (a compacted file) is read line by line and numbered
 from counts by block, so no task holds it whole.
+
+A folder per request costs a listing each, which at some hundred thousand requests
+takes longer than all the work on them.  So the readers also take *packed* requests:
+parquet files of many requests each, the same ``x_*`` values as columns, the raw
+body in rows of at most ``PART_LINES`` lines (``land_request_files``).
 """
 
 from __future__ import annotations
@@ -37,6 +42,8 @@ MAX_REQUEST_BYTES = 10 * 1024 * 1024
 DEMO_USER_KEY = "demo_user_id"
 #: files up to this many bytes are read as one row each
 WHOLE_FILE = 64 * 1024 * 1024
+#: lines of a body that one row of packed requests holds at most
+PART_LINES = 1000
 #: parse errors that a request's log message quotes
 LOGGED_ERRORS = 20
 REQUEST_SCHEMA = "request_id string, received_at timestamp, headers map<string,string>, payload string"
@@ -223,11 +230,35 @@ def _request_columns(files: DataFrame) -> list[Column]:
             F.create_map(*pairs, F.lit("content-type"), F.lit("application/x-ndjson")).alias("headers")]
 
 
+def packed_requests(spark: SparkSession, path: str) -> DataFrame | None:
+    """The rows of packed requests (``x_*`` values, ``part`` of ``parts``, ``bytes`` of the whole body, ``payload`` of
+    this part); None for a tree of request files."""
+    from .bronze_store import _fs
+    fs, pattern = _fs(spark, f"{path.rstrip('/')}/*.parquet")
+    return spark.read.parquet(path) if fs.globStatus(pattern) else None
+
+
+def _in_parts(packed: DataFrame) -> DataFrame | None:
+    """The rows of requests of several parts; None where there are none (read from one small column)."""
+    many = packed.filter("parts > 1")
+    return None if many.select("parts").isEmpty() else many
+
+
 def read_request_files(spark: SparkSession, path: str, max_bytes: int | None = None) -> DataFrame:
-    """Request bodies landed as files under ``.../x_record_type=<t>/x_platform=<p>/``:
-    one file = one request of one row.  Nothing is left out for its size unless
-    ``max_bytes`` asks for the HTTP route's limit (``oversized_request_files``
-    lists what it rejects)."""
+    """Request bodies landed as files under ``.../x_record_type=<t>/x_platform=<p>/``
+    (one file = one request) or packed: one request of one row.  Nothing is left out
+    for its size unless ``max_bytes`` asks for the HTTP route's limit
+    (``oversized_request_files`` lists what it rejects)."""
+    t = packed_requests(spark, path)
+    if t is not None:
+        if max_bytes is not None:
+            t = t.filter(F.col("bytes") <= max_bytes)
+        whole, many = t.filter("parts = 1").select(*_request_columns(t), "payload"), _in_parts(t)
+        if many is None:
+            return whole
+        body = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("part", "payload"))), lambda p: p["payload"]), "")
+        many = many.groupBy(*[c for c in t.columns if c.startswith("x_")]).agg(body.alias("payload"))
+        return whole.unionByName(many.select(*_request_columns(many), "payload"))
     t = spark.read.text(path, wholetext=True)
     if max_bytes is not None:
         t = t.filter(F.col("_metadata.file_size") <= max_bytes)
@@ -236,7 +267,10 @@ def read_request_files(spark: SparkSession, path: str, max_bytes: int | None = N
 
 def list_requests(spark: SparkSession, path: str) -> DataFrame:
     """``request_id, received_at, headers, bytes`` of all request files, from file metadata only (the contents are
-    pruned from the scan)."""
+    pruned from the scan, also of packed requests)."""
+    packed = packed_requests(spark, path)
+    if packed is not None:
+        return packed.filter("part = 0").select(*_request_columns(packed), "bytes")
     files = spark.read.format("binaryFile").load(path)
     return files.select(*_request_columns(files), F.col("length").alias("bytes"))
 
@@ -244,7 +278,11 @@ def list_requests(spark: SparkSession, path: str) -> DataFrame:
 def read_request_lines(spark: SparkSession, path: str, whole_bytes: int = WHOLE_FILE) -> DataFrame:
     """Numbered lines of all request files (as ``request_lines``).  Files over
     ``whole_bytes`` are read by line: the rows of a block are numbered in their
-    own order and offset by the counts of the file's earlier blocks."""
+    own order and offset by the counts of the file's earlier blocks; likewise the
+    parts of a packed request."""
+    packed = packed_requests(spark, path)
+    if packed is not None:
+        return _packed_lines(packed)
     lines = request_lines(read_request_files(spark, path, whole_bytes))
     if oversized_request_files(spark, path, whole_bytes).isEmpty():
         return lines
@@ -260,9 +298,25 @@ def read_request_lines(spark: SparkSession, path: str, whole_bytes: int = WHOLE_
     return lines.unionByName(large)
 
 
+def _packed_lines(packed: DataFrame) -> DataFrame:
+    lines, many = request_lines(packed.filter("parts = 1").select(*_request_columns(packed), "payload")), _in_parts(packed)
+    if many is None:
+        return lines
+    # one text key: a missing header is a value like any other
+    many = many.withColumn("_k", F.to_json(F.struct(*[c for c in packed.columns if c.startswith("x_")])))
+    before = Window.partitionBy("_k").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    counts = many.select("_k", "part", F.size(_lines(F.col("payload"))).alias("_n"))
+    parts = many.join(counts.select("_k", "part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before")), ["_k", "part"])
+    rows = parts.select(*_request_columns(parts), "_before", F.posexplode(_lines(F.col("payload"))).alias("_pos", "line"))
+    return lines.unionByName(rows.select("request_id", "received_at", "headers", (F.col("_before") + F.col("_pos") + 1).cast("int").alias("line_no"), "line"))
+
+
 def oversized_request_files(spark: SparkSession, path: str, max_bytes: int = MAX_REQUEST_BYTES) -> DataFrame:
     """Request files over the limit, listed from file metadata only (the
     ``binaryFile`` source prunes the content column)."""
+    if packed_requests(spark, path) is not None:
+        return (list_requests(spark, path).filter(F.col("bytes") > max_bytes)
+                .select("request_id", "received_at", "bytes", F.lit(f"Payload too large (limit {max_bytes} bytes)").alias("message")))
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
     return (files.filter(F.col("length") > max_bytes)
             .select(F.sha2(F.col("path"), 256).alias("request_id"), F.col("modificationTime").alias("received_at"),
@@ -459,15 +513,16 @@ def publish(spark: SparkSession, frames: dict[str, DataFrame], views: dict[str,
 
 # --- request files derived from a bronze table (used by the registry) ---------
 
-def land_request_files(bronze: DataFrame, path: str, rows_per_request: int = 200) -> None:
-    """Write a bronze table back out as NDJSON request files under a stated id
+def land_request_files(bronze: DataFrame, path: str, rows_per_request: int = 200, part_lines: int = PART_LINES) -> None:
+    """Write a bronze table back out as packed NDJSON requests under a stated id
     and time: the events ``200 b`` to ``200 b + 199`` of a record type are request
     ``<type>-<b>``, received ``b`` minutes into 2024-02-01.  A line per document
     with its user as ``demo_user_id`` (blank for every 40th event, so the header
     fallback applies), a malformed line after every 25th and a blank line after
     every 30th.  The last event of each request is also sent alone and malformed
     (``<type>-<b>-x``, 30 seconds later): a request that is rejected whole.
-    ``x_auth`` names the caller's credentials: token, email or none."""
+    ``x_auth`` names the caller's credentials: token, email or none.  The number of
+    files follows the bytes, not the requests; a body is cut into rows at line ends."""
     n = F.regexp_extract("record_id", "[0-9]+", 0).cast("bigint")
     user = F.when(n % 40 == 0, F.lit("  ")).otherwise(F.col("user_id"))
     user_json = F.regexp_replace(F.to_json(F.array(user)), r"^\[|\]$", "")
@@ -489,9 +544,15 @@ def land_request_files(bronze: DataFrame, path: str, rows_per_request: int = 200
         F.element_at(F.array(F.lit("token"), F.lit("email"), F.lit("none")), (F.col("b") % 3 + 1).cast("int")).alias("x_auth"),
         "n", "record_id", F.col("l.i").alias("i"), F.col("l.value").alias("value"))
     parts = ["x_record_type", "x_platform", "x_request", "x_received", "x_auth"]
-    # the sort also holds within each request: its lines keep the events' order
-    out = out.repartition("x_request").sortWithinPartitions(*parts, "n", "record_id", "i")
-    out.select(*parts, "value").write.mode("overwrite").partitionBy(*parts).text(path)
+    # the lines of a request keep the events' order; the counts and the parts come from the same shuffle
+    whole = Window.partitionBy(*parts)
+    out = out.select(*parts, "value", F.row_number().over(whole.orderBy("n", "record_id", "i")).alias("_rn"),
+                     F.ceil(F.count(F.lit(1)).over(whole) / part_lines).cast("int").alias("parts"),
+                     F.sum(F.octet_length("value") + 1).over(whole).alias("bytes"))
+    part = F.floor((F.col("_rn") - 1) / part_lines).cast("int").alias("part")
+    body = F.transform(F.array_sort(F.collect_list(F.struct("_rn", "value"))), lambda l: F.concat(l["value"], F.lit("\n")))
+    (out.groupBy(*parts, "parts", "bytes", part).agg(F.array_join(body, "").alias("payload"))
+     .write.mode("overwrite").option("compression", "zstd").parquet(path))
 
 
 def with_credentials(requests: DataFrame) -> DataFrame:
