@@ -511,3 +511,18 @@ def test_s12_compaction_plan_takes_small_files_only():
     sizes = {"a": [mb] * 10, "b": [100 * mb] * 3, "c": [300 * mb], "d": [60 * mb] * 9, "e": [], "f": [mb]}
     assert plan_compaction(sizes, 128 * mb) == {"a": 1}
     assert plan_compaction(sizes, 300 * mb) == {"a": 1, "b": 1, "d": 2}
+
+
+def test_x4_x6_micro_batches_do_not_grow_with_the_files(spark, tmp_path):
+    from vitalake.plans import state_queries
+    path = str(tmp_path / "sink")
+    _samples(spark, range(6)).repartition(60).write.parquet(path)
+    held = spark.read.parquet(path)
+    n = len(held.inputFiles())
+    assert n > 50 and -(-n // state_queries.step_files(held)) <= state_queries.STEPS
+    g = IncrementalGold(spark, str(tmp_path / "g"))
+    stream = spark.readStream.schema(held.schema).option("maxFilesPerTrigger", state_queries.step_files(held)).parquet(path)
+    g.follow(stream, ["daily_steps"], str(tmp_path / "ck")).awaitTermination()
+    assert 1 < g.table("daily_steps").version() <= state_queries.STEPS
+    want = gold.daily_steps(held)
+    assert _table_of(g.read("daily_steps").select(*want.columns)) == _table_of(want)

@@ -29,8 +29,14 @@ from .bucketed import BucketedStore, activity_enriched_bucketed, live_bucketed
 from .incremental import IncrementalGold
 from .medallion import Medallion
 
-#: files a micro-batch of these queries takes in, so that there are several
-STEP_FILES = 4
+#: files a micro-batch of these queries takes in at least, and micro-batches that the files landed so far make at
+#: most: the files follow the data or the shuffle partitions, and each micro-batch rewrites the states it touches
+STEP_FILES, STEPS = 4, 5
+
+
+def step_files(rows: DataFrame) -> int:
+    """Files a micro-batch takes in, so that the files of a stored table are worked off in several, but at most ``STEPS``."""
+    return max(STEP_FILES, -(-len(rows.inputFiles()) // STEPS))
 
 
 def _root(spark: SparkSession, name: str) -> str:
@@ -71,11 +77,12 @@ def _samples_state(spark: SparkSession, name: str, like: DataFrame) -> KeyedStat
 def stream_change_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """X6 streaming: sample upserts and delete notices of the bronze stream, merged micro-batch by
     micro-batch into the keyed state (order-free deletes)."""
-    like = silver.samples(_bronze(spark, sf_dir), "none")
-    path = bronze_path_for(spark, sf_dir)
+    bronze = _bronze(spark, sf_dir)
+    like = silver.samples(bronze, "none")
+    path, files = bronze_path_for(spark, sf_dir), step_files(bronze)
     state = _samples_state(spark, "feed", like)
-    ups = silver.samples(streaming.bronze_stream(spark, path, max_files_per_trigger=STEP_FILES), "none").withColumn("op", F.lit("upsert"))
-    dels = (silver.deletes(streaming.bronze_stream(spark, path, max_files_per_trigger=STEP_FILES), "none")
+    ups = silver.samples(streaming.bronze_stream(spark, path, max_files_per_trigger=files), "none").withColumn("op", F.lit("upsert"))
+    dels = (silver.deletes(streaming.bronze_stream(spark, path, max_files_per_trigger=files), "none")
             .select(F.col("deleted_uuid").alias("hk_uuid"), "ingested_at", F.lit("delete").alias("op")))
     q = state.follow(ups.unionByName(dels, allowMissingColumns=True), f"{state.table.root}-checkpoint")
     q.awaitTermination()
@@ -136,7 +143,7 @@ def stream_gold_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     sink = f"{root}/tables/samples"
     like = spark.read.parquet(sink)
     gold = IncrementalGold(spark, _root(spark, "gold"))
-    rows = spark.readStream.schema(like.schema).option("maxFilesPerTrigger", STEP_FILES).parquet(sink)
+    rows = spark.readStream.schema(like.schema).option("maxFilesPerTrigger", step_files(like)).parquet(sink)
     q = gold.follow(rows, ["hk_quantity_daily", "daily_steps"], f"{gold.root}-checkpoint")
     q.awaitTermination()
     if q.exception():
