@@ -12,7 +12,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # ISO-8601 with optional fraction (1-6 digits) and a zone that may be ``Z``
-# or a numeric offset.  The cast fallback takes the remaining ISO forms.
+# or a numeric offset.
 ISO_INSTANT = "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]XXX"
 
 
@@ -42,9 +42,10 @@ def header(name: str) -> Column:
 
 
 def parse_ts(col: Column | str) -> Column:
-    """ISO instant text -> TIMESTAMP (``Z``, millis, micros, offsets)."""
+    """ISO instant text -> TIMESTAMP (``Z``, millis, micros, offsets).  The cast reads these forms
+    without a formatter; the pattern is tried only on what the cast leaves NULL."""
     c = _c(col)
-    return F.coalesce(F.try_to_timestamp(c, F.lit(ISO_INSTANT)), F.try_to_timestamp(c))
+    return F.coalesce(F.try_to_timestamp(c), F.try_to_timestamp(c, F.lit(ISO_INSTANT)))
 
 
 def str_map(col: Column | str, path: str = "$") -> Column:
