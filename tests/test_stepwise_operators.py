@@ -177,3 +177,33 @@ def test_p31_each_sample_is_delivered_once(spark, tmp_path, monkeypatch):
     assert marks[(None, "hr")] == max(r[3] for r in rows if r[:2] == (None, "hr") and r[3])
     later = spark.createDataFrame([("d1", "hr", 5.0, T0 + dt.timedelta(days=2)), ("d1", "hr", 6.0, T0)], EVENT)
     assert [r.value for r in incremental_since(out.fresh(later), "2026-01-01 00:00:00").collect()] == [5.0]
+
+
+def test_p3_the_cast_reads_instants_before_the_pattern(spark):
+    from vitalake.functions.variant import ISO_INSTANT, parse_ts
+    texts = ["2024-01-15T10:20:30Z", "2024-01-15T10:20:30.123Z", "2024-01-15T10:20:30.123456+05:30", "2024-01-15T10:20:30-08:00", "2024-01-15T10:20:30.5Z",
+             "2024-01-15", "2024-01-15 10:20:30", "2024-02-30T00:00:00Z", "2024-01-15T24:00:00Z", "2024-01-15T10:20Z", "0001-01-01T00:00:00Z", "9999-12-31T23:59:59Z",
+             "12024-01-15T10:20:30Z", "2024-01-15T10:20:30+19:00", "2024-01-15T10:20:30-00:00", "2024-01-15T10:20:30+18:00", " 2024-01-15T10:20:30Z ", "", "x", None,
+             "2024-01-15T10:20:30.1234567Z", "2024-01-15T10:20:30+0530", "2024-01-15T10:20:30+05", "2024-1-5T1:2:3Z", "10:20:30", "2024-01-15t10:20:30z", "1700000000"]
+    rows = spark.createDataFrame([(t,) for t in texts], "c string")
+    pattern_first = F.coalesce(F.try_to_timestamp("c", F.lit(ISO_INSTANT)), F.try_to_timestamp("c"))
+    got = rows.select("c", F.unix_micros(parse_ts("c")).alias("a"), F.unix_micros(pattern_first).alias("b")).collect()
+    assert [(r.c, r.a) for r in got] == [(r.c, r.b) for r in got] and sum(r.a is not None for r in got) > 8
+    plan = rows.select(parse_ts("c").alias("t"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "cast(c" in plan.split("gettimestamp")[0]  # the formatter comes second
+
+
+def test_p31_the_buffer_is_taken_apart_once(spark, monkeypatch):
+    from vitalake.operators import garmin
+    from vitalake.plans import state_queries
+    plans, plain = [], Deliveries.fresh
+
+    def watched(self, events, version=None):
+        plans.append(events._jdf.queryExecution().optimizedPlan().toString())
+        return plain(self, events, version)
+
+    monkeypatch.setattr(Deliveries, "fresh", watched)
+    out = state_queries.watch_delivered(spark, "/root/testdata/sf0.001")
+    want = garmin.explode_watch_batch(state_queries.landed_bronze(spark, "/root/testdata/sf0.001", "watch"))
+    assert out.count() == want.filter("recorded_at IS NOT NULL").count() and len(plans) == 4
+    assert not any("variant_get" in p or "Generate" in p for p in plans)

@@ -199,9 +199,12 @@ def backfill_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def watch_delivered(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """P31 with stored marks: three deliveries from a growing buffer, the second one repeated."""
+    """P31 with stored marks: three deliveries from a growing buffer, the second one repeated.
+    The buffer holds the records as rows: each batch document is taken apart once, not in every delivery."""
     ensure_session(spark)
-    events = garmin.explode_watch_batch(landed_bronze(spark, sf_dir, "watch"))
+    buffer = _root(spark, "watch-buffer")
+    garmin.explode_watch_batch(landed_bronze(spark, sf_dir, "watch")).write.parquet(buffer)
+    events = spark.read.parquet(buffer)
     out, t = Deliveries(spark, _root(spark, "watch"), events.schema), F.unix_micros("recorded_at")
     for cut in [c for k, c in enumerate(time_cuts(events, 3, "recorded_at")) for _ in range(1 + (k == 1))]:
         out.deliver(events.filter(t <= cut))
