@@ -526,3 +526,31 @@ def test_x4_x6_micro_batches_do_not_grow_with_the_files(spark, tmp_path):
     assert 1 < g.table("daily_steps").version() <= state_queries.STEPS
     want = gold.daily_steps(held)
     assert _table_of(g.read("daily_steps").select(*want.columns)) == _table_of(want)
+
+
+def test_s12_compaction_sorts_in_slices(spark, tmp_path, monkeypatch):
+    from vitalake.sources import layout
+    schema = _parse_datatype_string("record_id long, user_id string, ingested_at timestamp, kind string")
+    rows = spark.range(20_000).select(F.col("id").alias("record_id"), F.lit("u").alias("user_id"),
+                                      (F.lit(T0) + F.make_dt_interval(mins=F.pmod(F.xxhash64("id"), F.lit(90_000)).cast("int"))).alias("ingested_at"),
+                                      F.when(F.col("id") % 4 > 0, F.lit("k")).alias("kind"))
+    table = SnapshotTable(spark, str(tmp_path / "t"), "kind", schema)
+    for k in range(4):
+        table.append(rows.filter(F.col("record_id") % 4 == k))
+        table.append(rows.filter(F.col("record_id") % 4 == k).withColumn("record_id", -F.col("record_id") - 1))
+    largest, plain = [], layout.clustered
+
+    def watched(rows, files, *rest):
+        out = plain(rows, files, *rest)
+        held = [r[0] for r in out.groupBy(F.spark_partition_id()).count().select("count").collect()]
+        largest.append((max(held), sum(held)))
+        return out
+
+    monkeypatch.setattr(layout, "clustered", watched)
+    monkeypatch.setattr(layout, "SLICE_BYTES", 8 << 10)
+    plan = layout.compact(table)
+    assert sorted(plan.values()) == [1, 1] and sum(n for _, n in largest) == 40_000
+    assert all(most <= total / 8 for most, total in largest), largest  # no task sorts the rows of a whole file
+    assert all(len(v) == 1 for v in layout.file_sizes(table).values()) and layout.compact(table) == {}
+    assert table.read().count() == 40_000 and table.read().select("record_id").distinct().count() == 40_000
+    assert table.read().filter("kind IS NULL").count() == 10_000

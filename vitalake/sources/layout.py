@@ -9,11 +9,16 @@ only how even the files are.
 
 ``compact`` plans from file sizes: partitions in many small files (appends leave
 one or more each) are rewritten into files of about ``target_bytes``, clustered, as
-one new version; readers of the old version are not disturbed.
+one new version; readers of the old version are not disturbed.  Stored rows can be
+tens of times smaller than rows in memory, so a file's worth is not sorted by one
+task: the sort runs in slices of ``SLICE_BYTES``, and files are put together from
+sorted slices without sorting again.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,6 +29,8 @@ from .snapshots import SnapshotTable
 BITS = 6
 TARGET_BYTES = 128 << 20
 CURVE = ("user_id", "ingested_at")
+#: stored bytes that one task sorts
+SLICE_BYTES = 4 << 20
 
 
 def _range_number(rows: DataFrame, column: str, bits: int) -> Column:
@@ -61,14 +68,36 @@ def plan_compaction(sizes: dict[str, list[int]], target_bytes: int = TARGET_BYTE
     return {part: n for part, n in need.items() if len(sizes[part]) >= 2 * n}
 
 
+def _write_clustered(table: SnapshotTable, part: str, rows: DataFrame, files: int, slices_each: int, columns: tuple[str, str]) -> str:
+    """Store the rows of one partition as ``files`` clustered files; their folder, which no version names yet."""
+    staged, folder = f"{table.root}/staged/{uuid.uuid4().hex}", f"data/{uuid.uuid4().hex}/_part={part}"
+    clustered(rows.select(*table.schema.names), files * slices_each, columns).write.parquet(staged)
+    try:
+        slices = sorted((s.getPath().toString(), s.getLen()) for s in table._fs.listStatus(table._path(staged)) if s.getPath().getName().endswith(".parquet"))
+        total, before, groups = sum(n for _, n in slices), 0, {}
+        for path, n in slices:  # the names follow the curve
+            groups.setdefault(before * files // max(total, 1), []).append(path)
+            before += n
+        out = None
+        for paths in groups.values():
+            one = table.spark.read.schema(table.schema).parquet(*paths).coalesce(1)
+            out = one if out is None else out.union(one)
+        out.write.parquet(f"{table.root}/{folder}")
+    finally:
+        table._fs.delete(table._path(staged), True)
+    return folder
+
+
 def compact(table: SnapshotTable, target_bytes: int = TARGET_BYTES, columns: tuple[str, str] = CURVE) -> dict[str, int]:
     """Rewrite the partitions that ``plan_compaction`` names, one after another (each is a version of its own, so a
     run that dies keeps what it has done); the files each has now."""
-    done = plan_compaction(file_sizes(table), target_bytes)
+    sizes = file_sizes(table)
+    done = plan_compaction(sizes, target_bytes)
     for part, files in done.items():
         base = table.version()
         folders = [f"{table.root}/{f}" for f in table.manifest(base)["parts"][part]]
         rows = table.spark.read.schema(table.schema).parquet(*folders)
-        written = table.write(clustered(rows, files, columns))
-        table.commit(base, {part: list(written.values())})
+        slices = -(-sum(sizes[part]) // (files * SLICE_BYTES))
+        written = [_write_clustered(table, part, rows, files, slices, columns)] if slices > 1 else list(table.write(clustered(rows, files, columns)).values())
+        table.commit(base, {part: written})
     return done
