@@ -116,6 +116,33 @@ def test_x8_rows_behind_the_watermark_are_set_aside(spark, tmp_path):
     assert sorted((r.session_seq, r.stage_count) for r in state.sessions().collect()) == [(1, 1), (2, 2)]
 
 
+def test_x8_a_batch_is_numbered_once_by_tasks_that_follow_its_rows(spark, tmp_path):
+    state, sc, before = OpenSessions(spark, str(tmp_path / "s"), delay_seconds=6 * 3600), spark.sparkContext, spark.conf.get("spark.sql.shuffle.partitions")
+    batch = spark.createDataFrame(_stages(3), STAGE).coalesce(1)
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    sc.setJobGroup("x8-tasks", "one batch")
+    try:
+        state.take(batch, 0)
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    stages = {s for j in sc.statusTracker().getJobIdsForGroup("x8-tasks") for s in sc.statusTracker().getJobInfo(j).stageIds}
+    done = [i for i in map(sc.statusTracker().getStageInfo, stages) if i is not None]
+    assert sum(i.numCompletedTasks for i in done) < 200  # no stage has a task per shuffle partition
+    assert not list((tmp_path / "s" / "work").iterdir())
+    assert state.table.read().filter("_part_of = 'closed'").count() > 20
+
+
+def test_x8_a_row_that_starts_with_the_last_closed_one_stays_open(spark, tmp_path):
+    state = OpenSessions(spark, str(tmp_path / "s"), delay_seconds=3600)
+    hour = lambda h: T0 + dt.timedelta(hours=h)
+    # "x" ends before it starts, so "y", with the same start, opens a session of its own
+    rows = [("u", "x", hour(3), hour(1), hour(3)), ("u", "y", hour(3), hour(9), hour(3)), ("u", "z", hour(8), hour(10), hour(8))]
+    state.take(spark.createDataFrame(rows, STAGE), 0)
+    want = sleep_sessions(spark.createDataFrame(rows, STAGE), start="stage_start_at", end="stage_end_at", tie="stage_uuid")
+    assert sorted((r.session_seq, r.stage_count) for r in state.sessions().collect()) == sorted((r.session_seq, r.stage_count) for r in want.collect()) == [(1, 1), (2, 2)]
+
+
 def test_s11_failed_days_are_reported_and_retried_alone(spark, tmp_path):
     asked = []
     data = spark.createDataFrame([(dt.date(2026, 1, d), f"{d}-{k}") for d in range(1, 8) if d != 3 for k in range(d)], "day date, id string")

@@ -173,11 +173,12 @@ def samples_late_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_sleep_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sessions by W2's rule from five arrivals of raw stage rows, resent stages included."""
-    stages = silver.sleep_stages(_bronze(spark, sf_dir), "none")
+    bronze = _bronze(spark, sf_dir)
     state, t = OpenSessions(spark, _root(spark, "sessions")), F.unix_micros("ingested_at")
     low = None
-    for k, cut in enumerate(time_cuts(stages, 5)):
-        state.take(stages.filter(t <= cut if low is None else (t > low) & (t <= cut)), k)
+    for k, cut in enumerate(time_cuts(silver.sleep_stages(bronze, "none"), 5)):
+        # the arrival is chosen before its documents are taken apart
+        state.take(silver.sleep_stages(bronze.filter(t <= cut if low is None else (t > low) & (t <= cut)), "none"), k)
         low = cut
     return state.sessions()
 

@@ -130,6 +130,10 @@ class SnapshotTable:
             raise ValueError(f"rows outside the replaced partitions: {sorted(strange)[:5]}")
         return self.commit(base, {n: [new[n]] if n in new else [] for n in map(_name, parts)}, meta)
 
+    def delete(self, folder: str) -> None:
+        """Remove a writer's own intermediate folder (outside ``data`` and ``log``), if it is there."""
+        self._fs.delete(self._path(folder), True)
+
     def vacuum(self, keep: int = 2) -> int:
         """Forget all but the newest ``keep`` versions, delete the folders that no kept version
         names, and return their number.  Not to be run beside a writer: its folders have no version yet."""
