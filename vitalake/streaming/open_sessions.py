@@ -81,11 +81,12 @@ class OpenSessions:
         try:
             newest = new.agg(F.max(t)).first()[0]
             behind = F.lit(False) if high is None else t < F.lit(high - self.delay)
-            stages = first_arrival(self.table.read(base, ["open"]).select(*_STAGE).unionByName(new.filter(~behind)), ["stage_uuid"], ("ingested_at", "stage_start_at"))
+            arrived = first_arrival(self.table.read(base, ["open"]).select(*_STAGE).unionByName(new.filter(~behind)), ["stage_uuid"], ("ingested_at", "stage_start_at"))
             marks = [x for x in (high, newest) if x is not None]
             mark = max(marks) - self.delay if marks else -(1 << 62)
             counts = self.table.read(base, ["users"]).select("user_id", "session_seq")
             over = (F.unix_micros("_last") < F.lit(mark)) & (F.unix_micros("_last_end") + F.lit(self.gap * 1_000_000) < F.lit(mark))
+            stages = self._stored(arrived, f"{work}/stages")
             tagged = self._stored(self._tagged(stages), f"{work}/tagged")
             sessions = self._stored(self._numbered(tagged, counts).withColumn("_over", over), f"{work}/sessions")
             closed = sessions.filter("_over")
