@@ -265,3 +265,50 @@ def test_s1_packed_requests_read_as_one_file_each(spark, tmp_path):
         assert sorted(tuple(r) for r in read(whole).collect()) == want, name
     big = landing.oversized_request_files(spark, packed, max_bytes=2000).collect()
     assert {r.request_id for r in big} == {r.request_id for r in landing.list_requests(spark, str(tree)).filter("bytes > 2000").collect()} and big
+
+
+def _packed(spark, path, bodies, part_lines):
+    """Packed requests of the given bodies, cut after every ``part_lines`` line ends."""
+    rows = []
+    for name, body in bodies.items():
+        lines = body.splitlines(keepends=True) or [""]
+        parts = ["".join(lines[k:k + part_lines]) for k in range(0, len(lines), part_lines)]
+        rows += [(None if name == "n" else "samples", "p", name, "20260101000000", len(parts), len(body), k, p) for k, p in enumerate(parts)]
+    spark.createDataFrame(rows, "x_record_type string, x_platform string, x_request string, x_received string, parts int, bytes long, part int, payload string"
+                          ).coalesce(1).write.parquet(path)
+
+
+def test_s1_lines_end_at_plain_and_at_windows_line_ends(spark, tmp_path):
+    root = str(tmp_path / "packed")
+    _packed(spark, root, {"w": '{"a":1}\r\n  \r\n{bad\r\n', "u": '{"a":1}\n  \n{bad\n', "m": '{"a":1}\n \r\n{bad\r'}, 1000)
+    lines = {(r.request_id, r.line_no): r.line for r in landing.read_request_lines(spark, root).collect()}
+    assert lines == {("w", 1): '{"a":1}', ("w", 2): "{bad", ("u", 1): '{"a":1}', ("u", 2): "{bad", ("m", 1): '{"a":1}', ("m", 2): "{bad\r"}
+    plan = landing.read_request_lines(spark, root)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Contains" in plan  # the expression only where a body has such a line end
+
+
+def test_request_files_are_landed_in_one_shuffle_without_the_stored_bronze(spark, tmp_path):
+    from vitalake.plans import registry
+    from vitalake.sources.bronze_store import _exists, bronze_path_for
+    spark.read.parquet("/root/testdata/sf0.001/events.parquet").write.parquet(str(tmp_path / "events.parquet"))
+    path = registry._landing(spark, str(tmp_path))
+    assert _exists(spark, f"{path}/_SUCCESS") and not _exists(spark, bronze_path_for(spark, str(tmp_path)))
+    assert "Exchange hashpartitioning(record_type" in _written(spark, lambda: landing.land_request_files(registry.bronze_from_dir(spark, str(tmp_path)), str(tmp_path / "r")))
+
+
+def _written(spark, write) -> str:
+    """The plan of the only query that ``write`` runs."""
+    plans = []
+    from pyspark.sql import DataFrameWriter
+    was = DataFrameWriter.parquet
+
+    def parquet(self, *a, **b):
+        plans.append(self._df._jdf.queryExecution().executedPlan().toString())
+        return was(self, *a, **b)
+    DataFrameWriter.parquet = parquet
+    try:
+        write()
+    finally:
+        DataFrameWriter.parquet = was
+    assert len(plans) == 1 and plans[0].count("Exchange") == 1
+    return plans[0]

@@ -20,6 +20,7 @@ from ..sources import landing
 from ..session import checkpoint_dir
 from ..functions.labels import SEED_DEVICE_ID, channel_predicate, ingest_channel
 from ..session import ensure_session
+from ..sources.bindings import bronze_from_dir
 from ..sources.bronze_store import bronze_path_for, landed_bronze
 from ..streaming import medallion as streaming
 from .medallion import Medallion, StoredMedallion
@@ -256,12 +257,12 @@ PLATFORM_QUERIES: dict[str, Query] = {
 
 
 def _landing(spark: SparkSession, sf_dir: str) -> str:
-    """Request files written from the landed bronze."""
-    m = medallion(spark, sf_dir)
+    """Request files written from the rows of bronze, as they are derived: storing the table first is no part of it."""
+    ensure_session(spark)
     path = bronze_path_for(spark, sf_dir) + "-requests"
     if not landing._exists_success(spark, path):
         from ..sources.bronze_store import publish_atomically
-        publish_atomically(spark, path, lambda tmp: landing.land_request_files(m.bronze, tmp))
+        publish_atomically(spark, path, lambda tmp: landing.land_request_files(bronze_from_dir(spark, sf_dir), tmp))
     return path
 
 
