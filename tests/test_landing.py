@@ -296,6 +296,15 @@ def test_request_files_are_landed_in_one_shuffle_without_the_stored_bronze(spark
     assert "Exchange hashpartitioning(record_type" in _written(spark, lambda: landing.land_request_files(registry.bronze_from_dir(spark, str(tmp_path)), str(tmp_path / "r")))
 
 
+def test_w4_newest_requests_read_no_body(spark, tmp_path):
+    from vitalake.plans import registry
+    root = str(tmp_path / "packed")
+    _packed(spark, root, {"a": "{}\n", "b": "{}\n{}\n"}, 1)
+    newest = registry._newest_requests(spark, root)
+    assert "payload" not in newest._jdf.queryExecution().executedPlan().toString()
+    assert [tuple(r) for r in newest.collect()] == [("samples", "b")]
+
+
 def _written(spark, write) -> str:
     """The plan of the only query that ``write`` runs."""
     plans = []

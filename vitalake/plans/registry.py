@@ -293,12 +293,19 @@ def _log(spark: SparkSession, sf_dir: str) -> DataFrame:
                                        landing.read_request_lines(spark, path))
 
 
+def _newest_requests(spark: SparkSession, path: str) -> DataFrame:
+    """The newest request of each type; no body is read for it."""
+    requests = landing.with_credentials(landing.list_requests(spark, path))
+    return requests.groupBy(landing.record_type_of(F.col("headers")).alias("record_type")).agg(
+        F.max_by("request_id", F.struct("received_at", "request_id")).alias("request_id"))
+
+
 def last_payload_per_type(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The newest payload of each type, by its number of lines and the user its first line names.
     Only the newest request of each type is read as a whole."""
-    newest = (_log(spark, sf_dir).groupBy("record_type").agg(F.max_by("request_id", F.struct("timestamp", "request_id")).alias("request_id")))
-    files = landing.read_request_files(spark, _landing(spark, sf_dir))
-    wanted = files.join(F.broadcast(newest.select("request_id")), "request_id", "left_semi")  # a row a type
+    path = _landing(spark, sf_dir)
+    newest = _newest_requests(spark, path).select("request_id")  # a row a type
+    wanted = landing.read_request_files(spark, path).join(F.broadcast(newest), "request_id", "left_semi")
     out = ops.last_payload_per_type(landing.request_log(landing.with_credentials(wanted)))
     first = F.regexp_extract("last_payload", '^\\{"demo_user_id":"([^"]*)"', 1)
     return ntz(out.select("record_type", "last_timestamp", F.size(F.split(F.rtrim(F.regexp_replace("last_payload", "\n$", "")), "\n")).alias("payload_lines"),
