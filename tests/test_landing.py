@@ -278,6 +278,26 @@ def _packed(spark, path, bodies, part_lines):
                           ).coalesce(1).write.parquet(path)
 
 
+def test_r25_log_by_part_equals_the_log_of_whole_requests(spark, tmp_path):
+    bodies = {"a": '{"x":1}\n\n{bad\n{"x":2}\n', "b": "", "c": "\n  \n", "d": "{bad\n" * 40, "e": '{"x":1}', "n": '{"x":1}\n{bad\n',
+              "r": '{"x":1}\r\n\r\n{bad\r\n  \r\n{bad\n', "s": '{"x":1}\n' * 30 + "{bad\n" * 3 + "\n" + "{bad\n" * 25}
+    names = ["request_id", "record_type", "timestamp", "record_count", "error_count", "http_status_code", "success", "message"]
+    for part_lines in (1, 7, 1000):
+        root = str(tmp_path / f"packed{part_lines}")
+        _packed(spark, root, bodies, part_lines)
+        for most in (1, landing.LOGGED_ERRORS):
+            log = landing.request_log_by_part(landing.packed_requests(spark, root), most)
+            whole = landing.request_log(landing.read_request_files(spark, root), most)
+            got = {r.request_id: tuple(r) for r in log.select(*names).collect()}
+            assert got == {r.request_id: tuple(r) for r in whole.select(*names).collect()} and set(got) == set(bodies)
+            assert got["d"][4] == 40 and got["d"][7].count("Line") == most and got["s"][3:5] == (30, 28)
+    # with a row a request no line is shuffled, and each is checked once, also under a filter on the outcome
+    log = landing.read_request_log(spark, root, landing.with_credentials)
+    plan = log.filter("success").select("record_count", "message")._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Join" not in plan and plan.count("FileScan") == 1 and plan.count("parseJson") == 1
+    assert "cookie" not in log.first().request_headers
+
+
 def test_s1_lines_end_at_plain_and_at_windows_line_ends(spark, tmp_path):
     root = str(tmp_path / "packed")
     _packed(spark, root, {"w": '{"a":1}\r\n  \r\n{bad\r\n', "u": '{"a":1}\n  \n{bad\n', "m": '{"a":1}\n \r\n{bad\r'}, 1000)

@@ -288,9 +288,7 @@ def ndjson_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = _landing(spark, sf_dir)
-    return landing.request_log_by_line(landing.with_credentials(landing.list_requests(spark, path)),
-                                       landing.read_request_lines(spark, path))
+    return landing.read_request_log(spark, _landing(spark, sf_dir), landing.with_credentials)
 
 
 def _newest_requests(spark: SparkSession, path: str) -> DataFrame:

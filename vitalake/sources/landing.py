@@ -202,7 +202,11 @@ def request_log_by_line(requests: DataFrame, lines: DataFrame, max_errors: int =
     first = Window.partitionBy("request_id").orderBy("line_no")
     errors = (checked.filter("bad").select("request_id", "line_no", F.row_number().over(first).alias("_rn")).filter(F.col("_rn") <= max_errors)
               .groupBy("request_id").agg(F.array_sort(F.collect_list("line_no")).alias("_first")))
-    r = requests.join(counts, "request_id", "left").join(errors, "request_id", "left")
+    return _log_rows(requests.join(counts, "request_id", "left").join(errors, "request_id", "left"))
+
+
+def _log_rows(r: DataFrame) -> DataFrame:
+    """The log's columns from ``request_id, received_at, headers, bytes``, the counts ``_good`` and ``_bad`` and the first bad lines ``_first``."""
     n, bad = F.coalesce("_good", F.lit(0)), F.coalesce("_bad", F.lit(0))
     rt = record_type_of(F.col("headers"))
     quoted = F.array_join(F.transform("_first", lambda k: F.format_string("Line %d: invalid JSON", k)), "; ")
@@ -212,6 +216,37 @@ def request_log_by_line(requests: DataFrame, lines: DataFrame, max_errors: int =
                     strip_headers(F.col("headers")).alias("request_headers"))
 
 
+def _checked_parts(parts: DataFrame, columns: list, max_errors: int) -> DataFrame:
+    """``columns`` with the counts of good and bad lines of each part, and the numbers in it of its first ``max_errors`` bad ones."""
+    names = parts.select(*columns).columns
+    split = parts.select(*columns, _lines(F.col("payload")).alias("_lines"))
+    bad = F.filter(F.transform("_lines", lambda l, i: F.when(F.try_parse_json(l).isNull(), i + 1)), lambda k: k.isNotNull())
+    # a generated row: a filter on the log is not pushed below it, where it would check every line once more
+    found = split.select(*names, F.inline(F.array(F.struct(F.size("_lines").alias("_n"), bad.alias("_found")))))
+    return found.select(*names, (F.col("_n") - F.size("_found")).cast("bigint").alias("_good"), F.size("_found").cast("bigint").alias("_bad"),
+                        F.slice("_found", 1, max_errors).alias("_first"))
+
+
+def request_log_by_part(packed: DataFrame, max_errors: int = LOGGED_ERRORS, headers_of=None) -> DataFrame:
+    """``request_log_by_line`` of packed requests, in one pass: the lines of a part (at most ``PART_LINES`` of them) are
+    checked inside its row, so only the counts of requests of several parts are shuffled, and no line is.
+    ``headers_of`` completes the headers first (``with_credentials``)."""
+    out = _checked_parts(packed.filter("parts = 1"), [*_request_columns(packed), "bytes"], max_errors)
+    many = _in_parts(packed)
+    if many is not None:
+        keys = [c for c in packed.columns if c.startswith("x_")]
+        each = _checked_parts(many, [*keys, "bytes", "part"], max_errors)
+        before = Window.partitionBy(*keys).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+        earlier = lambda c: F.coalesce(F.sum(c).over(before), F.lit(0))
+        each = each.withColumns({"_before": earlier(F.col("_good") + F.col("_bad")), "_quoted": earlier(F.col("_bad"))})
+        numbers = F.transform("_first", lambda k: (k + F.col("_before")).cast("int"))
+        # a part after max_errors bad lines has none to quote: at most max_errors parts are collected
+        quotes = F.when((F.col("_bad") > 0) & (F.col("_quoted") < max_errors), F.struct("part", numbers.alias("at")))
+        whole = each.groupBy(*keys, "bytes").agg(F.sum("_good").alias("_good"), F.sum("_bad").alias("_bad"), F.sort_array(F.collect_list(quotes)).alias("_parts"))
+        out = out.unionByName(whole.select(*_request_columns(whole), "bytes", "_good", "_bad", F.slice(F.flatten("_parts.at"), 1, max_errors).alias("_first")))
+    return _log_rows(headers_of(out) if headers_of else out)
+
+
 def _exists_success(spark: SparkSession, path: str) -> bool:
     from .bronze_store import _exists
     return _exists(spark, f"{path.rstrip('/')}/_SUCCESS")
@@ -314,6 +349,15 @@ def _packed_lines(packed: DataFrame) -> DataFrame:
     return lines.unionByName(rows.select("request_id", "received_at", "headers", (F.col("_before") + F.col("_pos") + 1).cast("int").alias("line_no"), "line"))
 
 
+def read_request_log(spark: SparkSession, path: str, headers_of=None) -> DataFrame:
+    """The log of all request files: by part where they are packed, else by line."""
+    packed = packed_requests(spark, path)
+    if packed is not None:
+        return request_log_by_part(packed, headers_of=headers_of)
+    requests = list_requests(spark, path)
+    return request_log_by_line(headers_of(requests) if headers_of else requests, read_request_lines(spark, path))
+
+
 def oversized_request_files(spark: SparkSession, path: str, max_bytes: int = MAX_REQUEST_BYTES) -> DataFrame:
     """Request files over the limit, listed from file metadata only (the
     ``binaryFile`` source prunes the content column)."""
