@@ -4,15 +4,19 @@ cases and held-out accuracy."""
 from __future__ import annotations
 
 import collections
+import gc
 import hashlib
 import itertools
 import math
 import os
 import random
 import re
+import tracemalloc
+import types
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -187,6 +191,55 @@ def test_op2_spread_words_change_nothing(spark, sf, monkeypatch):
     assert a == b
 
 
+def traced(run):
+    """The result of ``run()``, and the MB that it took at its peak and left behind, without help by the collector."""
+    gc.collect()
+    gc.disable()
+    tracemalloc.start()
+    try:
+        out = run()
+        now, most = tracemalloc.get_traced_memory()
+        return out, most / 1e6, now / 1e6
+    finally:
+        tracemalloc.stop()
+        gc.enable()
+
+
+def test_op2_word_numbers_go_with_their_slice():
+    bodies = [" ".join(f"word{k}" for k in range(i, i + 1000)) for i in range(0, 50_000, 1000)]
+
+    def run():
+        for _ in range(4):
+            hashes, ids, begin = katz.tokens(bodies)
+        return len(hashes), len(ids), len(begin)
+
+    out, _, left = traced(run)
+    assert out == (50_001, 50_050, 51) and left < 3
+
+
+def test_op2_bucket_memory_does_not_grow_with_its_slices(spark):
+    """Every document has the one bigram of the bucket: neither its documents nor its occurrences are held unpacked."""
+    n, uni = 4000, types.SimpleNamespace(buckets=4, hot={}, log_probability=lambda c: np.zeros(len(c)))
+    one = {"bucket": 2, "train": np.packbits(np.ones(n, bool)).tobytes(), "words": katz.pack_sorted(np.array([5], np.uint64)), "sizes": katz.pack(np.array([n], np.uint16)),
+           "histories": katz.pack_hashes(np.full(n, 7, np.uint64)), "docs": katz.pack(np.arange(n, dtype=np.uint16)), "times": katz.pack(np.full(n, 3, np.uint8)), "meta": None}
+
+    def run(slices):
+        batches = (pa.RecordBatch.from_pylist([one | {"chunk": k}], katz.to_arrow_schema(katz.struct(katz._SENT))) for k in range(slices))
+        out = {}
+        for batch in katz.bucket_step(uni)(batches):
+            for r in batch.to_pylist():
+                out.setdefault(r["kind"], []).append(r)
+        return out
+
+    _, small_peak, _ = traced(lambda: run(60))
+    out, large_peak, _ = traced(lambda: run(480))
+    assert large_peak < 1.5 * small_peak
+    assert [r["key"] for r in out["doc"]] == list(range(480)) and "unseen" not in out
+    assert all(katz.unfixed(r["b"]).reshape(2, n)[0, 0] == round(3e9 * math.log10(480 * n * 3 + 1)) for r in out["doc"])
+    (bigram,), (history,) = out["bigrams"], out["histories"]
+    assert katz.unpack(bigram["d"], np.int64).tolist() == [480 * n * 3] and katz.unpack_sorted(history["a"]).tolist() == [7]
+
+
 # ------------------------------------------------------------------------ op5
 
 def naive_spans(t):

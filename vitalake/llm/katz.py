@@ -15,9 +15,11 @@ Jobs:
   2. the occurrences ``(word, history, document)`` of a slice go to the word's
      bucket as packed, compressed columns.  A word with more than a quarter of
      a bucket's share (at most ``4 x buckets`` words can have one) is spread by its
-     history and brings its count along.  A bucket knows the counts of its words
-     and bigrams: it stores its part of the bigram table, adds up what each document
-     gets from it, and sends sums by history and the unseen bigrams on;
+     history and brings its count along.  A bucket is one task, which goes over its
+     slices twice: first it counts its words and bigrams, then it adds up, some slices at a
+     time, what each document gets from it.  In between, documents and times stay packed, so
+     that neither the number of documents nor that of a bigram's occurrences fills memory.
+     It stores its part of the bigram table, and sends sums by history and the unseen bigrams on;
   3. the sums by history give the back-off table ``(h, c, alpha)``;
   4. unseen bigrams are joined with that table, and the parts of each document added.
 Tables (``unigrams``, ``bigrams`` and what else comes out of a bucket by kind,
@@ -33,8 +35,10 @@ unknown, with probability 1.
 
 from __future__ import annotations
 
+import itertools
 from collections import defaultdict
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -52,6 +56,8 @@ CUTOFF = 5
 BUCKET = 1_400_000
 LEAST_BUCKETS = 24
 SLICE = 8_000_000
+#: entries or documents that a bucket takes apart at a time
+BLOCK = 1 << 17
 DECIMALS = 1e9
 START, END = np.uint64(1), np.uint64(2)
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
@@ -122,6 +128,20 @@ def spread(a: np.ndarray) -> np.ndarray:
         return a ^ (a >> np.uint64(29))
 
 
+def heads(*sorted_columns: np.ndarray) -> np.ndarray:
+    """Where a new value of the columns begins."""
+    new = np.ones(len(sorted_columns[0]), bool)
+    new[1:] = sorted_columns[0][1:] != sorted_columns[0][:-1]
+    for a in sorted_columns[1:]:
+        new[1:] |= a[1:] != a[:-1]
+    return np.flatnonzero(new)
+
+
+def ranges(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The numbers of all ranges, one range after the other."""
+    return np.repeat(begin - (np.cumsum(size) - size), size) + np.arange(size.sum())
+
+
 def bigram_key(w: np.ndarray, h: np.ndarray) -> np.ndarray:
     with np.errstate(over="ignore"):
         return spread(spread(h) * np.uint64(0xD6E8FEB86659FD93) + w)
@@ -130,16 +150,15 @@ def bigram_key(w: np.ndarray, h: np.ndarray) -> np.ndarray:
 def tokens(bodies: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Hashes of the distinct words (the end first), the word number of each
     token, and where each text begins."""
-    number: defaultdict[bytes, int] = defaultdict()
-    number.default_factory = lambda: len(number) + 1
+    number: defaultdict[bytes, int] = defaultdict(itertools.count(1).__next__)  # refers to nothing of ours, so it goes on return
     ids = []
     for body in bodies:
         words = body.encode("utf-8", "replace").translate(_LOWER).split()
-        ids.append(np.fromiter(map(number.__getitem__, words), np.int64, len(words)))
-        ids.append(np.zeros(1, np.int64))
-    hashes = np.array([int(END), *map(xxhash.xxh64_intdigest, number)], np.uint64)
+        ids.append(np.fromiter(map(number.__getitem__, words), np.int32, len(words)))
+        ids.append(np.zeros(1, np.int32))
+    hashes = np.r_[END, np.fromiter(map(xxhash.xxh64_intdigest, number), np.uint64, len(number))]
     begin = np.cumsum([0, *(len(a) + 1 for a in ids[::2])])
-    return hashes, np.concatenate([*ids, np.zeros(0, np.int64)]), begin
+    return hashes, np.concatenate([*ids, np.zeros(0, np.int32)]), begin
 
 
 def _batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -221,39 +240,64 @@ def occurrences(docs: DataFrame, uni: Unigrams) -> DataFrame:
     schema = to_arrow_schema(struct(_SENT))
     buckets, hot = uni.buckets, np.array(list(uni.hot), np.uint64)
 
+    def packed(batch: pa.RecordBatch, chunk: int) -> pa.RecordBatch:
+        hashes, ids, begin = tokens(texts(batch))
+        n_docs, n_words = batch.num_rows, len(hashes) + 1
+        hashes = np.r_[hashes, START]
+        order = np.argsort(hashes)
+        place = np.empty(n_words, np.int32)
+        place[order] = np.arange(n_words, dtype=np.int32)
+        hashes, ids = hashes[order], place[ids]  # words are numbered as their hashes sort
+        entry = ids * np.int64(n_words)
+        entry[1:] += ids[:-1]
+        entry[begin[:-1]] = ids[begin[:-1]] * np.int64(n_words) + place[-1]  # after the start
+        del ids
+        entry *= n_docs
+        entry += np.repeat(np.arange(n_docs, dtype=np.int32), np.diff(begin))
+        entry.sort()
+        first = heads(entry)
+        times = small(np.diff(first, append=len(entry)))
+        entry = entry[first]
+        del first
+        doc = small(entry % n_docs)
+        entry //= n_docs
+        at = heads(entry)
+        pair, size = entry[at], small(np.diff(at, append=len(entry)))
+        del entry
+        word = (pair // n_words).astype(np.int32)
+        pair %= n_words
+        before = pair.astype(np.int32)
+        del pair
+        bucket = (spread(hashes) % np.uint64(buckets)).astype(np.int32)[word]
+        often = np.flatnonzero(np.isin(hashes, hot)[word])
+        bucket[often] = bigram_key(hashes[word[often]], hashes[before[often]]) % np.uint64(buckets)
+        bucket = small(bucket)
+        order = np.argsort(bucket, kind="stable").astype(np.int32)
+        cut = np.searchsorted(bucket[order], np.arange(buckets + 1))
+        held = column(batch, "held").to_numpy(zero_copy_only=False)
+        train = np.packbits(~held).tobytes()
+        name = column(batch, "doc_id").cast(pa.int64())
+        meta = b"".join((np.uint32(n_docs).tobytes(), name.fill_null(0).to_numpy().astype("<i8").tobytes(),
+                         name.is_null().to_numpy(zero_copy_only=False).astype(np.uint8).tobytes(), held.astype(np.uint8).tobytes(),
+                         np.diff(begin).astype("<i8").tobytes()))
+        rows: dict[str, list] = {f.name: [] for f in schema}
+        for b in np.flatnonzero(np.diff(cut)).tolist():
+            own = order[cut[b]:cut[b + 1]]
+            w, n_entries = hashes[word[own]], size[own].astype(np.int64)
+            first = heads(w)
+            entries = ranges(at[own], n_entries)
+            for n, v in (("bucket", b), ("chunk", chunk), ("train", train), ("words", pack_sorted(w[first])),
+                         ("sizes", pack(small(np.add.reduceat(n_entries, first)))), ("histories", pack_hashes(np.repeat(hashes[before[own]], n_entries))),
+                         ("docs", pack(small(doc[entries]))), ("times", pack(small(times[entries]))), ("meta", meta if not rows["meta"] else None)):
+                rows[n].append(v)
+        return pa.RecordBatch.from_arrays([pa.array(rows[f.name], f.type) for f in schema], schema=schema)
+
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         base = TaskContext.get().partitionId() << 32
         for k, batch in enumerate(_batches(batches)):
-            hashes, ids, begin = tokens(texts(batch))
-            before = np.r_[0, ids[:-1]]
-            before[begin[:-1]] = len(hashes)  # the start
-            all_hashes = np.r_[hashes, START]
-            n_docs, n_words = batch.num_rows, len(all_hashes)
-            doc = np.repeat(np.arange(n_docs), np.diff(begin))
-            entry, times = np.unique((ids * n_words + before) * n_docs + doc, return_counts=True)
-            doc, pair = entry % n_docs, entry // n_docs
-            w, h = all_hashes[pair // n_words], all_hashes[pair % n_words]
-            key = np.where(np.isin(w, hot), bigram_key(w, h), spread(w))
-            bucket = (key % np.uint64(buckets)).astype(np.int64)
-            order = np.lexsort((doc, h, w, bucket))
-            cut = np.searchsorted(bucket[order], np.arange(buckets + 1))
-            held = column(batch, "held").to_numpy(zero_copy_only=False)
-            train = np.packbits(~held).tobytes()
-            name = column(batch, "doc_id").cast(pa.int64())
-            meta = b"".join((np.uint32(n_docs).tobytes(), name.fill_null(0).to_numpy().astype("<i8").tobytes(),
-                             name.is_null().to_numpy(zero_copy_only=False).astype(np.uint8).tobytes(), held.astype(np.uint8).tobytes(),
-                             np.diff(begin).astype("<i8").tobytes()))
-            rows: dict[str, list] = {f.name: [] for f in schema}
-            for b in np.flatnonzero(np.diff(cut)).tolist():
-                at = order[cut[b]:cut[b + 1]]
-                words, first = np.unique(w[at], return_index=True)
-                for n, v in (("bucket", b), ("chunk", base + k), ("train", train), ("words", pack_sorted(words)),
-                             ("sizes", pack(small(np.diff(np.r_[first, len(at)])))), ("histories", pack_hashes(h[at])), ("docs", pack(small(doc[at]))), ("times", pack(small(times[at]))),
-                             ("meta", meta if not rows["meta"] else None)):
-                    rows[n].append(v)
-            yield pa.RecordBatch.from_arrays([pa.array(rows[f.name], f.type) for f in schema], schema=schema)
+            yield packed(batch, base + k)
 
     return docs.select("doc_id", "text", "held").mapInArrow(send, struct(_SENT))
 
@@ -263,84 +307,139 @@ _SUMS = 2 * CUTOFF + 4
 _OUT = "kind string, key long, a binary, b binary, c binary, d binary"
 
 
+class Slice(NamedTuple):
+    """What a bucket keeps of a slice: its documents and times packed, and how many entries each of its bigrams has."""
+    chunk: int
+    n_docs: int  # padded to whole bytes
+    entries: int
+    sizes: np.ndarray
+    docs: bytes
+    times: bytes
+    meta: bytes | None
+
+
+def bucket_pairs(batches: Iterator[pa.RecordBatch]) -> tuple[list[Slice], np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The slices of a bucket; its distinct bigrams (word, history) with their
+    training counts; the bigram number of each bigram of each slice."""
+    kept: list[Slice] = []
+    part: dict[str, list] = defaultdict(list)
+    for batch in batches:
+        for i in range(batch.num_rows):
+            r = {n: column(batch, n)[i].as_py() for n in batch.schema.names}
+            train = np.unpackbits(np.frombuffer(r["train"], np.uint8))
+            w, h = np.repeat(unpack_sorted(r["words"]), unpack(r["sizes"], np.int32)), unpack_hashes(r["histories"])
+            first = heads(w, h)
+            part["w"].append(w[first])
+            part["h"].append(h[first])
+            part["c"].append(small(np.add.reduceat(unpack(r["times"], np.int64) * train[unpack(r["docs"], np.int32)], first)))
+            kept.append(Slice(r["chunk"], len(train), len(w), small(np.diff(first, append=len(w))), r["docs"], r["times"], r["meta"]))
+        del batch
+    w, h, c = (np.concatenate(part.pop(k)) for k in ("w", "h", "c"))
+    order = np.argsort(bigram_key(w, h), kind="stable").astype(np.int32)
+    w, h = w[order], h[order]
+    first = heads(w, h)
+    w, h = w[first], h[first]
+    pair = np.empty(len(order), np.int32)
+    pair[order] = np.repeat(np.arange(len(first), dtype=np.int32), np.diff(first, append=len(order)))
+    return kept, w, h, np.add.reduceat(c[order], first, dtype=np.int64), pair
+
+
+def blocks(kept: list[Slice]) -> Iterator[list[Slice]]:
+    """Runs of slices with about BLOCK entries and documents."""
+    run: list[Slice] = []
+    for s in kept:
+        if run and max(sum(x.entries for x in run) + s.entries, sum(x.n_docs for x in run) + s.n_docs) > BLOCK:
+            yield run
+            run = []
+        run.append(s)
+    if run:
+        yield run
+
+
 def bucket_step(uni: Unigrams):
     schema = to_arrow_schema(struct(_OUT))
-
-    def merge(table: pa.Table) -> pa.Table:
-        bucket = int(table["bucket"][0].as_py())
-        rows = table.to_pylist()
-        part: dict[str, list] = defaultdict(list)
-        chunks, first_doc, n_docs = [], [], 0
-        for r in rows:
-            train = np.unpackbits(np.frombuffer(r["train"], np.uint8)).astype(bool)
-            doc = unpack(r["docs"], np.int32)
-            part["w"].append(np.repeat(unpack_sorted(r["words"]), unpack(r["sizes"], np.int32)))
-            part["h"].append(unpack_hashes(r["histories"]))
-            part["times"].append(unpack(r["times"], np.int32))
-            part["train"].append(train[doc])
-            part["doc"].append(doc + np.int32(n_docs))
-            chunks.append(r["chunk"])
-            first_doc.append(n_docs)
-            n_docs += len(train)  # padded to whole bytes
-        rows = [(r["chunk"], r["meta"]) for r in rows]
-        w, h = np.concatenate(part.pop("w")), np.concatenate(part.pop("h"))
-        order = np.argsort(bigram_key(w, h), kind="stable").astype(np.int32)
-        w, h = w[order], h[order]
-        times, train, doc = (np.concatenate(part.pop(k))[order] for k in ("times", "train", "doc"))
-        del order
-        new = np.r_[True, (w[1:] != w[:-1]) | (h[1:] != h[:-1])]
-        pair = (np.cumsum(new) - 1).astype(np.int32)
-        c_pair = np.bincount(pair, times * train).astype(np.int64)
-        head = np.flatnonzero(new)
-        words, at = np.unique(w[head], return_inverse=True)
-        c_word = np.bincount(at, c_pair, len(words)).astype(np.int64)
+    names = schema.names
+
+    def batch(rows: list[tuple]) -> pa.RecordBatch:
+        """Rows of kind, key and up to four blobs."""
+        return pa.RecordBatch.from_arrays([pa.array([r[k] if k < len(r) else None for r in rows], f.type) for k, f in enumerate(schema)], names)
+
+    def documents_of(run: list[Slice], pairs: np.ndarray, h: np.ndarray, seen: np.ndarray, known: np.ndarray, rank: np.ndarray, values: list[np.ndarray]) -> list[tuple]:
+        """What the documents of some slices get from the bucket, and their unseen bigrams."""
+        first_doc, first = (np.cumsum([0, *x]) for x in ([s.n_docs for s in run], [s.entries for s in run]))
+        n = int(first_doc[-1])
+        pair = np.repeat(pairs, np.concatenate([s.sizes for s in run]))
+        doc = np.concatenate([unpack(s.docs, np.int64) + at for s, at in zip(run, first_doc)])
+        times = np.concatenate([unpack(s.times, np.int64) for s in run])
+        sums = np.stack([np.bincount(doc, times * v[pair], n) for v in values])
+        by_count = np.bincount(doc + n * rank[pair], times, n * (CUTOFF + 1)).reshape(CUTOFF + 1, n)[1:]
+        counts = np.vstack([np.bincount(doc, times * known[pair], n), by_count]).astype(np.int64)
+        touched = np.bincount(doc, minlength=n) > 0
+        rows = []
+        for s, a, z in zip(run, first_doc, first_doc[1:]):
+            own = np.flatnonzero(touched[a:z])
+            rows.append(("doc", s.chunk, pack(small(own)), fixed(sums[:, a + own]), pack(small(counts[:, a + own].ravel())), s.meta))
+        miss = np.flatnonzero(~seen[pair])
+        cut = np.searchsorted(miss, first)
+        for k in np.flatnonzero(np.diff(cut)).tolist():
+            own = miss[cut[k]:cut[k + 1]]
+            rows.append(("unseen", run[k].chunk, pack_hashes(h[pair[own]]), pack(small(doc[own] - first_doc[k])), pack(small(times[own]))))
+        return rows
+
+    def history_sums(h: np.ndarray, c: np.ndarray, c_w: np.ndarray) -> Iterator[list[tuple]]:
+        """Sums by history of the seen bigrams, by the history's bucket."""
+        to = (spread(h) % np.uint64(uni.buckets)).astype(np.int32)
+        by = np.lexsort((h, to))
+        h, c, c_w = h[by], c[by], c_w[by]
+        cut = np.searchsorted(to[by], np.arange(uni.buckets + 1))
+        del to, by
+        b = 0
+        while b < uni.buckets:
+            end = max(b + 1, int(np.searchsorted(cut, cut[b] + BLOCK, side="right")) - 1)
+            own = slice(cut[b], cut[end])
+            if own.stop > own.start:
+                first, n, n_w = heads(h[own]), c[own], c_w[own]
+                cols = [*(n == r for r in range(1, CUTOFF + 1)), n > CUTOFF, n, *(n_w == r for r in range(1, CUTOFF + 1)), n_w > CUTOFF,
+                        np.where(n_w > CUTOFF, n_w, 0)]
+                total = np.stack([np.add.reduceat(x, first, dtype=np.int64) for x in cols])
+                name, edge = h[own][first], np.searchsorted(first + own.start, cut[b:end + 1])
+                yield [("histories", b + k, pack_sorted(name[a:z]), pack(small(total[:, a:z].ravel())))
+                       for k, (a, z) in enumerate(zip(edge, edge[1:])) if z > a]
+            b = end
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first = next(batches)
+        bucket = int(column(first, "bucket")[0].as_py())
+        batches = itertools.chain([first], batches)
+        del first
+        kept, w, h, c, pairs = bucket_pairs(batches)
+        words, at = np.unique(w, return_inverse=True)
+        c_word = np.bincount(at, c, len(words)).astype(np.int64)
         if uni.hot:
             hot = np.array(list(uni.hot), np.uint64)
             where = np.minimum(np.searchsorted(hot, words), len(hot) - 1)
             c_word = np.where(hot[where] == words, np.array(list(uni.hot.values()), np.int64)[where], c_word)
-        c_w, c = c_word[at][pair], c_pair[pair]
+        c_w = c_word[at]
+        del at
         seen, known = c > 0, c_w > 0
         gain = np.where(seen, np.log10(np.where(c > CUTOFF, c - 0.5, np.maximum(c, 1))), uni.log_probability(c_w))
         gain -= np.where(known & (w != END), np.log10(np.maximum(c_w, 1)), 0.0)  # as the history of what follows
-        sums = np.stack([np.bincount(doc, x, n_docs) for x in (times * np.log10(c_w + 1.0), times * gain)])
-        counts = np.stack([np.bincount(doc, times * x, n_docs) for x in (known, *(c == r for r in range(1, CUTOFF + 1)))]).astype(np.int64)
-        touched = np.bincount(doc, minlength=n_docs) > 0
-        out: dict[str, list] = {n: [] for n in ("kind", "key", "a", "b", "c", "d")}
-
-        def put(kind: str, key: int, *blobs: bytes | None) -> None:
-            for n, v in zip(out, (kind, key, *blobs, *[None] * (4 - len(blobs)))):
-                out[n].append(v)
-
-        for (chunk, meta), a, z in zip(rows, first_doc, [*first_doc[1:], n_docs]):
-            own = np.flatnonzero(touched[a:z])
-            put("doc", chunk, pack(small(own)), fixed(sums[:, a + own]), pack(small(counts[:, a + own].ravel())), meta)
+        rank, values, a = np.where(c > CUTOFF, 0, c), [np.log10(c_w + 1.0), gain], 0
+        for run in blocks(kept):
+            z = a + sum(len(s.sizes) for s in run)
+            yield batch(documents_of(run, pairs[a:z], h, seen, known, rank, values))
+            a = z
+        del kept, pairs, known, gain, rank, values
         # the bigram table
-        kept = c_pair > 0
-        tw, th, tc, tcw = w[head][kept], h[head][kept], c_pair[kept], c_w[head][kept]
-        by = np.lexsort((th, tw))
-        names, first = np.unique(tw[by], return_index=True)
-        put("bigrams", bucket, pack_sorted(names), pack(small(np.diff(np.r_[first, len(by)]))), pack_hashes(th[by]), pack(small(tc[by])))
-        put("counts", bucket, np.bincount(np.minimum(tc, CUTOFF + 2), minlength=CUTOFF + 3)[1:CUTOFF + 2].astype("<i8").tobytes())
-        # sums by history
-        names, at = np.unique(th, return_inverse=True)
-        cols = [*(tc == r for r in range(1, CUTOFF + 1)), tc > CUTOFF, tc, *(tcw == r for r in range(1, CUTOFF + 1)), tcw > CUTOFF,
-                np.where(tcw > CUTOFF, tcw, 0)]
-        total = np.stack([np.bincount(at, x, len(names)) for x in cols]).astype(np.int64)
-        to = (spread(names) % np.uint64(uni.buckets)).astype(np.int64)
-        by = np.argsort(to, kind="stable")
-        cut = np.searchsorted(to[by], np.arange(uni.buckets + 1))
-        for b in np.flatnonzero(np.diff(cut)).tolist():
-            own = by[cut[b]:cut[b + 1]]
-            put("histories", b, pack_sorted(names[own]), pack(small(total[:, own].ravel())))
-        # bigrams of held-out rows that training has not
-        miss = np.flatnonzero(~seen)
-        if len(miss):
-            chunk_at = np.searchsorted(first_doc, doc[miss], side="right") - 1
-            row = doc[miss] - np.array(first_doc)[chunk_at]
-            for k in np.unique(chunk_at).tolist():
-                own = np.flatnonzero(chunk_at == k)
-                put("unseen", chunks[k], pack_hashes(h[miss][own]), pack(small(row[own])), pack(small(times[miss][own])))
-        return pa.table(out, schema=schema)
+        w, h, c, c_w = w[seen], h[seen], c[seen], c_w[seen]
+        by = np.lexsort((h, w))
+        w = w[by]
+        at = heads(w)
+        yield batch([("bigrams", bucket, pack_sorted(w[at]), pack(small(np.diff(at, append=len(w)))), pack_hashes(h[by]), pack(small(c[by]))),
+                     ("counts", bucket, np.bincount(np.minimum(c, CUTOFF + 2), minlength=CUTOFF + 3)[1:CUTOFF + 2].astype("<i8").tobytes())])
+        del w, by, at
+        for rows in history_sums(h, c, c_w):
+            yield batch(rows)
 
     return merge
 
@@ -351,17 +450,21 @@ def backoff_table(sums: DataFrame, uni: Unigrams, factor: list[float]) -> DataFr
     """``(h, c, alpha)`` of each history."""
 
     def merge(table: pa.Table) -> pa.Table:
-        keys = [unpack_sorted(b) for b in table["a"].to_pylist()]
-        cols = np.concatenate([unpack(b, np.int64).reshape(_SUMS, -1) for b in table["b"].to_pylist()], axis=1)
+        keys = [unpack_sorted(b.as_py()) for b in table["a"]]
+        cut = np.cumsum([0, *map(len, keys)])
         h, at = np.unique(np.concatenate(keys), return_inverse=True)
-        x = np.stack([np.bincount(at, row, len(h)) for row in cols])
+        del keys
+        x = np.zeros((_SUMS, len(h)), np.int64)
+        for b, a, z in zip(table["b"], cut, cut[1:]):
+            x[:, at[a:z]] += unpack(b.as_py(), np.int64).reshape(_SUMS, -1)  # a blob has a history once
         seen, c, words, large, total = x[:CUTOFF + 1], x[CUTOFF + 1], x[CUTOFF + 2:2 * CUTOFF + 2], x[2 * CUTOFF + 2], x[2 * CUTOFF + 3]
         lost = sum((1 - d) * r * seen[r - 1] for r, d in enumerate(factor, 1)) + 0.5 * seen[CUTOFF]
         mass = (sum(d * r * words[r - 1] for r, d in enumerate(uni.factor, 1)) + total - 0.5 * large) / max(uni.total, 1)
         alpha = lost / c / np.maximum(1 - mass, uni.unknown)
         return pa.table({"h": h.view(np.int64), "c": c.astype(np.int64), "alpha": alpha})
 
-    return sums.groupBy("key").applyInArrow(merge, "h long, c long, alpha double")
+    dealt = sums.withColumn("bucket", F.col("key").cast("int")).repartitionById(uni.buckets, "bucket")
+    return dealt.groupBy("bucket").applyInArrow(merge, "h long, c long, alpha double")
 
 
 def unseen_rows(blobs: DataFrame) -> DataFrame:
@@ -370,7 +473,8 @@ def unseen_rows(blobs: DataFrame) -> DataFrame:
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for r in batch.to_pylist():
+            for i in range(batch.num_rows):
+                r = {n: column(batch, n)[i].as_py() for n in batch.schema.names}
                 h = unpack_hashes(r["a"]).view(np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(np.full(len(h), r["key"])), pa.array(unpack(r["b"], np.int32)),
                                                   pa.array(unpack(r["c"], np.int64))], schema=to_arrow_schema(kind))
@@ -413,7 +517,7 @@ class Katz:
         self.unigrams = stage(unigram_table(docs), "unigrams")
         self.uni = Unigrams(self.unigrams)
         path = scratch(spark, "bigrams")
-        (occurrences(docs, self.uni).groupBy("bucket").applyInArrow(bucket_step(self.uni), _OUT)
+        (occurrences(docs, self.uni).repartitionById(self.uni.buckets, "bucket").groupBy("bucket").applyInArrow(bucket_step(self.uni), _OUT)
          .write.partitionBy("kind").parquet(path))
         self.parts = spark.read.schema(_OUT).option("basePath", path).parquet(path)
         counts = np.zeros(CUTOFF + 1, np.int64)
