@@ -217,6 +217,19 @@ def test_op2_word_numbers_go_with_their_slice():
     assert out == (50_001, 50_050, 51) and left < 3
 
 
+@pytest.mark.parametrize("step", [toxicity.word_ids, quality_rules.statistics])
+def test_op1_op7_op8_word_numbers_go_with_their_slice(step):
+    bodies = [" ".join("w" + str(k).translate(dict(zip(map(ord, "0123456789"), "abcdefghij"))) for k in range(i, i + 1000)) for i in range(0, 50_000, 1000)]
+    step(bodies[:1])
+
+    def run():
+        for _ in range(4):
+            step(bodies)
+
+    _, _, left = traced(run)
+    assert left < 3
+
+
 def test_op2_bucket_memory_does_not_grow_with_its_slices(spark):
     """Every document has the one bigram of the bucket: neither its documents nor its occurrences are held unpacked."""
     n, uni = 4000, types.SimpleNamespace(buckets=4, hot={}, log_probability=lambda c: np.zeros(len(c)))

@@ -13,6 +13,7 @@ not read, whatever they are called.  An empty table gives no rows.
 
 from __future__ import annotations
 
+import itertools
 from collections import defaultdict
 
 import numpy as np
@@ -75,8 +76,7 @@ def repeated_words(ids: np.ndarray, begin: np.ndarray, window: int = WINDOW) ->
 
 def statistics(bodies: list[str]) -> dict[str, np.ndarray]:
     """The base counts and the trees' features of each text."""
-    number: defaultdict[bytes, int] = defaultdict()
-    number.default_factory = number.__len__
+    number: defaultdict[bytes, int] = defaultdict(itertools.count().__next__)  # refers to nothing of ours, so it goes on return
     ids, rows = [], []
     for body in bodies:
         raw = body.encode("utf-8", "replace")

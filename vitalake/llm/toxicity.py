@@ -25,6 +25,7 @@ whatever they are called.  An empty table gives no rows.
 
 from __future__ import annotations
 
+import itertools
 import math
 import re
 from collections import defaultdict
@@ -57,8 +58,7 @@ _WORD = re.compile(r"[^\W\d_]+")
 
 def word_ids(bodies: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
     """Distinct words, the word numbers of all texts in turn, and where each text begins."""
-    number: defaultdict[str, int] = defaultdict()
-    number.default_factory = number.__len__
+    number: defaultdict[str, int] = defaultdict(itertools.count().__next__)  # refers to nothing of ours, so it goes on return
     ids = [np.fromiter(map(number.__getitem__, _WORD.findall(b.lower())), np.int64) for b in bodies]
     return list(number), np.concatenate([*ids, np.zeros(0, np.int64)]), np.cumsum([0, *map(len, ids)])
 
